@@ -299,7 +299,8 @@ UNION ALL SELECT user_id, 'ERROR_EVENT' FROM events WHERE event_type = 'error'""
     "d_date": """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS full_date FROM orders
   UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem UNION SELECT CAST(ts AS DATE) FROM events)
 SELECT CAST(row_number() OVER (ORDER BY full_date NULLS FIRST) AS BIGINT) AS date_id, full_date,
-       year(full_date) AS year, month(full_date) AS month, day(full_date) AS day FROM d""",
+       CAST(year(full_date) AS INTEGER) AS year, CAST(month(full_date) AS INTEGER) AS month,
+       CAST(day(full_date) AS INTEGER) AS day FROM d""",
 
     "x_event": """WITH e AS (SELECT *, CAST(ts AS DATE) AS event_date FROM events),
 dd AS (SELECT event_date, CAST(row_number() OVER (ORDER BY event_date) AS BIGINT) AS date_id
