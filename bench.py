@@ -29,7 +29,8 @@ HEADLINE = ["rp2", "rp6", "a4", "a5", "a6", "a19", "w1", "w5", "w6", "w8", "j8",
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app_name="hearth-bench")
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app_name="hearth-bench",
+                        driver_memory="12g")
     names = [n for n in HEADLINE if n in QUERIES]
 
     for n in names:   # warm-up

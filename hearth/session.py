@@ -30,7 +30,7 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "hearth") -> SparkSession:
+                app_name: str = "hearth", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
     On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
@@ -40,6 +40,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

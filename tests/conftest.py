@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from hearth.session import get_session
-    s = get_session("local[4]", shuffle_partitions=8, app_name="hearth-tests")
+    s = get_session("local[4]", shuffle_partitions=8, app_name="hearth-tests", driver_memory="6g")
     yield s
     s.stop()
 
