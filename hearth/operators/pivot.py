@@ -43,7 +43,8 @@ def _match(spec: PivotColumn, concept_col: str, answer_col: str | None) -> Colum
     if spec.concept is not None:
         cond = ci_in(concept_col, spec.concept) if isinstance(spec.concept, tuple) else ci_eq(concept_col, spec.concept)
     if spec.answer is not None:
-        cond = cond & ci_eq(answer_col or "value", spec.answer)
+        target = answer_col or (spec.value if isinstance(spec.value, str) else "value_coded")
+        cond = cond & ci_eq(target, spec.answer)
     return cond
 
 
@@ -81,6 +82,8 @@ def pivot_aggregates(columns: Sequence[PivotColumn], concept_col: str = "concept
         else:
             raise ValueError(f"unknown pivot agg {s.agg}")
         if s.cast:
+            if s.cast in ("int", "integer", "long", "bigint", "smallint") and s.agg in ("first", "last", "min", "max"):
+                e = F.round(e)   # integer targets round half away from zero, never truncate
             e = e.cast(s.cast)
         out.append(e.alias(s.name))
     return out

@@ -20,7 +20,7 @@ CONCEPTS = {
     9: "Appointment date", 10: "HIV viral load", 11: "Lower than Detection Limit", 12: "Sample taken for Viral Load",
     13: "Malawi Antiretroviral drugs received", 14: "Result of HIV test", 15: "Positive", 16: "Negative",
     17: "Systolic blood pressure", 18: "Diastolic blood pressure", 19: "Viral Load Screening construct",
-    20: "Tuberculosis", 21: "Yes", 22: "Reason for testing (coded)", 23: "Routine", 24: "Chronic care diagnosis",
+    20: "Tuberculosis", 21: "True", 22: "Reason for testing (coded)", 23: "Routine", 24: "Chronic care diagnosis",
     25: "Hypertension", 26: "Diagnosis date", 27: "Less than limit", 28: "HIV Test Construct",
     29: "Insulin", 30: "Current drugs used", 31: "Exposed child (continue)", 32: "Chronic care treatment status",
     33: "Mother HIV Status", 34: "Breast feeding", 35: "Reason for no result", 36: "EID program",
@@ -217,7 +217,7 @@ def build(spark) -> dict:
         (2, "pp-2", 2, 1, D(2017, 3, 3), D(2019, 6, 1), 2, 5, False),         # HIV, completed (died)
         (3, "pp-3", 3, 1, None, None, 1, None, False),                        # no enrollment date
         (4, "pp-4", 8, 2, D(2019, 1, 5), None, 1, None, False),               # chronic care
-        (5, "pp-5", 5, 3, D(2018, 5, 1), None, 1, None, False),               # EID
+        (5, "pp-5", 5, 1, D(2018, 5, 1), None, 1, None, False),               # exposed child in HIV program
         (6, "pp-6", 7, 1, D(2016, 1, 1), None, 2, None, False),               # HIV pre-ART only
         (7, "pp-7", 10, 1, D(2019, 12, 31), None, 1, None, False),
     ]
