@@ -607,6 +607,200 @@ def rp8(spark, sf):
                        F.col("appt_date").alias("next_appt_date"))
 
 
+
+# ---------------------------------------------------------------- more operator bindings
+
+def p1(spark, sf):
+    """The row's own flag and its owner's flag are both off (orders 'P' are
+    voided, customers with a negative balance are voided owners)."""
+    o = _orders(spark, sf).select("o_orderkey", "o_custkey", (F.col("o_orderstatus") == "P").alias("voided"))
+    c = _t(spark, sf, "customer").select("c_custkey", (F.col("c_acctbal") < 0).alias("voided"))
+    return O.keep_live(o, c, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey")
+
+
+def p2(spark, sf):
+    o = _orders(spark, sf).select(
+        "o_orderkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("prio"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(" ")).otherwise(F.col("o_orderstatus")).alias("status"))
+    return O.require_not_null(o, ["prio"], non_blank=["status"])
+
+
+def p9(spark, sf):
+    return O.delete_by_key_prefix(_t(spark, sf, "customer").select("c_custkey"), "c_custkey", "1")
+
+
+def p10(spark, sf):
+    e = _t(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_type") != "click", F.col("value")).alias("value_numeric"))
+    return O.typed_value_filter(e, "value_numeric")
+
+
+def p13(spark, sf):
+    return O.optional_param(_orders(spark, sf), "o_orderpriority", "2-high").select("o_orderkey")
+
+
+def p13_unset(spark, sf):
+    return O.optional_param(_orders(spark, sf), "o_orderpriority", None).select("o_orderkey")
+
+
+def p14(spark, sf):
+    return O.in_list(_t(spark, sf, "events"), "event_type", ["CLICK", "view "]).select("event_id")
+
+
+def j3(spark, sf):
+    """A line's label from the part lookup (large parts only) else the supplier lookup."""
+    l = _lines(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    parts = _t(spark, sf, "part").where(F.col("p_size") > 25)
+    out = O.decode_two_sources(l, (parts, "l_partkey", "p_partkey", "p_name"),
+                               (_t(spark, sf, "supplier"), "l_suppkey", "s_suppkey", "s_name"), "label")
+    return out.select("l_orderkey", "l_linenumber", "label")
+
+
+def j6(spark, sf):
+    """A fact joined inner on its patient and left on its dimensions."""
+    o = _orders(spark, sf).select("o_orderkey", "o_custkey", "order_date")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    dates = O.dense_key(o.select("order_date"), ["order_date"], "date_id")
+    f = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+    f = O.decode(f, _t(spark, sf, "nation"), "c_nationkey", "n_nationkey", "n_name")
+    f = f.join(dates, "order_date", "left")
+    return f.select("o_orderkey", "c_custkey", "n_name", "date_id")
+
+
+def j16(spark, sf):
+    """Lines whose parent (order) has the named type."""
+    groups = _orders(spark, sf).select("o_orderkey", "o_orderpriority")
+    l = _lines(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey")
+    return O.child_in_named_group(l, groups, "o_orderkey", "o_orderpriority", "1-URGENT", "l_orderkey")
+
+
+def j19(spark, sf):
+    """Attributes of the row at the latest (date, id) per key."""
+    o = _orders(spark, sf)
+    out = O.value_at_latest(o, ["o_custkey"], "order_date", "o_orderkey",
+                            ["o_orderkey", "o_orderstatus", "o_totalprice"], prefix="last_")
+    return out.select("o_custkey", "last_date", F.col("last_o_orderkey").alias("last_orderkey"),
+                      F.col("last_o_orderstatus").alias("last_status"), F.col("last_o_totalprice").alias("last_price"))
+
+
+def a18(spark, sf):
+    return _orders(spark, sf).select("o_custkey", "o_orderstatus").distinct()
+
+
+def a20(spark, sf):
+    return _lines(spark, sf).groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def f4(spark, sf):
+    e = _t(spark, sf, "events")
+    return e.select("event_id", H.date_part("ts").alias("event_date"), H.time_part("ts").alias("event_time"))
+
+
+def f5(spark, sf):
+    e = _t(spark, sf, "events")
+    return e.select("event_id", F.year("ts").alias("y"), F.month("ts").alias("m"), F.dayofmonth("ts").alias("d"),
+                    F.hour("ts").alias("hh"), F.minute("ts").alias("mi"), F.second("ts").alias("ss"))
+
+
+def f10(spark, sf):
+    c = _t(spark, sf, "customer")
+    seg = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment"))
+    return c.select("c_custkey", H.join_nonnull(" ", "c_name", seg).alias("joined"),
+                    H.concat_strict("c_name", F.lit("-"), seg).alias("strict"))
+
+
+def f13(spark, sf):
+    return _t(spark, sf, "customer").select("c_custkey", H.substring0("c_name", 1, 5).alias("cut"))
+
+
+def f14(spark, sf):
+    iv = _order_intervals(spark, sf)
+    return iv.select("o_orderkey", H.greatest_date("order_date", "last_ship").alias("latest_date"))
+
+
+def f16(spark, sf):
+    j = _order_intervals(spark, sf).where(F.col("last_ship").isNotNull())
+    return j.select("o_orderkey", H.day_gap_mod("last_ship", "order_date", 7).alias("weekday_gap"))
+
+
+def f17(spark, sf):
+    l = _lines(spark, sf)
+    disc = F.when(F.col("l_discount") != 0, F.col("l_discount"))
+    return l.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") + F.col("l_tax") + disc).alias("total"))
+
+
+def f18(spark, sf):
+    return _t(spark, sf, "events").select("event_id", H.less_than_text("value").alias("below"))
+
+
+def f22(spark, sf):
+    c = _t(spark, sf, "customer")
+    n = _t(spark, sf, "nation")
+    j = O.decode(c, n, "c_nationkey", "n_nationkey", "n_name")
+    return j.select("c_custkey", H.name_fallback(F.when(F.col("c_acctbal") > 0, F.col("c_name")),
+                                                 F.when(F.col("c_nationkey") < 5, F.col("n_name"))).alias("display"))
+
+
+def s11(spark, sf):
+    from ..sources import year_slice
+    return year_slice(_orders(spark, sf), "order_date", 1998).select("o_orderkey")
+
+
+def d_time(spark, sf):
+    times = _t(spark, sf, "events").select(H.time_part("ts").alias("full_time"))
+    keyed = O.dense_key(times, ["full_time"], "time_id")
+    parts = F.split(F.col("full_time"), ":")
+    return keyed.select("time_id", "full_time", parts[0].cast("int").alias("hour"),
+                        parts[1].cast("int").alias("minute"), parts[2].cast("int").alias("second"))
+
+
+def d_age(spark, sf):
+    j = _lines(spark, sf).join(_orders(spark, sf), F.col("l_orderkey") == F.col("o_orderkey"))
+    ages = j.select(H.full_years_between("order_date", "ship_date").alias("full_years"),
+                    H.full_months_between("order_date", "ship_date").alias("full_months")).distinct()
+    return O.dense_key(ages, ["full_years", "full_months"], "age_id")
+
+
+def d_loc(spark, sf):
+    from .star import name_dim
+    return name_dim(_t(spark, sf, "nation").select(F.col("n_name").alias("name")), "location_id")
+
+
+def d_etype(spark, sf):
+    from .star import name_dim
+    return name_dim(_orders(spark, sf).select(F.col("o_orderpriority").alias("name")), "encounter_type_id")
+
+
+def r_cvis(spark, sf):
+    """R-CVIS: distinct (patient, day) visits with a ``patient-date`` visit key."""
+    e = _t(spark, sf, "events").select(F.col("user_id").alias("patient_id"), F.to_date("ts").alias("encounter_date"))
+    d = e.distinct()
+    return d.select("patient_id", "encounter_date", H.visit_key("patient_id", "encounter_date").alias("visit_id"))
+
+
+# The priority renaming used to exercise the vocabulary map (R-EAST shape).
+PRIORITY_MAP = [("1-URGENT", "URGENT"), ("2-HIGH", "HIGH"), ("5-LOW", "LOW")]
+
+
+def r_east(spark, sf):
+    from .rwanda import remap_values
+    m = spark.createDataFrame(PRIORITY_MAP, "source string, target string")
+    o = _orders(spark, sf).select("o_orderkey", "o_orderpriority")
+    return remap_values(o, "o_orderpriority", m, "source", "target")
+
+
+def x2(spark, sf):
+    o = _orders(spark, sf).select("o_orderkey", "o_custkey", "order_date", "o_orderstatus")
+    return O.anonymise_table(o, id_cols=["o_orderkey", "o_custkey"], keep_dates=True)
+
+
+def x5(spark, sf):
+    """Distinct patient x facility pairs (customer x supplier of their lines)."""
+    j = _lines(spark, sf).select("l_orderkey", "l_suppkey").join(
+        _orders(spark, sf).select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.select(F.col("o_custkey").alias("patient_id"), F.col("l_suppkey").alias("fosa_id")).distinct()
+
+
 QUERIES = {
     "a1": a1,
     "a2": a2,
@@ -677,4 +871,35 @@ QUERIES = {
     "rp6": rp6,
     "rp7": rp7,
     "rp8": rp8,
+    "p1": p1,
+    "p2": p2,
+    "p9": p9,
+    "p10": p10,
+    "p13": p13,
+    "p13_unset": p13_unset,
+    "p14": p14,
+    "j3": j3,
+    "j6": j6,
+    "j16": j16,
+    "j19": j19,
+    "a18": a18,
+    "a20": a20,
+    "f4": f4,
+    "f5": f5,
+    "f10": f10,
+    "f13": f13,
+    "f14": f14,
+    "f16": f16,
+    "f17": f17,
+    "f18": f18,
+    "f22": f22,
+    "s11": s11,
+    "d_time": d_time,
+    "d_age": d_age,
+    "d_loc": d_loc,
+    "d_etype": d_etype,
+    "r_cvis": r_cvis,
+    "r_east": r_east,
+    "x2": x2,
+    "x5": x5,
 }

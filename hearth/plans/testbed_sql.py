@@ -395,3 +395,117 @@ SELECT o_custkey AS c_custkey, order_date AS last_visit_date, last_ship AS next_
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY order_date DESC, o_orderkey DESC) AS rn FROM iv) x
 WHERE rn = 1""",
 }
+
+SQL.update({
+    "p1": """SELECT o.o_orderkey, o.o_custkey FROM orders o
+WHERE NOT (o.o_orderstatus = 'P')
+  AND o.o_custkey IN (SELECT c_custkey FROM customer WHERE NOT (c_acctbal < 0))""",
+
+    "p2": """SELECT o_orderkey, prio, status FROM (
+  SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS prio,
+         CASE WHEN o_orderstatus = 'P' THEN ' ' ELSE o_orderstatus END AS status FROM orders) x
+WHERE prio IS NOT NULL AND status IS NOT NULL AND trim(status) <> ''""",
+
+    "p9": """SELECT c_custkey FROM customer WHERE NOT starts_with(CAST(c_custkey AS VARCHAR), '1')""",
+
+    "p10": """SELECT event_id, value_numeric FROM (
+  SELECT event_id, CASE WHEN event_type <> 'click' THEN value END AS value_numeric FROM events) x
+WHERE value_numeric IS NOT NULL""",
+
+    "p13": """SELECT o_orderkey FROM orders WHERE lower(trim(o_orderpriority)) = '2-high'""",
+
+    "p13_unset": """SELECT o_orderkey FROM orders""",
+
+    "p14": """SELECT event_id FROM events WHERE lower(trim(event_type)) IN ('click', 'view')""",
+
+    "j3": """SELECT l.l_orderkey, l.l_linenumber, coalesce(p.p_name, s.s_name) AS label
+FROM lineitem l LEFT JOIN (SELECT * FROM part WHERE p_size > 25) p ON p.p_partkey = l.l_partkey
+LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey""",
+
+    "j6": """WITH d AS (SELECT order_date, CAST(row_number() OVER (ORDER BY order_date) AS BIGINT) AS date_id
+           FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS order_date FROM orders) x)
+SELECT o.o_orderkey, c.c_custkey, n.n_name, d.date_id
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+LEFT JOIN d ON d.order_date = CAST(o.o_orderdate AS DATE)""",
+
+    "j16": """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE lower(trim(o_orderpriority)) = '1-urgent')""",
+
+    "j19": """SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS last_date,
+  arg_max(o_orderkey, (CAST(o_orderdate AS DATE), o_orderkey)) AS last_orderkey,
+  arg_max(o_orderstatus, (CAST(o_orderdate AS DATE), o_orderkey)) AS last_status,
+  arg_max(o_totalprice, (CAST(o_orderdate AS DATE), o_orderkey)) AS last_price
+FROM orders GROUP BY o_custkey""",
+
+    "a18": """SELECT DISTINCT o_custkey, o_orderstatus FROM orders""",
+
+    "a20": """SELECT count(*) AS n_rows FROM lineitem""",
+
+    "f4": """SELECT event_id, CAST(ts AS DATE) AS event_date, strftime(ts, '%H:%M:%S') AS event_time FROM events""",
+
+    "f5": """SELECT event_id, CAST(year(ts) AS INTEGER) AS y, CAST(month(ts) AS INTEGER) AS m,
+  CAST(day(ts) AS INTEGER) AS d, CAST(hour(ts) AS INTEGER) AS hh, CAST(minute(ts) AS INTEGER) AS mi,
+  CAST(second(ts) AS INTEGER) AS ss FROM events""",
+
+    "f10": """SELECT c_custkey,
+  concat_ws(' ', c_name, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END) AS joined,
+  c_name || '-' || CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS strict FROM customer""",
+
+    "f13": """SELECT c_custkey, substr(c_name, 2, 4) AS cut FROM customer""",
+
+    "f14": f"""WITH {INTERVALS}
+SELECT o_orderkey, CASE WHEN last_ship IS NULL THEN order_date ELSE greatest(order_date, last_ship) END AS latest_date
+FROM iv""",
+
+    "f16": f"""WITH {INTERVALS}
+SELECT o_orderkey, CAST(datediff('day', order_date, last_ship) % 7 AS INTEGER) AS weekday_gap
+FROM iv WHERE last_ship IS NOT NULL""",
+
+    "f17": """SELECT l_orderkey, l_linenumber,
+  l_extendedprice + l_tax + CASE WHEN l_discount <> 0 THEN l_discount END AS total FROM lineitem""",
+
+    "f18": """SELECT event_id, '<' || CASE WHEN value = floor(value) THEN CAST(CAST(value AS DECIMAL(38, 0)) AS VARCHAR)
+  ELSE CAST(value AS VARCHAR) END AS below FROM events""",
+
+    "f22": """SELECT c.c_custkey, coalesce(
+    CASE WHEN trim(CASE WHEN c.c_acctbal > 0 THEN c.c_name END) = '' THEN NULL
+         ELSE CASE WHEN c.c_acctbal > 0 THEN c.c_name END END,
+    CASE WHEN trim(CASE WHEN c.c_nationkey < 5 THEN n.n_name END) = '' THEN NULL
+         ELSE CASE WHEN c.c_nationkey < 5 THEN n.n_name END END,
+    'Unknown') AS display
+FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+
+    "s11": """SELECT o_orderkey FROM orders
+WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01' AND CAST(o_orderdate AS DATE) < DATE '1999-01-01'""",
+
+    "d_time": """SELECT CAST(row_number() OVER (ORDER BY full_time) AS BIGINT) AS time_id, full_time,
+  CAST(substr(full_time, 1, 2) AS INTEGER) AS hour, CAST(substr(full_time, 4, 2) AS INTEGER) AS minute,
+  CAST(substr(full_time, 7, 2) AS INTEGER) AS second
+FROM (SELECT DISTINCT strftime(ts, '%H:%M:%S') AS full_time FROM events) x""",
+
+    "d_age": f"""WITH a AS (SELECT DISTINCT
+    CAST({full_years("CAST(o.o_orderdate AS DATE)", "CAST(l.l_shipdate AS DATE)")} AS BIGINT) AS full_years,
+    CAST({full_months("CAST(o.o_orderdate AS DATE)", "CAST(l.l_shipdate AS DATE)")} AS BIGINT) AS full_months
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT full_years, full_months,
+  CAST(row_number() OVER (ORDER BY full_years NULLS FIRST, full_months NULLS FIRST) AS BIGINT) AS age_id FROM a""",
+
+    "d_loc": """SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS location_id, name
+FROM (SELECT min(n_name) AS name FROM nation GROUP BY lower(trim(n_name))) x""",
+
+    "d_etype": """SELECT CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS encounter_type_id, name
+FROM (SELECT min(o_orderpriority) AS name FROM orders GROUP BY lower(trim(o_orderpriority))) x""",
+
+    "r_cvis": """SELECT patient_id, encounter_date, CAST(patient_id AS VARCHAR) || '-' || strftime(encounter_date, '%Y-%m-%d') AS visit_id
+FROM (SELECT DISTINCT user_id AS patient_id, CAST(ts AS DATE) AS encounter_date FROM events) x""",
+
+    "r_east": """SELECT o.o_orderkey, coalesce(m.target, o.o_orderpriority) AS o_orderpriority
+FROM orders o LEFT JOIN (VALUES ('1-urgent', 'URGENT'), ('2-high', 'HIGH'), ('5-low', 'LOW')) m(source, target)
+  ON lower(trim(o.o_orderpriority)) = m.source""",
+
+    "x2": """SELECT md5(CAST(o_orderkey AS VARCHAR)) AS o_orderkey, md5(CAST(o_custkey AS VARCHAR)) AS o_custkey,
+  CAST(o_orderdate AS DATE) AS order_date, o_orderstatus FROM orders""",
+
+    "x5": """SELECT DISTINCT o.o_custkey AS patient_id, l.l_suppkey AS fosa_id
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+})
