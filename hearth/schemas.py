@@ -121,3 +121,43 @@ def conform(df, ddl: str):
             c = F.round(c)   # INT targets round half away from zero, never truncate
         cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
+
+
+# --------------------------------------------------------------- Rwanda-only source tables
+RWANDA_SOURCE = {
+    "location_full": ("location_id long, name string, description string, address1 string, address2 string, "
+                      "address3 string, address4 string, city_village string, state_province string, country string, "
+                      "county_district string, retired boolean"),
+    "orders": ("order_id long, order_type_id long, concept_id long, orderer long, instructions string, "
+               "start_date date, auto_expire_date date, discontinued_date date, discontinued_by long, "
+               "discontinued_reason long, patient_id long, uuid string, discontinued_reason_non_coded string, "
+               "urgency string, date_created date, encounter_id long, voided boolean"),
+    "orderextension_order": ("order_id long, group_id long, order_index long, indication long, route long, "
+                             "administration_instructions string"),
+    "orderextension_order_group": ("id long, uuid string, group_type string, cycle_number long, order_set_id long, "
+                                   "date_created date, voided boolean"),
+    "orderextension_order_set": "id long, uuid string, name string, description string, indication long, cycle_length long",
+    "drug_order": ("order_id long, drug_inventory_id long, dose double, units string, frequency string, prn long, "
+                   "complex string, quantity decimal(20,2), equivalent_daily_dose decimal(12,2)"),
+    "moh_bill_patient_bill": "patient_bill_id long, amount decimal(20,2), is_paid long, voided boolean",
+    "moh_bill_consommation": ("consommation_id long, patient_bill_id long, beneficiary_id long, third_party_bill_id long, "
+                              "insurance_bill_id long, creator long, created_date timestamp_ntz"),
+    "moh_bill_beneficiary": "beneficiary_id long, patient_id long, insurance_policy_id long",
+    "moh_bill_third_party_bill": "third_party_bill_id long, amount decimal(20,2)",
+    "moh_bill_insurance_bill": "insurance_bill_id long, amount decimal(20,2)",
+    "moh_bill_payment": ("bill_payment_id long, patient_bill_id long, amount_paid decimal(20,2), "
+                         "date_received timestamp_ntz, collector long, voided boolean"),
+    "moh_bill_cash_payment": "cash_payment_id long",
+    "moh_bill_deposit_payment": "deposit_payment_id long",
+    "moh_bill_payment_refund": "bill_payment_id long, refunded_by long, amount_refunded decimal(20,2), voided boolean",
+    "moh_bill_insurance_policy": ("insurance_policy_id long, insurance_id long, owner long, third_party_id long, "
+                                  "coverage_start_date date, expiration_date date, retire_date date, retire_reason string"),
+    "moh_bill_insurance": "insurance_id long, name string",
+    "moh_bill_third_party": "third_party_id long, rate decimal(20,2)",
+    "moh_bill_patient_service_bill": ("patient_service_bill_id long, consommation_id long, billable_service_id long, "
+                                      "unit_price decimal(20,2), quantity decimal(20,2), paid_quantity decimal(20,2), "
+                                      "created_date timestamp_ntz, is_paid long, voided boolean"),
+    "moh_bill_billable_service": "billable_service_id long, facility_service_price_id long, service_category_id long",
+    "moh_bill_facility_service_price": "facility_service_price_id long, name string",
+    "moh_bill_service_category": "service_category_id long, name string",
+}
