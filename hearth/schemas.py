@@ -53,7 +53,7 @@ SOURCE = {
     "users": "user_id long, username string, system_id string, person_id long",
     "patient_program": ("patient_program_id long, uuid string, patient_id long, program_id long, date_enrolled date, "
                         "date_completed date, location_id long, outcome_concept_id long, voided boolean"),
-    "program": "program_id long, concept_id long",
+    "program": "program_id long, concept_id long, name string",
     "patient_state": ("patient_state_id long, uuid string, patient_program_id long, state long, start_date date, "
                       "end_date date, voided boolean"),
     "program_workflow": "program_workflow_id long, concept_id long",
@@ -161,3 +161,20 @@ RWANDA_SOURCE = {
     "moh_bill_facility_service_price": "facility_service_price_id long, name string",
     "moh_bill_service_category": "service_category_id long, name string",
 }
+
+
+# --------------------------------------------------------------- Liberia-only source tables
+LIBERIA_SOURCE = {
+    "concept_reference_map": "concept_id long, concept_reference_term_id long",
+    "concept_reference_term": "concept_reference_term_id long, code string, concept_source_id long",
+    "concept_reference_source": "concept_source_id long, name string",
+    "encounter_type_uuid": "encounter_type_id long, name string, uuid string",
+}
+
+LIBERIA_OUT = {
+    "program_enrollment": ("program_enrollment_id long, patient_id long, program_id long, program_name string, "
+                           "date_enrolled date, date_completed date, location_id long, location_name string, "
+                           "outcome_concept_id long, outcome_concept_name string, creator string, date_created date, "
+                           "changed_by string, date_changed date, voided boolean, voided_by string, "
+                           "date_voided date, void_reason string, uuid string"),
+}

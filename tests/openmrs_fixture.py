@@ -50,7 +50,7 @@ def build(spark) -> dict:
     rows["person_attribute_type"] = [(1, "Cell Phone Number", None), (2, "Mother's Name", None),
                                      (3, "Health Center", "org.openmrs.Location"), (4, "Test Patient", None)]
     rows["relationship_type"] = [(1, "Parent", "Child"), (2, "Guardian", None)]
-    rows["program"] = [(1, 1), (2, 2), (3, 36)]
+    rows["program"] = [(1, 1, "HIV program"), (2, 2, "Chronic care program"), (3, 36, "EID program")]
     rows["program_workflow"] = [(1, 3), (2, 32), (3, 3)]
     rows["program_workflow_state"] = [(1, 1, 4), (2, 1, 5), (3, 1, 6), (4, 1, 7), (5, 2, 4), (6, 3, 31),
                                       (7, 1, 39)]
