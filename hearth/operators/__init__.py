@@ -9,7 +9,7 @@ from .joins import (anti_not_in, assert_unique, broadcast_bounded, child_in_name
                     decode_strict, decode_two_sources, full_merge, left_merge, semi_in, sibling_in_encounter,
                     two_sided_edges)
 from .keys import attach_key, dense_key
-from .latest import (any_per_key, best_per_key, current_state_at, earliest_per_key, latest_per_key,
+from .latest import (any_per_key, best_per_key, current_state_at, earliest_per_key, latest_per_key, picks_per_key,
                      latest_vs_previous, nth_latest, nth_per_key, ties_at_extreme, top_n_per_key, value_at_earliest,
                      value_at_latest)
 from .periods import (assign_period, counts_up_to_period, cross_params, quarter_periods, snapshot_latest_per_period,

@@ -146,3 +146,27 @@ def current_state_at(states: DataFrame, keys, start_col, end_col, as_of, order_e
     t = as_of if isinstance(as_of, Column) else F.lit(as_of)
     open_at = states.where((s <= t) & (e.isNull() | (e > t)))
     return best_per_key(open_at, keys, [s.desc(), *list(order_extra)])
+
+
+def picks_per_key(df: DataFrame, keys, date_col, tiebreak, picks: dict) -> DataFrame:
+    """Several "latest (or earliest) row satisfying a condition" lookups from one
+    table in ONE grouped aggregate.
+
+    ``picks`` maps a pick name to ``(condition, {out_name: value}, "max"|"min")``;
+    each pick is ``max_by``/``min_by`` of a struct of its values ordered by
+    ``(date, tiebreak)`` of the rows meeting its condition (other rows have a
+    null ordering and are ignored).  One shuffle with map-side combine replaces
+    one window-and-join per lookup.
+    """
+    d, tb = as_col(date_col), as_col(tiebreak)
+    aggs = []
+    for name, spec in picks.items():
+        cond, values = spec[0], spec[1]
+        how = spec[2] if len(spec) > 2 else "max"
+        st = F.struct(*[as_col(v).alias(a) for a, v in values.items()])
+        order = F.when(cond & d.isNotNull(), F.struct(d, tb))
+        aggs.append((F.max_by if how == "max" else F.min_by)(st, order).alias(name))
+    g = df.groupBy(*_keys(keys)).agg(*aggs)
+    key_names = [k if isinstance(k, str) else None for k in (keys if isinstance(keys, (list, tuple)) else [keys])]
+    return g.select(*[F.col(k) for k in key_names],
+                    *[F.col(n)[a].alias(a) for n, spec in picks.items() for a in spec[1]])

@@ -25,7 +25,7 @@ class PivotColumn:
     ``concept``: the attribute name matched case-insensitively (a tuple means any of them).
     ``value``: the value column to take (or a Column expression).
     ``answer``: when set, only observations whose ``answer_col`` equals it count.
-    ``agg``: first | last | min | max | exists | count | concat_distinct | concat | all_present
+    ``agg``: first | last | min | max | exists | flag | count | concat_distinct | concat | all_present
     ``cast``: output Spark type name.
     """
     name: str
@@ -66,6 +66,8 @@ def pivot_aggregates(columns: Sequence[PivotColumn], concept_col: str = "concept
             e = F.max(picked)
         elif s.agg == "exists":
             e = F.coalesce(F.max(cond), F.lit(False))
+        elif s.agg == "flag":                      # true when present, null when absent
+            e = F.max(F.when(cond, F.lit(True)))
         elif s.agg == "count":
             e = F.count(picked)
         elif s.agg == "concat_distinct":

@@ -87,25 +87,41 @@ NCD_FLAGS = {"cc_initial": "CHRONIC_CARE_INITIAL", "cc_followup": "CHRONIC_CARE_
              "asthma_followup": "ASTHMA_FOLLOWUP", "epilepsy_initial": "EPILEPSY_INITIAL",
              "epilepsy_followup": "EPILEPSY_FOLLOWUP", "mental_health_initial": "MENTAL_HEALTH_INITIAL",
              "mental_health_followup": "MENTAL_HEALTH_FOLLOWUP"}
+# value scans over every observation of the visit (no encounter-type filter, †)
 NCD_VISIT_COLUMNS = (
     C("next_appointment_date", "Appointment date", "value_date", agg="min"),
-    C("systolic_bp", "Systolic blood pressure", "value_numeric", agg="max"),
-    C("diastolic_bp", "Diastolic blood pressure", "value_numeric", agg="max"),
     C("asthma_classification", "Asthma classification", "value_coded"),
-    C("num_seizures", "NUMBER OF SEIZURES", "value_numeric", agg="max"),
-    C("hba1c", "Glycated hemoglobin", "value_numeric", agg="max"),
-    C("serum_glucose", "Serum glucose", "value_numeric", agg="max"),
-    C("creatinine", "Creatinine", "value_numeric", agg="max"),
     C("cv_risk", "Cardiovascular risk score", "value_numeric", agg="max"),
+    C("creatinine", "Creatinine", "value_numeric", agg="max"),
+    C("diastolic_bp", "Diastolic blood pressure", "value_numeric", agg="max"),
+    C("fundoscopy", "Fundoscopy", "value_text"),
     C("hiv_result", "Result of HIV test", "value_coded", agg="max"),
-    C("visual_acuity", "Visual acuity", "value_coded"),
-    C("proteinuria", "Urine protein", "value_coded"),
-    C("suicide_risk", "Suicide risk", "value_coded"),
-    C("on_insulin", "Current drugs used", "value_coded", answer="Insulin", agg="exists"),
-    C("seizure_activity", "Seizure activity", "value_coded", agg="exists"),
+    C("hba1c", "Glycated hemoglobin", "value_numeric", agg="max"),
+    C("hospitalized_since_last_visit", ("Patient hospitalized since last visit",
+                                        "Hospitalized for mental health since last visit"), "value_coded", agg="max"),
+    C("num_seizures", "NUMBER OF SEIZURES", "value_numeric", agg="max"),
+    C("on_insulin", "Current drugs used", "value_coded", answer="Insulin", agg="flag"),
+    C("proteinuria", "Urine protein", "value_coded", agg="max"),
+    C("seizure_activity", "Seizure activity", "value_coded", answer="Seizure since last visit", agg="flag"),
+    C("serum_glucose", "Serum glucose", "value_numeric", agg="max"),
+    C("suicide_risk", "Suicide risk", "value_coded", agg="max"),
+    C("systolic_bp", "Systolic blood pressure", "value_numeric", agg="max"),
+    C("visual_acuity", "Visual acuity (text)", "value_text", agg="max"),
+)
+# value scans over observations of the NCD encounter types only
+NCD_TYPED_COLUMNS = (
+    C("mental_health_drug_side_effect", "Does patient have adverse effects", "value_coded"),
+    C("mental_health_drugs", "Current drugs used", "value_coded", agg="concat", sep=","),
+    C("mental_stable", "Stable", "value_coded", agg="max"),
 )
-# foot check is recorded when all three checks are present in one encounter
-FOOT_CHECKS = ("Foot check: pulses", "Foot check: sensation", "Foot check: ulcers")
+# foot check: all three findings recorded in one diabetes/hypertension follow-up encounter
+FOOT_CHECK_TYPE = "DIABETES HYPERTENSION FOLLOWUP"
+FOOT_CHECKS = ("Neuropathy and Peripheral Vascular Disease", "Deformity of foot", "Foot ulcer or infection")
+# mental status exam: 'Normal' when all eight complaints are recorded absent in one follow-up encounter
+MENTAL_STATUS_TYPE = "MENTAL_HEALTH_FOLLOWUP"
+MENTAL_STATUS_CONCEPT = "Mental health chief complaint absent"
+MENTAL_STATUS_ANSWERS = ("Depressive Disorder", "Hypomania", "Disruptive Behavior Disorder", "Abnormal speech",
+                         "Delusions", "Hallucinations", "Lack of insight", "Other non-coded")
 
 FORMS = {s.table: s for s in (ART_VISITS, EID_VISITS, PRE_ART_VISITS, ART_VIRAL_LOAD, EID_FOLLOWUP)}
 KEYS = ["patient_id", "visit_date", "location"]
@@ -151,10 +167,10 @@ def build_form(flat: dict, spec: FormSpec) -> DataFrame:
 
 
 def ncd_visits(flat: dict) -> DataFrame:
-    """M-VNCD: one row per NCD visit with the visit's encounter types (A11),
-    ten type flags (A12), maxima/minima per visit (A16/A17), flags (A14) and
-    the foot check (A13: all three checks in one encounter, any per visit).
-    Value scans carry no encounter-type filter (†)."""
+    """M-VNCD: one row per NCD visit: the visit's encounter types (A11), ten
+    type flags (A12), maxima/minima per visit (A16/A17), present-or-null flags
+    (A14), the foot check and the mental status exam (A13, all of N findings
+    in one encounter, any encounter of the visit)."""
     enc = flat["omrs_encounter"].where(ci_in("encounter_type", NCD_TYPES)).select(
         "patient_id", F.col("encounter_date").alias("visit_date"), "location", "encounter_type")
     types = enc.groupBy(*KEYS).agg(
@@ -163,10 +179,16 @@ def ncd_visits(flat: dict) -> DataFrame:
           for k, v in NCD_FLAGS.items()])
     obs = visit_obs(flat)
     vals = O.form_pivot(obs, KEYS, list(NCD_VISIT_COLUMNS), concept_col="concept", id_col="obs_id")
-    feet = O.all_of_n_present(obs, KEYS + ["encounter_id"], "concept", FOOT_CHECKS, "__foot") \
-        .groupBy(*KEYS).agg(F.max("__foot").alias("foot_check"))
-    out = O.left_join_keys(types, vals, KEYS, null_safe=["location"])
-    out = O.left_join_keys(out, feet, KEYS, null_safe=["location"]).withColumn(
-        "foot_check", F.coalesce("foot_check", F.lit(False)))
+    typed = O.form_pivot(visit_obs(flat, NCD_TYPES), KEYS, list(NCD_TYPED_COLUMNS), concept_col="concept",
+                         id_col="obs_id")
+    foot_obs = obs.where(ci_in("encounter_type", (FOOT_CHECK_TYPE,)))
+    feet = (O.all_of_n_present(foot_obs, KEYS + ["encounter_id"], "concept", FOOT_CHECKS, "__ok")
+            .groupBy(*KEYS).agg(F.max(F.when(F.col("__ok"), F.lit(True))).alias("foot_check")))
+    ms_obs = obs.where(ci_in("encounter_type", (MENTAL_STATUS_TYPE,)) & ci_in("concept", (MENTAL_STATUS_CONCEPT,)))
+    ms = (O.all_of_n_present(ms_obs, KEYS + ["encounter_id"], "value_coded", MENTAL_STATUS_ANSWERS, "__ok")
+          .groupBy(*KEYS).agg(F.max(F.when(F.col("__ok"), F.lit("Normal"))).alias("mental_status_exam")))
+    out = types
+    for part in (vals, typed, feet, ms):
+        out = O.left_join_keys(out, part, KEYS, null_safe=["location"])
     keyed = O.dense_key(out.select(*KEYS), KEYS, "ncd_visit_id")
     return O.attach_key(out, keyed, KEYS)

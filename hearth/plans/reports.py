@@ -1,4 +1,4 @@
-"""Malawi reports (RP1-RP9) as functions ``(mart tables, **params) -> DataFrame``.
+"""Malawi reports (RP1-RP10) as functions ``(mart tables, **params) -> DataFrame``.
 
 Each stored procedure's temporary table becomes a DataFrame; each
 ``INSERT ... SELECT`` becomes one rule DataFrame and the rules are combined
@@ -319,3 +319,121 @@ def rpt_identifiers(mart: dict, flat: dict, location=None) -> DataFrame:
              at_loc(yen, "identifier", "yendanafe_number"),
              all_of(yen, "identifier", "all_yendanafe_numbers")]
     return O.upsert_merge(parts, "patient_id")
+
+
+def ic3_data(mart: dict, flat: dict, end_date, location=None) -> DataFrame:
+    """RP10: one row per patient with an ART, NCD or EID number: diagnoses,
+    programme starts and current states, last visits and appointments, last
+    labs and the last NCD visit findings.  Each source table is read by one
+    grouped aggregate of conditional latest/earliest picks; inequalities are
+    kept per block (``<=`` for programme visits, ``<`` for NCD findings)."""
+    t = _d(end_date)
+    cohort = O.union_distinct([
+        mart["mw_art_register"].where(F.col("art_number").isNotNull()).select("patient_id"),
+        mart["mw_ncd_register"].where(F.col("ncd_number").isNotNull()).select("patient_id"),
+        mart["mw_eid_register"].where(F.col("eid_number").isNotNull()).select("patient_id")])
+    pat = flat["omrs_patient"].select("patient_id", "birthdate")
+
+    dxs = mart["mw_ncd_diagnoses"].where(F.col("diagnosis_date") < t)
+    dx_flags = {"htnDx": ["Hypertension"], "dmDx": ["Diabetes", "Type 1 diabetes", "Type 2 diabetes"],
+                "dmDx1": ["Type 1 diabetes"], "dmDx2": ["Type 2 diabetes"], "asthmaDx": ["Asthma"],
+                "epilepsyDx": ["Epilepsy"]}
+    dx = dxs.groupBy("patient_id").agg(*[F.max(F.when(H.ci_in("diagnosis", v), F.lit("X"))).alias(k)
+                                         for k, v in dx_flags.items()])
+    cv = mart["mw_ncd_register"].where(F.col("cv_disease")).groupBy("patient_id").agg(
+        F.max("cv_disease").alias("cvDisease"))
+
+    st = O.optional_param(flat["omrs_program_state"], "location", location).where(F.col("start_date") <= t)
+    hiv, ncdp = H.ci_eq("program", "HIV Program"), H.ci_eq("program", "Chronic Care Program")
+    starts = O.picks_per_key(st, ["patient_id"], "start_date", "program_state_id", {
+        "art": (hiv & H.ci_eq("state", "On antiretrovirals"),
+                {"artStartDate": "start_date", "artStartLocation": "location"}, "min"),
+        "ncd": (ncdp & H.ci_eq("state", "On treatment"), {"ncdStartDate": "start_date", "ncdStartLocation": "location"},
+                "min"),
+        "eid": (hiv & H.ci_eq("state", "Exposed Child (Continue)"),
+                {"eidStartDate": "start_date", "eidStartLocation": "location"}, "min")})
+    en = flat["omrs_program_enrollment"].select("program_enrollment_id", "enrollment_date",
+                                                F.col("completion_date").alias("__comp"),
+                                                F.col("program").alias("__eprog"))
+    cur = st.join(en, "program_enrollment_id")
+
+    def current(prog, prefix):
+        c = O.current_state_at(cur.where(H.ci_eq("__eprog", prog)), ["patient_id"], "start_date", "end_date", t,
+                               [F.col("enrollment_date").desc(), F.col("__comp").asc(),
+                                F.col("program_state_id").desc()])
+        return c.select("patient_id", F.col("start_date").alias(f"{prefix}CurrentStateStart"),
+                        F.col("state").alias(f"current{prefix[0].upper()}{prefix[1:]}State"),
+                        F.col("location").alias(f"{prefix}CurrentLocation"))
+
+    art_v = O.picks_per_key(mart["mw_art_visits"], ["patient_id"], "visit_date", "art_visit_id", {
+        "last": (F.col("visit_date") <= t, {"lastArtVisit": "visit_date", "nextArtAppt": "next_appointment_date"}),
+        "reg": ((F.col("visit_date") < t) & F.col("art_drug_regimen").isNotNull(),
+                {"lastArtRegimen": "art_drug_regimen"})})
+    eid_v = O.picks_per_key(mart["mw_eid_visits"], ["patient_id"], "visit_date", "eid_visit_id", {
+        "last": (F.col("visit_date") <= t, {"lastEidVisit": "visit_date", "nextEidAppt": "next_appointment_date"})})
+    v = mart["mw_ncd_visits"]
+    before = F.col("visit_date") < t
+    ncd_v = O.picks_per_key(v, ["patient_id"], "visit_date", "ncd_visit_id", {
+        "last": (F.col("visit_date") <= t, {"lastNcdVisit": "visit_date"}),
+        "htndm": (before & F.col("diabetes_htn_followup"), {
+            "hba1cAtLastVisit": "hba1c", "fingerStickAtLastVisit": "serum_glucose",
+            "footCheckAtLastVisit": "foot_check", "systolicBpAtLastVisit": "systolic_bp",
+            "diastolicBpAtLastVisit": "diastolic_bp", "visualAcuityAtLastVisit": "visual_acuity",
+            "cvRiskAtLastVisit": "cv_risk", "htnDmHospitalizedSinceLastVisit": "hospitalized_since_last_visit",
+            "nextHtnDmAppt": "next_appointment_date"}),
+        "hba1c": (before & F.col("hba1c").isNotNull(), {"lastHba1c": "hba1c", "lastHba1cVisitDate": "visit_date"}),
+        "prot": (before & F.col("proteinuria").isNotNull(),
+                 {"lastProteinuria": "proteinuria", "lastProteinuriaDate": "visit_date"}),
+        "creat": (before & F.col("creatinine").isNotNull(),
+                  {"lastCreatinine": "creatinine", "lastCreatinineDate": "visit_date"}),
+        "fundo": (before & F.col("fundoscopy").isNotNull(),
+                  {"lastFundoscopy": "fundoscopy", "lastFundoscopyDate": "visit_date"}),
+        "epi": (before & F.col("epilepsy_followup"), {
+            "seizuresSinceLastVisit": "seizure_activity", "seizures": "num_seizures",
+            "epilepsyHospitalizedSinceLastVisit": "hospitalized_since_last_visit",
+            "nextEpilepsyAppt": "next_appointment_date"}),
+        "seiz": (before & (F.col("num_seizures").isNotNull() | F.col("seizure_activity").isNotNull()),
+                 {"lastSeizureActivityRecorded": "visit_date"}),
+        "asthma": (before & F.col("asthma_followup"), {
+            "lastAsthmaVisitDate": "visit_date", "asthmaClassificationAtLastVisit": "asthma_classification",
+            "nextAsthmaAppt": "next_appointment_date"}),
+        "mh": (before & F.col("mental_health_followup"), {
+            "lastMentalHealthVisitDate": "visit_date", "mentalHospitalizedSinceLastVisit": "hospitalized_since_last_visit",
+            "mentalHealthRxSideEffectsAtLastVisit": "mental_health_drug_side_effect",
+            "mentalStatusExam": "mental_status_exam", "mentalStableAtLastVisit": "mental_stable",
+            "nextMentalHealthAppt": "next_appointment_date"})})
+    labs = mart["mw_lab_tests"].withColumn(
+        "__rapid_date", F.coalesce("date_collected", "date_result_entered"))
+    lab_p = O.picks_per_key(labs, ["patient_id"], "__rapid_date", "lab_test_id", {
+        "vl": (H.ci_eq("test_type", VIRAL_LOAD) & (F.col("date_collected") <= t) & F.col("date_collected").isNotNull(),
+               {"lastViralLoadTest": "date_collected"}),
+        "pcr": (H.ci_eq("test_type", DNA_PCR) & (F.col("date_collected") <= t) & F.col("date_collected").isNotNull(),
+                {"lastDnaPcrTest": "date_collected", "lastDnaPcrResult": "result_coded"}),
+        "rapid": (H.ci_in("test_type", [RAPID, "HIV test"]) &
+                  ((F.col("date_collected") <= t) | (F.col("date_result_entered") < t)),
+                  {"lastRapidTest": "__rapid_date", "lastRapidResult": "result_coded"})})
+    mother = mart["mw_eid_register"].groupBy("patient_id").agg(F.max("mother_art_number").alias("motherArtNumber"))
+    mobs = flat["omrs_obs"].where(H.ci_eq("concept", "Mother HIV Status") & (F.col("obs_date") < t) &
+                                  H.ci_eq("encounter_type", "EXPOSED_CHILD_INITIAL"))
+    mstat = O.latest_per_key(mobs, "patient_id", "obs_date", "obs_id").select(
+        "patient_id", F.col("value_coded").alias("motherEnrollmentHivStatus"))
+    mh_enc = flat["omrs_encounter"].where(H.ci_eq("encounter_type", "MENTAL_HEALTH_FOLLOWUP") &
+                                          (F.col("encounter_date") < t)).select("encounter_id", "patient_id",
+                                                                                "encounter_date")
+    mh_vals = flat["omrs_obs"].where(H.ci_in("concept", ["Able to perform daily activities", "Suicide risk"])) \
+        .groupBy("encounter_id").agg(
+            F.min_by(F.when(H.ci_eq("concept", "Able to perform daily activities"), F.col("value_coded")),
+                     F.when(H.ci_eq("concept", "Able to perform daily activities"), F.col("obs_id"))).alias(
+                "ablePerformDailyActivitiesAtLastVisit"),
+            F.min_by(F.when(H.ci_eq("concept", "Suicide risk"), F.col("value_coded")),
+                     F.when(H.ci_eq("concept", "Suicide risk"), F.col("obs_id"))).alias("suicideRiskAtLastVisit"))
+    mh_last = O.latest_per_key(mh_enc.join(mh_vals, "encounter_id", "left"), "patient_id", "encounter_date",
+                               "encounter_id").select("patient_id", "ablePerformDailyActivitiesAtLastVisit",
+                                                      "suicideRiskAtLastVisit")
+    out = cohort.join(pat, "patient_id", "left")
+    for part in (dx, cv, starts, current("HIV Program", "hiv"), current("Chronic Care Program", "ncd"), art_v, eid_v,
+                 ncd_v, lab_p, mother, mstat, mh_last):
+        out = out.join(part, "patient_id", "left")
+    appts = ["nextHtnDmAppt", "nextAsthmaAppt", "nextEpilepsyAppt", "nextMentalHealthAppt", "nextArtAppt"]
+    return out.withColumn("lastIc3Visit", F.greatest("lastArtVisit", "lastNcdVisit")) \
+        .withColumn("latestAppt", F.greatest(*appts))

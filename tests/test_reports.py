@@ -65,3 +65,17 @@ def test_appointments_and_identifiers(env):
     assert ids[1]["art_number"] == "NNO-12345" and ids[1]["all_art_numbers"] == "NNO-12345"
     assert ids[2]["art_number"] is None and ids[2]["all_art_numbers"] == "NNO-012A"
     assert ids[8]["ncd_number"] == "NNO-CCC-0007"
+
+
+def test_ic3(env):
+    flat, m = env
+    rows = {r["patient_id"]: r for r in R.ic3_data(m, flat, END).collect()}
+    assert set(rows) == {1, 2, 5, 8}        # 10's ARV number has no location, so no number on the register
+    p1 = rows[1]
+    assert p1["artStartDate"] == D(2018, 1, 10) and p1["currentHivState"] == "On antiretrovirals"
+    assert p1["lastArtVisit"] == D(2019, 6, 30) and p1["nextArtAppt"] == D(2019, 9, 30)
+    assert p1["lastArtRegimen"] == "Tuberculosis"          # latest regimen recorded before the end date
+    assert p1["lastViralLoadTest"] == D(2019, 10, 2)
+    assert p1["latestAppt"] == D(2019, 9, 30) and p1["lastIc3Visit"] == D(2019, 6, 30)
+    assert rows[8]["cvDisease"] is None and rows[8]["lastNcdVisit"] == D(2019, 1, 5)
+    assert rows[2]["currentHivState"] == "Patient died"
