@@ -36,10 +36,17 @@ class PivotColumn:
     cast: str | None = None
     sep: str = ", "
     n_required: int | None = None
+    group: str | None = None      # concept of the parent observation group (J16), matched case-insensitively
+    require: str | None = None    # name of a boolean column that must also be true (e.g. the encounter-type test)
 
 
-def _match(spec: PivotColumn, concept_col: str, answer_col: str | None) -> Column:
+def _match(spec: PivotColumn, concept_col: str, answer_col: str | None,
+           group_col: str = "group_concept") -> Column:
     cond = F.lit(True)
+    if spec.group is not None:
+        cond = cond & ci_eq(group_col, spec.group)
+    if spec.require is not None:
+        cond = cond & F.coalesce(F.col(spec.require), F.lit(False))
     if spec.concept is not None:
         cond = ci_in(concept_col, spec.concept) if isinstance(spec.concept, tuple) else ci_eq(concept_col, spec.concept)
     if spec.answer is not None:

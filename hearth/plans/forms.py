@@ -14,7 +14,7 @@ same data shape and are added as specs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .. import operators as O
 from ..functions import ci_in
 from ..operators.pivot import PivotColumn as C
+from ..schemas import conform
+from .forms_data import FORM_TABLES
 
 
 @dataclass(frozen=True)
@@ -30,53 +32,12 @@ class FormSpec:
     id_col: str
     types: tuple
     columns: tuple
-    grouped: tuple = ()          # columns keyed also by obs_group_id (+grp)
-    type_filter: bool = True     # False = value scans without an encounter-type filter (†)
-    extra: dict = field(default_factory=dict)
-
-
-# ------------------------------------------------------------------ fixed values (Appendix B)
-ART_VISITS = FormSpec(
-    "mw_art_visits", "art_visit_id", ("ART_INITIAL", "ART_FOLLOWUP"),
-    (C("art_drug_regimen", "Malawi Antiretroviral drugs received", "value_coded"),
-     C("next_appointment_date", "Appointment date", "value_date")),
-    type_filter=False)
-
-EID_VISITS = FormSpec(
-    "mw_eid_visits", "eid_visit_id", ("EXPOSED_CHILD_INITIAL", "EXPOSED_CHILD_FOLLOWUP"),
-    (C("breastfeeding_status", "Breast feeding", "value_coded"),
-     C("mother_status", "Mother HIV Status", "value_coded"),
-     C("next_appointment_date", "Appointment date", "value_date")),
-    type_filter=False)
-
-PRE_ART_VISITS = FormSpec(
-    "mw_pre_art_visits", "pre_art_visit_id", ("PART_INITIAL", "PART_FOLLOWUP"),
-    (C("next_appointment_date", "Appointment date", "value_date"),),
-    type_filter=False)
-
-ART_VIRAL_LOAD = FormSpec(
-    "mw_art_viral_load", "viral_load_visit_id", ("Viral Load Screening",), (),
-    grouped=(C("reason_for_test", "Reason for testing (coded)", "value_coded"),
-             C("lab_location", "Location of laboratory", "value_coded"),
-             C("bled", "Sample taken for Viral Load", "value_coded"),
-             C("sample_id", "Viral Load Sample ID", "value_text"),
-             C("viral_load_result", "HIV viral load", "value_numeric", cast="int"),
-             C("less_than_limit", "Less than limit", "value_numeric", cast="int"),
-             C("ldl", "Lower than Detection Limit", "value_coded"),
-             C("other_results", "Reason for no result", "value_coded")))
-
-EID_FOLLOWUP = FormSpec(
-    "mw_eid_followup", "eid_followup_visit_id", ("EXPOSED_CHILD_FOLLOWUP",),
-    (C("muac", "Middle upper arm circumference (cm)", "value_numeric"),
-     C("wasting_or_malnutrition", "Wasting/malnutrition", "value_coded"),
-     C("breast_feeding", "Breast feeding", "value_coded"),
-     C("mother_status", "Mother HIV Status", "value_coded"),
-     C("clinical_monitoring", "Clinical Monitoring Exposed Child", "value_coded"),
-     C("hiv_infection", "Childs current HIV status", "value_coded"),
-     C("cpt", "Number of CPT tablets dispensed", "value_numeric", cast="int"),
-     C("next_appointment_date", "Appointment date", "value_date")))
-
-PRE_ART_FOLLOWUP_TYPES = ("PART_FOLLOWUP",)
+    grouped: frozenset = frozenset()   # columns keyed also by obs_group_id (+grp)
+    untyped: frozenset = frozenset()   # columns scanned without the encounter-type filter (†)
+    ddl: tuple = ()                    # output columns "name type" (Appendix C)
+
+
+FORMS = {name: FormSpec(name, **spec) for name, spec in FORM_TABLES.items()}
 
 NCD_TYPES = ("CHRONIC_CARE_INITIAL", "CHRONIC_CARE_FOLLOWUP", "DIABETES HYPERTENSION INITIAL VISIT",
              "DIABETES HYPERTENSION FOLLOWUP", "ASTHMA_INITIAL", "ASTHMA_FOLLOWUP", "EPILEPSY_INITIAL",
@@ -123,13 +84,13 @@ MENTAL_STATUS_CONCEPT = "Mental health chief complaint absent"
 MENTAL_STATUS_ANSWERS = ("Depressive Disorder", "Hypomania", "Disruptive Behavior Disorder", "Abnormal speech",
                          "Delusions", "Hallucinations", "Lack of insight", "Other non-coded")
 
-FORMS = {s.table: s for s in (ART_VISITS, EID_VISITS, PRE_ART_VISITS, ART_VIRAL_LOAD, EID_FOLLOWUP)}
 KEYS = ["patient_id", "visit_date", "location"]
 
 
-def visit_obs(flat: dict, types: tuple | None = None) -> DataFrame:
+def visit_obs(flat: dict, types: tuple | None = None, with_group: bool = False) -> DataFrame:
     """Observations keyed by their encounter's visit key (one obs<->encounter join).
-    With ``types`` only observations of encounters of those types are kept."""
+    With ``types`` only observations of encounters of those types are kept; with
+    ``with_group`` each row also carries its parent group's concept."""
     enc = flat["omrs_encounter"].select("encounter_id", F.col("patient_id").alias("__ep"),
                                         F.col("encounter_date").alias("visit_date"),
                                         F.col("location").alias("__eloc"), F.col("encounter_type").alias("__etype"))
@@ -139,6 +100,9 @@ def visit_obs(flat: dict, types: tuple | None = None) -> DataFrame:
         F.col("__ep").alias("patient_id"), "visit_date", F.col("__eloc").alias("location"),
         F.col("__etype").alias("encounter_type"), "obs_id", "encounter_id", "concept", "value_coded", "value_date",
         "value_numeric", "value_text", "obs_group_id", "obs_date")
+    if with_group:
+        g = flat["omrs_obs_group"].select("obs_group_id", F.col("concept").alias("group_concept"))
+        j = j.join(g, "obs_group_id", "left")
     return j.where(ci_in("encounter_type", types)) if types else j
 
 
@@ -148,22 +112,46 @@ def spine(flat: dict, types: tuple) -> DataFrame:
             .select("patient_id", F.col("encounter_date").alias("visit_date"), "location").distinct())
 
 
-def build_form(flat: dict, spec: FormSpec) -> DataFrame:
+def build_form(flat: dict, spec: FormSpec | str) -> DataFrame:
+    """A form table from its spec -- one obs<->encounter join, one aggregate
+    for visit-keyed columns and one for group-keyed columns (each column's
+    encounter-type test is part of its own condition), then left joins from the
+    spine; output conformed to the table's DDL (integer targets rounded)."""
+    if isinstance(spec, str):
+        spec = FORMS[spec]
     sp = spine(flat, spec.types)
-    obs = visit_obs(flat, spec.types if spec.type_filter else None)
+    need_group = any(c.group for c in spec.columns)
+    obs = visit_obs(flat, None, with_group=need_group).withColumn("__typed", ci_in("encounter_type", spec.types))
+    cols, seen, dups = [], {}, []
+    for c in spec.columns:          # a column filled by several scans takes the first scan with a value
+        c = c if c.name in spec.untyped else replace(c, require="__typed")
+        if c.name in seen:
+            seen[c.name] += 1
+            alias = f"__{c.name}__{seen[c.name]}"
+            dups.append((c.name, alias))
+            c = replace(c, name=alias)
+        else:
+            seen[c.name] = 1
+        cols.append(c)
+    grouped_names = set(spec.grouped) | {a for n, a in dups if n in spec.grouped}
+    plain = [c for c in cols if c.name not in grouped_names]
+    grouped = [c for c in cols if c.name in grouped_names]
     out = sp
-    if spec.columns:
-        piv = O.form_pivot(obs, KEYS, list(spec.columns), concept_col="concept", id_col="obs_id")
+    if plain:
+        piv = O.form_pivot(obs, KEYS, plain, concept_col="concept", id_col="obs_id")
         out = O.left_join_keys(out, piv, KEYS, null_safe=["location"])
-    if spec.grouped:
-        g = O.form_pivot(obs.where(F.col("obs_group_id").isNotNull()), KEYS + ["obs_group_id"], list(spec.grouped),
+    if grouped:
+        g = O.form_pivot(obs.where(F.col("obs_group_id").isNotNull()), KEYS + ["obs_group_id"], grouped,
                          concept_col="concept", id_col="obs_id")
         out = O.left_join_keys(out, g, KEYS, null_safe=["location"])
-    order = KEYS + (["obs_group_id"] if spec.grouped else [])
+    for name, alias in dups:
+        out = out.withColumn(name, F.coalesce(F.col(name), F.col(alias))).drop(alias)
+    order = KEYS + (["obs_group_id"] if grouped else [])
     keyed = O.dense_key(out.select(*order), order, spec.id_col)
     out = O.attach_key(out, keyed, order)
-    cols = [spec.id_col] + KEYS + [c.name for c in spec.columns + spec.grouped]
-    return out.select(*cols)
+    if spec.ddl:
+        return conform(out, ", ".join(spec.ddl))
+    return out.select(spec.id_col, *KEYS, *[c.name for c in spec.columns])
 
 
 def ncd_visits(flat: dict) -> DataFrame:

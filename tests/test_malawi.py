@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 
@@ -93,3 +94,20 @@ def test_regimen_helpers(spark, mw):
                                  "patient_id long, regimen string, regimen_init_date date, line string")
     assert [r["regimen"] for r in nth_regimen(regs, 0).collect()] == ["B"]
     assert [r["regimen"] for r in nth_regimen(regs, 1).collect()] == ["A"]
+
+
+def test_every_form_table_builds_with_its_ddl(spark, mw):
+    from hearth.plans import forms
+    from hearth.schemas import struct
+    flat, _ = mw
+    for name, spec in forms.FORMS.items():
+        df = forms.build_form(flat, spec)
+        assert df.schema == struct(", ".join(spec.ddl)), name
+        keys = ["patient_id", "visit_date", "location"]
+        n = df.count()
+        assert n == df.select(spec.id_col).distinct().count(), name
+        if not spec.grouped:
+            assert n == df.select(*keys).distinct().count(), name
+    fu = forms.build_form(flat, "mw_art_followup").where("patient_id = 1").orderBy("visit_date").collect()
+    assert [r["next_appointment_date"] for r in fu] == [D(2018, 5, 10), D(2019, 9, 30)]
+    assert fu[0]["weight"] == Decimal("61.50")
