@@ -17,6 +17,6 @@ from .periods import (assign_period, counts_up_to_period, cross_params, quarter_
 from .pivot import (PivotColumn, all_of_n_present, concat_group, conditional_max, conditional_sums, exists_flag,
                     flags_from_set, form_pivot, left_join_keys, pivot_aggregates, pivot_attributes)
 from .privacy import anonymise_table
-from .sets import append_streams, route_by_flag, rule_union, union_distinct, union_sites, upsert_merge
+from .sets import append_streams, route_by_flag, rule_union, sink_order, union_distinct, union_sites, upsert_merge
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -61,3 +61,14 @@ def route_by_flag(df: DataFrame, flag: Column) -> tuple[DataFrame, DataFrame]:
     """Split one stream into (flag true, flag false/null) branches."""
     f = F.coalesce(flag, F.lit(False))
     return df.where(f), df.where(~f)
+
+
+def sink_order(df: DataFrame, keys) -> DataFrame:
+    """O1: the multi-key, case-insensitive order used only when writing a sink
+    (a distributed range-partitioned sort; nothing upstream depends on order)."""
+    from ..functions import as_col
+    cols = []
+    for k in ([keys] if isinstance(keys, str) else keys):
+        c = as_col(k)
+        cols.append(F.lower(c) if isinstance(k, str) and dict(df.dtypes).get(k) == "string" else c)
+    return df.orderBy(*cols)

@@ -59,6 +59,20 @@ def lookup_concept(src: dict, locale: str = "en") -> DataFrame:
         F.col("concept_id").alias("source_key"), F.col("name").alias("target_value"))
 
 
+def lookup_concept_by_tag(src: dict, locale: str = "en", tag_id: int = 4) -> DataFrame:
+    """Concept names for the older source version -- the locale first, then
+    names carrying the given name tag, then the oldest name (then id)."""
+    names = _live(src["concept_name"])
+    tagged = src["concept_name_tag_map"].where(F.col("concept_name_tag_id") == tag_id) \
+        .select("concept_name_id").distinct().withColumn("__tag", F.lit(True))
+    names = names.join(tagged, "concept_name_id", "left")
+    order = [H.ci_eq("locale", locale).desc(), F.coalesce(F.col("__tag"), F.lit(False)).desc(),
+             F.col("date_created").asc_nulls_last(), F.col("concept_name_id").asc()]
+    best = O.best_per_key(names, "concept_id", order)
+    return src["concept"].join(best, "concept_id", "left").select(
+        F.col("concept_id").alias("source_key"), F.col("name").alias("target_value"))
+
+
 def lookup_simple(df: DataFrame, key: str, name: str = "name") -> DataFrame:
     """L2: id -> name."""
     return df.select(F.col(key).alias("source_key"), F.col(name).alias("target_value"))

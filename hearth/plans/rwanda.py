@@ -63,9 +63,14 @@ def rw_location(src: dict, prefix: str | None = None) -> DataFrame:
                       "county_district")
 
 
-def rw_order(src: dict, lk: dict, prefix: str | None = None) -> DataFrame:
+PERSON_KEYS_ORDER = ["order_id", "orderer", "discontinued_by", "patient_id", "uuid", "encounter_id"]
+PERSON_KEYS_GROUP = ["uuid", "patient_id"]
+
+
+def rw_order(src: dict, lk: dict, prefix: str | None = None, pharmacy: bool = False) -> DataFrame:
     """R-ORD: live orders of live persons with extension, encounter, order set,
-    drug order and drug name (7 left joins), ages at start, decoded concepts."""
+    drug order and drug name (7 left joins), ages at start, decoded concepts.
+    ``pharmacy`` gives the variant without person keys."""
     person = _live(src["person"]).select(F.col("person_id").alias("__pp"), F.col("birthdate").alias("__bd"))
     o = _live(src["orders"]).drop("voided").join(person, F.col("patient_id") == F.col("__pp"), "inner")
     oeo = src["orderextension_order"]
@@ -89,7 +94,7 @@ def rw_order(src: dict, lk: dict, prefix: str | None = None) -> DataFrame:
     j = O.decode(j, lk["lookup_user"], "orderer", "source_key", "target_value", "orderer_name")
     j = O.decode(j, lk["lookup_user"], "discontinued_by", "source_key", "target_value", "discontinued_by_name")
     guard = F.col("__bd").isNull() | F.col("start_date").isNull()
-    return j.select(
+    out = j.select(
         H.prefix_id("order_id", prefix).alias("order_id"), "order_type_id", "concept",
         F.col("orderer_name").alias("orderer"), "instructions", "start_date", "auto_expire_date", "discontinued_date",
         F.col("discontinued_by_name").alias("discontinued_by"), F.col("discontinued_reason_name").alias("discontinued_reason"),
@@ -101,9 +106,10 @@ def rw_order(src: dict, lk: dict, prefix: str | None = None) -> DataFrame:
         F.when(guard, None).otherwise(H.full_years_between("__bd", "start_date")).alias("age_years_at_start_date"),
         F.when(guard, None).otherwise(H.full_months_between("__bd", "start_date")).alias("age_months_at_start_date"),
         "drug")
+    return out.drop(*PERSON_KEYS_ORDER) if pharmacy else out
 
 
-def rw_order_group(src: dict, prefix: str | None = None) -> DataFrame:
+def rw_order_group(src: dict, prefix: str | None = None, pharmacy: bool = False) -> DataFrame:
     """R-OGR (A9): per live order group, first/last start and discontinuation of
     its orders, the patient (max over the group's orders), and the initially
     planned end = first start + the order set's cycle length in days."""
@@ -123,10 +129,11 @@ def rw_order_group(src: dict, prefix: str | None = None) -> DataFrame:
     j = j.where(F.col("patient_id").isNotNull())
     planned = F.when(F.col("first_start_date").isNull() | F.col("cycle_length").isNull(), None).otherwise(
         H.add_days("first_start_date", F.col("cycle_length").cast("int")))
-    return j.select(H.prefix_id("id", prefix).alias("order_group_id"), "uuid", "group_type", "cycle_number",
-                    "date_created", "order_set_uuid", "order_set_name", "order_set_description", "indication",
-                    "first_start_date", "Last_start_date", "first_discontinued", "last_discontinued",
-                    H.prefix_id("patient_id", prefix).alias("patient_id"), planned.alias("initially_planned_end"))
+    out = j.select(H.prefix_id("id", prefix).alias("order_group_id"), "uuid", "group_type", "cycle_number",
+                   "date_created", "order_set_uuid", "order_set_name", "order_set_description", "indication",
+                   "first_start_date", "Last_start_date", "first_discontinued", "last_discontinued",
+                   H.prefix_id("patient_id", prefix).alias("patient_id"), planned.alias("initially_planned_end"))
+    return out.drop(*PERSON_KEYS_GROUP) if pharmacy else out
 
 
 def rw_onc_diagnosis(flat: dict) -> DataFrame:

@@ -46,7 +46,8 @@ SOURCE = {
             "value_text string, comments string, voided boolean, date_created timestamp_ntz"),
     "concept": "concept_id long",
     "concept_name": ("concept_name_id long, concept_id long, name string, locale string, locale_preferred boolean, "
-                     "concept_name_type string, voided boolean"),
+                     "concept_name_type string, voided boolean, date_created timestamp_ntz"),
+    "concept_name_tag_map": "concept_name_id long, concept_name_tag_id long",
     "drug": "drug_id long, name string",
     "location": "location_id long, name string",
     "form": "form_id long, name string",

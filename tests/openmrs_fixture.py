@@ -36,8 +36,9 @@ def build(spark) -> dict:
     created = T(2015, 1, 1)
 
     rows["concept"] = [(cid,) for cid in CONCEPTS]
-    rows["concept_name"] = [(cid, cid, name, "en", False, "FULLY_SPECIFIED", False) for cid, name in CONCEPTS.items()]
-    rows["concept_name"] += [(i, c, n, loc, pref, typ, False) for i, c, n, loc, pref, typ in EXTRA_NAMES]
+    rows["concept_name"] = [(cid, cid, name, "en", False, "FULLY_SPECIFIED", False, created)
+                            for cid, name in CONCEPTS.items()]
+    rows["concept_name"] += [(i, c, n, loc, pref, typ, False, created) for i, c, n, loc, pref, typ in EXTRA_NAMES]
     rows["location"] = [(1, "Neno District Hospital"), (2, "Lisungwi Health Center"), (3, "Matandani")]
     rows["drug"] = [(1, "TDF/3TC/EFV"), (2, "Insulin lente")]
     rows["form"] = [(1, "ART form")]

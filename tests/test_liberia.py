@@ -13,8 +13,8 @@ def _src(spark):
              5: "Medication orders", 6: "Fluoxetine", 7: "Medication duration", 8: "Patient died",
              9: "Mental health program", 10: "Patient pregnant q", 11: "Yes"}
     rows = {
-        "concept_name": [(i, i, n, "en", True, "FULLY_SPECIFIED", False) for i, n in names.items()]
-                        + [(100, 2, "Enseignant", "fr", True, "FULLY_SPECIFIED", False)],
+        "concept_name": [(i, i, n, "en", True, "FULLY_SPECIFIED", False, None) for i, n in names.items()]
+                        + [(100, 2, "Enseignant", "fr", True, "FULLY_SPECIFIED", False, None)],
         "concept_reference_source": [(1, "PIH"), (2, "CIEL")],
         "concept_reference_term": [(1, "Role of referring person", 1), (2, "165137", 2), (3, "PATIENT PREGNANT", 1)],
         "concept_reference_map": [(1, 1), (3, 2), (10, 3)],
