@@ -183,14 +183,19 @@ def concat_group(df: DataFrame, keys: Sequence[str], col: str, out: str, sep: st
                  distinct: bool = False) -> DataFrame:
     """Concatenated values per group in a fixed (sorted) order.
 
-    The distinct form deduplicates map-side (``collect_set`` is a partial
-    aggregate), so its state is bounded by the number of distinct values.
+    Values are first counted per (key, value) -- a partial aggregate, so a hot
+    key is combined map-side -- and only the distinct values with their counts
+    are gathered per key; repeats are expanded when the text is built.  The
+    shuffle therefore carries at most one row per distinct value of each key,
+    whatever the group size; only the output text itself grows with the group.
     """
+    counted = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(col).alias("v"), F.col("__n").alias("n"))))
     if distinct:
-        e = F.array_join(F.array_sort(F.collect_set(F.col(col))), sep)
+        text = F.array_join(F.transform(pairs, lambda p: p["v"]), sep)
     else:
-        e = F.array_join(F.sort_array(F.collect_list(F.col(col))), sep)
-    return df.groupBy(*keys).agg(e.alias(out))
+        text = F.array_join(F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["v"], p["n"].cast("int")))), sep)
+    return counted.groupBy(*keys).agg(text.alias(out))
 
 
 def exists_flag(df: DataFrame, keys: Sequence[str], cond: Column, out: str) -> DataFrame:

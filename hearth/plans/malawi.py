@@ -70,7 +70,7 @@ def state_episodes(flat: dict, program: str, workflow: str, state: str) -> DataF
     nxt = st.select("program_enrollment_id", F.col("start_date").alias("__ns"), F.col("state").alias("__next_state"),
                     F.col("program_state_id").alias("__nid"))
     j = O.asof_join(eps, nxt, ["program_enrollment_id"], "__state_end", "__ns", ["__next_state"],
-                    direction="forward", inclusive=True, tiebreak="__nid")
+                    direction="forward", inclusive=True, tiebreak="__nid", bucket="year")
     return j.withColumn("outcome", F.coalesce("__next_state", "__eo")).drop("__next_state", "__eo", "__state_end")
 
 

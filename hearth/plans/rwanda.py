@@ -158,7 +158,7 @@ def rw_onc_diagnosis(flat: dict) -> DataFrame:
             "diagnosis_status_workflow", "diagnosis_status", "diagnosis_status_start_date",
             "diagnosis_status_end_date"]
     j = O.asof_join(dx, status, ["program_enrollment_id"], "start_date", "__ss", cols, direction="backward",
-                    inclusive=True, tiebreak="__sid")
+                    inclusive=True, tiebreak="__sid", bucket="year")
     return j.select("program_state_id", "diagnosis_status_program_enrollment_id", "uuid", "program_enrollment_id",
                     "patient_id", "diagnosis_status_patient_id", "program", "diagnosis_status_program", "workflow",
                     "diagnosis_status_workflow", "state", "diagnosis_status", "start_date",

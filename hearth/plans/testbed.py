@@ -84,7 +84,7 @@ def _flag_columns():
 
 
 def a5(spark, sf):
-    spine = _orders(spark, sf).where(H.ci_eq("o_orderpriority", "1-URGENT")).select(
+    spine = _orders(spark, sf).where((F.col("o_orderpriority") == "1-URGENT")).select(
         "o_orderkey", "o_custkey", "order_date")
     lines = _lines(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
     return O.form_pivot(lines, ["o_orderkey"], _flag_columns(), concept_col="l_returnflag",
@@ -92,7 +92,7 @@ def a5(spark, sf):
 
 
 def a6(spark, sf):
-    urgent = _orders(spark, sf).where(H.ci_eq("o_orderpriority", "1-URGENT")).select("o_orderkey")
+    urgent = _orders(spark, sf).where((F.col("o_orderpriority") == "1-URGENT")).select("o_orderkey")
     lines = _lines(spark, sf).withColumnRenamed("l_orderkey", "o_orderkey")
     lines = lines.join(urgent, "o_orderkey", "left_semi")
     cols = _flag_columns() + [O.PivotColumn("n_lines", None, "l_linenumber", agg="count", cast="long")]
@@ -113,7 +113,7 @@ def a7(spark, sf):
 
 def a8(spark, sf):
     c = _t(spark, sf, "customer")
-    o = _orders(spark, sf).where(H.ci_eq("o_orderpriority", "1-URGENT"))
+    o = _orders(spark, sf).where((F.col("o_orderpriority") == "1-URGENT"))
     j = o.join(c.select("c_custkey", "c_mktsegment"), o["o_custkey"] == c["c_custkey"])
     return O.conditional_sums(j, ["c_mktsegment"], {
         "n_f": F.col("o_orderstatus") == "F",
@@ -207,7 +207,7 @@ def w5(spark, sf):
 
 
 def w6(spark, sf):
-    cohort = _t(spark, sf, "customer").where(H.ci_eq("c_mktsegment", "BUILDING")).select(
+    cohort = _t(spark, sf, "customer").where((F.col("c_mktsegment") == "BUILDING")).select(
         F.col("c_custkey").alias("o_custkey"))
     o = _orders(spark, sf).select("o_custkey", "o_orderkey", "o_orderstatus", "order_date")
     snap = O.snapshot_with_blanks(cohort, o, ["o_custkey"], "order_date", "o_orderkey", _quarters(spark),
@@ -398,7 +398,7 @@ def _rules(spark, sf):
     e = _t(spark, sf, "events")
     return [
         ("BIG_ORDER", o.where(F.col("o_totalprice") > 400000).select(F.col("o_custkey").alias("customer"))),
-        ("URGENT_OPEN", o.where((F.col("o_orderstatus") == "O") & H.ci_eq("o_orderpriority", "1-URGENT"))
+        ("URGENT_OPEN", o.where((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT"))
          .select(F.col("o_custkey").alias("customer"))),
         ("ERROR_EVENT", e.where(F.col("event_type") == "error").select(F.col("user_id").alias("customer"))),
     ]
@@ -450,7 +450,7 @@ def p6(spark, sf):
 
 
 def p7(spark, sf):
-    cohort = _t(spark, sf, "customer").where(H.ci_eq("c_mktsegment", "BUILDING"))
+    cohort = _t(spark, sf, "customer").where((F.col("c_mktsegment") == "BUILDING"))
     o = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderpriority")
     return O.retain_cohort(o, "o_custkey", cohort, "c_custkey", "o_orderpriority", ["1-URGENT", "2-HIGH"])
 
@@ -586,7 +586,7 @@ def rp7(spark, sf, as_of: str = T_ORDER):
     active = rp2(spark, sf, as_of)
     t = F.lit(as_of).cast("date")
     o = _orders(spark, sf).where(F.col("order_date") <= t)
-    last_urgent = O.latest_per_key(o.where(H.ci_eq("o_orderpriority", "1-URGENT")), "o_custkey", "order_date",
+    last_urgent = O.latest_per_key(o.where((F.col("o_orderpriority") == "1-URGENT")), "o_custkey", "order_date",
                                    "o_orderkey").select(F.col("o_custkey").alias("c_custkey"),
                                                          F.col("order_date").alias("last_urgent"))
     a = active.join(last_urgent, "c_custkey", "left")
