@@ -48,7 +48,8 @@ def _match(spec: PivotColumn, concept_col: str, answer_col: str | None,
     if spec.require is not None:
         cond = cond & F.coalesce(F.col(spec.require), F.lit(False))
     if spec.concept is not None:
-        cond = ci_in(concept_col, spec.concept) if isinstance(spec.concept, tuple) else ci_eq(concept_col, spec.concept)
+        cond = cond & (ci_in(concept_col, spec.concept) if isinstance(spec.concept, tuple)
+                       else ci_eq(concept_col, spec.concept))
     if spec.answer is not None:
         target = answer_col or (spec.value if isinstance(spec.value, str) else "value_coded")
         cond = cond & ci_eq(target, spec.answer)

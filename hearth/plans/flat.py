@@ -111,19 +111,21 @@ def lookup_provider_name(src: dict) -> DataFrame:
     return j.select("uuid", H.name_fallback("__pname", "name", "identifier").alias("provider_name"))
 
 
-def lookups(src: dict, cfg: FlatConfig = FlatConfig()) -> dict[str, DataFrame]:
-    return {
-        "lookup_concept": lookup_concept(src, cfg.concept_locale),
-        "lookup_location": lookup_simple(src["location"], "location_id"),
-        "lookup_drug": lookup_simple(src["drug"], "drug_id"),
-        "lookup_encounter_type": lookup_simple(src["encounter_type"], "encounter_type_id"),
-        "lookup_form": lookup_simple(src["form"], "form_id"),
-        "lookup_identifier_type": lookup_simple(src["patient_identifier_type"], "patient_identifier_type_id"),
-        "lookup_visit_type": lookup_simple(src["visit_type"], "visit_type_id"),
-        "lookup_user": lookup_user(src),
-        "lookup_person_name": lookup_person_name(src),
-        "lookup_provider_name": lookup_provider_name(src),
-    }
+def lookups(src: dict, cfg: FlatConfig = FlatConfig()):
+    """L1-L4 as a lazy mapping: each lookup is built when first used."""
+    from .lazy import LazyTables
+    return LazyTables({
+        "lookup_concept": lambda t: lookup_concept(src, cfg.concept_locale),
+        "lookup_location": lambda t: lookup_simple(src["location"], "location_id"),
+        "lookup_drug": lambda t: lookup_simple(src["drug"], "drug_id"),
+        "lookup_encounter_type": lambda t: lookup_simple(src["encounter_type"], "encounter_type_id"),
+        "lookup_form": lambda t: lookup_simple(src["form"], "form_id"),
+        "lookup_identifier_type": lambda t: lookup_simple(src["patient_identifier_type"], "patient_identifier_type_id"),
+        "lookup_visit_type": lambda t: lookup_simple(src["visit_type"], "visit_type_id"),
+        "lookup_user": lambda t: lookup_user(src),
+        "lookup_person_name": lambda t: lookup_person_name(src),
+        "lookup_provider_name": lambda t: lookup_provider_name(src),
+    })
 
 
 def _decode(df, lk, on, out):
@@ -362,22 +364,24 @@ def omrs_program_state(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) -> D
     return conform(out, FLAT["omrs_program_state"])
 
 
-def build_flat(src: dict, cfg: FlatConfig = FlatConfig()) -> dict[str, DataFrame]:
-    """The whole flat layer (entry point B/C): lookups first, providers before encounters."""
+def build_flat(src: dict, cfg: FlatConfig = FlatConfig()):
+    """The whole flat layer (entry points B/C) as a lazy mapping: lookups first,
+    providers before encounters; a table and what it depends on are built when
+    first read."""
+    from .lazy import LazyTables
     lk = lookups(src, cfg)
-    providers = omrs_encounter_provider(src, lk, cfg)
-    obs, groups = omrs_obs_and_groups(src, lk, cfg)
-    out = dict(lk)
-    out.update({
-        "omrs_patient": omrs_patient(src, lk, cfg),
-        "omrs_patient_identifier": omrs_patient_identifier(src, lk, cfg),
-        "omrs_relationship": omrs_relationship(src, lk, cfg),
-        "omrs_encounter_provider": providers,
-        "omrs_encounter": omrs_encounter(src, lk, providers, cfg),
-        "omrs_visit": omrs_visit(src, lk, cfg),
-        "omrs_obs": obs,
-        "omrs_obs_group": groups,
-        "omrs_program_enrollment": omrs_program_enrollment(src, lk, cfg),
-        "omrs_program_state": omrs_program_state(src, lk, cfg),
+    builders = {name: (lambda t, name=name: lk[name]) for name in lk}
+    builders.update({
+        "omrs_patient": lambda t: omrs_patient(src, lk, cfg),
+        "omrs_patient_identifier": lambda t: omrs_patient_identifier(src, lk, cfg),
+        "omrs_relationship": lambda t: omrs_relationship(src, lk, cfg),
+        "omrs_encounter_provider": lambda t: omrs_encounter_provider(src, lk, cfg),
+        "omrs_encounter": lambda t: omrs_encounter(src, lk, t["omrs_encounter_provider"], cfg),
+        "omrs_visit": lambda t: omrs_visit(src, lk, cfg),
+        "__obs_pair": lambda t: omrs_obs_and_groups(src, lk, cfg),
+        "omrs_obs": lambda t: t["__obs_pair"][0],
+        "omrs_obs_group": lambda t: t["__obs_pair"][1],
+        "omrs_program_enrollment": lambda t: omrs_program_enrollment(src, lk, cfg),
+        "omrs_program_state": lambda t: omrs_program_state(src, lk, cfg),
     })
-    return out
+    return LazyTables(builders)

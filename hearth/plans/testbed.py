@@ -801,6 +801,62 @@ def x5(spark, sf):
     return j.select(F.col("o_custkey").alias("patient_id"), F.col("l_suppkey").alias("fosa_id")).distinct()
 
 
+
+# ---------------------------------------------------------------- warehouse jobs over the derived EMR source
+
+def _emr_flat(spark, sf):
+    from .flat import FlatConfig, build_flat
+    from .testbed_emr import emr_source
+    return build_flat(emr_source(spark, sf), FlatConfig(test_patient_attribute=None, phone_attribute=None,
+                                                        mothers_name_attribute=None, health_center_attribute=None))
+
+
+def emr_patient(spark, sf):
+    """O-PAT over the derived source (one row per customer)."""
+    return _emr_flat(spark, sf)["omrs_patient"]
+
+
+def emr_encounter(spark, sf):
+    """O-ENC over the derived source (one row per order, decoded type and location)."""
+    return _emr_flat(spark, sf)["omrs_encounter"]
+
+
+def emr_obs(spark, sf):
+    """O-OBS over the derived source (lines, events and order statuses as observations)."""
+    return _emr_flat(spark, sf)["omrs_obs"]
+
+
+def emr_state(spark, sf):
+    """O-PST over the derived source (a state per order, ended by the next order)."""
+    return _emr_flat(spark, sf)["omrs_program_state"]
+
+
+def emr_dim_date(spark, sf):
+    """D-DATE over the derived flat layer."""
+    from .star import dim_date
+    return dim_date(_emr_flat(spark, sf))
+
+
+def emr_fact_numeric(spark, sf):
+    """X-NUM over the derived flat layer (dimensions computed in the same plan)."""
+    from .star import build_dimensions, fact_numeric
+    flat = _emr_flat(spark, sf)
+    return fact_numeric(flat, build_dimensions(spark, flat))
+
+
+def emr_urgent_visits(spark, sf):
+    """A5 through the form compiler: urgent-order visits pivoted from observations."""
+    from .forms import build_form
+    from .testbed_emr import URGENT_FORM
+    return build_form(_emr_flat(spark, sf), URGENT_FORM)
+
+
+def emr_last_obs(spark, sf):
+    """M-LASTOBS / R-LOBS over the derived observations and quarters."""
+    from .rwanda import rw_last_obs_in_period
+    return rw_last_obs_in_period(_emr_flat(spark, sf), ["purchase", "R"], _quarters(spark))
+
+
 QUERIES = {
     "a1": a1,
     "a2": a2,
@@ -902,4 +958,12 @@ QUERIES = {
     "r_east": r_east,
     "x2": x2,
     "x5": x5,
+    "emr_patient": emr_patient,
+    "emr_encounter": emr_encounter,
+    "emr_obs": emr_obs,
+    "emr_state": emr_state,
+    "emr_dim_date": emr_dim_date,
+    "emr_fact_numeric": emr_fact_numeric,
+    "emr_urgent_visits": emr_urgent_visits,
+    "emr_last_obs": emr_last_obs,
 }

@@ -509,3 +509,51 @@ FROM orders o LEFT JOIN (VALUES ('1-urgent', 'URGENT'), ('2-high', 'HIGH'), ('5-
     "x5": """SELECT DISTINCT o.o_custkey AS patient_id, l.l_suppkey AS fosa_id
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
 })
+
+# Warehouse jobs over the EMR source derived from the test tables (testbed_emr).
+EMR_BIRTH = "CAST(DATE '1940-01-01' + to_months(CAST(c.c_nationkey * 13 AS INTEGER)) AS DATE)"
+
+SQL.update({
+    "emr_patient": f"""SELECT c.c_custkey AS patient_id, md5(CAST(c.c_custkey AS VARCHAR)) AS patient_uuid,
+  CAST(NULL AS VARCHAR) AS identifier, c.c_name AS first_name, CAST(NULL AS VARCHAR) AS middle_name,
+  c.c_mktsegment AS last_name, CASE WHEN c.c_acctbal >= 0 THEN 'F' ELSE 'M' END AS gender, {EMR_BIRTH} AS birthdate,
+  false AS birthdate_estimated, CAST(NULL AS VARCHAR) AS phone_number, CAST(NULL AS VARCHAR) AS country,
+  CAST(NULL AS VARCHAR) AS state_province, CAST(NULL AS VARCHAR) AS county_district,
+  CAST(NULL AS VARCHAR) AS city_village, CAST(NULL AS VARCHAR) AS postal_code, CAST(NULL AS VARCHAR) AS address1,
+  CAST(NULL AS VARCHAR) AS address2, CAST(NULL AS VARCHAR) AS address3, CAST(NULL AS VARCHAR) AS address4,
+  CAST(NULL AS VARCHAR) AS address5, CAST(NULL AS VARCHAR) AS address6, CAST(NULL AS VARCHAR) AS latitude,
+  CAST(NULL AS VARCHAR) AS longitude, false AS dead, CAST(NULL AS DATE) AS death_date,
+  CAST(NULL AS BIGINT) AS age_years_at_death, CAST(NULL AS BIGINT) AS age_months_at_death,
+  CAST(NULL AS VARCHAR) AS cause_of_death, CAST(NULL AS VARCHAR) AS mothers_name,
+  CAST(NULL AS VARCHAR) AS fathers_name, CAST(NULL AS VARCHAR) AS health_center, DATE '2000-01-01' AS date_created
+FROM customer c""",
+
+    "emr_encounter": f"""SELECT o.o_orderkey AS encounter_id, md5('e' || CAST(o.o_orderkey AS VARCHAR)) AS uuid,
+  o.o_custkey AS patient_id, o.o_orderpriority AS encounter_type, CAST(NULL AS VARCHAR) AS form,
+  n.n_name AS location, CAST(o.o_orderdate AS DATE) AS encounter_date, strftime(o.o_orderdate, '%H:%M:%S') AS encounter_time,
+  CAST(NULL AS VARCHAR) AS provider, CAST(NULL AS VARCHAR) AS provider_role, CAST(NULL AS BIGINT) AS visit_id,
+  CAST({full_years(EMR_BIRTH, "CAST(o.o_orderdate AS DATE)")} AS BIGINT) AS age_years_at_encounter,
+  CAST({full_months(EMR_BIRTH, "CAST(o.o_orderdate AS DATE)")} AS BIGINT) AS age_months_at_encounter,
+  CAST(o.o_orderdate AS DATE) AS date_created, CAST(NULL AS VARCHAR) AS created_by
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+
+    "emr_urgent_visits": """WITH e AS (
+  SELECT o.o_orderkey, o.o_custkey AS patient_id, CAST(o.o_orderdate AS DATE) AS visit_date, n.n_name AS location,
+         o.o_orderstatus, o.o_orderpriority
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey),
+sp AS (SELECT DISTINCT patient_id, visit_date, location FROM e WHERE o_orderpriority = '1-URGENT'),
+lv AS (SELECT e.patient_id, e.visit_date, e.location,
+         min(CASE WHEN l.l_returnflag = 'A' THEN l.l_extendedprice END) AS min_price_a,
+         min(CASE WHEN l.l_returnflag = 'N' THEN l.l_extendedprice END) AS min_price_n,
+         min(CASE WHEN l.l_returnflag = 'R' THEN l.l_extendedprice END) AS min_price_r,
+         count(l.l_extendedprice) AS n_lines
+       FROM lineitem l JOIN e ON e.o_orderkey = l.l_orderkey WHERE e.o_orderpriority = '1-URGENT'
+       GROUP BY e.patient_id, e.visit_date, e.location),
+st AS (SELECT patient_id, visit_date, location, arg_min(o_orderstatus, o_orderkey) AS status
+       FROM e WHERE o_orderpriority = '1-URGENT' GROUP BY patient_id, visit_date, location)
+SELECT CAST(row_number() OVER (ORDER BY sp.patient_id, sp.visit_date, sp.location) AS BIGINT) AS urgent_visit_id,
+  sp.patient_id, sp.visit_date, sp.location, lv.min_price_a, lv.min_price_n, lv.min_price_r, st.status,
+  CAST(coalesce(lv.n_lines, 0) AS BIGINT) AS n_lines
+FROM sp LEFT JOIN lv ON lv.patient_id = sp.patient_id AND lv.visit_date = sp.visit_date AND lv.location = sp.location
+LEFT JOIN st ON st.patient_id = sp.patient_id AND st.visit_date = sp.visit_date AND st.location = sp.location""",
+})

@@ -185,3 +185,16 @@ def test_union_helpers(spark):
     assert rows(ru) == [(1, "A"), (2, "A"), (2, "B"), (3, "B")]
     up = O.upsert_merge([a.withColumn("x", F.lit(1)), b.withColumn("y", F.lit(2))], "d")
     assert rows(up, "d", "x", "y") == [(1, 1, None), (2, 1, 2), (3, None, 2)]
+
+
+def test_pivot_conditions_combine(spark):
+    """Concept, parent-group and required-flag conditions all apply together."""
+    obs = spark.createDataFrame([
+        (1, 1, "Weight", 60.0, True, "Vitals"), (2, 1, "Weight", 70.0, False, "Vitals"),
+        (3, 1, "Weight", 80.0, True, "Other group")],
+        "obs_id long, k long, concept string, value_numeric double, typed boolean, group_concept string")
+    cols = [O.PivotColumn("w_typed", "Weight", "value_numeric", agg="count", require="typed"),
+            O.PivotColumn("w_vitals", "Weight", "value_numeric", agg="max", group="vitals"),
+            O.PivotColumn("w_both", "Weight", "value_numeric", agg="max", group="Vitals", require="typed")]
+    r = O.form_pivot(obs, ["k"], cols).collect()[0]
+    assert (r["w_typed"], r["w_vitals"], r["w_both"]) == (2, 70.0, 60.0)

@@ -38,12 +38,17 @@ def duck():
     return con
 
 
+# Warehouse jobs whose output has hashed ids or spans the whole derived layer; they are checked
+# against brute force on the smallest tables in test_emr_bruteforce.py instead.
+BRUTE_FORCE = {"emr_obs", "emr_state", "emr_dim_date", "emr_fact_numeric", "emr_last_obs"}
+
+
 def test_every_query_has_an_oracle():
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert not missing, missing
+    assert missing == BRUTE_FORCE, missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - BRUTE_FORCE))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
