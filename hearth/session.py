@@ -29,13 +29,40 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, advisory_mb: int = 256, split_mb: int = 256) -> dict[str, str]:
+    """Sizing for a large cluster (e.g. 1000 executors x 8 cores on 100 TB).
+
+    Shuffles start with ~3 partitions per core so no reducer holds more than
+    a few hundred MB even for the largest stage, and AQE coalesces small ones
+    back to ``advisory_mb`` (by size, not by parallelism).  File splits are
+    capped at ``split_mb`` so each scan task's input fits executor memory.
+    Skewed partitions above 4x the median (and 1 GB) are split by AQE.
+    """
+    n = str(max(200, 3 * total_cores))
+    return {
+        "spark.sql.shuffle.partitions": n,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "hearth", driver_memory: str | None = None) -> SparkSession:
+                app_name: str = "hearth", driver_memory: str | None = None,
+                total_cores: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
+    On a cluster ``master`` is left to spark-submit and ``total_cores`` applies
+    ``cluster_conf``; tests pass ``local[*]`` and a small partition count.
     """
     builder = SparkSession.builder.appName(app_name)
+    if total_cores:
+        for k, v in cluster_conf(total_cores).items():
+            builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
