@@ -56,13 +56,17 @@ def number_at_location(flat: dict, id_type: str) -> DataFrame:
     return best.select("patient_id", "location", H.format_identifier("identifier").alias("number"))
 
 
-def state_episodes(flat: dict, program: str, workflow: str, state: str) -> DataFrame:
+def state_episodes(flat: dict, program: str | None, workflow: str | None, state: str | None) -> DataFrame:
     """Register spine: one row per state episode; end = state end else enrollment
     completion; outcome = the enrollment's next state starting on or after the
     episode end (J11) else the enrollment outcome."""
     st = flat["omrs_program_state"]
     en = flat["omrs_program_enrollment"].select("program_enrollment_id", "completion_date", F.col("outcome").alias("__eo"))
-    eps = (st.where(H.ci_eq("program", program) & H.ci_eq("workflow", workflow) & H.ci_eq("state", state))
+    cond = F.lit(True)
+    for col, val in (("program", program), ("workflow", workflow), ("state", state)):
+        if val is not None:                       # None: any programme / workflow / state
+            cond = cond & H.ci_eq(col, val)
+    eps = (st.where(cond)
            .join(en, "program_enrollment_id", "inner")
            .select("program_state_id", "program_enrollment_id", "patient_id", "location", "start_date",
                    F.col("end_date").alias("__state_end"), F.coalesce("end_date", "completion_date").alias("end_date"),

@@ -857,6 +857,16 @@ def emr_last_obs(spark, sf):
     return rw_last_obs_in_period(_emr_flat(spark, sf), ["purchase", "R"], _quarters(spark))
 
 
+def emr_register(spark, sf):
+    """M-RART shape over the derived source: one row per open-order state
+    episode, ended by the next order (else enrollment completion), outcome =
+    the state starting on or after the episode end (J11 as-of)."""
+    from .malawi import state_episodes
+    eps = state_episodes(_emr_flat(spark, sf), None, "order status", "O")
+    return eps.select(F.col("program_state_id").alias("episode_id"), "program_enrollment_id", "patient_id",
+                      "location", "start_date", "end_date", "outcome")
+
+
 QUERIES = {
     "a1": a1,
     "a2": a2,
@@ -966,4 +976,5 @@ QUERIES = {
     "emr_fact_numeric": emr_fact_numeric,
     "emr_urgent_visits": emr_urgent_visits,
     "emr_last_obs": emr_last_obs,
+    "emr_register": emr_register,
 }

@@ -83,3 +83,29 @@ def test_emr_last_obs_matches_brute_force(q):
                 m = upto["d"].max()
                 want += [(p, c, e, m)] * int((upto["d"] == m).sum())
     assert sorted(want) == sorted(zip(got["patient_id"], got["concept"], got["end_date"], got["last_obs_date"]))
+
+
+def test_emr_register_outcome_is_state_after_episode(q):
+    reg = q("emr_register").set_index("episode_id")
+    o = pdf("orders").sort_values(["o_custkey", "o_orderdate", "o_orderkey"])
+    n = pdf("nation").set_index("n_nationkey")["n_name"]
+    loc = pdf("customer").set_index("c_custkey")["c_nationkey"].map(n)
+    checked = 0
+    for cust, g in o.groupby("o_custkey"):
+        done = g[g["o_orderstatus"] == "F"]["o_orderdate"].max()
+        for r in g[g["o_orderstatus"] == "O"].itertuples():
+            later = g[g["o_orderdate"] > r.o_orderdate]
+            state_end = later["o_orderdate"].min() if len(later) else None
+            end = state_end if state_end is not None else (done if pd.notna(done) else None)
+            if state_end is not None:
+                nxt = g[g["o_orderdate"] >= state_end].sort_values(["o_orderdate", "o_orderkey"]).iloc[0]
+                outcome = nxt["o_orderstatus"]
+            else:
+                outcome = None
+            got = reg.loc[r.o_orderkey]
+            assert got["start_date"] == r.o_orderdate.date()
+            assert (got["end_date"] if pd.notna(got["end_date"]) else None) == (end.date() if end is not None else None)
+            assert (got["outcome"] if pd.notna(got["outcome"]) else None) == outcome
+            assert got["location"] == loc[cust] and got["patient_id"] == cust
+            checked += 1
+    assert checked == len(reg)
