@@ -550,18 +550,27 @@ def _visits(spark, sf):
 
 
 def rp2(spark, sf, as_of: str = T_ORDER):
+    """Active cohort on the report date with last visit, next appointment and
+    days late / days to next.  The register (first order, latest status) and the
+    last visit on or before the date come from ONE grouped aggregate over the
+    order intervals (conditional latest/earliest picks): orders and lines are
+    each scanned once."""
     t = F.lit(as_of).cast("date")
-    reg = O.active_on(_register(spark, sf), "completion_date", t, start_col="enrollment_date")
-    v = _visits(spark, sf).where(F.col("order_date") <= t)
-    last = O.value_at_latest(v, ["o_custkey"], "order_date", "o_orderkey", ["appt_date"], prefix="last_")
+    v = _visits(spark, sf)
+    per = O.picks_per_key(v, ["o_custkey"], "order_date", "o_orderkey", {
+        "first": (F.lit(True), {"enrollment_date": "order_date"}, "min"),
+        "latest": (F.lit(True), {"__latest_date": "order_date", "__latest_status": "o_orderstatus"}),
+        "visit": (F.col("order_date") <= t, {"last_visit_date": "order_date", "next_appt_date": "appt_date"}),
+    })
+    reg = per.withColumn("completion_date", F.when(F.col("__latest_status") == "F", F.col("__latest_date")))
+    act = O.active_on(reg, "completion_date", t, start_col="enrollment_date")
     c = _t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    out = reg.join(last, "o_custkey", "left").join(c, F.col("o_custkey") == F.col("c_custkey"))
-    late = F.col("last_appt_date") < t
+    out = act.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    late = F.col("next_appt_date") < t
     return out.select(
-        "c_custkey", "c_mktsegment", "enrollment_date", F.col("last_date").alias("last_visit_date"),
-        F.col("last_appt_date").alias("next_appt_date"),
-        F.when(late, H.days_between(t, "last_appt_date")).alias("days_late"),
-        F.when(~late, H.days_between("last_appt_date", t)).alias("days_to_next"))
+        "c_custkey", "c_mktsegment", "enrollment_date", "last_visit_date", "next_appt_date",
+        F.when(late, H.days_between(t, "next_appt_date")).alias("days_late"),
+        F.when(~late, H.days_between("next_appt_date", t)).alias("days_to_next"))
 
 
 def rp6(spark, sf, as_of: str = T_ORDER):
