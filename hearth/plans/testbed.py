@@ -840,17 +840,28 @@ def emr_state(spark, sf):
     return _emr_flat(spark, sf)["omrs_program_state"]
 
 
+def _emr_star_input(spark, sf):
+    """The derived flat layer with the five tables the star schema reads written
+    once to the shared checkpoint folder (a layer edge, as in production), so
+    the dimensions and facts read them instead of re-deriving them."""
+    from ..session import cut_lineage
+    from .lazy import LazyTables
+    flat = _emr_flat(spark, sf)
+    ready = {k: cut_lineage(flat[k]) for k in ("omrs_patient", "omrs_program_enrollment", "omrs_program_state",
+                                                "omrs_encounter", "omrs_obs")}
+    return LazyTables({k: (lambda t, k=k: flat[k]) for k in flat}, ready=ready)
+
+
 def emr_dim_date(spark, sf):
     """D-DATE over the derived flat layer."""
     from .star import dim_date
-    return dim_date(_emr_flat(spark, sf))
+    return dim_date(_emr_star_input(spark, sf))
 
 
 def emr_fact_numeric(spark, sf):
-    """X-NUM over the derived flat layer (dimensions computed in the same plan)."""
-    from .star import build_dimensions, fact_numeric
-    flat = _emr_flat(spark, sf)
-    return fact_numeric(flat, build_dimensions(spark, flat))
+    """X-NUM over the derived flat layer: dimensions written once, then the fact."""
+    from .star import build_star
+    return build_star(spark, _emr_star_input(spark, sf))["fact_patient_numeric_value"]
 
 
 def emr_urgent_visits(spark, sf):

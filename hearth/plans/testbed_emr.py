@@ -67,6 +67,11 @@ class _Derived:
     def cid(self, as_name):
         return self.concepts.select(F.col("name").alias(as_name), "concept_id")
 
+    @staticmethod
+    def key(col):
+        """The id of a name, computed row-locally (the same hash the name tables use)."""
+        return H.stable_key(col)
+
     @cached_property
     def etypes(self):
         return _names(self.o, "o_orderpriority", "encounter_type_id")
@@ -100,7 +105,7 @@ class _Derived:
 
     def encounter(self):
         oc = self.o.join(self.c.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
-        oc = oc.join(self.etypes.select(F.col("name").alias("o_orderpriority"), "encounter_type_id"), "o_orderpriority")
+        oc = oc.withColumn("encounter_type_id", self.key("o_orderpriority"))
         return oc.select(
             F.col("o_orderkey").alias("encounter_id"),
             F.md5(F.concat(F.lit("e"), F.col("o_orderkey").cast("string"))).alias("uuid"),
@@ -123,57 +128,56 @@ class _Derived:
         line_key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
                     "l_returnflag", "l_linestatus", "l_quantity"]
         lines = (li.withColumn("__lid", F.abs(H.stable_key(*line_key)) % F.lit(LINE_OBS_BASE))
-                 .join(self.cid("l_returnflag"), "l_returnflag")
+                 .withColumn("concept_id", self.key("l_returnflag"))
                  .join(self.o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"))
         line_obs = lines.select(
             (F.lit(LINE_OBS_BASE) + F.col("__lid")).alias("obs_id"), F.col("o_custkey").alias("person_id"),
             F.col("l_orderkey").alias("encounter_id"), "concept_id", F.col("l_shipdate").alias("obs_datetime"),
             F.col("l_extendedprice").alias("value_numeric"), F.lit(False).alias("voided"),
             F.col("l_shipdate").alias("date_created"))
-        event_obs = self._t("events").join(self.cid("event_type"), "event_type").select(
+        event_obs = self._t("events").withColumn("concept_id", self.key("event_type")).select(
             F.col("event_id").alias("obs_id"), F.col("user_id").alias("person_id"), "concept_id",
             F.col("ts").alias("obs_datetime"), F.col("value").alias("value_numeric"), F.lit(False).alias("voided"),
             F.col("ts").alias("date_created"))
-        status = self.concepts.where(F.col("name") == STATUS_CONCEPT).select(F.col("concept_id").alias("__sc"))
-        order_obs = (self.o.join(self.cid("o_orderstatus"), "o_orderstatus").crossJoin(F.broadcast(status))
-                     .select((F.lit(ORDER_OBS_BASE) + F.col("o_orderkey")).alias("obs_id"),
-                             F.col("o_custkey").alias("person_id"), F.col("o_orderkey").alias("encounter_id"),
-                             F.col("__sc").alias("concept_id"), F.col("o_orderdate").alias("obs_datetime"),
-                             F.col("concept_id").alias("value_coded"), F.lit(False).alias("voided"),
-                             F.col("o_orderdate").alias("date_created")))
+        order_obs = self.o.select(
+            (F.lit(ORDER_OBS_BASE) + F.col("o_orderkey")).alias("obs_id"), F.col("o_custkey").alias("person_id"),
+            F.col("o_orderkey").alias("encounter_id"), self.key(F.lit(STATUS_CONCEPT)).alias("concept_id"),
+            F.col("o_orderdate").alias("obs_datetime"), self.key("o_orderstatus").alias("value_coded"),
+            F.lit(False).alias("voided"), F.col("o_orderdate").alias("date_created"))
         return line_obs.unionByName(event_obs, allowMissingColumns=True).unionByName(order_obs, allowMissingColumns=True)
 
     def program(self):
-        return self.c.select("c_mktsegment").distinct().join(self.cid("c_mktsegment"), "c_mktsegment").select(
-            F.col("concept_id").alias("program_id"), "concept_id", F.col("c_mktsegment").alias("name"))
+        return self.c.select("c_mktsegment").distinct().select(
+            self.key("c_mktsegment").alias("program_id"), self.key("c_mktsegment").alias("concept_id"),
+            F.col("c_mktsegment").alias("name"))
 
     def patient_program(self):
         span = self.o.groupBy("o_custkey").agg(
             F.min("o_orderdate").alias("__first"),
             F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate"))).alias("__done"))
-        pp = self.c.join(span, self.c["c_custkey"] == span["o_custkey"]).join(self.cid("c_mktsegment"), "c_mktsegment")
+        pp = self.c.join(span, self.c["c_custkey"] == span["o_custkey"])
         return pp.select(
             F.col("c_custkey").alias("patient_program_id"),
             F.md5(F.concat(F.lit("pp"), F.col("c_custkey").cast("string"))).alias("uuid"),
-            F.col("c_custkey").alias("patient_id"), F.col("concept_id").alias("program_id"),
+            F.col("c_custkey").alias("patient_id"), self.key("c_mktsegment").alias("program_id"),
             F.to_date("__first").alias("date_enrolled"), F.to_date("__done").alias("date_completed"),
             F.col("c_nationkey").cast("long").alias("location_id"), F.lit(False).alias("voided"))
 
     def program_workflow(self):
-        return self.concepts.where(F.col("name") == STATUS_CONCEPT).select(
-            F.lit(1).cast("long").alias("program_workflow_id"), "concept_id")
+        return self.spark.range(1).select(F.lit(1).cast("long").alias("program_workflow_id"),
+                                          self.key(F.lit(STATUS_CONCEPT)).alias("concept_id"))
 
     def program_workflow_state(self):
-        st = self.o.select(F.col("o_orderstatus").alias("n")).distinct().join(self.cid("n"), "n")
-        return st.select(F.col("concept_id").alias("program_workflow_state_id"),
-                         F.lit(1).cast("long").alias("program_workflow_id"), "concept_id")
+        st = self.o.select("o_orderstatus").distinct()
+        return st.select(self.key("o_orderstatus").alias("program_workflow_state_id"),
+                         F.lit(1).cast("long").alias("program_workflow_id"), self.key("o_orderstatus").alias("concept_id"))
 
     def patient_state(self):
         o = self.o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
         nxt = O.asof_join(o, o.select("o_custkey", F.col("o_orderdate").alias("__nd"), F.col("o_orderkey").alias("__nk")),
                           ["o_custkey"], "o_orderdate", "__nd", ["__nd"], direction="forward", inclusive=False,
                           tiebreak="__nk", bucket="year", prefix="next")
-        states = nxt.join(self.cid("o_orderstatus").withColumnRenamed("concept_id", "__state"), "o_orderstatus")
+        states = nxt.withColumn("__state", self.key("o_orderstatus"))
         return states.select(
             F.col("o_orderkey").alias("patient_state_id"),
             F.md5(F.concat(F.lit("ps"), F.col("o_orderkey").cast("string"))).alias("uuid"),
