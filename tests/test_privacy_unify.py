@@ -61,3 +61,17 @@ def test_unify_two_sites_and_retain_cohort(spark, flat):
     assert {r["patient_id"] for r in enc} == {1, 2, 5, 10}               # 3 and 8: outside the cohort, other types
     pairs = U.patient_facility_pairs(uni["omrs_encounter"]).collect()
     assert ("00011", "777") in {(r["patient_id"], r["fosa_id"]) for r in pairs}
+
+
+def test_replica_copy(spark, flat):
+    import tempfile
+
+    from hearth.plans.replica import write_replica
+    root = tempfile.mkdtemp(prefix="hearth-replica-")
+    paths = write_replica(flat, root)
+    assert len(paths) == 10
+    obs = spark.read.parquet(f"{root}/omrs_obs")
+    assert not {"form", "value_text", "comments"} & set(obs.columns)
+    assert dict(obs.dtypes)["obs_date"] == "timestamp_ntz"
+    assert "form" in spark.read.parquet(f"{root}/omrs_encounter").columns
+    assert obs.count() == flat["omrs_obs"].count()
