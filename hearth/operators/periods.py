@@ -1,11 +1,12 @@
 """Calendar periods and period snapshots.
 
 Periods are parameters (a handful of quarters or weeks), so their table has a
-size bound set by the caller and is broadcast.  Nothing here expands the data
-rows by the number of periods: each row is assigned to exactly one period
-(the first whose end is on or after its date), reduced per (key, period), and
-only then carried forward across periods with a window over the small
-``keys x periods`` grid.  That is the set-based form of "latest row with
+size bound set by the caller and is broadcast.  No data row is joined to
+every later period: each row is assigned to exactly one period (the first
+whose end is on or after its date), reduced per (key, period), and only the
+reduced rows are carried forward -- by a window over the small
+``keys x periods`` grid, or by repeating a period's leaders over the periods
+they stay latest in.  That is the set-based form of "latest row with
 date <= period end" and of "count of rows up to period end".
 """
 
@@ -109,26 +110,26 @@ def snapshot_latest_per_period(df: DataFrame, keys: Sequence[str], date_col: str
     """For each key x period, every row at the key's latest date on or before
     the period end (ties kept).  Periods before a key's first row give nothing.
 
-    Output: the row's columns plus the period columns.
+    One pass: rows are tagged with their own period; the rows at each
+    (key, period)'s latest date are kept (``rank() == 1``, limited map-side);
+    a window over each key's leaders -- at most (#periods x ties) rows, however
+    hot the key -- finds the next period that has leaders, and each leader is
+    repeated for the periods it stays latest in.  Output: the row's columns
+    plus the period columns.
     """
-    tagged = assign_period(df, date_col, periods)
-    d = F.to_date(F.col(date_col))
-    tagged = tagged.withColumn("__d", d)
-    # ties at each (key, period)'s own latest date: rank()==1 with a partial group limit
+    tagged = assign_period(df, date_col, periods).withColumn("__d", F.to_date(F.col(date_col)))
     leaders = ties_at_extreme(tagged, [*keys, "period_id"], "__d", largest=True)
-    per = leaders.groupBy(*keys, "period_id").agg(F.max("__d").alias("__max"))
-    key_tab = per.select(*keys).distinct()
-    g = _grid(key_tab, periods).join(per, [*keys, "period_id"], "left")
-    w = Window.partitionBy(*keys).orderBy("end_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    g = (g.withColumn("__src", F.last(F.when(F.col("__max").isNotNull(), F.col("period_id")), ignorenulls=True).over(w))
-         .where(F.col("__src").isNotNull()).drop("__max"))
+    last_pid = periods.agg(F.max("period_id").alias("__last"))
+    w = Window.partitionBy(*keys).orderBy("period_id").rangeBetween(1, Window.unboundedFollowing)
+    spans = (leaders.withColumn("__next", F.min("period_id").over(w))
+             .crossJoin(F.broadcast(last_pid))
+             .withColumn("__until", F.coalesce(F.col("__next") - 1, F.col("__last")))
+             .withColumn("__pid", F.explode(F.sequence(F.col("period_id"), F.col("__until")))))
     period_cols = [c for c in periods.columns if c != "period_id"]
-    snap = g.select(*keys, F.col("period_id").alias("__pid"), F.col("__src").alias("period_id"),
-                    *[F.col(c) for c in period_cols])
-    rows = leaders.drop("__d")
-    row_cols = [c for c in rows.columns if c not in keys and c != "period_id" and c not in period_cols]
-    out = snap.join(rows.select(*keys, "period_id", *row_cols), [*keys, "period_id"], "inner")
-    return out.drop("period_id").withColumnRenamed("__pid", "period_id")
+    row_cols = [c for c in df.columns if c not in keys and c not in period_cols]
+    p = F.broadcast(periods.withColumnRenamed("period_id", "__pid"))
+    out = spans.join(p, "__pid")
+    return out.select(*keys, *row_cols, F.col("__pid").alias("period_id"), *period_cols)
 
 
 def snapshot_with_blanks(cohort: DataFrame, df: DataFrame, keys: Sequence[str], date_col: str, tiebreak: str,
