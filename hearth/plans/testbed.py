@@ -853,9 +853,10 @@ def _emr_star_input(spark, sf):
 
 
 def emr_dim_date(spark, sf):
-    """D-DATE over the derived flat layer."""
+    """D-DATE over the derived flat layer (one plan: only the date columns of
+    the five tables are read, so nothing is written first)."""
     from .star import dim_date
-    return dim_date(_emr_star_input(spark, sf))
+    return dim_date(_emr_flat(spark, sf))
 
 
 def emr_fact_numeric(spark, sf):
