@@ -25,8 +25,16 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 FLAGS = ["A", "N", "R"]
 
 
+_READS: dict = {}
+
+
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """The test table as a DataFrame; the read (file listing, footer schema) is
+    done once per session and path -- the tables are read-only."""
+    key = (id(spark), f"{sf}/{name}.parquet")
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(key[1])
+    return _READS[key]
 
 
 def _orders(spark, sf) -> DataFrame:

@@ -45,7 +45,8 @@ class _Derived:
         self.created = F.lit(CREATED).cast("timestamp_ntz")
 
     def _t(self, name):
-        return self.spark.read.parquet(f"{self.sf}/{name}.parquet")
+        from .testbed import _t
+        return _t(self.spark, self.sf, name)
 
     @cached_property
     def c(self):
