@@ -19,6 +19,7 @@ from .. import functions as H
 from .. import operators as O
 
 T_ORDER = "1998-06-30"          # as-of date for order-based reports
+T_ORDER_END = "1998-09-30"      # end of the expected-patients window
 T_EVENT = "2024-01-20 00:00:00"  # as-of time for event-based lookups
 Q_FIRST, Q_LAST = "1995-01-01", "2001-12-31"
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -625,6 +626,35 @@ def rp8(spark, sf):
 
 
 
+def rp9(spark, sf, start: str = "1998-07-01", end: str = T_ORDER_END):
+    """Patients expected (RP9 shape): customers active at ``end`` whose latest
+    visit with an appointment set an appointment inside [start, end]."""
+    t0, t1 = F.lit(start).cast("date"), F.lit(end).cast("date")
+    v = _visits(spark, sf).where(F.col("appt_date").isNotNull())
+    last = O.latest_per_key(v, "o_custkey", "order_date", "o_orderkey")
+    reg = _register(spark, sf)
+    act = O.active_on(reg, "completion_date", t1).select("o_custkey")
+    out = last.join(act, "o_custkey", "left_semi").where((F.col("appt_date") >= t0) & (F.col("appt_date") <= t1))
+    return out.select(F.col("o_custkey").alias("c_custkey"), F.col("order_date").alias("last_visit_date"),
+                      F.col("appt_date").alias("last_appt_date"))
+
+
+def rp10(spark, sf, as_of: str = T_ORDER):
+    """IC3 shape (RP10): several filtered latest / earliest picks per customer
+    from ONE grouped aggregate over orders, plus the latest of two dates."""
+    t = F.lit(as_of).cast("date")
+    o = _orders(spark, sf)
+    before = F.col("order_date") <= t
+    p = O.picks_per_key(o, ["o_custkey"], "order_date", "o_orderkey", {
+        "first_f": ((F.col("o_orderstatus") == "F") & before, {"first_finished": "order_date"}, "min"),
+        "last_o": ((F.col("o_orderstatus") == "O") & before, {"last_open": "order_date"}),
+        "urgent": ((F.col("o_orderpriority") == "1-URGENT") & before,
+                   {"last_urgent_date": "order_date", "last_urgent_price": "o_totalprice"}),
+    })
+    return p.select(F.col("o_custkey").alias("c_custkey"), "first_finished", "last_open", "last_urgent_date",
+                    "last_urgent_price", F.greatest("last_open", "last_urgent_date").alias("latest_activity"))
+
+
 # ---------------------------------------------------------------- more operator bindings
 
 def p1(spark, sf):
@@ -966,6 +996,8 @@ QUERIES = {
     "rp6": rp6,
     "rp7": rp7,
     "rp8": rp8,
+    "rp9": rp9,
+    "rp10": rp10,
     "p1": p1,
     "p2": p2,
     "p9": p9,

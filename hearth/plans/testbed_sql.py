@@ -557,3 +557,31 @@ SELECT CAST(row_number() OVER (ORDER BY sp.patient_id, sp.visit_date, sp.locatio
 FROM sp LEFT JOIN lv ON lv.patient_id = sp.patient_id AND lv.visit_date = sp.visit_date AND lv.location = sp.location
 LEFT JOIN st ON st.patient_id = sp.patient_id AND st.visit_date = sp.visit_date AND st.location = sp.location""",
 })
+
+SQL.update({
+    "rp9": f"""WITH {INTERVALS},
+o AS (SELECT *, CAST(o_orderdate AS DATE) AS order_date FROM orders),
+latest_o AS (SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN order_date END AS completion_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY order_date DESC, o_orderkey DESC) AS rn FROM o) x
+  WHERE rn = 1),
+act AS (SELECT o_custkey FROM latest_o WHERE completion_date IS NULL OR completion_date > DATE '1998-09-30'),
+lastv AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY order_date DESC, o_orderkey DESC) AS rn
+  FROM iv WHERE last_ship IS NOT NULL) x WHERE rn = 1)
+SELECT o_custkey AS c_custkey, order_date AS last_visit_date, last_ship AS last_appt_date FROM lastv
+WHERE o_custkey IN (SELECT o_custkey FROM act) AND last_ship >= DATE '1998-07-01' AND last_ship <= DATE '1998-09-30'""",
+
+    "rp10": f"""WITH o AS (SELECT *, CAST(o_orderdate AS DATE) AS order_date FROM orders),
+p AS (SELECT o_custkey,
+  min(CASE WHEN o_orderstatus = 'F' AND order_date <= {T_ORDER} THEN order_date END) AS first_finished,
+  max(CASE WHEN o_orderstatus = 'O' AND order_date <= {T_ORDER} THEN order_date END) AS last_open,
+  max(CASE WHEN o_orderpriority = '1-URGENT' AND order_date <= {T_ORDER} THEN order_date END) AS last_urgent_date,
+  arg_max(CASE WHEN o_orderpriority = '1-URGENT' AND order_date <= {T_ORDER} THEN o_totalprice END,
+          CASE WHEN o_orderpriority = '1-URGENT' AND order_date <= {T_ORDER} THEN (order_date, o_orderkey) END)
+    AS last_urgent_price
+  FROM o GROUP BY o_custkey)
+SELECT o_custkey AS c_custkey, first_finished, last_open, last_urgent_date, last_urgent_price,
+  CASE WHEN last_open IS NULL THEN last_urgent_date WHEN last_urgent_date IS NULL THEN last_open
+       ELSE greatest(last_open, last_urgent_date) END AS latest_activity
+FROM p""",
+})
