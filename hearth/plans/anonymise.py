@@ -52,11 +52,12 @@ def _is_id(name: str) -> bool:
 
 
 def anonymise(df: DataFrame, salt: str | None = None, keep_dates: bool = False, keep_free_text: bool = False,
-              extra_drop=()) -> DataFrame:
-    """One table's release form (X1; ``keep_dates`` gives the X2 variant)."""
-    drop = set(DROP_COLUMNS) | set(extra_drop) | (set() if keep_free_text else FREE_TEXT)
+              extra_drop=(), keep=()) -> DataFrame:
+    """One table's release form (X1; ``keep_dates`` gives the X2 variant).
+    Columns in ``keep`` pass through unchanged (e.g. the facility id in X2)."""
+    drop = (set(DROP_COLUMNS) | set(extra_drop) | (set() if keep_free_text else FREE_TEXT)) - set(keep)
     cols = [f.name for f in df.schema.fields]
-    ids = [c for c in cols if _is_id(c) and c not in drop]
+    ids = [c for c in cols if _is_id(c) and c not in drop and c not in keep]
     dates = [f.name for f in df.schema.fields
              if isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))]
     # date text columns (e.g. the z-score input's obs_date) are coarsened as dates
@@ -70,7 +71,8 @@ def anonymise(df: DataFrame, salt: str | None = None, keep_dates: bool = False,
 
 
 def anonymise_warehouse(tables: dict[str, DataFrame], salt: str | None = None, keep_dates: bool = False,
-                        keep_free_text: bool = False, blacklist=IDENTIFYING_CONCEPTS) -> dict[str, DataFrame]:
+                        keep_free_text: bool = False, blacklist=IDENTIFYING_CONCEPTS,
+                        keep=()) -> dict[str, DataFrame]:
     """X1/X2 over a dict of tables: identifying observations removed (P8) from
     the observation table and every snapshot, then each table projected."""
     out = {}
@@ -78,5 +80,11 @@ def anonymise_warehouse(tables: dict[str, DataFrame], salt: str | None = None, k
         x = df
         if (name == "omrs_obs" or name in SNAPSHOT_TABLES) and "concept" in df.columns:
             x = O.drop_concepts(x, "concept", list(blacklist))
-        out[name] = anonymise(x, salt=salt, keep_dates=keep_dates, keep_free_text=keep_free_text)
+        out[name] = anonymise(x, salt=salt, keep_dates=keep_dates, keep_free_text=keep_free_text, keep=keep)
     return out
+
+
+def anonymise_unified(tables: dict[str, DataFrame], salt: str | None = None) -> dict[str, DataFrame]:
+    """The unified multi-site copy -- ids hashed, dates kept, facility and
+    site columns kept so rows can still be grouped by facility."""
+    return anonymise_warehouse(tables, salt=salt, keep_dates=True, keep=("fosa_id", "site_id"))

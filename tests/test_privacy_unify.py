@@ -75,3 +75,13 @@ def test_replica_copy(spark, flat):
     assert dict(obs.dtypes)["obs_date"] == "timestamp_ntz"
     assert "form" in spark.read.parquet(f"{root}/omrs_encounter").columns
     assert obs.count() == flat["omrs_obs"].count()
+
+
+def test_unified_copy_keeps_facility_and_dates(spark, flat):
+    from hearth.plans.anonymise import anonymise_unified
+    uni = U.unify_sites({"a0001x": U.tag_site(flat, "a0001x")})
+    enc = anonymise_unified(uni)["omrs_encounter"]
+    r = enc.where("fosa_id = '0001'").first()
+    assert r is not None and r["site_id"] == "a0001x" and len(r["encounter_id"]) == 32
+    raw = {x["encounter_date"] for x in uni["omrs_encounter"].collect()}
+    assert {x["encounter_date"] for x in enc.collect()} == raw      # dates kept in X2

@@ -59,3 +59,10 @@ def test_sink_order_and_tagged_concept_names(spark):
     src = {k: spark.createDataFrame(v, struct(SOURCE[k])) for k, v in rows.items()}
     got = {r["source_key"]: r["target_value"] for r in lookup_concept_by_tag(src).collect()}
     assert got == {1: "Tagged en", 2: "only fr"}
+
+
+def test_import_metadata_row(spark):
+    from hearth.plans.rwanda import rw_import_metadata
+    r = rw_import_metadata(spark, "host", "db1", 10, "load").collect()[0]
+    assert (r["source_host"], r["source_db"], r["warehouse_prefix"], r["import_comment"]) == ("host", "db1", 10, "load")
+    assert r["import_date"] is not None
