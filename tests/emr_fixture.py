@@ -49,7 +49,7 @@ def build(spark) -> dict:
     rows["patient_identifier_type"] = [(1, "ARV Number"), (2, "Chronic Care Number"), (3, "Exposed Infant Number")]
     rows["users"] = [(1, "admin", "1-1", None), (2, None, "2-2", None)]
     rows["person_attribute_type"] = [(1, "Cell Phone Number", None), (2, "Mother's Name", None),
-                                     (3, "Health Center", "org.openmrs.Location"), (4, "Test Patient", None)]
+                                     (3, "Health Center", "Location"), (4, "Test Patient", None)]
     rows["relationship_type"] = [(1, "Parent", "Child"), (2, "Guardian", None)]
     rows["program"] = [(1, 1, "HIV program"), (2, 2, "Chronic care program"), (3, 36, "EID program")]
     rows["program_workflow"] = [(1, 3), (2, 32), (3, 3)]

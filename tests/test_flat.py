@@ -4,7 +4,7 @@ import pytest
 
 from hearth.plans.flat import FlatConfig, build_flat
 
-from .openmrs_fixture import build
+from .emr_fixture import build
 
 D = dt.date
 

@@ -7,7 +7,7 @@ from hearth import operators as O
 from hearth.plans.flat import build_flat
 from hearth.plans.malawi import build_malawi, nth_regimen
 
-from .openmrs_fixture import build
+from .emr_fixture import build
 
 D = dt.date
 

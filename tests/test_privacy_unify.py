@@ -6,7 +6,7 @@ from hearth.plans import unify as U
 from hearth.plans.anonymise import anonymise_warehouse
 from hearth.plans.flat import build_flat
 
-from .openmrs_fixture import build
+from .emr_fixture import build
 
 D = dt.date
 

@@ -3,7 +3,7 @@ import tempfile
 
 from hearth.refresh import refresh
 
-from .openmrs_fixture import build
+from .emr_fixture import build
 
 
 def test_refresh_writes_every_layer(spark):

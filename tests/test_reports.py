@@ -6,7 +6,7 @@ from hearth.plans import reports as R
 from hearth.plans.flat import build_flat
 from hearth.plans.malawi import build_malawi
 
-from .openmrs_fixture import build
+from .emr_fixture import build
 
 D = dt.date
 END = "2019-12-31"

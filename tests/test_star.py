@@ -3,7 +3,7 @@ import pytest
 from hearth.plans.flat import build_flat
 from hearth.plans.star import build_star
 
-from .openmrs_fixture import build
+from .emr_fixture import build
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ from hearth.plans.flat import lookups
 from hearth.schemas import SOURCE, struct
 from hearth.streaming import incremental_load, obs_decoder
 
-from .openmrs_fixture import build
+from .emr_fixture import build
 
 T = dt.datetime
 
