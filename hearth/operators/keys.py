@@ -17,14 +17,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33
+MAX_KEY_PARTITIONS = 1024   # dense numbering is for dimension-sized key sets (up to ~10^9 distinct values)
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str = "id", start: int = 1,
               num_partitions: int | None = None) -> DataFrame:
     """Distinct ``order_cols`` numbered ``start, start+1, ...`` in ascending
-    order (nulls first, like ``ORDER BY``)."""
+    order (nulls first, like ``ORDER BY``).
+
+    The range partitioning uses an explicit partition count (both uses of the
+    numbered partitions must see the same partitioning, so AQE may not
+    coalesce it): the session's shuffle partitions, capped at
+    ``MAX_KEY_PARTITIONS`` so a small dimension on a large cluster does not
+    start tens of thousands of empty tasks.  Tables too large for that use
+    ``functions.stable_key`` (a row-local hash) instead."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_KEY_PARTITIONS)
     d = df.select(*order_cols).distinct()
     ordered = d.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_cols]) \
         .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_cols])
