@@ -148,7 +148,10 @@ def omrs_patient(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) -> DataFra
     base = _decode(base, lk["lookup_concept"], "cause_of_death", "__cod").drop("cause_of_death") \
         .withColumnRenamed("__cod", "cause_of_death")
 
-    names = lk["lookup_person_name"].withColumnRenamed("uuid", "patient_uuid")
+    # names by person id (the same rule as the name lookup), so every per-person join shares one key
+    names = _best_name(src).select(
+        F.col("person_id").alias("__np"), F.col("given_name").alias("first_name"), "middle_name",
+        H.join_nonnull(" ", "family_name_prefix", "family_name", "family_name2", "family_name_suffix").alias("last_name"))
     ident = O.best_per_key(_live(src["patient_identifier"]), "patient_id",
                            [F.coalesce(F.col("preferred"), F.lit(False)).desc(), F.col("date_created").desc(),
                             F.col("patient_identifier_id").desc()]).select(
@@ -170,7 +173,7 @@ def omrs_patient(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) -> DataFra
     piv = piv.select(F.col("person_id").alias("__tp"),
                      *[F.col(f"`{v}`").alias(k) for k, v in wanted.items()])
 
-    out = (base.join(names, "patient_uuid", "left")
+    out = (base.join(names, F.col("patient_id") == F.col("__np"), "left")
            .join(ident, F.col("patient_id") == F.col("__ip"), "left")
            .join(addr, F.col("patient_id") == F.col("__ap"), "left")
            .join(piv, F.col("patient_id") == F.col("__tp"), "left"))
