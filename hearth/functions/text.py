@@ -12,6 +12,26 @@ from pyspark.sql import functions as F
 from .util import as_col
 
 
+_CASE_FOLDING = True
+
+
+def set_case_folding(enabled: bool) -> None:
+    """Choose how ``ci_eq`` / ``ci_in`` compare text.
+
+    Folding (the default) matches the source database's case-insensitive
+    collation but compiles to ``lower(trim(col))``, which parquet cannot
+    evaluate, so such filters run after the scan.  For a source whose
+    vocabulary is known to be stored in one spelling, turning folding off makes
+    them exact comparisons that are pushed into the scan.
+    """
+    global _CASE_FOLDING
+    _CASE_FOLDING = bool(enabled)
+
+
+def case_folding() -> bool:
+    return _CASE_FOLDING
+
+
 def fold(c) -> Column:
     """Case- and edge-space-insensitive form of a text column.
 
@@ -23,12 +43,17 @@ def fold(c) -> Column:
 
 
 def ci_eq(c, literal: str) -> Column:
-    """Case-insensitive equality with a literal."""
+    """Case-insensitive equality with a literal (exact when folding is off)."""
+    if not _CASE_FOLDING:
+        return as_col(c) == F.lit(literal)
     return fold(c) == F.lit(literal.strip().lower())
 
 
 def ci_in(c, literals: Iterable[str]) -> Column:
-    """Case-insensitive membership in a literal list."""
+    """Case-insensitive membership in a literal list (exact when folding is off)."""
+    literals = list(literals)
+    if not _CASE_FOLDING:
+        return as_col(c).isin(literals)
     return fold(c).isin([x.strip().lower() for x in literals])
 
 

@@ -117,7 +117,12 @@ def form_pivot(obs: DataFrame, keys: Sequence, columns: Sequence[PivotColumn], c
             concepts.update(c.strip().lower() for c in s.concept)
         else:
             concepts.add(s.concept.strip().lower())
-    rows = obs if anything or not concepts else obs.where(fold(concept_col).isin(sorted(concepts)))
+    if anything or not concepts:
+        rows = obs
+    else:
+        names = sorted({c for s in columns if s.concept is not None
+                        for c in (s.concept if isinstance(s.concept, tuple) else (s.concept,))})
+        rows = obs.where(ci_in(concept_col, names))
     key_cols = [as_col(k) for k in keys]
     piv = rows.groupBy(*key_cols).agg(*pivot_aggregates(columns, concept_col, id_col, answer_col))
     if spine is None:
