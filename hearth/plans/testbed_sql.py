@@ -585,3 +585,30 @@ SELECT o_custkey AS c_custkey, first_finished, last_open, last_urgent_date, last
        ELSE greatest(last_open, last_urgent_date) END AS latest_activity
 FROM p""",
 })
+
+EMR_STATES = f"""od AS (SELECT ox.*, CAST(ox.o_orderdate AS DATE) AS d, cx.c_mktsegment, cx.c_nationkey,
+         CAST(DATE '1940-01-01' + to_months(CAST(cx.c_nationkey * 13 AS INTEGER)) AS DATE) AS bd
+       FROM orders ox JOIN customer cx ON cx.c_custkey = ox.o_custkey),
+st AS (SELECT a.*, (SELECT min(b.d) FROM od b WHERE b.o_custkey = a.o_custkey AND b.d > a.d) AS nd FROM od a)"""
+
+SQL.update({
+    "emr_state": f"""WITH {EMR_STATES}
+SELECT st.o_orderkey AS program_state_id, md5('ps' || CAST(st.o_orderkey AS VARCHAR)) AS uuid,
+  st.o_custkey AS program_enrollment_id, st.o_custkey AS patient_id, st.c_mktsegment AS program,
+  'order status' AS workflow, st.o_orderstatus AS state, st.d AS start_date,
+  CAST({full_years("st.bd", "st.d")} AS BIGINT) AS age_years_at_start,
+  CAST({full_months("st.bd", "st.d")} AS BIGINT) AS age_months_at_start, st.nd AS end_date,
+  CAST(CASE WHEN st.nd IS NULL THEN NULL ELSE {full_years("st.bd", "st.nd")} END AS BIGINT) AS age_years_at_end,
+  CAST(CASE WHEN st.nd IS NULL THEN NULL ELSE {full_months("st.bd", "st.nd")} END AS BIGINT) AS age_months_at_end,
+  n.n_name AS location
+FROM st LEFT JOIN nation n ON n.n_nationkey = st.c_nationkey""",
+
+    "emr_register": f"""WITH {EMR_STATES},
+done AS (SELECT o_custkey, CAST(max(CASE WHEN o_orderstatus = 'F' THEN o_orderdate END) AS DATE) AS completion
+         FROM orders GROUP BY o_custkey)
+SELECT st.o_orderkey AS episode_id, st.o_custkey AS program_enrollment_id, st.o_custkey AS patient_id,
+  n.n_name AS location, st.d AS start_date, coalesce(st.nd, done.completion) AS end_date,
+  (SELECT arg_min(c.o_orderstatus, c.o_orderkey) FROM od c WHERE c.o_custkey = st.o_custkey AND c.d = st.nd) AS outcome
+FROM st JOIN done ON done.o_custkey = st.o_custkey LEFT JOIN nation n ON n.n_nationkey = st.c_nationkey
+WHERE st.o_orderstatus = 'O'""",
+})
