@@ -612,3 +612,16 @@ SELECT st.o_orderkey AS episode_id, st.o_custkey AS program_enrollment_id, st.o_
 FROM st JOIN done ON done.o_custkey = st.o_custkey LEFT JOIN nation n ON n.n_nationkey = st.c_nationkey
 WHERE st.o_orderstatus = 'O'""",
 })
+
+SQL.update({
+    "emr_dim_date": """WITH d AS (
+  SELECT CAST(DATE '1940-01-01' + to_months(CAST(c_nationkey * 13 AS INTEGER)) AS DATE) AS full_date FROM customer
+  UNION SELECT CAST(o_orderdate AS DATE) FROM orders
+  UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem
+  UNION SELECT CAST(ts AS DATE) FROM events
+  UNION SELECT CAST(max(CASE WHEN o_orderstatus = 'F' THEN o_orderdate END) AS DATE) FROM orders GROUP BY o_custkey
+  UNION SELECT CAST(NULL AS DATE))
+SELECT CAST(row_number() OVER (ORDER BY full_date NULLS FIRST) AS BIGINT) AS date_id, full_date,
+  CAST(year(full_date) AS INTEGER) AS year, CAST(month(full_date) AS INTEGER) AS month,
+  CAST(day(full_date) AS INTEGER) AS day FROM d""",
+})
