@@ -186,13 +186,14 @@ def rw_last_obs_in_period(flat: dict, concepts, periods: DataFrame) -> DataFrame
                        "obs_group_id")
 
 
-def rw_last_vl_include_blanks(flat: dict, periods: DataFrame, programs=HIV_PROGRAMS) -> DataFrame:
+def rw_last_vl_include_blanks(flat: dict, periods: DataFrame, programs=HIV_PROGRAMS,
+                              concept: str = VIRAL_LOAD) -> DataFrame:
     """R-LVL (W6): every patient enrolled in an HIV programme x period, with the
-    single latest viral load on or before the end (same-date tie -> smallest id),
-    or nulls."""
+    single latest viral load (``concept``) on or before the end (same-date tie
+    -> smallest id), or nulls."""
     cohort = flat["omrs_program_enrollment"].where(H.ci_in("program", programs)).select("patient_id").distinct()
     cohort = cohort.join(flat["omrs_patient"].select("patient_id"), "patient_id", "left_semi")
-    vl = flat["omrs_obs"].where(H.ci_eq("concept", VIRAL_LOAD))
+    vl = flat["omrs_obs"].where(H.ci_eq("concept", concept))
     cols = ["concept", "encounter_type", "location", "value_coded", "value_date", "value_numeric", "value_text",
             "obs_group_id"]
     snap = O.snapshot_with_blanks(cohort, vl, ["patient_id"], "obs_date", "obs_id", periods, cols)

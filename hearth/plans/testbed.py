@@ -916,6 +916,14 @@ def emr_last_obs(spark, sf):
     return rw_last_obs_in_period(_emr_flat(spark, sf), ["purchase", "R"], _quarters(spark))
 
 
+def emr_latest_per_period(spark, sf):
+    """R-LVL (W6) over the derived source: every BUILDING-programme patient x
+    week of January 2024 with the latest purchase on or before the week end, or blanks."""
+    from .rwanda import rw_last_vl_include_blanks
+    weeks = O.week_periods(spark, "2024-01-01", 5)
+    return rw_last_vl_include_blanks(_emr_flat(spark, sf), weeks, programs=["BUILDING"], concept="purchase")
+
+
 def emr_register(spark, sf):
     """M-RART shape over the derived source: one row per open-order state
     episode, ended by the next order (else enrollment completion), outcome =
@@ -1037,5 +1045,6 @@ QUERIES = {
     "emr_fact_numeric": emr_fact_numeric,
     "emr_urgent_visits": emr_urgent_visits,
     "emr_last_obs": emr_last_obs,
+    "emr_latest_per_period": emr_latest_per_period,
     "emr_register": emr_register,
 }

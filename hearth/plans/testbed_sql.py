@@ -625,3 +625,20 @@ SELECT CAST(row_number() OVER (ORDER BY full_date NULLS FIRST) AS BIGINT) AS dat
   CAST(year(full_date) AS INTEGER) AS year, CAST(month(full_date) AS INTEGER) AS month,
   CAST(day(full_date) AS INTEGER) AS day FROM d""",
 })
+
+SQL.update({
+    "emr_latest_per_period": """WITH w AS (SELECT CAST(DATE '2024-01-01' + INTERVAL (7 * i + 6) DAY AS DATE) AS end_date
+                                FROM range(5) t(i)),
+coh AS (SELECT c_custkey AS patient_id FROM customer
+        WHERE c_mktsegment = 'BUILDING' AND c_custkey IN (SELECT o_custkey FROM orders)),
+p AS (SELECT user_id AS patient_id, event_id AS obs_id, CAST(ts AS DATE) AS d, value FROM events
+      WHERE event_type = 'purchase' AND user_id IN (SELECT c_custkey FROM customer)),
+j AS (SELECT coh.patient_id, w.end_date, p.obs_id, p.d, p.value,
+        row_number() OVER (PARTITION BY coh.patient_id, w.end_date ORDER BY p.d DESC NULLS LAST, p.obs_id ASC) AS rn
+      FROM coh CROSS JOIN w LEFT JOIN p ON p.patient_id = coh.patient_id AND p.d <= w.end_date)
+SELECT patient_id, CASE WHEN obs_id IS NULL THEN NULL ELSE 'purchase' END AS concept, obs_id, end_date,
+  d AS last_obs_date, CAST(NULL AS VARCHAR) AS encounter_type, CAST(NULL AS VARCHAR) AS location,
+  CAST(NULL AS VARCHAR) AS value_coded, CAST(NULL AS DATE) AS value_date, value AS value_numeric,
+  CAST(NULL AS VARCHAR) AS value_text, CAST(NULL AS BIGINT) AS obs_group_id
+FROM j WHERE rn = 1""",
+})
