@@ -924,6 +924,26 @@ def emr_latest_per_period(spark, sf):
     return rw_last_vl_include_blanks(_emr_flat(spark, sf), weeks, programs=["BUILDING"], concept="purchase")
 
 
+def emr_calculated_visit(spark, sf):
+    """R-CVIS over the derived encounters."""
+    from .rwanda import rw_calculated_visit
+    return rw_calculated_visit(_emr_flat(spark, sf))
+
+
+def emr_mw_patient(spark, sf):
+    """M-PAT over the derived flat layer."""
+    from .malawi import mw_patient
+    return mw_patient(_emr_flat(spark, sf))
+
+
+def emr_anonymised_encounter(spark, sf):
+    """X1 over the derived encounters: ids hashed, dates to quarter starts, ages
+    in months to 3-month buckets, person-identifying columns dropped."""
+    from .anonymise import anonymise_warehouse
+    flat = _emr_flat(spark, sf)
+    return anonymise_warehouse({"omrs_encounter": flat["omrs_encounter"]})["omrs_encounter"]
+
+
 def emr_register(spark, sf):
     """M-RART shape over the derived source: one row per open-order state
     episode, ended by the next order (else enrollment completion), outcome =
@@ -1046,5 +1066,8 @@ QUERIES = {
     "emr_urgent_visits": emr_urgent_visits,
     "emr_last_obs": emr_last_obs,
     "emr_latest_per_period": emr_latest_per_period,
+    "emr_calculated_visit": emr_calculated_visit,
+    "emr_mw_patient": emr_mw_patient,
+    "emr_anonymised_encounter": emr_anonymised_encounter,
     "emr_register": emr_register,
 }

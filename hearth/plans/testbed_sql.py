@@ -642,3 +642,27 @@ SELECT patient_id, CASE WHEN obs_id IS NULL THEN NULL ELSE 'purchase' END AS con
   CAST(NULL AS VARCHAR) AS value_text, CAST(NULL AS BIGINT) AS obs_group_id
 FROM j WHERE rn = 1""",
 })
+
+SQL.update({
+    "emr_calculated_visit": """SELECT DISTINCT o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS encounter_date,
+  CAST(o_custkey AS VARCHAR) || '-' || strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS visit_id
+FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)""",
+
+    "emr_mw_patient": f"""SELECT c.c_custkey AS patient_id, CAST(NULL AS VARCHAR) AS identifier, c.c_name AS first_name,
+  c.c_mktsegment AS last_name, CASE WHEN c.c_acctbal >= 0 THEN 'F' ELSE 'M' END AS gender, {EMR_BIRTH} AS birthdate,
+  false AS birthdate_estimated, CAST(NULL AS VARCHAR) AS phone_number, CAST(NULL AS VARCHAR) AS district,
+  CAST(NULL AS VARCHAR) AS traditional_authority, CAST(NULL AS VARCHAR) AS village, CAST(NULL AS VARCHAR) AS chw,
+  false AS dead, CAST(NULL AS DATE) AS death_date, md5(CAST(c.c_custkey AS VARCHAR)) AS patient_uuid
+FROM customer c""",
+
+    "emr_anonymised_encounter": f"""SELECT md5(CAST(o.o_orderkey AS VARCHAR)) AS encounter_id,
+  md5(md5('e' || CAST(o.o_orderkey AS VARCHAR))) AS uuid, md5(CAST(o.o_custkey AS VARCHAR)) AS patient_id,
+  o.o_orderpriority AS encounter_type, CAST(NULL AS VARCHAR) AS form, n.n_name AS location,
+  CAST(date_trunc('quarter', CAST(o.o_orderdate AS DATE)) AS DATE) AS encounter_date,
+  strftime(o.o_orderdate, '%H:%M:%S') AS encounter_time, CAST(NULL AS VARCHAR) AS provider_role,
+  CAST(NULL AS VARCHAR) AS visit_id,
+  CAST({full_years(EMR_BIRTH, "CAST(o.o_orderdate AS DATE)")} AS BIGINT) AS age_years_at_encounter,
+  CAST(1 + 3 * floor(({full_months(EMR_BIRTH, "CAST(o.o_orderdate AS DATE)")} - 1) / 3) AS BIGINT) AS age_months_at_encounter,
+  CAST(date_trunc('quarter', CAST(o.o_orderdate AS DATE)) AS DATE) AS date_created
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+})
