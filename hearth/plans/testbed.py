@@ -903,6 +903,13 @@ def emr_fact_numeric(spark, sf):
     return build_star(spark, _emr_star_input(spark, sf))["fact_patient_numeric_value"]
 
 
+def emr_fact_event(spark, sf):
+    """X-EVENT over the derived flat layer: births, encounters, enrollments and
+    completions with their dimension ids (dimensions written once)."""
+    from .star import build_star
+    return build_star(spark, _emr_star_input(spark, sf))["fact_patient_event"]
+
+
 def emr_urgent_visits(spark, sf):
     """A5 through the form compiler: urgent-order visits pivoted from observations."""
     from .forms import build_form
@@ -1063,6 +1070,7 @@ QUERIES = {
     "emr_state": emr_state,
     "emr_dim_date": emr_dim_date,
     "emr_fact_numeric": emr_fact_numeric,
+    "emr_fact_event": emr_fact_event,
     "emr_urgent_visits": emr_urgent_visits,
     "emr_last_obs": emr_last_obs,
     "emr_latest_per_period": emr_latest_per_period,

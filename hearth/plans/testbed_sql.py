@@ -666,3 +666,70 @@ FROM customer c""",
   CAST(date_trunc('quarter', CAST(o.o_orderdate AS DATE)) AS DATE) AS date_created
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
 })
+
+
+def _emr_age(at: str) -> str:
+    return (f"CAST({full_years('bd', at)} AS BIGINT) AS full_years, "
+            f"CAST({full_months('bd', at)} AS BIGINT) AS full_months")
+
+
+EMR_STAR = f"""pc AS (SELECT c.c_custkey AS patient_id, c.c_mktsegment AS program, n.n_name AS location,
+         CASE WHEN c.c_acctbal >= 0 THEN 'F' ELSE 'M' END AS gender, {EMR_BIRTH} AS bd
+       FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey),
+oc AS (SELECT o.o_orderkey, o.o_orderpriority, o.o_orderstatus, CAST(o.o_orderdate AS DATE) AS d, pc.*
+       FROM orders o JOIN pc ON pc.patient_id = o.o_custkey),
+enr AS (SELECT patient_id, program, location, gender, bd, min(d) AS enrolled,
+               max(CASE WHEN o_orderstatus = 'F' THEN d END) AS completed FROM oc
+        GROUP BY patient_id, program, location, gender, bd),
+nxt AS (SELECT a.*, (SELECT min(b.d) FROM oc b WHERE b.patient_id = a.patient_id AND b.d > a.d) AS nd FROM oc a),
+lines AS (SELECT CAST(l.l_shipdate AS DATE) AS d, oc.bd FROM lineitem l JOIN oc ON oc.o_orderkey = l.l_orderkey),
+evs AS (SELECT CAST(e.ts AS DATE) AS d, strftime(e.ts, '%H:%M:%S') AS t, pc.bd
+        FROM events e JOIN pc ON pc.patient_id = e.user_id),
+ages AS (SELECT {_emr_age('enrolled')} FROM enr
+         UNION SELECT {_emr_age('completed')} FROM enr WHERE completed IS NOT NULL
+         UNION SELECT {_emr_age('d')} FROM oc
+         UNION SELECT {_emr_age('nd')} FROM nxt WHERE nd IS NOT NULL
+         UNION SELECT {_emr_age('d')} FROM lines
+         UNION SELECT {_emr_age('d')} FROM evs),
+dim_age AS (SELECT *, CAST(row_number() OVER (ORDER BY full_years NULLS FIRST, full_months NULLS FIRST) AS BIGINT) AS age_id
+            FROM ages),
+dates AS (SELECT bd AS full_date FROM pc UNION SELECT d FROM oc UNION SELECT completed FROM enr
+          UNION SELECT d FROM lines UNION SELECT d FROM evs UNION SELECT CAST(NULL AS DATE)),
+dim_date AS (SELECT full_date, CAST(row_number() OVER (ORDER BY full_date NULLS FIRST) AS BIGINT) AS date_id FROM dates),
+times AS (SELECT '00:00:00' AS full_time UNION SELECT t FROM evs),
+dim_time AS (SELECT full_time, CAST(row_number() OVER (ORDER BY full_time) AS BIGINT) AS time_id FROM times),
+dim_loc AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS location_id FROM (
+            SELECT min(n_name) AS name FROM nation GROUP BY lower(trim(n_name))) x),
+dim_prog AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS program_id FROM (
+             SELECT min(program) AS name FROM enr GROUP BY lower(trim(program))) x),
+dim_et AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS encounter_type_id FROM (
+           SELECT min(o_orderpriority) AS name FROM oc GROUP BY lower(trim(o_orderpriority))) x),
+g AS (SELECT * FROM (VALUES ('M', 1), ('F', 2)) t(code, gender_id))"""
+
+SQL.update({
+    "emr_fact_event": f"""WITH {EMR_STAR}
+SELECT pc.patient_id, CAST(g.gender_id AS BIGINT) AS gender_id, CAST(NULL AS BIGINT) AS age_id, dd.date_id,
+  CAST(NULL AS BIGINT) AS time_id, CAST(NULL AS BIGINT) AS location_id, CAST(NULL AS BIGINT) AS program_id,
+  CAST(NULL AS BIGINT) AS encounter_type_id, CAST(4 AS BIGINT) AS event_id
+FROM pc LEFT JOIN g ON g.code = pc.gender LEFT JOIN dim_date dd ON dd.full_date = pc.bd
+UNION ALL
+SELECT oc.patient_id, g.gender_id, a.age_id, dd.date_id, t.time_id, l.location_id, NULL, et.encounter_type_id, 3
+FROM oc JOIN dim_et et ON lower(trim(et.name)) = lower(trim(oc.o_orderpriority))
+LEFT JOIN g ON g.code = oc.gender
+LEFT JOIN dim_age a ON a.full_years = {full_years('oc.bd', 'oc.d')} AND a.full_months = {full_months('oc.bd', 'oc.d')}
+LEFT JOIN dim_date dd ON dd.full_date = oc.d LEFT JOIN dim_time t ON t.full_time = '00:00:00'
+LEFT JOIN dim_loc l ON lower(trim(l.name)) = lower(trim(oc.location))
+UNION ALL
+SELECT e.patient_id, g.gender_id, a.age_id, dd.date_id, NULL, l.location_id, p.program_id, NULL, 1
+FROM enr e JOIN dim_prog p ON lower(trim(p.name)) = lower(trim(e.program))
+LEFT JOIN g ON g.code = e.gender
+LEFT JOIN dim_age a ON a.full_years = {full_years('e.bd', 'e.enrolled')} AND a.full_months = {full_months('e.bd', 'e.enrolled')}
+LEFT JOIN dim_date dd ON dd.full_date = e.enrolled LEFT JOIN dim_loc l ON lower(trim(l.name)) = lower(trim(e.location))
+UNION ALL
+SELECT e.patient_id, g.gender_id, a.age_id, dd.date_id, NULL, l.location_id, p.program_id, NULL, 2
+FROM enr e JOIN dim_prog p ON lower(trim(p.name)) = lower(trim(e.program))
+LEFT JOIN g ON g.code = e.gender
+LEFT JOIN dim_age a ON a.full_years = {full_years('e.bd', 'e.completed')} AND a.full_months = {full_months('e.bd', 'e.completed')}
+LEFT JOIN dim_date dd ON dd.full_date = e.completed LEFT JOIN dim_loc l ON lower(trim(l.name)) = lower(trim(e.location))
+WHERE e.completed IS NOT NULL""",
+})
