@@ -733,3 +733,25 @@ LEFT JOIN dim_age a ON a.full_years = {full_years('e.bd', 'e.completed')} AND a.
 LEFT JOIN dim_date dd ON dd.full_date = e.completed LEFT JOIN dim_loc l ON lower(trim(l.name)) = lower(trim(e.location))
 WHERE e.completed IS NOT NULL""",
 })
+
+SQL.update({
+    "emr_fact_numeric": f"""WITH {EMR_STAR},
+nq AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS numeric_question_id FROM (
+         SELECT min(v) AS name FROM (SELECT l_returnflag AS v FROM lineitem UNION ALL SELECT event_type FROM events) x
+         GROUP BY lower(trim(v))) y),
+obs AS (SELECT oc.patient_id, oc.gender, oc.bd, CAST(l.l_shipdate AS DATE) AS d, '00:00:00' AS t, oc.location,
+               oc.o_orderpriority AS etype, l.l_returnflag AS concept, l.l_extendedprice AS v
+        FROM lineitem l JOIN oc ON oc.o_orderkey = l.l_orderkey
+        UNION ALL
+        SELECT pc.patient_id, pc.gender, pc.bd, CAST(e.ts AS DATE), strftime(e.ts, '%H:%M:%S'), CAST(NULL AS VARCHAR),
+               CAST(NULL AS VARCHAR), e.event_type, e.value
+        FROM events e JOIN pc ON pc.patient_id = e.user_id)
+SELECT obs.patient_id, CAST(g.gender_id AS BIGINT) AS gender_id, a.age_id, dd.date_id, t.time_id, l.location_id,
+  CAST(NULL AS BIGINT) AS program_id, et.encounter_type_id, nq.numeric_question_id, obs.v AS numeric_value
+FROM obs JOIN nq ON lower(trim(nq.name)) = lower(trim(obs.concept))
+LEFT JOIN g ON g.code = obs.gender
+LEFT JOIN dim_age a ON a.full_years = {full_years('obs.bd', 'obs.d')} AND a.full_months = {full_months('obs.bd', 'obs.d')}
+LEFT JOIN dim_date dd ON dd.full_date = obs.d LEFT JOIN dim_time t ON t.full_time = obs.t
+LEFT JOIN dim_loc l ON lower(trim(l.name)) = lower(trim(obs.location))
+LEFT JOIN dim_et et ON lower(trim(et.name)) = lower(trim(obs.etype))""",
+})

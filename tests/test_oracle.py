@@ -40,7 +40,7 @@ def duck():
 
 # Warehouse jobs whose output has hashed ids or spans the whole derived layer; they are checked
 # against brute force on the smallest tables in test_emr_bruteforce.py instead.
-BRUTE_FORCE = {"emr_obs", "emr_fact_numeric", "emr_last_obs"}
+BRUTE_FORCE = {"emr_obs", "emr_last_obs"}
 
 
 def test_every_query_has_an_oracle():
