@@ -81,8 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names this folder (a distributed file system path every
-    executor can reach).  Only when it is unset -- local runs and tests -- do we
-    pick a fresh scratch folder of our own.
+    executor can reach).  Only when it is unset on a local master -- local
+    runs and tests -- do we pick a fresh scratch folder of our own; on a
+    cluster an unset folder is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -93,6 +94,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder every "
+                           "executor can reach (a machine-local folder would not survive a lost executor)")
     local = tempfile.mkdtemp(prefix="hearth-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
