@@ -22,7 +22,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_col
 
 _T, _K, _TB, _P, _B, _IN, _NEXT = "__t", "__k", "__tb", "__p", "__b", "__in", "__next"
 

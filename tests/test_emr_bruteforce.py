@@ -1,7 +1,6 @@
 """Brute-force checks (pandas over the smallest test tables) for the warehouse
 jobs over the derived EMR source that have no SQL oracle."""
 
-import datetime as dt
 
 import pandas as pd
 import pytest
