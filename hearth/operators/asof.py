@@ -1,6 +1,6 @@
 """As-of lookups (J11, J12, J13) and the "first after the last other" rule.
 
-The reference answers these with correlated ``ORDER BY ... LIMIT 1``
+The source jobs answer these with correlated ``ORDER BY ... LIMIT 1``
 subqueries run once per row.  Here an as-of join is one union of both sides
 plus one window -- never a join that pairs every left row with every right row
 of its group.

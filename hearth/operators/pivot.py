@@ -1,6 +1,6 @@
 """Entity-attribute-value pivots and per-group flags.
 
-The reference builds a form table with one scan and one merge join per
+The source jobs build a form table with one scan and one merge join per
 column (up to 66 scans for one table).  Here a form is compiled from a list
 of ``PivotColumn`` specs into ONE ``groupBy(keys).agg(...)`` over the joined
 observations -- one scan, one shuffle with map-side partial aggregation (a hot
