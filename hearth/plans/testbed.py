@@ -952,6 +952,20 @@ def emr_anonymised_encounter(spark, sf):
     return anonymise_warehouse({"omrs_encounter": flat["omrs_encounter"]})["omrs_encounter"]
 
 
+def emr_active_cohort(spark, sf, as_of: str = T_ORDER):
+    """RP2 through the report code: patients with an open-order episode on the
+    report date (the derived register), their last visit on or before it and
+    the appointment set there, days late / days to next."""
+    from .forms import build_form
+    from .malawi import state_episodes
+    from .reports import active_cohort
+    from .testbed_emr import VISITS_FORM
+    flat = _emr_flat(spark, sf)
+    register = state_episodes(flat, None, "order status", "O")
+    visits = build_form(flat, VISITS_FORM)
+    return active_cohort(register, visits, None, as_of, visit_id="visit_id")
+
+
 def emr_register(spark, sf):
     """M-RART shape over the derived source: one row per open-order state
     episode, ended by the next order (else enrollment completion), outcome =
@@ -1078,5 +1092,6 @@ QUERIES = {
     "emr_calculated_visit": emr_calculated_visit,
     "emr_mw_patient": emr_mw_patient,
     "emr_anonymised_encounter": emr_anonymised_encounter,
+    "emr_active_cohort": emr_active_cohort,
     "emr_register": emr_register,
 }

@@ -29,6 +29,8 @@ from .lazy import LazyTables
 
 LINE_OBS_BASE = 1_000_000_000_000
 ORDER_OBS_BASE = 2_000_000_000_000
+APPT_OBS_BASE = 3_000_000_000_000
+APPT_CONCEPT = "Appointment date"
 CREATED = "2000-01-01 00:00:00"
 STATUS_CONCEPT = "order status"
 
@@ -62,7 +64,8 @@ class _Derived:
         vocab = O.union_distinct([li.select(F.col("l_returnflag").alias("v")), li.select(F.col("l_linestatus").alias("v")),
                                   ev.select(F.col("event_type").alias("v")), self.o.select(F.col("o_orderstatus").alias("v")),
                                   self.c.select(F.col("c_mktsegment").alias("v")),
-                                  self.o.select(F.lit(STATUS_CONCEPT).alias("v"))])
+                                  self.o.select(F.lit(STATUS_CONCEPT).alias("v")),
+                                  self.o.select(F.lit(APPT_CONCEPT).alias("v"))])
         return _names(vocab, "v", "concept_id")
 
     def cid(self, as_name):
@@ -145,7 +148,16 @@ class _Derived:
             F.col("o_orderkey").alias("encounter_id"), self.key(F.lit(STATUS_CONCEPT)).alias("concept_id"),
             F.col("o_orderdate").alias("obs_datetime"), self.key("o_orderstatus").alias("value_coded"),
             F.lit(False).alias("voided"), F.col("o_orderdate").alias("date_created"))
-        return line_obs.unionByName(event_obs, allowMissingColumns=True).unionByName(order_obs, allowMissingColumns=True)
+        # the appointment set at each order: its last ship date (orders without lines set none)
+        appt_obs = (li.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("__appt"))
+                    .join(self.o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey")
+                    .select((F.lit(APPT_OBS_BASE) + F.col("l_orderkey")).alias("obs_id"),
+                            F.col("o_custkey").alias("person_id"), F.col("l_orderkey").alias("encounter_id"),
+                            self.key(F.lit(APPT_CONCEPT)).alias("concept_id"), F.col("o_orderdate").alias("obs_datetime"),
+                            F.col("__appt").alias("value_datetime"), F.lit(False).alias("voided"),
+                            F.col("o_orderdate").alias("date_created")))
+        return (line_obs.unionByName(event_obs, allowMissingColumns=True)
+                .unionByName(order_obs, allowMissingColumns=True).unionByName(appt_obs, allowMissingColumns=True))
 
     def program(self):
         return self.c.select("c_mktsegment").distinct().select(
@@ -201,6 +213,11 @@ def emr_source(spark: SparkSession, sf: str) -> LazyTables:
     return LazyTables({k: builder(k) for k in SOURCE})
 
 
+# Visits of every encounter type with the appointment set there (the visit table of the reports).
+VISITS_FORM = FormSpec(
+    "emr_visits", "visit_id", ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+    (C("next_appointment_date", APPT_CONCEPT, "value_date", agg="min"),), untyped=frozenset({"next_appointment_date"}))
+
 # A form over the derived vocabulary: urgent-order visits with the cheapest line per return flag.
 URGENT_FORM = FormSpec(
     "emr_urgent_visits", "urgent_visit_id", ("1-URGENT",),

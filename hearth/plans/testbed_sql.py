@@ -755,3 +755,23 @@ LEFT JOIN dim_date dd ON dd.full_date = obs.d LEFT JOIN dim_time t ON t.full_tim
 LEFT JOIN dim_loc l ON lower(trim(l.name)) = lower(trim(obs.location))
 LEFT JOIN dim_et et ON lower(trim(et.name)) = lower(trim(obs.etype))""",
 })
+
+SQL.update({
+    "emr_active_cohort": f"""WITH {EMR_STATES},
+done AS (SELECT o_custkey, CAST(max(CASE WHEN o_orderstatus = 'F' THEN o_orderdate END) AS DATE) AS completion
+         FROM orders GROUP BY o_custkey),
+reg AS (SELECT st.o_custkey AS patient_id, coalesce(st.nd, done.completion) AS end_date
+        FROM st JOIN done ON done.o_custkey = st.o_custkey WHERE st.o_orderstatus = 'O'),
+act AS (SELECT DISTINCT patient_id FROM reg WHERE end_date IS NULL OR end_date > {T_ORDER}),
+appt AS (SELECT l_orderkey, CAST(max(l_shipdate) AS DATE) AS a FROM lineitem GROUP BY l_orderkey),
+vis AS (SELECT o.o_custkey AS patient_id, CAST(o.o_orderdate AS DATE) AS visit_date, min(appt.a) AS next_appt
+        FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN appt ON appt.l_orderkey = o.o_orderkey
+        GROUP BY o.o_custkey, CAST(o.o_orderdate AS DATE)),
+lastv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY visit_date DESC) AS rn
+                         FROM vis WHERE visit_date <= {T_ORDER}) x WHERE rn = 1)
+SELECT act.patient_id, lastv.visit_date AS last_visit_date,
+  CAST(datediff('day', lastv.visit_date, {T_ORDER}) AS INTEGER) AS last_visit_days, lastv.next_appt AS last_appt_date,
+  CASE WHEN lastv.next_appt < {T_ORDER} THEN CAST(datediff('day', lastv.next_appt, {T_ORDER}) AS INTEGER) END AS days_late_appt,
+  CASE WHEN lastv.next_appt >= {T_ORDER} THEN CAST(datediff('day', {T_ORDER}, lastv.next_appt) AS INTEGER) END AS days_to_next_appt
+FROM act LEFT JOIN lastv ON lastv.patient_id = act.patient_id""",
+})

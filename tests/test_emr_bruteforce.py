@@ -22,7 +22,11 @@ def q(spark):
 def test_emr_obs(q):
     obs = q("emr_obs")
     li, ev, o = pdf("lineitem"), pdf("events"), pdf("orders")
-    assert len(obs) == len(li) + len(ev) + len(o)
+    with_lines = li["l_orderkey"].nunique()
+    assert len(obs) == len(li) + len(ev) + len(o) + with_lines
+    appt = obs[obs["concept"] == "Appointment date"].set_index("encounter_id")["value_date"]
+    want = li.groupby("l_orderkey")["l_shipdate"].max().dt.date
+    assert appt.sort_index().to_dict() == want.sort_index().to_dict()
     status = obs[obs["concept"] == "order status"].set_index("encounter_id")["value_coded"]
     assert status.sort_index().to_dict() == o.set_index("o_orderkey")["o_orderstatus"].sort_index().to_dict()
     lines = obs[obs["concept"].isin(["A", "N", "R"])]
