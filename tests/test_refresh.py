@@ -18,3 +18,17 @@ def test_refresh_writes_every_layer(spark):
     assert res["mart"]["mw_art_register"].count() == 3
     assert res["flat"]["omrs_patient"].count() == 8
     assert "first_name" not in res["anonymised"]["omrs_patient"].columns
+
+
+def test_refresh_rwanda_and_liberia_paths(spark):
+    root = tempfile.mkdtemp(prefix="hearth-refresh-rl-")
+    src_dir = os.path.join(root, "src")
+    for name, df in build(spark).items():
+        df.write.parquet(os.path.join(src_dir, name))
+    rw = refresh(spark, src_dir, os.path.join(root, "rw"), "rwanda", periods_from="2018-01-01", periods_to="2019-12-31")
+    assert set(rw["mart"]) >= {"rw_order", "rw_bill", "rw_onc_diagnosis", "rw_calculated_visit",
+                               "rw_last_vl_include_blanks"}
+    assert rw["mart"]["rw_calculated_visit"].count() > 0
+    lb = refresh(spark, src_dir, os.path.join(root, "lb"), "liberia")
+    assert set(lb["mart"]) == {"mh_encounter", "rx_prescriptions", "program_statistics", "program_enrollment"}
+    assert lb["mart"]["program_enrollment"].count() == 7
