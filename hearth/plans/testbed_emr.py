@@ -176,14 +176,22 @@ class _Derived:
             F.to_date("__first").alias("date_enrolled"), F.to_date("__done").alias("date_completed"),
             F.col("c_nationkey").cast("long").alias("location_id"), F.lit(False).alias("voided"))
 
+    @staticmethod
+    def _one_from(col):
+        """The workflow id 1 written as an expression of a data column: a literal
+        on both sides would let the optimizer fold the join condition away and
+        plan a cartesian product instead of an equi-join."""
+        return (F.length(F.col(col)) * 0 + 1).cast("long")
+
     def program_workflow(self):
-        return self.spark.range(1).select(F.lit(1).cast("long").alias("program_workflow_id"),
-                                          self.key(F.lit(STATUS_CONCEPT)).alias("concept_id"))
+        return self.concepts.where(F.col("name") == STATUS_CONCEPT).select(
+            self._one_from("name").alias("program_workflow_id"), "concept_id")
 
     def program_workflow_state(self):
         st = self.o.select("o_orderstatus").distinct()
         return st.select(self.key("o_orderstatus").alias("program_workflow_state_id"),
-                         F.lit(1).cast("long").alias("program_workflow_id"), self.key("o_orderstatus").alias("concept_id"))
+                         self._one_from("o_orderstatus").alias("program_workflow_id"),
+                         self.key("o_orderstatus").alias("concept_id"))
 
     def patient_state(self):
         o = self.o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")

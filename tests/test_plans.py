@@ -77,3 +77,9 @@ def test_exact_comparisons_push_down_when_folding_is_off(spark):
         assert "In(l_returnflag, [A])" in p2 or "EqualTo(l_returnflag,A)" in p2
     finally:
         H.set_case_folding(True)
+
+
+def test_no_registered_query_plans_a_cartesian_product(spark):
+    import __spark_entry__ as E
+    bad = [n for n, fn in E.queries().items() if "CartesianProduct" in plan(fn(spark, SF))]
+    assert not bad, bad
