@@ -1,7 +1,9 @@
 """Queries of the training-data operators and, where SQL can say the same, their DuckDB SQL."""
 
+from hearth.llm.bpe import op3_bpe
+from hearth.llm.packing import op8_packing
 from hearth.llm.simhash import op4_simhash
 from hearth.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op4_simhash, op8_packing, op10_toxicity)}
 SQL: dict[str, str] = {}
