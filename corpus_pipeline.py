@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import simhash, toxicity
+from hearth.llm import packing, simhash, suffix_dedup, toxicity
 from hearth.llm._common import written
 
 STAGES = [
     ("toxicity", toxicity.clean_documents),
     ("simhash_near_dedup", simhash.one_of_each_group),
+    ("suffix_array_dedup", suffix_dedup.without_repeats),
+    ("packing", packing.packed_documents),
 ]
 
 ORACLE_SQL = None
