@@ -1,10 +1,12 @@
 """Queries of the training-data operators and, where SQL can say the same, their DuckDB SQL."""
 
+from hearth.llm.ann import op7_ann
 from hearth.llm.bpe import op3_bpe
+from hearth.llm.licenses import op6_licenses
 from hearth.llm.packing import op8_packing
 from hearth.llm.simhash import op4_simhash
 from hearth.llm.suffix_dedup import op9_suffix_dedup
 from hearth.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op4_simhash, op8_packing, op9_suffix_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op4_simhash, op6_licenses, op7_ann, op8_packing, op9_suffix_dedup, op10_toxicity)}
 SQL: dict[str, str] = {}
