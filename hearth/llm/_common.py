@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +20,26 @@ from hearth.session import scratch_table_path
 CHUNK_CHARS = 1 << 20
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once a session: a zip in the
+    shared folder.  Functions that run in tasks are looked up by module name."""
+    sc = spark.sparkContext
+    if getattr(sc, "_hearth_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    path = scratch_table_path(spark, "package") + "/hearth.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    sc.addPyFile(path)
+    sc._hearth_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -25,6 +48,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: later steps read the
     files, so a lost executor never repeats what led to them."""
     spark = df.sparkSession
+    ship_package(spark)
     path = scratch_table_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -32,6 +56,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns ``id`` (long) and ``text`` (null text: empty), whatever else the table holds."""
+    ship_package(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
@@ -53,6 +78,7 @@ def map_text(df: DataFrame, fn: Callable[[list[str]], list], out: T.StructType,
     append its columns.  ``fn`` returns one list per field of ``out``.  A null
     text reaches ``fn`` as the empty text.  ``keep`` names the input columns
     that stay (default: all)."""
+    ship_package(df.sparkSession)
     keep = list(df.columns) if keep is None else keep
     df = df.select(*dict.fromkeys([*keep, text_col]))
     schema = T.StructType([df.schema[c] for c in keep] + list(out.fields))

@@ -1,6 +1,7 @@
 """Queries of the training-data operators and, where SQL can say the same, their DuckDB SQL."""
 
 from hearth.llm.ann import op7_ann
+from hearth.llm.attention_lm import op5_attention_lm
 from hearth.llm.bpe import op3_bpe
 from hearth.llm.chat import op2_chat
 from hearth.llm.licenses import op6_licenses
@@ -10,7 +11,7 @@ from hearth.llm.simhash import op4_simhash
 from hearth.llm.suffix_dedup import op9_suffix_dedup
 from hearth.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_chat, op3_bpe, op4_simhash, op6_licenses, op7_ann, op8_packing, op9_suffix_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_chat, op3_bpe, op4_simhash, op5_attention_lm, op6_licenses, op7_ann, op8_packing, op9_suffix_dedup, op10_toxicity)}
 # the turns of a conversation as they stand in the table, and the template's length of each
 _TEMPLATE = len("<|im_start|>") + len("\n") + len("<|im_end|>\n")
 SQL: dict[str, str] = {

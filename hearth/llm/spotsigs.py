@@ -1,7 +1,9 @@
 """SpotSigs fingerprints, with DataFrame functions only.
 
-A spot signature is an anchor -- one of the corpus's most common words -- and
-the ``chain`` content words (words that are no anchors) that follow it.  A
+A spot signature is an anchor -- one of the corpus's most common words, or, so
+that tables and lists have spots too, a word whose hash falls on one value in
+``extra`` -- and the ``chain`` content words (words that are no anchors) that
+follow it.  A
 text's fingerprint is the sorted set of its signatures' 32-bit hashes, written
 as hex.  Likeness is the Jaccard of two sets; sets are partitioned by their
 length, and where the lengths alone keep the Jaccard below the wanted least
@@ -37,9 +39,13 @@ def common_words(docs: DataFrame, anchors: int = 200, text_col: str = "text") ->
     return [r["w"] for r in each.orderBy(F.col("n").desc(), "w").limit(anchors).collect()]
 
 
-def with_signatures(df: DataFrame, text_col: str, out_col: str, common: list[str], chain: int = 2) -> DataFrame:
+def with_signatures(df: DataFrame, text_col: str, out_col: str, common: list[str], chain: int = 2,
+                    extra: int = 8) -> DataFrame:
     """Append ``out_col``: the sorted set of the text's signatures (int)."""
-    is_common = (lambda x: x.isin(common)) if common else (lambda x: F.lit(False))
+    def is_common(x):
+        chosen = F.pmod(F.xxhash64(x), F.lit(extra)) == 0
+        return x.isin(common) | chosen if common else chosen
+
     keep = df.columns
     # three steps, so that no array is made anew inside another's function
     df = df.select(*keep, _words(F.col(text_col)).alias("__w"))
