@@ -41,6 +41,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -150,6 +150,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, sample_rows: int = 20_000,
            part_rows: int = 4_096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) for every row that ``is_query`` (a
     condition on ``id``) picks, against every row but its own."""
+    C.ship_package(vectors.sparkSession)
     rows = C.written(usable(vectors, id_col, vector_col), "ann-rows")
     spark = rows.sparkSession
     name = ["h1", "h2"]

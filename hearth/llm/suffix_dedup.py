@@ -7,14 +7,20 @@
    equal only if their contexts' anchors are.
 2. Equal contexts with equal anchors are counted before anything else moves;
    one of each stands for all.  Anchors that occur once end here.
-3. Shard arrays.  The distinct contexts of an anchor -- in blocks of about
-   ``block_contexts`` where there are many -- form one string.  Its suffix array
-   is made by induced sorting (``suffix_sort``: classify suffixes, sort the
-   leftmost-smaller substrings recursively, induce), and the permuted common
-   prefixes give the runs of suffixes that share ``length`` bytes.  A run that
-   stands for two or more places repeats.  Where an anchor has several blocks,
-   each block returns one digest of each run, and runs with equal 128-bit
-   digests are added up across blocks; no block has to hold a hot anchor.
+   An anchor with one kind of context, found at several places, repeats as a
+   whole: all its windows are equal pairwise.
+3. Shard arrays.  The distinct contexts of an anchor form one string.  Its
+   suffix array is made by induced sorting (``suffix_sort``: classify suffixes,
+   sort the leftmost-smaller substrings recursively, induce), and the permuted
+   common prefixes give the runs of suffixes that share ``length`` bytes.  A
+   run that stands for two or more places repeats.
+   An anchor with more than ``block_contexts`` kinds first gets longer: each of
+   its contexts is cut into ``REFINE`` parts by how far a window reaches back
+   from the anchor, and all windows of a part share far more bytes, which name
+   its new group.  Groups that are still large are dealt to blocks of about
+   ``block_contexts``; each block returns one digest of each of its runs, and
+   runs with equal 128-bit digests are added up across blocks.  So no task has
+   to hold a hot anchor.
 4. Repeated windows go back to all contexts they stand for and are merged to
    spans document by document.
 
@@ -39,7 +45,7 @@ from pyspark.sql import types as T
 from hearth.llm import _common as C
 from hearth.llm.suffix_sort import permuted_prefixes, suffix_arrays
 
-KGRAM = 32
+KGRAM, REFINE = 32, 4
 _BYTE = np.random.default_rng(42).integers(1, 2**63, 256, dtype=np.uint64)   # a random value for each byte
 _STEP = 0x9E3779B97F4A7C15
 
@@ -66,13 +72,12 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(texts: list[bytes], length: int):
-    """(text, anchor hash, context digest, first byte, bytes) of every context, as arrays."""
-    out = [[], [], [], [], []]
+    """(text, anchor hash, context digest, first byte, bytes, the anchor's byte) of every context, as arrays."""
     digest = xxhash.xxh3_64_intdigest
     width = length - KGRAM + 1
     long = [i for i, t in enumerate(texts) if len(t) >= length]
     if not long:
-        return [np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int32, np.int32)]
+        return [np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)]
     data = b"".join(texts[i] for i in long)
     sizes = np.array([len(texts[i]) for i in long])
     begins = np.cumsum(sizes) - sizes
@@ -88,7 +93,24 @@ def contexts(texts: list[bytes], length: int):
     begin, end = at[new], at[last] + length
     ctx = np.array([digest(data[a:b]) for a, b in zip(begin.tolist(), end.tolist())], np.uint64).view(np.int64)
     return [np.array(long)[own[new]], h[chosen[new].astype(np.int64)].view(np.int64), ctx,
-            (begin - begins[own[new]]).astype(np.int32), (end - begin).astype(np.int32)]
+            (begin - begins[own[new]]).astype(np.int32), (end - begin).astype(np.int32),
+            (chosen[new].astype(np.int64) - begins[own[new]]).astype(np.int32)]
+
+
+def refined(data: bytes, anchor: int, length: int):
+    """(group, digest, first byte, bytes) of the parts of one context: windows
+    that reach back from the anchor alike share ``length`` - reach / REFINE bytes around it."""
+    out, reach = [], length - KGRAM
+    step = -(-reach // REFINE)
+    windows = len(data) - length + 1
+    for j in range(REFINE):
+        # windows that begin step * j .. step * (j + 1) - 1 bytes before the anchor
+        a, b = max(anchor - step * (j + 1) + 1, 0), min(anchor - step * j, windows - 1)
+        if a <= b:
+            back, ahead = step * j, max(reach - step * (j + 1) + 1, 0)
+            shared = data[anchor - back:anchor + KGRAM + ahead]
+            out.append((xxhash.xxh3_64_intdigest(shared, seed=j + 1), xxhash.xxh3_64_intdigest(data[a:b + length]), a, b + length - a))
+    return out
 
 
 def _utf8(texts: list[str]) -> list[bytes]:
@@ -102,7 +124,7 @@ def _find(docs: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for start, texts in C.chunks(batch.column(2)):
-                row, fp, ctx, at, n = contexts(_utf8(texts), length)
+                row, fp, ctx, at, n, _ = contexts(_utf8(texts), length)
                 row = pa.array(row + start)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(fp), pa.array(ctx),
                                                   pa.array(at), pa.array(n)], names=["id", "th", "fp", "ctx", "at", "n"])
@@ -211,39 +233,105 @@ def _shards(wanted: DataFrame, length: int, letters: int) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
-def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 8, letters: int = 1 << 20) -> DataFrame:
+def _kinds(found: DataFrame, *one: str) -> DataFrame:
+    """(fp, ctx, places, all, kinds, one columns): the distinct contexts of the
+    anchors that occur more than once, written.  ``found`` (fp, ctx, places, ...)."""
+    distinct = found.groupBy("fp", "ctx").agg(F.sum("places").alias("places"), F.min(F.struct(*one)).alias("one"))
+    shared = distinct.groupBy("fp").agg(F.sum("places").alias("all"), F.count(F.lit(1)).alias("kinds")).filter(F.col("all") > 1)
+    return C.written(distinct.join(shared, "fp").select("fp", "ctx", "places", "all", "kinds", "one.*"), "suffix-kinds")
+
+
+def _pack(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``text`` as a compressed binary column ``z``: what the shuffles carry."""
+    keep = [c for c in docs.columns if c != text]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("z", T.BinaryType())])
+
+    def run(batches):
+        import zstandard
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text))
+            z = [press(t) for _, texts in C.chunks(column) for t in _utf8(texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in keep] + [pa.array(z, pa.binary())],
+                                             names=schema.names)
+
+    return docs.select(*keep, text).mapInArrow(run, schema)
+
+
+def _unpack(column) -> list[bytes]:
+    import zstandard
+    return list(map(zstandard.ZstdDecompressor().decompress, column.to_pylist()))
+
+
+def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 16, letters: int = 1 << 20) -> DataFrame:
     """``docs`` (id, th, text).  Returns (id, th, spans): for each row with a
     repeated window the array of (first, last) window starts."""
     found = C.written(_find(docs, length), "suffix-contexts")
-    distinct = found.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("places"), F.min(F.struct("id", "th", "at", "n")).alias("one"))
-    distinct = C.written(distinct, "suffix-distinct")
-    shared = distinct.groupBy("fp").agg(F.sum("places").alias("all"), F.count(F.lit(1)).alias("kinds")).filter(F.col("all") > 1)
-    blocks = F.ceil(F.col("kinds") / block_contexts).cast("int")
-    wanted = distinct.join(shared, "fp").select(
-        "fp", "ctx", "places", blocks.alias("blocks"), F.pmod(F.xxhash64("ctx"), blocks).cast("int").alias("block"), "one.*")
+    # most anchors occur once: only the others go on
+    often = found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fp")
+    found = C.written(found.join(often, "fp", "left_semi"), "suffix-shared")
+    kinds = _kinds(found.withColumn("places", F.lit(1)), "id", "th", "at", "n")
+    whole = kinds.filter("kinds = 1").select("fp", "ctx", F.lit(0).alias("first"), (F.col("n") - length).alias("last"))
+
     # the bytes of one context of each kind
-    lists = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("fp", "block", "blocks", "ctx", "places", "at", "n")).alias("cut"))
-    fetch = docs.join(lists, docs["id"].eqNullSafe(lists["id"]) & (docs["th"] == lists["th"])).select("text", "cut")
+    lists = kinds.filter("kinds > 1").groupBy("id", "th").agg(
+        F.collect_list(F.struct("fp", "ctx", "places", "kinds", "at", "n")).alias("cut"))
+    packed = _pack(docs)
+    fetch = packed.join(lists, packed["id"].eqNullSafe(lists["id"]) & (packed["th"] == lists["th"])).select("z", "cut")
 
     def slices(batches):
         for batch in batches:
-            for start, texts in C.chunks(batch.column(0)):
-                cuts = batch.column(1).slice(start, len(texts))
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                cuts, data = part.column(1), _unpack(part.column(0))
                 each = cuts.flatten()
-                rows = np.repeat(np.arange(len(texts)), [len(c) for c in cuts])
+                rows = np.repeat(np.arange(len(data)), [len(c) for c in cuts])
                 at, n = (each.field(k).to_numpy() for k in ("at", "n"))
-                data = _utf8(texts)
-                part = pa.array([data[r][a:a + m] for r, a, m in zip(rows.tolist(), at.tolist(), n.tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([each.field(k) for k in ("fp", "block", "blocks", "ctx", "places")] + [part],
-                                                 names=["fp", "block", "blocks", "ctx", "places", "bytes"])
-
-    ready = fetch.mapInArrow(slices, "fp long, block int, blocks int, ctx long, places long, bytes binary")
-    solved = C.written(_shards(ready, length, letters), "suffix-solved")
-    # runs of anchors with several blocks, added up across blocks
+                own = pa.array([data[r][a:a + m] for r, a, m in zip(rows.tolist(), at.tolist(), n.tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([each.field(k) for k in ("fp", "ctx", "places", "kinds")] + [own],
+                                                 names=["fp", "ctx", "places", "kinds", "bytes"])
+
+    ready = C.written(fetch.mapInArrow(slices, "fp long, ctx long, places long, kinds long, bytes binary"), "suffix-bytes")
+    few = _shards(ready.filter(F.col("kinds") <= block_contexts).select(
+        "fp", F.lit(0).alias("block"), F.lit(1).alias("blocks"), "ctx", "places", "bytes"), length, letters)
+    few = few.select("fp", "ctx", "first", "last")
+
+    # anchors with many kinds
+    def cut(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                texts = part.column(3).to_pylist()
+                _, _, _, _, _, anchor = contexts(texts, length)
+                rows, new, ctx, at, own = [], [], [], [], []
+                for r, (t, q) in enumerate(zip(texts, anchor.tolist())):
+                    for g, d, a, m in refined(t, q, length):
+                        rows.append(r), new.append(g), ctx.append(d), at.append(a), own.append(t[a:a + m])
+                rows = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0).take(rows), part.column(1).take(rows), pa.array(at, pa.int32()),
+                    pa.array(np.array(new, np.uint64).view(np.int64)), pa.array(np.array(ctx, np.uint64).view(np.int64)),
+                    part.column(2).take(rows), pa.array(own, pa.binary())], names=["pfp", "pctx", "base", "fp", "ctx", "places", "bytes"])
+
+    hot = C.written(ready.filter(F.col("kinds") > block_contexts).select("fp", "ctx", "places", "bytes").mapInArrow(
+        cut, "pfp long, pctx long, base int, fp long, ctx long, places long, bytes binary"), "suffix-refined")
+    parts = _kinds(hot.withColumn("n", F.length("bytes")), "pfp", "pctx", "base", "n")
+    blocks = F.ceil(F.col("kinds") / block_contexts).cast("int")
+    chosen = parts.filter("kinds > 1").select("fp", "ctx", "pfp", "pctx", F.col("places").alias("m"), blocks.alias("blocks"),
+                                             F.pmod(F.xxhash64("ctx"), blocks).cast("int").alias("block"))
+    solved = C.written(_shards(hot.join(chosen, ["fp", "ctx", "pfp", "pctx"]).select(
+        "fp", "block", "blocks", "ctx", F.col("m").alias("places"), "bytes"), length, letters), "suffix-solved")
+    # runs of groups with several blocks, added up across blocks
     apart = solved.filter("h1 is not null")
     repeats = apart.groupBy("fp", "h1", "h2").agg(F.sum("places").alias("all")).filter("all > 1").select("fp", "h1", "h2")
-    across = apart.join(repeats, ["fp", "h1", "h2"]).select("fp", "ctx", "first", "last")
-    spans = solved.filter("h1 is null").select("fp", "ctx", "first", "last").union(across)
+    many = apart.join(repeats, ["fp", "h1", "h2"]).select("fp", "ctx", "first", "last") \
+        .union(solved.filter("h1 is null").select("fp", "ctx", "first", "last")) \
+        .union(parts.filter("kinds = 1").select("fp", "ctx", F.lit(0).alias("first"), (F.col("n") - length).alias("last")))
+    many = hot.select("pfp", "pctx", "base", "fp", "ctx").join(many, ["fp", "ctx"]).select(
+        F.col("pfp").alias("fp"), F.col("pctx").alias("ctx"), (F.col("base") + F.col("first")).alias("first"),
+        (F.col("base") + F.col("last")).alias("last"))
+
+    spans = whole.union(few).union(many)
     back = found.select("id", "th", "fp", "ctx", "at").join(spans, ["fp", "ctx"])
     return back.groupBy("id", "th").agg(F.collect_set(F.struct((F.col("at") + F.col("first")).alias("first"),
                                                               (F.col("at") + F.col("last")).alias("last"))).alias("spans"))
@@ -262,38 +350,36 @@ def _merge(data: bytes, firsts: np.ndarray, lasts: np.ndarray, length: int):
 
 
 def dedup(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """All rows and columns of ``docs`` plus __n_bytes, __n_removed, __n_spans,
-    __kept (binary): what is left of the text's UTF-8 bytes, and __new: the
-    same as text, null where nothing was removed (a span may cut a character:
-    what is left of it goes)."""
-    rows = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))) \
-        .withColumn("__th", F.xxhash64("__text"))
-    spans = repeated_windows(rows.select(F.col("__id").alias("id"), F.col("__th").alias("th"), F.col("__text").alias("text")),
+    """All rows and columns of ``docs``, the text as it is left (a span may cut
+    a character: what is left of it goes), plus __n_bytes, __n_removed,
+    __n_spans and __kept_sha256, the digest of the bytes that are left."""
+    C.ship_package(docs.sparkSession)
+    rows = docs.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))) \
+        .withColumn("__id", F.col(id_col).cast("long")).withColumn("__th", F.xxhash64(text_col))
+    spans = repeated_windows(rows.select(F.col("__id").alias("id"), F.col("__th").alias("th"), F.col(text_col).alias("text")),
                              length, **options)
     spans = spans.select(F.col("id").alias("__sid"), F.col("th").alias("__sth"), F.col("spans").alias("__spans"))
+    keep = [c for c in docs.columns if c != text_col]
+    rows = _pack(rows, text_col)
     rows = rows.join(spans, rows["__id"].eqNullSafe(spans["__sid"]) & (rows["__th"] == spans["__sth"]), "left") \
-        .select(*docs.columns, "__text", "__spans")
-    added = T.StructType([T.StructField("__n_bytes", T.LongType()), T.StructField("__n_removed", T.LongType()),
-                          T.StructField("__n_spans", T.LongType()), T.StructField("__kept", T.BinaryType()),
-                          T.StructField("__new", T.StringType())])
-    keep = list(docs.columns)
-    schema = T.StructType(list(docs.schema.fields) + list(added.fields))
+        .select(*keep, F.col("z").alias("__z"), "__spans")
+    added = T.StructType([T.StructField(n, T.LongType()) for n in ("__n_bytes", "__n_removed", "__n_spans")]
+                         + [T.StructField("__kept_sha256", T.StringType())])
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(text_col, T.StringType())] + list(added.fields))
 
     def run(batches):
         for batch in batches:
-            texts, spans = batch.column(len(keep)), batch.column(len(keep) + 1)
-            for start, some in C.chunks(texts):
-                n, removed, runs, kept = [], [], [], []
-                for i, data in enumerate(_utf8(some), start):
-                    own = spans[i].values
-                    f, l = (own.field(k).to_numpy().astype(np.int64) for k in ("first", "last")) if own is not None else (np.zeros(0, int),) * 2
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                texts, columns = _unpack(part.column(len(keep))), [[] for _ in range(5)]
+                for data, own in zip(texts, part.column(len(keep) + 1)):
+                    at = own.values
+                    f, l = (at.field(k).to_numpy().astype(np.int64) for k in ("first", "last")) if at is not None else (np.zeros(0, int),) * 2
                     left, gone, count = _merge(data, f, l, length)
-                    for column, value in zip((n, removed, runs, kept), (len(data), gone, count, left)):
+                    for column, value in zip(columns, (left.decode("utf-8", "ignore"), len(data), gone, count, hashlib.sha256(left).hexdigest())):
                         column.append(value)
-                part = batch.slice(start, len(some))
-                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + [
-                    pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary()),
-                    pa.array([k.decode("utf-8", "ignore") if g else None for k, g in zip(kept, removed)], pa.string())],
+                yield pa.RecordBatch.from_arrays([part.column(k) for k in range(len(keep))] + [
+                    pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()))],
                     names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -302,12 +388,12 @@ def dedup(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col:
 def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup(docs).select("doc_id", F.col("__n_bytes").alias("n_bytes"), F.col("__n_removed").alias("n_removed"),
-                              F.col("__n_spans").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"))
+                              F.col("__n_spans").alias("n_spans"), F.col("__kept_sha256").alias("kept_sha256"))
 
 
 def without_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without their repeated passages.  A text that
     keeps nothing stays as an empty text; ``n_chars`` is the new text's length."""
     out = dedup(docs)
-    chars = F.when(F.col("__new").isNull(), F.col("n_chars")).otherwise(F.length("__new").cast(docs.schema["n_chars"].dataType))
-    return out.withColumn("n_chars", chars).withColumn("text", F.coalesce("__new", "text")).select(*docs.columns)
+    chars = F.when(F.col("__n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.withColumn("n_chars", chars).select(*docs.columns)
