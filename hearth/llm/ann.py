@@ -5,14 +5,17 @@ the largest norm (a query has 0 there), so near in the tree is large in product.
 The tree is fitted on a bounded sample (``sample_rows``, the least by hash) and
 every vector is filed in its leaf.  A query opens nodes in the order of a
 priority queue and notes the leaves as they come up; how many it visits is
-calibrated: widened until sample queries find ``recall`` of their true
-neighbours among the sample.
+calibrated: the true neighbours of ``calibration_queries`` sample vectors among
+all rows are found by brute force, and the visits are widened until ``recall``
+of them lie in the visited leaves.
 
 Equal vectors are filed once, with their ``k + 1`` smallest ids -- no further
 one can be in a result, ties going to the smaller id -- and equal queries are
 searched once, so a vector that fills a third of the table costs no more than
-any other.  Leaves are cut into parts of about ``part_rows`` vectors and
-``part_rows`` queries; every part returns its best and a window merges them.
+any other.  Neighbouring leaves are searched together as a bundle of about
+``bundle_rows`` vectors, larger leaves are cut into parts of that size, and so
+are the queries of a bundle; every group returns the best of the leaves that a
+query visits there, and a window merges them.
 
 Defined results: null or zero vectors and vectors with null or non-finite
 components take no part, nor do vectors of another length than the longest
@@ -115,22 +118,37 @@ def build_tree(sample: np.ndarray, top: float, leaf_rows: int, branch: int = 8,
     return Tree(np.array(centre), np.array(first), np.array(last), np.array(leaf), top)
 
 
-def calibrate(tree: Tree, sample: np.ndarray, k: int, recall: float, queries: int = 256) -> int:
-    """The least number of leaf visits (in steps of a quarter) that reaches the recall on the sample."""
-    q = sample[:queries]
-    leaf = tree.assign(sample)
-    scores = q @ sample.T
-    scores[np.arange(len(q)), np.arange(len(q))] = -np.inf
-    k = min(k, max(len(sample) - 1, 1))
-    least = np.partition(scores, -k, axis=1)[:, -k]
-    order = [tree.visits(x, tree.leaves) for x in q]
-    n = 1
-    while n < tree.leaves:
-        found = sum(min(k, int(np.count_nonzero(scores[i][np.isin(leaf, order[i][:n])] >= least[i]))) for i in range(len(q)))
-        if found >= recall * k * len(q):
-            break
-        n = max(n + 1, n * 5 // 4)
-    return min(n, tree.leaves)
+def best_rows(scores: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the ``k`` best finite scores of each row, best first, ties to the smaller ``least`` of the column."""
+    if scores.shape[1] > k:
+        edge = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+        r, c = np.nonzero((scores >= edge) & (scores > -np.inf))
+    else:
+        r, c = np.nonzero(scores > -np.inf)
+    order = np.lexsort((least[c], -scores[r, c], r))
+    r, c = r[order], c[order]
+    place = np.arange(len(r)) - np.searchsorted(r, r, "left")
+    return r[place < k], c[place < k]
+
+
+def calibrate(filed: DataFrame, tree: Tree, queries: np.ndarray, k: int, recall: float) -> int:
+    """The least number of leaf visits that finds ``recall`` of the queries' true neighbours among all rows."""
+    def near(batches):
+        import pandas as pd
+        for batch in batches:
+            for i in range(0, len(batch), 4096):
+                part = batch.iloc[i:i + 4096]
+                scores = queries @ np.stack(part["v"].to_numpy()).T
+                r, c = best_rows(scores, np.arange(len(part)), k + 1)
+                yield pd.DataFrame({"q": r, "leaf": part["leaf"].to_numpy()[c], "score": scores[r, c]})
+
+    found = filed.mapInPandas(near, "q long, leaf long, score double")
+    w = Window.partitionBy("q").orderBy(F.col("score").desc(), "leaf")
+    # the first is the query itself
+    true = found.withColumn("r", F.row_number().over(w)).filter((F.col("r") > 1) & (F.col("r") <= k + 1)).select("q", "leaf").collect()
+    order = [{leaf: i for i, leaf in enumerate(tree.visits(q, tree.leaves), 1)} for q in queries]
+    needed = sorted(order[r["q"]][r["leaf"]] for r in true)
+    return needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)] if needed else 1
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -146,8 +164,8 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     return v.select("id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, sample_rows: int = 20_000, leaf_rows: int = 256, recall: float = 0.97,
-           part_rows: int = 4_096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 20, sample_rows: int = 20_000, leaf_rows: int = 256, recall: float = 0.96,
+           bundle_rows: int = 16_384, calibration_queries: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) for every row that ``is_query`` (a
     condition on ``id``) picks, against every row but its own."""
     C.ship_package(vectors.sparkSession)
@@ -162,53 +180,83 @@ def search(vectors: DataFrame, is_query, k: int = 20, sample_rows: int = 20_000,
     distinct = C.written(rows.join(one, [*name, "id"]).dropDuplicates(name).select(*name, "v").join(ids, name), "ann-distinct")
     about = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("top")).first()
     n = distinct.count()
-    schema = "query_id long, rank int, vec_id long, score double"
     if not n:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     # sample_rows vectors at most
     sample = np.array([r["v"] for r in distinct.orderBy("h1", "h2").limit(sample_rows).select("v").collect()])
-    share = len(sample) / n
-    tree = build_tree(sample, about["top"], max(8, round(leaf_rows * share)))
-    visits = calibrate(tree, sample, k, recall)
+    tree = build_tree(sample, about["top"], max(8, round(leaf_rows * len(sample) / n)))
     shared = spark.sparkContext.broadcast(tree)              # at most sample_rows centres
-    dim = sample.shape[1]
 
     def file(batches):
         for batch in batches:
-            x = np.stack(batch["v"].to_numpy()) if len(batch) else np.zeros((0, dim))
-            yield batch.assign(leaf=shared.value.assign(x))
+            if len(batch):
+                yield batch.assign(leaf=shared.value.assign(np.stack(batch["v"].to_numpy())))
+
+    filed = C.written(distinct.mapInPandas(file, "h1 long, h2 long, v array<double>, ids array<long>, leaf long"), "ann-filed")
+    visits = calibrate(filed, tree, sample[:calibration_queries], k, recall)
+
+    # leaves in tree order to bundles; at most sample_rows leaves
+    sizes = {r["leaf"]: r["n"] for r in filed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bundle_of, parts, held = np.zeros(tree.leaves, np.int64), [1], 0
+    for leaf in range(tree.leaves):
+        own = sizes.get(leaf, 0)
+        if held and held + own > bundle_rows:
+            parts.append(1)
+            held = 0
+        bundle_of[leaf], held = len(parts) - 1, held + own
+        parts[-1] = max(1, -(-held // bundle_rows))
+    parts = np.array(parts)
 
     def route(batches):
+        import pandas as pd
         for batch in batches:
-            order = [shared.value.visits(np.asarray(v), visits) for v in batch["v"]]
-            yield batch.assign(leaves=order)
+            out = []
+            for h1, h2, v in zip(batch["h1"], batch["h2"], batch["v"]):
+                leaves = np.array(shared.value.visits(np.asarray(v), visits))
+                for b in np.unique(bundle_of[leaves]):
+                    out.append((h1, h2, v, b, leaves[bundle_of[leaves] == b]))
+            yield pd.DataFrame(out, columns=["h1", "h2", "v", "bundle", "leaves"])
 
-    filed = C.written(distinct.mapInPandas(file, "h1 long, h2 long, v array<double>, ids array<long>, leaf long"), "ann-filed")
     asked = rows.filter(is_query).select(*name).distinct().join(distinct.select(*name, "v"), name)
-    routed = C.written(asked.mapInPandas(route, "h1 long, h2 long, v array<double>, leaves array<long>")
-                       .select(*name, "v", F.explode("leaves").alias("leaf")), "ann-routed")
-    parts = filed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("m")).join(
-        routed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("p")), "leaf")
-    def dealt(df, own, other, n_own, n_other):
-        return df.join(parts, "leaf").withColumn(own, F.pmod(F.xxhash64(F.lit(7), *name), F.col(n_own)).cast("int")) \
+    routed = C.written(asked.mapInPandas(route, "h1 long, h2 long, v array<double>, bundle long, leaves array<long>"), "ann-routed")
+    groups = routed.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / bundle_rows).cast("int").alias("p"))   # one row a bundle
+    where = spark.createDataFrame([(i, int(b), int(parts[b])) for i, b in enumerate(bundle_of)], "leaf long, bundle long, m int")
+    where = F.broadcast(where.join(groups, "bundle"))        # one row a leaf
+    salt = F.xxhash64(F.lit(7), *name)
+
+    def dealt(df, on, own, other, n_own, n_other):
+        return df.join(where if on == "leaf" else F.broadcast(where.select("bundle", "m", "p").distinct()), on) \
+            .withColumn(own, F.pmod(salt, F.col(n_own)).cast("int")) \
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1))).drop("m", "p")
 
-    members, asking = dealt(filed, "a", "b", "m", "p"), dealt(routed, "b", "a", "p", "m")
-    out_schema = "h1 long, h2 long, ids array<long>, score double"
+    members, asking = dealt(filed, "leaf", "a", "b", "m", "p"), dealt(routed, "bundle", "b", "a", "p", "m")
 
     def best(have, ask):
         import pandas as pd
-        if not len(have) or not len(ask):
+        out = []
+        if len(have) and len(ask):
+            least = np.array([x[0] for x in have["ids"]])
+            x, q, leaf = np.stack(have["v"].to_numpy()), np.stack(ask["v"].to_numpy()), have["leaf"].to_numpy()
+            order = np.argsort(leaf, kind="stable")
+            least, x, leaf, ids = least[order], x[order], leaf[order], have["ids"].to_numpy()[order]
+            for i in range(0, len(q), 64):
+                some = q[i:i + 64]
+                scores = np.full((len(some), len(x)), -np.inf)
+                visiting: dict[int, list[int]] = {}
+                for j, leaves in enumerate(ask["leaves"].iloc[i:i + 64]):
+                    for n in leaves:
+                        visiting.setdefault(int(n), []).append(j)
+                for n, own in visiting.items():
+                    lo, hi = np.searchsorted(leaf, [n, n + 1])
+                    scores[own, lo:hi] = some[own] @ x[lo:hi].T
+                r, c = best_rows(scores, least, k + 1)
+                out.append(pd.DataFrame({"h1": ask["h1"].to_numpy()[i + r], "h2": ask["h2"].to_numpy()[i + r], "ids": ids[c], "score": scores[r, c]}))
+        if not out:
             return pd.DataFrame({"h1": [], "h2": [], "ids": [], "score": []}).astype({"h1": "int64", "h2": "int64", "score": "float64"})
-        have = have.assign(least=[x[0] for x in have["ids"]]).sort_values("least")
-        scores = np.stack(ask["v"].to_numpy()) @ np.stack(have["v"].to_numpy()).T
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :k + 1]     # ties: the smaller id is first
-        q = np.repeat(np.arange(len(ask)), order.shape[1])
-        return pd.DataFrame({"h1": ask["h1"].to_numpy()[q], "h2": ask["h2"].to_numpy()[q],
-                             "ids": have["ids"].to_numpy()[order.ravel()],
-                             "score": np.take_along_axis(scores, order, 1).ravel()})
-
-    found = members.groupBy("leaf", "a", "b").cogroup(asking.groupBy("leaf", "a", "b")).applyInPandas(best, out_schema)
+        return pd.concat(out)
+
+    found = members.groupBy("bundle", "a", "b").cogroup(asking.groupBy("bundle", "a", "b")).applyInPandas(
+        best, "h1 long, h2 long, ids array<long>, score double")
     # the best k + 1 rows of each distinct query
     near = found.withColumn("id", F.explode("ids")).drop("ids")
     w = Window.partitionBy(*name).orderBy(F.col("score").desc(), "id")
