@@ -61,7 +61,7 @@ def threads(rows: DataFrame, conv: str = "conv_id", turn_col: str = "turn") -> D
     return t.select("tree", "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("weight"))
 
 
-def paths(messages: DataFrame, best: int = 1, max_rounds: int = 40) -> DataFrame:
+def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     """``messages`` (tree, node, parent, weight).  Returns (tree, path, depth,
     node): the messages of each tree's ``best`` root-to-leaf paths by summed
     weight (ties: the deeper path, then the smaller leaf), ``path`` from 1 in rank order."""
@@ -70,32 +70,34 @@ def paths(messages: DataFrame, best: int = 1, max_rounds: int = 40) -> DataFrame
     up = m.join(here, m["tree"].eqNullSafe(here["t"]) & (m["parent"] == here["n"]), "left") \
         .select("tree", "node", F.col("n").alias("anc"), F.when(F.col("n").isNotNull(), 1).otherwise(0).cast("long").alias("steps"),
                 F.col("weight").alias("sum"))
-    jumps = []
-    up = C.written(up, "chat-up")
-    while len(jumps) < max_rounds:
-        jumps.append(up)
-        if up.filter("anc is not null").isEmpty():
+    # round k: messages that may have an ancestor 2^k steps up; those that have none have seen their root
+    known = [C.written(up, "chat-up")]
+    for _ in range(m.count().bit_length()):                  # no path has more messages than the table
+        going = known[-1].filter("anc is not null")
+        if going.isEmpty():
             break
-        far = up.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("anc").alias("anc2"),
-                        F.col("steps").alias("steps2"), F.col("sum").alias("sum2"))
-        # a message without an ancestor at this distance has seen its root and stays as it is
-        up = C.written(up.join(far, up["tree"].eqNullSafe(far["t"]) & (up["anc"] == far["n"]), "left").select(
-            "tree", "node", F.col("anc2").alias("anc"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-            (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum")), "chat-up")
-    full = jumps[-1].filter("anc is null")                   # a ring never sees a root
+        far = known[-1]
+        for settled in known[:-1]:
+            far = far.union(settled.filter("anc is null"))
+        far = far.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("anc").alias("anc2"),
+                         F.col("steps").alias("steps2"), F.col("sum").alias("sum2"))
+        known.append(C.written(going.join(far, going["tree"].eqNullSafe(far["t"]) & (going["anc"] == far["n"])).select(
+            "tree", "node", F.col("anc2").alias("anc"), (F.col("steps") + F.col("steps2")).alias("steps"),
+            (F.col("sum") + F.col("sum2")).alias("sum")), "chat-up"))
+    full = known[0].filter("anc is null")                    # a ring never sees a root
+    for u in known[1:]:
+        full = full.union(u.filter("anc is null"))
     parents = m.select(F.col("tree").alias("t"), F.col("parent").alias("p")).filter("p is not null").distinct()
     leaves = full.join(parents, full["tree"].eqNullSafe(parents["t"]) & (full["node"] == parents["p"]), "left_anti")
     w = Window.partitionBy("tree").orderBy(F.col("sum").desc(), F.col("steps").desc(), "node")
-    chosen = leaves.withColumn("path", F.row_number().over(w)).filter(F.col("path") <= best) \
-        .select("tree", "path", "node", F.col("steps").alias("depth"))
+    chosen = C.written(leaves.withColumn("path", F.row_number().over(w)).filter(F.col("path") <= best)
+                       .select("tree", "path", "node", F.col("steps").alias("depth")), "chat-path")
     # from the longest jump to the shortest: all ancestors of the chosen leaves
-    for k in range(len(jumps) - 2, -1, -1):
-        jump = jumps[k].filter("anc is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), "anc")
-        above = chosen.join(jump, chosen["tree"].eqNullSafe(jump["t"]) & (chosen["node"] == jump["n"])) \
-            .select("tree", "path", F.col("anc").alias("node"), (F.col("depth") - F.lit(2 ** k)).alias("depth"))
+    for k in range(len(known) - 1, -1, -1):
+        jump = known[k].filter("anc is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), "anc")
+        above = C.written(chosen.join(jump, chosen["tree"].eqNullSafe(jump["t"]) & (chosen["node"] == jump["n"])).select(
+            "tree", "path", F.col("anc").alias("node"), (F.col("depth") - F.lit(2 ** k)).alias("depth")), "chat-path")
         chosen = chosen.union(above)
-        if k % 4 == 0 and k:
-            chosen = C.written(chosen, "chat-path")
     return chosen.select("tree", "path", "depth", "node")
 
 
