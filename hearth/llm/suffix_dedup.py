@@ -236,8 +236,10 @@ def _shards(wanted: DataFrame, length: int, letters: int) -> DataFrame:
 def _kinds(found: DataFrame, *one: str) -> DataFrame:
     """(fp, ctx, places, all, kinds, one columns): the distinct contexts of the
     anchors that occur more than once, written.  ``found`` (fp, ctx, places, ...)."""
-    distinct = found.groupBy("fp", "ctx").agg(F.sum("places").alias("places"), F.min(F.struct(*one)).alias("one"))
+    distinct = C.written(found.groupBy("fp", "ctx").agg(F.sum("places").alias("places"), F.min(F.struct(*one)).alias("one")), "suffix-distinct")
     shared = distinct.groupBy("fp").agg(F.sum("places").alias("all"), F.count(F.lit(1)).alias("kinds")).filter(F.col("all") > 1)
+    # written tables on both sides: a hot anchor's partition of the join can be split
+    shared = C.written(shared, "suffix-counts")
     return C.written(distinct.join(shared, "fp").select("fp", "ctx", "places", "all", "kinds", "one.*"), "suffix-kinds")
 
 
@@ -269,7 +271,7 @@ def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 1
     found = C.written(_find(docs, length), "suffix-contexts")
     # most anchors occur once: only the others go on
     often = found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fp")
-    found = C.written(found.join(often, "fp", "left_semi"), "suffix-shared")
+    found = C.written(found.join(C.written(often, "suffix-often"), "fp", "left_semi"), "suffix-shared")
     kinds = _kinds(found.withColumn("places", F.lit(1)), "id", "th", "at", "n")
     whole = kinds.filter("kinds = 1").select("fp", "ctx", F.lit(0).alias("first"), (F.col("n") - length).alias("last"))
 
