@@ -2,8 +2,11 @@
 
     python -m hearth.refresh --source DIR --out DIR [--country malawi|rwanda|liberia] [--prefix 10]
                              [--periods-from 2016-01-01 --periods-to 2018-12-31] [--anonymise]
+                             [--optional-tables name,name]
 
-Each source table is read from ``DIR/<table>`` (parquet).  Every layer is
+Each source table is read from ``DIR/<table>`` (parquet, any file system Spark
+reads).  A table that is missing is an error unless it is named optional; an
+optional table that is missing is empty.  Every layer is
 written under ``--out`` (one folder per table, replaced on each run) and the
 next layer reads the written tables back, so layer edges cut lineage: a lost
 executor recomputes at most one layer.  The order is fixed by data
@@ -19,19 +22,20 @@ import os
 from pyspark.sql import SparkSession
 
 from .schemas import LIBERIA_SOURCE, RWANDA_SOURCE, SOURCE, struct
-from .sources import overwrite_table
+from .sources import overwrite_table, path_exists
 
 
-def read_source(spark: SparkSession, root: str, names) -> dict:
-    """Every known source table present under ``root`` (absent ones are empty)."""
+def read_source(spark: SparkSession, root: str, names, optional=()) -> dict:
+    """The named source tables under ``root``.  Of the ``optional`` ones
+    those that are missing are empty; any other missing table is an error."""
     out = {}
     schemas = {**SOURCE, **RWANDA_SOURCE, **LIBERIA_SOURCE}
     for name in names:
         path = os.path.join(root, name)
-        if os.path.exists(path):
-            out[name] = spark.read.parquet(path)
-        else:
+        if name in optional and not path_exists(spark, path):
             out[name] = spark.createDataFrame([], struct(schemas[name]))
+        else:
+            out[name] = spark.read.parquet(path)
     return out
 
 
@@ -48,12 +52,13 @@ def write_layer(spark: SparkSession, tables, root: str, skip=()) -> dict:
 
 
 def refresh(spark: SparkSession, source: str, out: str, country: str = "malawi", prefix: str | None = None,
-            periods_from: str | None = None, periods_to: str | None = None, anonymise: bool = False) -> dict:
+            periods_from: str | None = None, periods_to: str | None = None, anonymise: bool = False,
+            optional=()) -> dict:
     from .operators import quarter_periods
     from .plans.flat import FlatConfig, build_flat
     from .plans.star import build_star
 
-    src = read_source(spark, source, SOURCE)
+    src = read_source(spark, source, SOURCE, optional)
     flat = write_layer(spark, build_flat(src, FlatConfig(prefix=prefix)), os.path.join(out, "flat"))
     star = write_layer(spark, build_star(spark, flat), os.path.join(out, "star"))
     periods = quarter_periods(spark, periods_from, periods_to) if periods_from and periods_to else None
@@ -63,7 +68,7 @@ def refresh(spark: SparkSession, source: str, out: str, country: str = "malawi",
         mart = write_layer(spark, build_malawi(spark, flat, periods), os.path.join(out, "mart"))
     elif country == "rwanda":
         from .plans import rwanda as rw
-        rsrc = {**src, **read_source(spark, source, RWANDA_SOURCE)}
+        rsrc = {**src, **read_source(spark, source, RWANDA_SOURCE, optional)}
         tables = {"rw_location": rw.rw_location(rsrc, prefix), "rw_order": rw.rw_order(rsrc, flat, prefix),
                   "rw_order_group": rw.rw_order_group(rsrc, prefix), "rw_onc_diagnosis": rw.rw_onc_diagnosis(flat),
                   "rw_calculated_visit": rw.rw_calculated_visit(flat), "rw_bill": rw.rw_bill(rsrc),
@@ -75,7 +80,7 @@ def refresh(spark: SparkSession, source: str, out: str, country: str = "malawi",
         mart = write_layer(spark, tables, os.path.join(out, "mart"))
     elif country == "liberia":
         from .plans import liberia as lb
-        lsrc = {**src, **read_source(spark, source, LIBERIA_SOURCE)}
+        lsrc = {**src, **read_source(spark, source, LIBERIA_SOURCE, optional)}
         tables = {"mh_encounter": lb.mh_encounter(lsrc, prefix=prefix), "rx_prescriptions": lb.rx_prescriptions(lsrc),
                   "program_statistics": lb.program_statistics(lsrc), "program_enrollment": lb.program_enrollment(lsrc)}
         mart = write_layer(spark, tables, os.path.join(out, "mart"))
@@ -95,11 +100,13 @@ def main(argv=None) -> None:
     ap.add_argument("--periods-from", default=None)
     ap.add_argument("--periods-to", default=None)
     ap.add_argument("--anonymise", action="store_true")
+    ap.add_argument("--optional-tables", default="", help="source tables that may be missing, comma-separated")
     ap.add_argument("--total-cores", type=int, default=None)
     a = ap.parse_args(argv)
     from .session import get_session
     spark = get_session(total_cores=a.total_cores)
-    refresh(spark, a.source, a.out, a.country, a.prefix, a.periods_from, a.periods_to, a.anonymise)
+    refresh(spark, a.source, a.out, a.country, a.prefix, a.periods_from, a.periods_to, a.anonymise,
+            tuple(x for x in a.optional_tables.split(",") if x))
 
 
 if __name__ == "__main__":

@@ -8,7 +8,6 @@ parquet so later layers and a lost executor re-read it instead of recomputing.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,9 +59,11 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType
 
 
 def generate_ids(spark: SparkSession, start: int, step: int, n: int, prefix: str, width: int) -> DataFrame:
-    """``prefix`` + zero-padded sequence ids (``a0001`` ...), generated in parallel."""
-    return spark.range(start, start + step * n, step).select(
-        F.concat(F.lit(prefix), F.lpad(F.col("id").cast("string"), width, "0")).alias("site"))
+    """``prefix`` + zero-padded sequence ids (``a0001`` ...), generated in
+    parallel.  An id longer than ``width`` keeps all its digits."""
+    text = F.col("id").cast("string")
+    padded = F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+    return spark.range(start, start + step * n, step).select(F.concat(F.lit(prefix), padded).alias("site"))
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -84,15 +85,21 @@ def overwrite_table(df: DataFrame, path: str, columns: Sequence[str] | None = No
     w.parquet(path)
 
 
-def existing_paths(paths: Sequence[str]) -> list[str]:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in the file system its scheme names (the session's default without one)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """S8 probe: keep only site paths that exist (the ETL skipped absent sites)."""
-    return [p for p in paths if os.path.exists(p)]
+    return [p for p in paths if path_exists(spark, p)]
 
 
 def read_sites(spark: SparkSession, site_paths: dict[str, str], site_col: str = "site_id") -> DataFrame | None:
     """One DataFrame over every existing site copy of a table, tagged with its site."""
     from ..operators.sets import union_sites
-    frames = [(site, spark.read.parquet(p)) for site, p in site_paths.items() if os.path.exists(p)]
+    frames = [(site, spark.read.parquet(p)) for site, p in site_paths.items() if path_exists(spark, p)]
     return union_sites(frames, site_col) if frames else None
 
 

@@ -19,7 +19,6 @@ from pyspark.sql.types import StructType
 
 from .. import functions as H
 from .. import operators as O
-from ..session import scratch_table_path
 
 
 def incremental_load(spark: SparkSession, source_path: str, schema: StructType,
@@ -28,14 +27,15 @@ def incremental_load(spark: SparkSession, source_path: str, schema: StructType,
                      max_files_per_trigger: int | None = None) -> dict | None:
     """Append everything new under ``source_path`` to ``sink_path`` once.
 
-    ``checkpoint_path`` defaults to a folder under the session's shared
-    checkpoint directory (never a machine-local folder on a cluster).
+    ``checkpoint_path`` defaults to a folder inside the sink (readers skip names
+    that begin with an underscore), so every call for a sink goes on where the
+    last one ended.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = transform(reader.parquet(source_path))
-    ckpt = checkpoint_path or scratch_table_path(spark, "stream-ckpt")
+    ckpt = checkpoint_path or sink_path.rstrip("/") + "/_checkpoint"
     w = (stream.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True))
     if partition_by:

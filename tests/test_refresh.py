@@ -1,7 +1,12 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
+from hearth.plans.anonymise import anonymise_warehouse
 from hearth.refresh import refresh
+from hearth.schemas import LIBERIA_SOURCE, RWANDA_SOURCE, SOURCE
 
 from .emr_fixture import build
 
@@ -11,7 +16,16 @@ def test_refresh_writes_every_layer(spark):
     src_dir, out = os.path.join(root, "src"), os.path.join(root, "out")
     for name, df in build(spark).items():
         df.write.parquet(os.path.join(src_dir, name))
-    res = refresh(spark, src_dir, out, "malawi", periods_from="2018-01-01", periods_to="2019-12-31", anonymise=True)
+    absent = tuple(set(SOURCE) - set(os.listdir(src_dir)))
+    with pytest.raises(Exception, match="(?i)path"):
+        refresh(spark, src_dir + "-missing", out, "none")
+    # a path with a scheme is read like any other
+    res = refresh(spark, "file://" + src_dir, out, "malawi", periods_from="2018-01-01", periods_to="2019-12-31", anonymise=True,
+                  optional=absent)
+    for name, df in res["anonymised"].items():
+        assert not name.startswith("lookup_") and not set(df.columns) & {"village", "traditional_authority", "provider_name", "chw"}
+    with pytest.raises(ValueError, match="no decision"):
+        anonymise_warehouse({"mw_patient": res["mart"]["mw_patient"].withColumn("nickname", F.lit("x"))})
     assert os.path.exists(os.path.join(out, "flat", "omrs_obs"))
     assert os.path.exists(os.path.join(out, "star", "fact_patient_event"))
     assert os.path.exists(os.path.join(out, "mart", "mw_art_register"))
@@ -25,10 +39,12 @@ def test_refresh_rwanda_and_liberia_paths(spark):
     src_dir = os.path.join(root, "src")
     for name, df in build(spark).items():
         df.write.parquet(os.path.join(src_dir, name))
-    rw = refresh(spark, src_dir, os.path.join(root, "rw"), "rwanda", periods_from="2018-01-01", periods_to="2019-12-31")
+    absent = tuple({*SOURCE, *RWANDA_SOURCE, *LIBERIA_SOURCE} - set(os.listdir(src_dir)))
+    rw = refresh(spark, src_dir, os.path.join(root, "rw"), "rwanda", periods_from="2018-01-01", periods_to="2019-12-31",
+                 optional=absent)
     assert set(rw["mart"]) >= {"rw_order", "rw_bill", "rw_onc_diagnosis", "rw_calculated_visit",
                                "rw_last_vl_include_blanks"}
     assert rw["mart"]["rw_calculated_visit"].count() > 0
-    lb = refresh(spark, src_dir, os.path.join(root, "lb"), "liberia")
+    lb = refresh(spark, src_dir, os.path.join(root, "lb"), "liberia", optional=absent)
     assert set(lb["mart"]) == {"mh_encounter", "rx_prescriptions", "program_statistics", "program_enrollment"}
     assert lb["mart"]["program_enrollment"].count() == 7

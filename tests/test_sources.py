@@ -28,6 +28,7 @@ def test_read_csv_periods_and_value_map(spark):
 
 
 def test_ids_audit_year_views_and_writes(spark):
+    assert len({r["site"] for r in S.generate_ids(spark, 9998, 1, 6, "a", 4).collect()}) == 6     # wider ids keep their digits
     ids = [r["site"] for r in S.generate_ids(spark, 1, 1, 3, "a", 4).collect()]
     assert ids == ["a0001", "a0002", "a0003"]
     row = S.import_audit_row(spark, "10", "db1", "first load").collect()[0]

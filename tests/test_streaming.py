@@ -33,5 +33,12 @@ def test_incremental_obs_append_is_exactly_once(spark):
     obs.where("obs_id > 10").write.parquet(os.path.join(inp, "b2"))
     run()
     final = spark.read.parquet(out)
+    # without a checkpoint path the sink keeps its own, from call to call
+    out2 = os.path.join(base, "out2")
+    again = lambda: incremental_load(spark, inp + "/*", schema, obs_decoder(lk, prefix="7"), out2)
+    again()
+    obs.where("obs_id <= 10").write.parquet(os.path.join(inp, "b3"))
+    again()
+    assert spark.read.parquet(out2).count() == final.count() + n1
     assert final.count() == obs.where("not voided").count()
     assert final.select("obs_id").distinct().count() == final.count()
