@@ -5,7 +5,7 @@ from .asof import asof_join, first_after_last_other
 from .filters import (active_on, delete_by_key_prefix, drop_concepts, drop_if_latest_state_not,
                       exclude_flag_null_kept, in_list, keep_live, optional_param, require_not_null, retain_cohort,
                       typed_value_filter)
-from .joins import (anti_not_in, assert_unique, broadcast_bounded, child_in_named_group, correlated_agg, decode,
+from .joins import (anti_not_in, assert_unique, broadcast_bounded, child_in_named_group, correlated_agg, decode, decode_or_abort,
                     decode_strict, decode_two_sources, full_merge, left_merge, semi_in, sibling_in_encounter,
                     two_sided_edges)
 from .keys import attach_key, dense_key

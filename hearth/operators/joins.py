@@ -38,11 +38,22 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> N
 
 
 def decode_strict(df: DataFrame, lookup: DataFrame, on: str, key: str, label: str, out: str | None = None) -> DataFrame:
-    """As ``decode`` but duplicate lookup keys are an error."""
+    """As ``decode`` but duplicate lookup keys are an error, found at once."""
     assert_unique(lookup, [key])
     return decode(df, lookup, on, key, label, out)
 
 
+def decode_or_abort(df: DataFrame, lookup: DataFrame, on: str, key: str, label: str, out: str | None = None) -> DataFrame:
+    """J2 inside a plan: the job fails when a row meets a lookup key that stands
+    more than once, and nothing runs while the plan is built."""
+    name = out or label
+    once = lookup.groupBy(F.col(key).alias("__lk_key")).agg(F.count(F.lit(1)).alias("__n"), F.first(label).alias("__label"))
+    j = df.join(once, df[on] == once["__lk_key"], "left")
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit(f"lookup for {on} has duplicate key "),
+                                                             F.col("__lk_key").cast("string")))).otherwise(F.col("__label"))
+    return j.withColumn(name, checked).drop("__lk_key", "__n", "__label")
+
+
 def decode_two_sources(df: DataFrame, first: tuple, second: tuple, out: str) -> DataFrame:
     """One label from two lookups (e.g. coded answer by concept, else by drug)."""
     (lk1, on1, k1, l1), (lk2, on2, k2, l2) = first, second

@@ -1,51 +1,50 @@
 """Surrogate keys.
 
 A global ``row_number() over (order by k)`` moves every row into one
-partition.  ``dense_key`` gives the same numbering without that: the distinct
-natural keys are range-partitioned and sorted in parallel, each partition
-counts its rows, a running sum over that per-partition count table (one row
-per partition) gives each partition's offset, and a row's key is offset + its
-position inside the partition.  The rank of a value does not depend on where
-the range bounds fall, so the result is deterministic.
+partition.  ``dense_key`` gives the same numbering without that: a value's
+bucket is a function of the value alone that grows with it (a thousand
+neighbouring numbers, a month, a text's first characters), each bucket counts
+its distinct keys, a running sum over that count table (one row per bucket)
+gives each bucket's offset, and a key's number is offset + its row number
+inside the bucket.  Counts and rows are computed from the same values, so the
+numbering does not depend on partitioning, sampling or the reuse of a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_LOCAL_BITS = 33
-MAX_KEY_PARTITIONS = 1024   # dense numbering is for dimension-sized key sets (up to ~10^9 distinct values)
 
+def _bucket(df: DataFrame, name: str) -> Column:
+    """A function of the column that is the same or larger for every larger value (null for null)."""
+    c, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.shiftright(c.cast("long"), 10)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.year(c) * 12 + F.month(c)
+    if isinstance(kind, T.StringType):
+        return F.substring(c, 1, 3)
+    if isinstance(kind, T.DecimalType):
+        return F.floor(c / 1000)
+    return c                             # floating point, boolean, binary: the value
 
-def dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str = "id", start: int = 1,
-              num_partitions: int | None = None) -> DataFrame:
-    """Distinct ``order_cols`` numbered ``start, start+1, ...`` in ascending
-    order (nulls first, like ``ORDER BY``).
 
-    The range partitioning uses an explicit partition count (both uses of the
-    numbered partitions must see the same partitioning, so AQE may not
-    coalesce it): the session's shuffle partitions, capped at
-    ``MAX_KEY_PARTITIONS`` so a small dimension on a large cluster does not
-    start tens of thousands of empty tasks.  Tables too large for that use
+def dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str = "id", start: int = 1) -> DataFrame:
+    """Distinct ``order_cols`` numbered ``start, start+1, ...`` in ascending
+    order (nulls first, like ``ORDER BY``).  Buckets come from the first column;
+    one bucket is sorted in one task, so tables of data size use
     ``functions.stable_key`` (a row-local hash) instead."""
-    spark = df.sparkSession
-    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_KEY_PARTITIONS)
-    d = df.select(*order_cols).distinct()
-    ordered = d.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_cols]) \
-        .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_cols])
-    mid = F.monotonically_increasing_id()
-    tagged = ordered.withColumn("__mid", mid) \
-        .withColumn("__pid", F.shiftright("__mid", _LOCAL_BITS)) \
-        .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0))).select("__pid", "__off")
-    # one row per partition: a bounded table
-    out = tagged.join(F.broadcast(offsets), "__pid")
-    return out.select(*order_cols, (F.col("__off") + F.col("__pos") + F.lit(start)).cast("long").alias(key_col))
+    d = df.select(*order_cols).distinct().withColumn("__b", _bucket(df, order_cols[0]))
+    counts = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    before = Window.orderBy(F.col("__b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__b").alias("__ob"), F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
+    within = Window.partitionBy("__b").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    out = d.withColumn("__pos", F.row_number().over(within)).join(offsets, F.col("__b").eqNullSafe(F.col("__ob")))
+    return out.select(*order_cols, (F.col("__off") + F.col("__pos") + F.lit(start - 1)).cast("long").alias(key_col))
 
 
 def attach_key(df: DataFrame, keyed: DataFrame, on: Sequence[str], null_safe: bool = True) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .latest import nth_per_key, ties_at_extreme
 
 PERIOD_COLS = ["period_id", "start_date", "end_date"]
-MAX_PERIODS = 10_000   # parameter tables above this are not broadcast
+MAX_PERIODS = 10_000   # more periods than this are taken for a mistake in the range
 
 
 def quarter_periods(spark: SparkSession, first: str, last: str) -> DataFrame:
@@ -77,13 +77,14 @@ def _bounds(periods: DataFrame) -> DataFrame:
 def assign_period(df: DataFrame, date_col: str, periods: DataFrame, keep_cols: Sequence[str] | None = None) -> DataFrame:
     """Tag each row with the first period whose ``end_date`` is on or after its date
     (rows after the last period end are dropped; rows before the first period
-    belong to it).  A broadcast range lookup against the bounded period table.
+    belong to it).  An equi-join on the day: the calendar holds one row for
+    each day of the periods, and earlier dates count as the first period's end.
     """
-    b = F.broadcast(_bounds(periods).select("period_id", "end_date", "__prev_end"))
-    d = F.to_date(F.col(date_col))
-    cond = (d <= b["end_date"]) & (b["__prev_end"].isNull() | (d > b["__prev_end"]))
-    out = df.join(b, cond, "inner").drop("__prev_end").withColumnRenamed("end_date", "__assigned_end")
-    return out.drop("__assigned_end")
+    first_end = periods.select(F.min("end_date")).scalar()
+    days = F.sequence(F.coalesce(F.date_add("__prev_end", 1), F.col("end_date")), F.col("end_date"))
+    calendar = _bounds(periods).select("period_id", F.explode(days).alias("__day"))
+    tagged = df.withColumn("__on", F.when(F.col(date_col).isNotNull(), F.greatest(F.to_date(F.col(date_col)), first_end)))
+    return tagged.join(calendar, F.col("__on") == F.col("__day"), "inner").drop("__on", "__day")
 
 
 def _grid(keys_df: DataFrame, periods: DataFrame) -> DataFrame:
@@ -119,11 +120,10 @@ def snapshot_latest_per_period(df: DataFrame, keys: Sequence[str], date_col: str
     """
     tagged = assign_period(df, date_col, periods).withColumn("__d", F.to_date(F.col(date_col)))
     leaders = ties_at_extreme(tagged, [*keys, "period_id"], "__d", largest=True)
-    last_pid = periods.agg(F.max("period_id").alias("__last"))
+    last_pid = periods.select(F.max("period_id")).scalar()
     w = Window.partitionBy(*keys).orderBy("period_id").rangeBetween(1, Window.unboundedFollowing)
     spans = (leaders.withColumn("__next", F.min("period_id").over(w))
-             .crossJoin(F.broadcast(last_pid))
-             .withColumn("__until", F.coalesce(F.col("__next") - 1, F.col("__last")))
+             .withColumn("__until", F.coalesce(F.col("__next") - 1, last_pid))
              .withColumn("__pid", F.explode(F.sequence(F.col("period_id"), F.col("__until")))))
     period_cols = [c for c in periods.columns if c != "period_id"]
     row_cols = [c for c in df.columns if c not in keys and c not in period_cols]

@@ -132,6 +132,11 @@ def _decode(df, lk, on, out):
     return O.decode(df, lk, on, "source_key", "target_value", out)
 
 
+def _decode_once(df, lk, on, out):
+    """Where the source job aborts on a lookup key that stands twice."""
+    return O.decode_or_abort(df, lk, on, "source_key", "target_value", out)
+
+
 # ------------------------------------------------------------------ flat tables
 
 def omrs_patient(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) -> DataFrame:
@@ -192,8 +197,8 @@ def omrs_patient_identifier(src: dict, lk: dict, cfg: FlatConfig = FlatConfig())
     pat = _live(src["patient"]).select(F.col("patient_id").alias("__p"))
     ids = O.require_not_null(_live(src["patient_identifier"]), ["identifier"], non_blank=["identifier"])
     ids = ids.join(pat, F.col("patient_id") == F.col("__p"), "left_semi")
-    ids = _decode(ids, lk["lookup_identifier_type"], "identifier_type", "type")
-    ids = _decode(ids, lk["lookup_location"], "location_id", "location")
+    ids = _decode_once(ids, lk["lookup_identifier_type"], "identifier_type", "type")
+    ids = _decode_once(ids, lk["lookup_location"], "location_id", "location")
     out = ids.select(_pid("patient_identifier_id", cfg).alias("patient_identifier_id"), "uuid",
                      _pid("patient_id", cfg).alias("patient_id"), "type", "identifier", "location",
                      F.to_date("date_created").alias("date_created"))
@@ -320,15 +325,15 @@ def _program_frame(src: dict, lk: dict) -> DataFrame:
     pp = pp.join(person, F.col("patient_id") == F.col("__pp"), "inner")
     prog = src["program"].select(F.col("program_id").alias("__prid"), F.col("concept_id").alias("__pcid"))
     pp = pp.join(prog, F.col("program_id") == F.col("__prid"), "inner")
-    pp = _decode(pp, lk["lookup_concept"], "__pcid", "program")
-    pp = _decode(pp, lk["lookup_location"], "location_id", "location")
+    pp = _decode_once(pp, lk["lookup_concept"], "__pcid", "program")
+    pp = _decode_once(pp, lk["lookup_location"], "location_id", "location")
     return pp
 
 
 def omrs_program_enrollment(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) -> DataFrame:
     """O-PEN: live enrollments with an enrollment date; ages at enrollment and completion."""
     pp = _program_frame(src, lk)
-    pp = _decode(pp, lk["lookup_concept"], "outcome_concept_id", "outcome")
+    pp = _decode_once(pp, lk["lookup_concept"], "outcome_concept_id", "outcome")
     guard = F.col("__bd").isNull() | F.col("date_enrolled").isNull()
     out = pp.select(
         _pid("patient_program_id", cfg).alias("program_enrollment_id"), "uuid",
@@ -352,8 +357,8 @@ def omrs_program_state(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) -> D
     pw = src["program_workflow"].select(F.col("program_workflow_id").alias("__w"), F.col("concept_id").alias("__wcid"))
     j = (ps.join(pp, "patient_program_id", "inner").join(pws, F.col("state") == F.col("__s"), "inner")
          .join(pw, F.col("program_workflow_id") == F.col("__w"), "inner"))
-    j = _decode(j, lk["lookup_concept"], "__wcid", "workflow")
-    j = _decode(j, lk["lookup_concept"], "__scid", "__state").drop("state").withColumnRenamed("__state", "state")
+    j = _decode_once(j, lk["lookup_concept"], "__wcid", "workflow")
+    j = _decode_once(j, lk["lookup_concept"], "__scid", "__state").drop("state").withColumnRenamed("__state", "state")
     guard = F.col("__bd").isNull() | F.col("start_date").isNull()
     out = j.select(
         _pid("patient_state_id", cfg).alias("program_state_id"), "uuid",

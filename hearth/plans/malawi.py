@@ -25,6 +25,7 @@ PRE_ART = "Pre-ART (Continue)"
 EXPOSED_CHILD = "Exposed child (continue)"
 ARV_NUMBER = "ARV Number"
 HCC_NUMBER = "HCC Number"
+MOTHER_ART_NUMBER = "Mother ART registration number"
 EID_NUMBER = "Exposed Infant Number"
 NCD_NUMBER = "Chronic Care Number"
 CHW_ROLE = "Community Health Worker"
@@ -115,18 +116,12 @@ def mw_pre_art_register(flat: dict) -> DataFrame:
 
 
 def mw_eid_register(flat: dict, eid_visits: DataFrame) -> DataFrame:
-    """M-REID: exposed-child episodes with EID number, the mothers' ART numbers
-    (A10, sorted so the text is fixed) and the last EID visit."""
+    """M-REID: exposed-child episodes with EID number, the mother's ART numbers
+    as observed on the child (A10, sorted so the text is fixed) and the last EID visit."""
     eps = state_episodes(flat, HIV_PROGRAM, TREATMENT_STATUS, EXPOSED_CHILD)
     num = number_at_location(flat, EID_NUMBER).withColumnRenamed("number", "eid_number")
-    rel = flat["omrs_relationship"].where(H.ci_eq("patient_role", "Child"))
-    mothers = flat["omrs_patient"].select(F.col("patient_id").alias("__m"),
-                                          H.join_nonnull(" ", "first_name", "middle_name", "last_name").alias("__mname"))
-    arv = flat["omrs_patient_identifier"].where(H.ci_eq("type", ARV_NUMBER)).select(
-        F.col("patient_id").alias("__m"), "identifier")
-    mom_nums = (rel.join(mothers, rel["related_person"] == mothers["__mname"], "inner")
-                .join(arv, "__m", "inner").select("patient_id", "identifier"))
-    mom = O.concat_group(mom_nums, ["patient_id"], "identifier", "mother_art_number", sep=",", distinct=True)
+    mom_nums = flat["omrs_obs"].where(H.ci_eq("concept", MOTHER_ART_NUMBER) & F.col("value_text").isNotNull())
+    mom = O.concat_group(mom_nums, ["patient_id"], "value_text", "mother_art_number", sep=",")
     out = O.left_join_keys(eps, num, ["patient_id", "location"], null_safe=["location"])
     out = out.join(mom, "patient_id", "left").join(_last_visit(eid_visits, "eid_visit_id", "last_eid_visit_id"),
                                                    "patient_id", "left")
@@ -172,7 +167,7 @@ def viral_load_tests(flat: dict) -> DataFrame:
     return g.select("patient_id", "encounter_id", "date_collected", F.lit(VIRAL_LOAD).alias("test_type"),
                     F.lit(None).cast("date").alias("date_result_received"), "date_result_entered",
                     F.lit(None).cast("string").alias("result_coded"), "result_numeric",
-                    F.coalesce("__lt", "__ldl").alias("result_exception"))
+                    F.coalesce("__lt", "__ldl").alias("result_exception"), F.lit(None).cast("long").alias("obs_group_id"))
 
 
 def hiv_tests(flat: dict) -> DataFrame:
@@ -193,14 +188,15 @@ def hiv_tests(flat: dict) -> DataFrame:
                     F.coalesce("__ttype", F.lit(HIV_TEST)).alias("test_type"),
                     F.lit(None).cast("date").alias("date_result_received"), "date_result_entered", "result_coded",
                     F.lit(None).cast("double").alias("result_numeric"),
-                    F.lit(None).cast("string").alias("result_exception"))
+                    F.lit(None).cast("string").alias("result_exception"), F.col("obs_group_id").cast("long").alias("obs_group_id"))
 
 
 def mw_lab_tests(flat: dict) -> DataFrame:
     both = viral_load_tests(flat).unionByName(hiv_tests(flat))
-    order = ["patient_id", "encounter_id", "test_type"]
+    # HIV tests are one row per obs group
+    order = ["patient_id", "encounter_id", "test_type", "obs_group_id"]
     keyed = O.dense_key(both.select(*order), order, "lab_test_id")
-    return O.attach_key(both, keyed, order).select("lab_test_id", *[c for c in both.columns])
+    return O.attach_key(both, keyed, order).select("lab_test_id", *[c for c in both.columns if c != "obs_group_id"])
 
 
 def mw_ncd_diagnoses(flat: dict) -> DataFrame:

@@ -137,8 +137,9 @@ def trace_criteria(mart: dict, end_date, location=None, min_wks: int = 2, lab_wk
     since = H.days_between(t, "date_result_entered")
     if min_wks == 2:
         high = art_vl.where((since <= 42 + 7 * lab_wks) & (F.col("result_numeric") > 1000))
-    else:
-        high = art_vl.where((F.col("result_numeric") > 1000) & (F.col("date_result_entered") > F.col("last_visit_date")))
+    else:                                # the result rules are for two and six weeks only
+        high = art_vl.where(F.lit(min_wks == 6) & (F.col("result_numeric") > 1000) &
+                            (F.col("date_result_entered") > F.col("last_visit_date")))
     pcr_first = latest_result(labs, DNA_PCR, t, first=True).select("patient_id", F.col("lab_test_id").alias("__f"))
     pcr_last = latest_result(labs, DNA_PCR, t).select("patient_id", "lab_test_id", "result_coded",
                                                       "date_result_entered")
@@ -147,7 +148,7 @@ def trace_criteria(mart: dict, end_date, location=None, min_wks: int = 2, lab_wk
         eid_pos = pcr.where((H.days_between(t, "date_result_entered") <= 42 + 7 * lab_wks) &
                             H.ci_eq("result_coded", "Positive"))
     else:
-        eid_pos = pcr.where(H.ci_eq("result_coded", "Positive") &
+        eid_pos = pcr.where(F.lit(min_wks == 6) & H.ci_eq("result_coded", "Positive") &
                             (F.col("date_result_entered") > F.col("last_visit_date")))
     rules = [("LATE_ART", late(art)), ("LATE_EID", late(eid)), ("HIGH_VIRAL_LOAD", high),
              ("EID_POSITIVE_6_WK", eid_pos)]
@@ -191,8 +192,9 @@ def first_date_no_breastfeeding(eid_visits: DataFrame, end_date) -> DataFrame:
                                     out="date_stopped_bf")
 
 
-def appt_alerts(mart: dict, end_date, location=None, obs: DataFrame | None = None) -> DataFrame:
-    """RP7: (patient, alert, action) from the appointment alert rules."""
+def appt_alerts(mart: dict, end_date, location=None, *, obs: DataFrame) -> DataFrame:
+    """RP7: (patient, alert, action) from the appointment alert rules; ``obs``
+    (the flat observations) feeds the HbA1C and creatinine rules."""
     t = _d(end_date)
     art, eid, ncd = active_art(mart, t, location), active_eid(mart, t, location), active_ncd(mart, t, location)
     labs, pat = mart["mw_lab_tests"], mart["mw_patient"].select("patient_id", "birthdate")
@@ -207,11 +209,10 @@ def appt_alerts(mart: dict, end_date, location=None, obs: DataFrame | None = Non
     vl = latest_result(labs, VIRAL_LOAD, t).select("patient_id", "result_numeric", "date_result_entered")
     high = art.join(vl, "patient_id").where((F.col("result_numeric") > 1000) &
                                            (H.days_between(t, "date_result_entered") <= 91))
-    by_sample = O.nth_latest(labs.where(H.ci_eq("test_type", VIRAL_LOAD) & (
-        F.col("result_numeric").isNotNull() | F.col("result_coded").isNotNull() | F.col("result_exception").isNotNull())),
-        "patient_id", "date_collected", 0, "lab_test_id", as_of=t).select(
-        "patient_id", F.col("date_collected").alias("__sc"))
-    confirm = art.join(vl, "patient_id").join(by_sample, "patient_id", "left").where(
+    # the latest sample, whether it has a result or not: a patient bled again needs no alert
+    by_sample = O.nth_latest(labs.where(H.ci_eq("test_type", VIRAL_LOAD)), "patient_id", "date_collected", 0, "lab_test_id",
+                             as_of=t).select("patient_id", F.col("date_collected").alias("__sc"))
+    confirm = art.join(vl, "patient_id").join(by_sample, "patient_id").where(
         (F.col("__sc").isNull() | (F.col("__sc") < F.col("date_result_entered"))) & (F.col("result_numeric") > 1000) &
         (F.col("last_visit_date") > F.col("date_result_entered")) & (H.days_between(t, "last_visit_date") > 60))
     rt = latest_result(labs, RAPID, t).select("patient_id", "result_coded")
@@ -232,22 +233,21 @@ def appt_alerts(mart: dict, end_date, location=None, obs: DataFrame | None = Non
              (("Due for EID DNA-PCR Test", "Refer to HTC for DNA-PCR test"), pcr_due),
              (("Due for EID Rapid Test", "Refer to HTC for rapid test"), rapid_due),
              (("Consider EID RT", "If baby stopped breastfeeding 6w ago, refer to HTC for RT"), consider)]
-    if obs is not None:
-        dx = mart["mw_ncd_diagnoses"]
-        last_obs = lambda concept: O.latest_per_key(obs.where(H.ci_eq("concept", concept)), "patient_id",
-                                                    "obs_date", "obs_id").select("patient_id", F.col("obs_date").alias("__od"))
-        dm = O.latest_per_key(dx.where(H.ci_in("diagnosis", ["Diabetes", "Type 1 diabetes", "Type 2 diabetes"])),
-                              "patient_id", "diagnosis_date", "diagnosis")
-        a1c = ncd.join(dm.select("patient_id", "diagnosis"), "patient_id").join(last_obs("Glycated hemoglobin"),
-                                                                                  "patient_id", "left")
-        gap = H.days_between(t, "__od")
-        a1c = a1c.where((H.ci_eq("diagnosis", "Type 1 diabetes") & ((gap > 90) | F.col("__od").isNull())) |
-                        (H.ci_in("diagnosis", ["Diabetes", "Type 2 diabetes"]) & ((gap > 182) | F.col("__od").isNull())))
-        dh = dx.where(H.ci_in("diagnosis", ["Diabetes", "Hypertension"])).select("patient_id").distinct()
-        cr = ncd.join(dh, "patient_id").join(last_obs("Creatinine"), "patient_id", "left").where(
-            (H.days_between(t, "__od") > 365) | F.col("__od").isNull())
-        rules += [(("Test for HbA1C", "Refer for fingerstick"), a1c),
-                  (("Test for Creatinine", "Refer to nurse for creatinine test"), cr)]
+    dx = mart["mw_ncd_diagnoses"]
+    last_obs = lambda concept: O.latest_per_key(obs.where(H.ci_eq("concept", concept)), "patient_id",
+                                                "obs_date", "obs_id").select("patient_id", F.col("obs_date").alias("__od"))
+    dm = O.latest_per_key(dx.where(H.ci_in("diagnosis", ["Diabetes", "Type 1 diabetes", "Type 2 diabetes"])),
+                          "patient_id", "diagnosis_date", "diagnosis")
+    a1c = ncd.join(dm.select("patient_id", "diagnosis"), "patient_id").join(last_obs("Glycated hemoglobin"),
+                                                                              "patient_id", "left")
+    gap = H.days_between(t, "__od")
+    a1c = a1c.where((H.ci_eq("diagnosis", "Type 1 diabetes") & ((gap > 90) | F.col("__od").isNull())) |
+                    (H.ci_in("diagnosis", ["Diabetes", "Type 2 diabetes"]) & ((gap > 182) | F.col("__od").isNull())))
+    dh = dx.where(H.ci_in("diagnosis", ["Diabetes", "Hypertension"])).select("patient_id").distinct()
+    cr = ncd.join(dh, "patient_id").join(last_obs("Creatinine"), "patient_id", "left").where(
+        (H.days_between(t, "__od") > 365) | F.col("__od").isNull())
+    rules += [(("Test for HbA1C", "Refer for fingerstick"), a1c),
+              (("Test for Creatinine", "Refer to nurse for creatinine test"), cr)]
     out = None
     for (alert, action), df in rules:
         x = df.select("patient_id", F.lit(alert).alias("alert"), F.lit(action).alias("action"))
@@ -291,7 +291,9 @@ def patients_expected(mart: dict, start_date, end_date, location=None, advanced_
     out = last.where((F.col("next_appointment_date") >= _d(start_date)) & (F.col("next_appointment_date") <= _d(end_date)))
     out = out.select("patient_id", F.col("visit_date").alias("last_visit_date"),
                      F.col("next_appointment_date").alias("last_appt_date"))
-    if advanced_care and states is not None:
+    if advanced_care:
+        if states is None:
+            raise ValueError("advanced_care needs the programme states")
         out = O.drop_if_latest_state_not(out, "patient_id", states, "patient_id", "state", "start_date",
                                          "program_state_id", "In advanced care")
     return out

@@ -27,7 +27,7 @@ HEIGHT = "HEIGHT (CM)"
 VIRAL_LOAD = "HIV VIRAL LOAD"
 HIV_PROGRAMS = ["HIV Program", "PMTCT Pregnancy", "Pediatric HIV Program", "PMTCT Combined Clinic - Mother"]
 PDC_ID_START = 9_990_000
-DERIVED_PREFIX = "999"
+PDC_UUID = "derived-pdc-malnutrition-"     # marks the rows this job derives
 
 
 def _live(df):
@@ -204,23 +204,24 @@ def rw_last_vl_include_blanks(flat: dict, periods: DataFrame, programs=HIV_PROGR
 def rw_pdc_malnutrition_program(flat: dict) -> tuple[DataFrame, DataFrame]:
     """R-PDC: one derived enrollment per patient at the first visit on either
     malnutrition form (location and ages of that visit), completed at the
-    patient's first 'cured' observation; ids numbered from 9,990,000.  Returns
-    (derived rows, enrollment table with earlier derived rows removed (P9) and
-    the new ones appended)."""
+    patient's first 'cured' observation; ids numbered from 9,990,000.  Derived
+    rows are marked by their uuid (``PDC_UUID`` + patient id), which is how a rerun
+    finds them, however many there are.  Returns (derived rows, enrollment
+    table with earlier derived rows removed (P9) and the new ones appended)."""
     e = flat["omrs_encounter"].where(H.ci_in("form", PDC_FORMS))
     first = O.earliest_per_key(e, "patient_id", "encounter_date", "encounter_id")
     cured = flat["omrs_obs"].where(H.ci_eq("concept", CURED)).groupBy("patient_id").agg(
         F.min("obs_date").alias("completion_date"))
     keyed = O.dense_key(first.select("patient_id"), ["patient_id"], "program_enrollment_id", start=PDC_ID_START)
     rows = (first.join(cured, "patient_id", "left").join(keyed, "patient_id")
-            .select("program_enrollment_id", F.lit(None).cast("string").alias("uuid"), "patient_id",
+            .select("program_enrollment_id", F.concat(F.lit(PDC_UUID), F.col("patient_id").cast("string")).alias("uuid"), "patient_id",
                     F.lit("PDC malnutrition").alias("program"), F.col("encounter_date").alias("enrollment_date"),
                     F.col("age_years_at_encounter").alias("age_years_at_enrollment"),
                     F.col("age_months_at_encounter").alias("age_months_at_enrollment"), "location", "completion_date",
                     F.lit(None).cast("long").alias("age_years_at_completion"),
                     F.lit(None).cast("long").alias("age_months_at_completion"),
                     F.lit(None).cast("string").alias("outcome")))
-    kept = O.delete_by_key_prefix(flat["omrs_program_enrollment"], "program_enrollment_id", DERIVED_PREFIX)
+    kept = flat["omrs_program_enrollment"].where(~F.coalesce(F.col("uuid").startswith(PDC_UUID), F.lit(False)))
     return rows, kept.unionByName(rows)
 
 

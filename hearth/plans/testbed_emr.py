@@ -27,7 +27,7 @@ from ..schemas import SOURCE, conform
 from .forms import FormSpec
 from .lazy import LazyTables
 
-LINE_OBS_BASE = 1_000_000_000_000
+LINE_OBS_BASE = 1 << 60     # line observation ids are this + 60 bits of the line's md5
 ORDER_OBS_BASE = 2_000_000_000_000
 APPT_OBS_BASE = 3_000_000_000_000
 APPT_CONCEPT = "Appointment date"
@@ -129,9 +129,10 @@ class _Derived:
 
     def obs(self):
         li = self._t("lineitem")
-        line_key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
-                    "l_returnflag", "l_linestatus", "l_quantity"]
-        lines = (li.withColumn("__lid", F.abs(H.stable_key(*line_key)) % F.lit(LINE_OBS_BASE))
+        line_key = [*[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+                    F.date_format("l_shipdate", "yyyy-MM-dd"), F.col("l_returnflag"), F.col("l_linestatus")]
+        bits = F.conv(F.substring(F.md5(F.concat_ws("|", *line_key)), 1, 15), 16, 10).cast("long")
+        lines = (li.withColumn("__lid", bits)
                  .withColumn("concept_id", self.key("l_returnflag"))
                  .join(self.o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"))
         line_obs = lines.select(

@@ -111,7 +111,7 @@ FROM (SELECT DISTINCT c_mktsegment FROM customer) s LEFT JOIN (
     sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS n_o,
     sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS n_p
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE o.o_orderpriority = '1-URGENT' GROUP BY c.c_mktsegment) x ON x.c_mktsegment = s.c_mktsegment""",
+  GROUP BY c.c_mktsegment) x ON x.c_mktsegment = s.c_mktsegment""",
 
     "a9": """SELECT l_orderkey, CAST(min(l_shipdate) AS DATE) AS first_ship, CAST(max(l_shipdate) AS DATE) AS last_ship,
        CAST(CAST(min(l_shipdate) AS DATE) + INTERVAL 30 DAY AS DATE) AS planned_end
@@ -459,7 +459,7 @@ FROM iv""",
 
     "f16": f"""WITH {INTERVALS}
 SELECT o_orderkey, CAST(datediff('day', order_date, last_ship) % 7 AS INTEGER) AS weekday_gap
-FROM iv WHERE last_ship IS NOT NULL""",
+FROM iv""",
 
     "f17": """SELECT l_orderkey, l_linenumber,
   l_extendedprice + l_tax + CASE WHEN l_discount <> 0 THEN l_discount END AS total FROM lineitem""",
@@ -775,3 +775,37 @@ SELECT act.patient_id, lastv.visit_date AS last_visit_date,
   CASE WHEN lastv.next_appt >= {T_ORDER} THEN CAST(datediff('day', {T_ORDER}, lastv.next_appt) AS INTEGER) END AS days_to_next_appt
 FROM act LEFT JOIN lastv ON lastv.patient_id = act.patient_id""",
 })
+
+# The derived observations: order lines, events, one status and one appointment an order.
+EMR_OBS = f"""obs AS (
+  SELECT 1152921504606846976 + CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+           strftime(l_shipdate, '%Y-%m-%d'), l_returnflag, l_linestatus)), 1, 15) AS BIGINT) AS obs_id,
+         o.o_custkey AS person_id, l_orderkey AS encounter_id, l_returnflag AS concept, l_shipdate AS at,
+         l_extendedprice AS num, CAST(NULL AS VARCHAR) AS coded, CAST(NULL AS DATE) AS day, l_shipdate AS made
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  UNION ALL SELECT event_id, user_id, NULL, event_type, ts, value, NULL, NULL, ts FROM events
+  UNION ALL SELECT 2000000000000 + o_orderkey, o_custkey, o_orderkey, 'order status', o_orderdate, NULL, o_orderstatus, NULL,
+         o_orderdate FROM orders
+  UNION ALL SELECT 3000000000000 + o.o_orderkey, o.o_custkey, o.o_orderkey, 'Appointment date', o.o_orderdate, NULL, NULL,
+         CAST(x.last AS DATE), o.o_orderdate
+  FROM orders o JOIN (SELECT l_orderkey, max(l_shipdate) AS last FROM lineitem GROUP BY l_orderkey) x ON x.l_orderkey = o.o_orderkey),
+eo AS (SELECT obs.obs_id, CAST(NULL AS VARCHAR) AS uuid, obs.person_id AS patient_id, obs.encounter_id,
+  CAST(obs.at AS DATE) AS obs_date, strftime(obs.at, '%H:%M:%S') AS obs_time,
+  CAST({full_years(EMR_BIRTH, "CAST(obs.at AS DATE)")} AS BIGINT) AS age_years_at_obs,
+  CAST({full_months(EMR_BIRTH, "CAST(obs.at AS DATE)")} AS BIGINT) AS age_months_at_obs,
+  e.o_orderpriority AS encounter_type, CAST(NULL AS VARCHAR) AS form, n.n_name AS location, obs.concept,
+  obs.coded AS value_coded, obs.day AS value_date, obs.num AS value_numeric, CAST(NULL AS VARCHAR) AS value_text,
+  CAST(NULL AS VARCHAR) AS comments, CAST(NULL AS BIGINT) AS obs_group_id, CAST(obs.made AS DATE) AS date_created
+  FROM obs JOIN customer c ON c.c_custkey = obs.person_id LEFT JOIN orders e ON e.o_orderkey = obs.encounter_id
+  LEFT JOIN customer ec ON ec.c_custkey = e.o_custkey LEFT JOIN nation n ON n.n_nationkey = ec.c_nationkey)"""
+
+SQL.update({
+    "emr_obs": f"WITH {EMR_OBS} SELECT * FROM eo",
+
+    "emr_last_obs": f"""WITH {QUARTERS}, {EMR_OBS}, s AS (SELECT * FROM eo WHERE concept IN ('purchase', 'R')),
+m AS (SELECT s.patient_id, s.concept, q.end_date, max(s.obs_date) AS last FROM s JOIN q ON s.obs_date <= q.end_date
+      GROUP BY s.patient_id, s.concept, q.end_date)
+SELECT m.patient_id, m.concept, s.obs_id, m.end_date, s.obs_date AS last_obs_date, s.encounter_type, s.location,
+  s.value_coded, s.value_date, s.value_numeric, s.value_text, s.obs_group_id
+FROM m JOIN s ON s.patient_id = m.patient_id AND s.concept = m.concept AND s.obs_date = m.last""",
+})

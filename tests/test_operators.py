@@ -134,7 +134,7 @@ def test_conditional_sums_keep_empty_groups(spark):
 
 def test_dense_key_matches_global_order(spark):
     df = spark.range(0, 500).select(((F.col("id") * 7919) % 1000).alias("v"))
-    keyed = O.dense_key(df, ["v"], "k", num_partitions=7)
+    keyed = O.dense_key(df, ["v"], "k")
     got = rows(keyed, "v", "k")
     assert [k for _, k in got] == list(range(1, len(got) + 1))
     assert len(got) == df.distinct().count()
