@@ -25,7 +25,9 @@ from hearth.session import get_session  # noqa: E402
 HEADLINE = ["rp2", "rp6", "a4", "a5", "a6", "a19", "w1", "w5", "w6", "w8", "j8", "j10", "j11", "j11_orders",
             "j12_asof", "j14", "j15", "u3", "d_date", "x_event", "f1", "x1",
             # warehouse jobs over the EMR source derived from the same tables
-            "emr_obs", "emr_state", "emr_urgent_visits", "emr_last_obs"]
+            "emr_obs", "emr_state", "emr_urgent_visits", "emr_last_obs",
+            # the slowest ones
+            "emr_fact_event", "emr_fact_numeric", "emr_dim_date", "emr_active_cohort", "emr_latest_per_period"]
 
 
 def main() -> None:

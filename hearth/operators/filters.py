@@ -74,13 +74,14 @@ def typed_value_filter(obs: DataFrame, value_col: str) -> DataFrame:
 def drop_if_latest_state_not(df: DataFrame, patient_col: str, states: DataFrame, state_patient: str, state_col: str,
                              date_col: str, id_col: str, keep_state: str | None) -> DataFrame:
     """When ``keep_state`` is given, drop patients whose latest state differs
-    from it; patients without any state stay."""
+    from it; patients without any state, or whose latest state is null, stay
+    (SQL ``state <> x`` is not true of a null)."""
     if keep_state is None:
         return df
     from ..functions import ci_eq
     from .latest import latest_per_key
     latest = latest_per_key(states, [state_patient], date_col, id_col)
-    bad = latest.where(~ci_eq(state_col, keep_state) | F.col(state_col).isNull()).select(F.col(state_patient).alias("__p"))
+    bad = latest.where(~ci_eq(state_col, keep_state)).select(F.col(state_patient).alias("__p"))
     return df.join(bad, df[patient_col] == bad["__p"], "left_anti")
 
 

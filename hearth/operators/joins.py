@@ -2,8 +2,7 @@
 
 Join strategy is left to Catalyst + AQE: a lookup or dimension small enough at
 run time becomes a broadcast hash join, anything larger stays a sort-merge
-join (with skewed partitions split by AQE).  An explicit ``broadcast`` hint is
-only placed on tables with a checked size bound (``broadcast_bounded``).
+join (with skewed partitions split by AQE).
 """
 
 from __future__ import annotations
@@ -16,14 +15,6 @@ from pyspark.sql import functions as F
 from ..functions import as_col
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows; otherwise
-    return it unhinted so the planner keeps a shuffle join.  The check reads at
-    most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def decode(df: DataFrame, lookup: DataFrame, on: str, key: str, label: str, out: str | None = None) -> DataFrame:
     """Attach ``lookup.label`` where ``df.on == lookup.key``; a miss gives null, the row stays."""
     lk = lookup.select(F.col(key).alias("__lk_key"), F.col(label).alias(out or label))

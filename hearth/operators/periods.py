@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .latest import nth_per_key, ties_at_extreme
@@ -146,8 +146,3 @@ def snapshot_with_blanks(cohort: DataFrame, df: DataFrame, keys: Sequence[str],
     g = g.withColumn("__row", F.last("__row", ignorenulls=True).over(w))
     cols = [c for c in g.columns if c != "__row"]
     return g.select(*cols, *[F.col("__row")[c].alias(c) for c in [date_col, tiebreak, *value_cols]])
-
-
-def period_table(periods: DataFrame, bound: Column | None = None) -> DataFrame:
-    """Periods as a broadcastable parameter table (optionally filtered)."""
-    return F.broadcast(periods.where(bound) if bound is not None else periods)

@@ -2,7 +2,7 @@
 
     python -m hearth.refresh --source DIR --out DIR [--country malawi|rwanda|liberia] [--prefix 10]
                              [--periods-from 2016-01-01 --periods-to 2018-12-31] [--anonymise]
-                             [--optional-tables name,name]
+                             [--optional-tables name,name] [--append] [--concepts name,name]
 
 Each source table is read from ``DIR/<table>`` (parquet, any file system Spark
 reads).  A table that is missing is an error unless it is named optional; an
@@ -20,9 +20,11 @@ import argparse
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from .schemas import LIBERIA_SOURCE, RWANDA_SOURCE, SOURCE, struct
-from .sources import overwrite_table, path_exists
+from .functions import check_prefixes
+from .schemas import FLAT, LIBERIA_SOURCE, RWANDA_SOURCE, SOURCE, struct
+from .sources import append_table, import_audit_row, overwrite_table, path_exists
 
 
 def read_source(spark: SparkSession, root: str, names, optional=()) -> dict:
@@ -39,27 +41,46 @@ def read_source(spark: SparkSession, root: str, names, optional=()) -> dict:
     return out
 
 
-def write_layer(spark: SparkSession, tables, root: str, skip=()) -> dict:
-    """Replace each table under ``root`` and return the written tables read back."""
+def write_layer(spark: SparkSession, tables, root: str, skip=(), append=()) -> dict:
+    """Replace each table under ``root`` (those named in ``append``: add to
+    it) and return the written tables read back."""
     written = {}
     for name in list(tables):
         if name in skip:
             continue
         path = os.path.join(root, name)
-        overwrite_table(tables[name], path)
+        if name in append:
+            append_table(tables[name], path)
+        else:
+            overwrite_table(tables[name], path)
         written[name] = spark.read.parquet(path)
     return written
 
 
+def record_import(spark: SparkSession, source: str, out: str, prefix: str | None, append: bool) -> None:
+    """One audit row a load.  A site added to a warehouse needs a prefix
+    that no other site has and that is as long as theirs."""
+    path = os.path.join(out, "import")
+    if append and path_exists(spark, path):
+        before = [r["id_prefix"] for r in spark.read.parquet(path).select("id_prefix").distinct().collect()]   # one row a site
+        if prefix is None or prefix in before or None in before:
+            raise ValueError(f"a site added to a warehouse needs a prefix of its own, got {prefix!r} beside {before}")
+        check_prefixes([*before, prefix])
+    row = import_audit_row(spark, prefix, source, "refresh").withColumn("id_prefix", F.lit(prefix).cast("string"))
+    (append_table if append else overwrite_table)(row, path)
+
+
 def refresh(spark: SparkSession, source: str, out: str, country: str = "malawi", prefix: str | None = None,
             periods_from: str | None = None, periods_to: str | None = None, anonymise: bool = False,
-            optional=()) -> dict:
+            optional=(), append: bool = False, concepts=()) -> dict:
     from .operators import quarter_periods
     from .plans.flat import FlatConfig, build_flat
     from .plans.star import build_star
 
+    record_import(spark, source, out, prefix, append)
     src = read_source(spark, source, SOURCE, optional)
-    flat = write_layer(spark, build_flat(src, FlatConfig(prefix=prefix)), os.path.join(out, "flat"))
+    tables = build_flat(src, FlatConfig(prefix=prefix))
+    flat = write_layer(spark, tables, os.path.join(out, "flat"), append=set(FLAT) if append else ())
     star = write_layer(spark, build_star(spark, flat), os.path.join(out, "star"))
     periods = quarter_periods(spark, periods_from, periods_to) if periods_from and periods_to else None
     mart = {}
@@ -74,16 +95,23 @@ def refresh(spark: SparkSession, source: str, out: str, country: str = "malawi",
                   "rw_calculated_visit": rw.rw_calculated_visit(flat), "rw_bill": rw.rw_bill(rsrc),
                   "rw_payment": rw.rw_payment(rsrc), "rw_refund": rw.rw_refund(rsrc),
                   "rw_insurance_policy": rw.rw_insurance_policy(rsrc),
-                  "rw_patient_service": rw.rw_patient_service(rsrc), "pdc_z_score_input": rw.pdc_z_score_input(flat)}
+                  "rw_patient_service": rw.rw_patient_service(rsrc), "pdc_z_score_input": rw.pdc_z_score_input(flat),
+                  "rw_program_enrollment": rw.rw_pdc_malnutrition_program(flat)[1],
+                  "rw_import_metadata": rw.rw_import_metadata(spark, source, country, int(prefix) if prefix else None, "refresh")}
         if periods is not None:
             tables["rw_last_vl_include_blanks"] = rw.rw_last_vl_include_blanks(flat, periods)
-        mart = write_layer(spark, tables, os.path.join(out, "mart"))
+            if concepts:
+                tables["rw_last_obs_in_period"] = rw.rw_last_obs_in_period(flat, list(concepts), periods)
+        # what comes from the site's own source is added, what comes from the flat layer rebuilt
+        own = {"rw_location", "rw_order", "rw_order_group", "rw_bill", "rw_payment", "rw_refund", "rw_insurance_policy",
+               "rw_patient_service", "rw_import_metadata"}
+        mart = write_layer(spark, tables, os.path.join(out, "mart"), append=own if append else ())
     elif country == "liberia":
         from .plans import liberia as lb
         lsrc = {**src, **read_source(spark, source, LIBERIA_SOURCE, optional)}
         tables = {"mh_encounter": lb.mh_encounter(lsrc, prefix=prefix), "rx_prescriptions": lb.rx_prescriptions(lsrc),
                   "program_statistics": lb.program_statistics(lsrc), "program_enrollment": lb.program_enrollment(lsrc)}
-        mart = write_layer(spark, tables, os.path.join(out, "mart"))
+        mart = write_layer(spark, tables, os.path.join(out, "mart"), append=set(tables) if append else ())
     result = {"flat": flat, "star": star, "mart": mart}
     if anonymise:
         from .plans.anonymise import anonymise_warehouse
@@ -100,13 +128,15 @@ def main(argv=None) -> None:
     ap.add_argument("--periods-from", default=None)
     ap.add_argument("--periods-to", default=None)
     ap.add_argument("--anonymise", action="store_true")
+    ap.add_argument("--append", action="store_true", help="add a site to the warehouse (its own --prefix)")
+    ap.add_argument("--concepts", default="", help="concepts of the last-observation snapshot, comma-separated")
     ap.add_argument("--optional-tables", default="", help="source tables that may be missing, comma-separated")
     ap.add_argument("--total-cores", type=int, default=None)
     a = ap.parse_args(argv)
     from .session import get_session
     spark = get_session(total_cores=a.total_cores)
     refresh(spark, a.source, a.out, a.country, a.prefix, a.periods_from, a.periods_to, a.anonymise,
-            tuple(x for x in a.optional_tables.split(",") if x))
+            tuple(x for x in a.optional_tables.split(",") if x), a.append, tuple(x for x in a.concepts.split(",") if x))
 
 
 if __name__ == "__main__":

@@ -45,6 +45,22 @@ def test_refresh_rwanda_and_liberia_paths(spark):
     assert set(rw["mart"]) >= {"rw_order", "rw_bill", "rw_onc_diagnosis", "rw_calculated_visit",
                                "rw_last_vl_include_blanks"}
     assert rw["mart"]["rw_calculated_visit"].count() > 0
+    assert rw["mart"]["rw_program_enrollment"].columns == rw["flat"]["omrs_program_enrollment"].columns
     lb = refresh(spark, src_dir, os.path.join(root, "lb"), "liberia", optional=absent)
     assert set(lb["mart"]) == {"mh_encounter", "rx_prescriptions", "program_statistics", "program_enrollment"}
     assert lb["mart"]["program_enrollment"].count() == 7
+
+
+def test_a_second_site_is_added_by_prefix(spark):
+    root = tempfile.mkdtemp(prefix="hearth-refresh-sites-")
+    src_dir, out = os.path.join(root, "src"), os.path.join(root, "out")
+    for name, df in build(spark).items():
+        df.write.parquet(os.path.join(src_dir, name))
+    absent = tuple(set(SOURCE) - set(os.listdir(src_dir)))
+    one = refresh(spark, src_dir, out, "none", prefix="10", optional=absent)["flat"]["omrs_patient"].count()
+    two = refresh(spark, src_dir, out, "none", prefix="11", optional=absent, append=True)
+    ids = [str(r["patient_id"]) for r in two["flat"]["omrs_patient"].collect()]
+    assert len(set(ids)) == len(ids) == 2 * one and {i[:2] for i in ids} == {"10", "11"}
+    for bad in ("11", "123", None):
+        with pytest.raises(ValueError):
+            refresh(spark, src_dir, out, "none", prefix=bad, optional=absent, append=True)
