@@ -74,11 +74,12 @@ def chunks(column: pa.Array, chars: int = CHUNK_CHARS) -> Iterator[tuple[int, li
 
 
 def map_text(df: DataFrame, fn: Callable[[list[str]], list], out: T.StructType, text_col: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, done: Callable[[], None] | None = None) -> DataFrame:
     """Run ``fn`` over the texts of ``df`` (lists of about a megabyte) and
     append its columns.  ``fn`` returns one list per field of ``out``.  A null
     text reaches ``fn`` as the empty text.  ``keep`` names the input columns
-    that stay (default: all)."""
+    that stay (default: all).  ``done`` is called when a task has read its rows:
+    a worker that goes on to other work should not hold on to memory."""
     ship_package(df.sparkSession)
     keep = list(df.columns) if keep is None else keep
     df = df.select(*dict.fromkeys([*keep, text_col]))
@@ -99,6 +100,8 @@ def map_text(df: DataFrame, fn: Callable[[list[str]], list], out: T.StructType,
                 arrays.append(pa.array(part, field.type))
                 names.append(field.name)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        if done:
+            done()
 
     return df.mapInArrow(run, schema)
 

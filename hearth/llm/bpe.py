@@ -214,12 +214,19 @@ def _worker(ranks: bytes, pattern: str) -> tuple[Vocabulary, Pieces]:
     return _WORKER["both"]
 
 
+def _forget() -> None:
+    """Empty the worker's memory of pieces."""
+    if "both" in _WORKER:
+        for part in _WORKER["both"]:
+            part.known.clear()
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, out_col: str = "ids", text_col: str = "text",
            keep: list[str] | None = None) -> DataFrame:
     """Append ``out_col``: the ids of each whole text as little-endian unsigned 32-bit bytes."""
     ranks = docs.sparkSession.sparkContext.broadcast(Path(ranks_path).read_bytes())     # one fixed file
     return C.map_text(docs, lambda texts: [_worker(ranks.value, pattern)[1].texts(texts)],
-                      T.StructType([T.StructField(out_col, T.BinaryType())]), text_col, keep)
+                      T.StructType([T.StructField(out_col, T.BinaryType())]), text_col, keep, _forget)
 
 
 def op3_bpe(spark, sf_dir: str) -> DataFrame:
@@ -238,4 +245,4 @@ def op3_bpe(spark, sf_dir: str) -> DataFrame:
 
     return C.map_text(C.read(spark, sf_dir, "documents"), both, T.StructType([
         T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-        T.StructField("decoded_sha256", T.StringType())]), keep=["doc_id"])
+        T.StructField("decoded_sha256", T.StringType())]), keep=["doc_id"], done=_forget)

@@ -123,7 +123,7 @@ def _find(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for start, texts in C.chunks(batch.column(2)):
+            for start, texts in C.chunks(batch.column(2), 1 << 18):
                 row, fp, ctx, at, n, _ = contexts(_utf8(texts), length)
                 row = pa.array(row + start)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(fp), pa.array(ctx),
@@ -265,7 +265,7 @@ def _unpack(column) -> list[bytes]:
     return list(map(zstandard.ZstdDecompressor().decompress, column.to_pylist()))
 
 
-def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 16, letters: int = 1 << 20) -> DataFrame:
+def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 16, letters: int = 1 << 19) -> DataFrame:
     """``docs`` (id, th, text).  Returns (id, th, spans): for each row with a
     repeated window the array of (first, last) window starts."""
     found = C.written(_find(docs, length), "suffix-contexts")
