@@ -35,8 +35,9 @@ def test_snapshots_pdc_and_zscore(spark):
         (7, 2, "Cured (malnutrition)", D(2020, 6, 1), None)],
         "obs_id long, patient_id long, concept string, obs_date date, value_numeric double")
     pe = _flat(spark, "omrs_program_enrollment", [
-        (1, 1, "HIV Program", D(2019, 1, 1)), (2, 2, "PDC PROGRAM", D(2020, 1, 1)), (9990001, 3, "old", D(2019, 1, 1))],
-        "program_enrollment_id long, patient_id long, program string, enrollment_date date")
+        (1, 1, "HIV Program", D(2019, 1, 1), None), (2, 2, "PDC PROGRAM", D(2020, 1, 1), "u2"),
+        (9990001, 3, "old", D(2019, 1, 1), RW.PDC_UUID + "3")],       # derived by an earlier run
+        "program_enrollment_id long, patient_id long, program string, enrollment_date date, uuid string")
     pat = _flat(spark, "omrs_patient", [(1, "M", D(1990, 1, 1)), (2, "f", D(2019, 1, 1)), (3, "F", None)],
                 "patient_id long, gender string, birthdate date")
     enc = _flat(spark, "omrs_encounter", [
