@@ -41,3 +41,12 @@ def test_lm_windows_hold_every_id_once():
     assert (m[:, 0] == -2).sum() == len(texts)                               # one start each
     assert m[3, 0] == 41 and m[3, 1] == 42                                   # goes on where the window before ended
     assert attention_lm.text_windows(np.zeros(0, np.uint16), 99).shape == (0, attention_lm.WINDOW + 1)
+
+
+def test_lm_passes_do_not_depend_on_the_size(spark, monkeypatch):
+    rounds, init = [], attention_lm.Network.__init__
+    monkeypatch.setattr(attention_lm.Network, "__init__", lambda self, w: (rounds.append(1), init(self, w))[1])
+    for n in (3, 300):
+        rounds.clear()
+        fitted(spark, [(i, " ".join(LINE)) for i in range(n)], passes=3)
+        assert len(rounds) == 1 + 3                                          # the driver makes one at first and one a round
