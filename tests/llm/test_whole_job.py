@@ -18,7 +18,8 @@ def fitted(spark, texts, **more):
     path = P.path("byte_bpe_multi_50k.tiktoken")
     with open(path, "rb") as f:
         sub = attention_lm.Subwords(f.read(), P.PATTERN)
-    return attention_lm.fit(chunks_of(spark, texts), path, P.PATTERN, **more), sub
+    chunks = chunks_of(spark, texts)
+    return attention_lm.fit(chunks, attention_lm.id_cells(chunks, path, P.PATTERN), path, P.PATTERN, **more), sub
 
 
 # -- language model ------------------------------------------------------
@@ -50,3 +51,35 @@ def test_lm_passes_do_not_depend_on_the_size(spark, monkeypatch):
         rounds.clear()
         fitted(spark, [(i, " ".join(LINE)) for i in range(n)], passes=3)
         assert len(rounds) == 1 + 3                                          # the driver makes one at first and one a round
+
+
+def test_lm_keeps_every_pair_inside_words(spark):
+    import public_tokenizers as P
+    import random
+    from collections import Counter
+    rng = random.Random(4)
+    texts = [(i, " ".join("".join(rng.choices("qzxjkvw", k=9)) for _ in range(40))) for i in range(60)]
+    chunks = chunks_of(spark, texts)
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    cells = attention_lm.id_cells(chunks, path, P.PATTERN)
+    model, sub = fitted(spark, texts)
+    held = {r["id"]: r["held"] for r in chunks.collect()}
+    pairs, heads, asked = Counter(), Counter(), set()
+    for i, t in texts:
+        for w in t.split():
+            ids = sub.ids([w.encode()])[0].tolist()
+            for a, b in zip(ids, ids[1:]):
+                asked.add(a * sub.size + b)
+                if not held[i]:
+                    pairs[a * sub.size + b] += 1
+                    heads[a * 2 * attention_lm.CLASSES + int(model.of[b])] += 1
+    assert min(pairs.values()) == 1 and any(held.values())                   # rare ones are kept too
+    got = attention_lm.pair_totals(cells, model).collect()
+    assert {r["h"]: r["total"] for r in got if r["kind"] == 1} == dict(pairs)
+    assert {r["h"]: r["total"] for r in got if r["kind"] == 2} == dict(heads)
+    known = {k: tuple(np.array(x, np.int64) for x in zip(*sorted((r["h"], r["total"]) for r in got if r["kind"] == k))) for k in (1, 2)}
+    some = next(p for p, n in pairs.items() if n == 1)
+    a, b = divmod(some, sub.size)
+    share = (1 + attention_lm.PRIOR * model.share[b]) / (heads[a * 2 * attention_lm.CLASSES + int(model.of[b])] + attention_lm.PRIOR)
+    got = model.within(np.array([a, b]), np.array([0]), known[1], known[2])
+    assert np.allclose(got, np.log10(model.share[a]) + np.log10(share))
