@@ -5,9 +5,10 @@ the largest norm (a query has 0 there), so near in the tree is large in product.
 The tree is fitted on a bounded sample (``sample_rows``, the least by hash) and
 every vector is filed in its leaf.  A query opens nodes in the order of a
 priority queue and notes the leaves as they come up; how many it visits is
-calibrated: the true neighbours of ``calibration_queries`` sample vectors among
-all rows are found by brute force, and the visits are widened until ``recall``
-of them lie in the visited leaves.
+calibrated: the true neighbours of ``calibration_queries`` vectors that the tree
+was not fitted on are found among all rows by brute force, and the visits are
+widened until ``recall`` of them lie in the visited leaves.  A query whose leaves
+hold fewer than ``k + 1`` vectors goes on until they do.
 
 Equal vectors are filed once, with their ``k + 1`` smallest ids -- no further
 one can be in a result, ties going to the smaller id -- and equal queries are
@@ -65,14 +66,15 @@ class Tree:
                 c = self.centre[self.first[n]:self.last[n]]
                 node[own] = self.first[n] + _nearest(x[own], c)
 
-    def visits(self, q: np.ndarray, leaves: int) -> list[int]:
-        """The first ``leaves`` leaves for a query, best bin first."""
+    def visits(self, q: np.ndarray, leaves: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``leaves`` leaves for a query, best bin first, and further ones until all hold ``least`` vectors (``sizes``: of leaves)."""
         q = np.append(q, 0.0)
-        heap, out = [(0.0, 0)], []
-        while heap and len(out) < leaves:
+        heap, out, held = [(0.0, 0)], [], 0
+        while heap and (len(out) < leaves or held < least):
             _, n = heapq.heappop(heap)
             if self.leaf[n] >= 0:
                 out.append(int(self.leaf[n]))
+                held += int(sizes[out[-1]]) if sizes is not None else 0
                 continue
             d = self.centre[self.first[n]:self.last[n]] - q
             for i, x in enumerate(np.einsum("ij,ij->i", d, d).tolist(), int(self.first[n])):
@@ -131,21 +133,22 @@ def best_rows(scores: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray
     return r[place < k], c[place < k]
 
 
-def calibrate(filed: DataFrame, tree: Tree, queries: np.ndarray, k: int, recall: float) -> int:
-    """The least number of leaf visits that finds ``recall`` of the queries' true neighbours among all rows."""
+def calibrate(filed: DataFrame, tree: Tree, queries: np.ndarray, names: np.ndarray, k: int, recall: float) -> int:
+    """The least number of leaf visits that finds ``recall`` of the queries' true neighbours among all rows but
+    themselves (``names``: the queries' h1 and h2)."""
     def near(batches):
         import pandas as pd
         for batch in batches:
             for i in range(0, len(batch), 4096):
                 part = batch.iloc[i:i + 4096]
                 scores = queries @ np.stack(part["v"].to_numpy()).T
-                r, c = best_rows(scores, np.arange(len(part)), k + 1)
+                scores[(names[:, :1] == part["h1"].to_numpy()) & (names[:, 1:] == part["h2"].to_numpy())] = -np.inf
+                r, c = best_rows(scores, np.arange(len(part)), k)
                 yield pd.DataFrame({"q": r, "leaf": part["leaf"].to_numpy()[c], "score": scores[r, c]})
 
     found = filed.mapInPandas(near, "q long, leaf long, score double")
     w = Window.partitionBy("q").orderBy(F.col("score").desc(), "leaf")
-    # the first is the query itself
-    true = found.withColumn("r", F.row_number().over(w)).filter((F.col("r") > 1) & (F.col("r") <= k + 1)).select("q", "leaf").collect()
+    true = found.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).select("q", "leaf").collect()
     order = [{leaf: i for i, leaf in enumerate(tree.visits(q, tree.leaves), 1)} for q in queries]
     needed = sorted(order[r["q"]][r["leaf"]] for r in true)
     return needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)] if needed else 1
@@ -182,8 +185,11 @@ def search(vectors: DataFrame, is_query, k: int = 20, sample_rows: int = 20_000,
     n = distinct.count()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    # sample_rows vectors at most
-    sample = np.array([r["v"] for r in distinct.orderBy("h1", "h2").limit(sample_rows).select("v").collect()])
+    # sample_rows vectors at most, and those for calibration
+    taken = distinct.orderBy("h1", "h2").limit(sample_rows + calibration_queries).select(*name, "v").collect()
+    few = min(sample_rows, len(taken) - min(calibration_queries, len(taken) // 8))
+    sample = np.array([r["v"] for r in taken[:few]])
+    held = taken[few:][:calibration_queries] or taken        # of a handful of rows all
     tree = build_tree(sample, about["top"], max(8, round(leaf_rows * len(sample) / n)))
     shared = spark.sparkContext.broadcast(tree)              # at most sample_rows centres
 
@@ -193,26 +199,27 @@ def search(vectors: DataFrame, is_query, k: int = 20, sample_rows: int = 20_000,
                 yield batch.assign(leaf=shared.value.assign(np.stack(batch["v"].to_numpy())))
 
     filed = C.written(distinct.mapInPandas(file, "h1 long, h2 long, v array<double>, ids array<long>, leaf long"), "ann-filed")
-    visits = calibrate(filed, tree, sample[:calibration_queries], k, recall)
+    visits = calibrate(filed, tree, np.array([r["v"] for r in held]), np.array([(r["h1"], r["h2"]) for r in held]), k, recall)
 
     # leaves in tree order to bundles; at most sample_rows leaves
     sizes = {r["leaf"]: r["n"] for r in filed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bundle_of, parts, held = np.zeros(tree.leaves, np.int64), [1], 0
+    bundle_of, parts, filled = np.zeros(tree.leaves, np.int64), [1], 0
     for leaf in range(tree.leaves):
         own = sizes.get(leaf, 0)
-        if held and held + own > bundle_rows:
+        if filled and filled + own > bundle_rows:
             parts.append(1)
-            held = 0
-        bundle_of[leaf], held = len(parts) - 1, held + own
-        parts[-1] = max(1, -(-held // bundle_rows))
+            filled = 0
+        bundle_of[leaf], filled = len(parts) - 1, filled + own
+        parts[-1] = max(1, -(-filled // bundle_rows))
     parts = np.array(parts)
+    leaf_sizes = np.array([sizes.get(leaf, 0) for leaf in range(tree.leaves)])
 
     def route(batches):
         import pandas as pd
         for batch in batches:
             out = []
             for h1, h2, v in zip(batch["h1"], batch["h2"], batch["v"]):
-                leaves = np.array(shared.value.visits(np.asarray(v), visits))
+                leaves = np.array(shared.value.visits(np.asarray(v), visits, leaf_sizes, k + 1))
                 for b in np.unique(bundle_of[leaves]):
                     out.append((h1, h2, v, b, leaves[bundle_of[leaves] == b]))
             yield pd.DataFrame(out, columns=["h1", "h2", "v", "bundle", "leaves"])

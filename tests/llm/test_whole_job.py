@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from hearth.llm import attention_lm
+from hearth.llm import ann, attention_lm
 from tests.llm.data import documents
 
 LINE = ("the river went down from a high hill and under one old stone bridge before it came out by some green field where we had "
@@ -83,3 +83,38 @@ def test_lm_keeps_every_pair_inside_words(spark):
     share = (1 + attention_lm.PRIOR * model.share[b]) / (heads[a * 2 * attention_lm.CLASSES + int(model.of[b])] + attention_lm.PRIOR)
     got = model.within(np.array([a, b]), np.array([0]), known[1], known[2])
     assert np.allclose(got, np.log10(model.share[a]) + np.log10(share))
+
+
+# -- neighbours ----------------------------------------------------------
+
+def vectors(spark, x):
+    return spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def test_neighbours_fill_k_rows_from_small_leaves(spark):
+    x = np.random.default_rng(3).standard_normal((600, 6))
+    # leaves of at most 8 vectors, and so little recall asked that calibration is content with one
+    got = ann.search(vectors(spark, x), "id % 20 = 0", leaf_rows=8, recall=0.001).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in got} == {i: 20 for i in range(0, 600, 20)}
+
+
+def test_neighbours_are_calibrated_on_rows_outside_the_sample(spark, monkeypatch):
+    x = np.random.default_rng(5).standard_normal((900, 6))
+    fitted_on, asked = [], []
+    build, calibrate = ann.build_tree, ann.calibrate
+    monkeypatch.setattr(ann, "build_tree", lambda sample, *a: (fitted_on.append(sample), build(sample, *a))[1])
+    monkeypatch.setattr(ann, "calibrate", lambda f, t, queries, *a: (asked.append(queries), calibrate(f, t, queries, *a))[1])
+    ann.search(vectors(spark, x), "id % 20 = 0", sample_rows=300, leaf_rows=16)
+    known = set(map(tuple, fitted_on[0]))
+    assert len(known) == 300 and len(asked[0]) and not known & set(map(tuple, asked[0]))
+
+
+def test_calibration_counts_the_best_hit_of_a_short_vector(spark):
+    # inner products: the long vector, not the query itself, comes first
+    x = np.array([[1.0, 0.0], [9.0, 0.0], [0.0, 1.0], [0.1, 1.0]])
+    tree = ann.build_tree(x, 81.0, 1)
+    v = ann.usable(vectors(spark, x)).toPandas().sort_values("id")
+    v["leaf"] = tree.assign(np.stack(v["v"].to_numpy()))
+    filed = spark.createDataFrame(v[["h1", "h2", "v", "leaf"]].assign(v=v["v"].map(list)), "h1 long, h2 long, v array<double>, leaf long")
+    order = tree.visits(x[0], tree.leaves)
+    assert ann.calibrate(filed, tree, x[:1], v[["h1", "h2"]].to_numpy()[:1], 1, 1.0) == order.index(int(v["leaf"].iloc[1])) + 1
