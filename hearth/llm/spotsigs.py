@@ -5,9 +5,8 @@ that tables and lists have spots too, a word whose hash falls on one value in
 ``extra`` -- and the ``chain`` content words (words that are no anchors) that
 follow it.  A
 text's fingerprint is the sorted set of its signatures' 32-bit hashes, written
-as hex.  Likeness is the Jaccard of two sets; sets are partitioned by their
-length, and where the lengths alone keep the Jaccard below the wanted least
-likeness, or a set equals the other, nothing is intersected.
+as hex.  Likeness is the Jaccard of two given sets.  The method's search for
+near duplicates (sets partitioned by length and joined) is left out.
 
 The edited text of the query needs each document's successor by id.  The ids
 are cut into ranges at approximate quantiles; each range also gets the first
