@@ -4,17 +4,25 @@ from hearth.llm.ann import op7_ann
 from hearth.llm.attention_lm import op5_attention_lm
 from hearth.llm.bpe import op3_bpe
 from hearth.llm.chat import op2_chat
+from hearth.llm.divergence import SQL as _DIVERGENCE
+from hearth.llm.divergence import op13_divergence
 from hearth.llm.licenses import op6_licenses
 from hearth.llm.packing import op8_packing
+from hearth.llm.quality import op12_quality
+from hearth.llm.reversed_search import SQL as _SEARCH
+from hearth.llm.reversed_search import op11_reversed_search
 from hearth.llm.spotsigs import op1_spotsigs
 from hearth.llm.simhash import op4_simhash
 from hearth.llm.suffix_dedup import op9_suffix_dedup
 from hearth.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_chat, op3_bpe, op4_simhash, op5_attention_lm, op6_licenses, op7_ann, op8_packing, op9_suffix_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_chat, op3_bpe, op4_simhash, op5_attention_lm, op6_licenses, op7_ann, op8_packing, op9_suffix_dedup, op10_toxicity,
+                                  op11_reversed_search, op12_quality, op13_divergence)}
 # the turns of a conversation as they stand in the table, and the template's length of each
 _TEMPLATE = len("<|im_start|>") + len("\n") + len("<|im_end|>\n")
 SQL: dict[str, str] = {
+    "op11_reversed_search": _SEARCH,
+    "op13_divergence": _DIVERGENCE,
     "op2_chat": f"""
 WITH told AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
