@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from ..functions import hash_id, quarter_start, three_month_bucket
+from ..functions import hash_id, keyed_hash, quarter_start, three_month_bucket
 
 
 def anonymise_table(df: DataFrame, id_cols: Sequence[str] = (), date_cols: Sequence[str] | None = None,
                     age_month_cols: Sequence[str] = (), drop_cols: Sequence[str] = (), keep_dates: bool = False,
-                    salt: str | None = None) -> DataFrame:
+                    salt: str | None = None, key: bytes | None = None, kinds: dict[str, str] | None = None) -> DataFrame:
     """Project one table to its de-identified form.
 
+    With ``key`` ids are keyed hashes, each of the kind ``kinds`` gives for its
+    column (default: the column's name).
+
     ``date_cols=None`` coarsens every date/timestamp column.  ``keep_dates``
     (the unified variant X2) leaves dates exact.
     """
@@ -34,7 +37,7 @@ def anonymise_table(df: DataFrame, id_cols: Sequence[str] = (), date_cols: Seque
         if c in drop_cols:
             continue
         if c in id_cols:
-            out.append(hash_id(c, salt).alias(c))
+            out.append((keyed_hash(c, key, (kinds or {}).get(c, c)) if key else hash_id(c, salt)).alias(c))
         elif c in date_cols and not keep_dates:
             out.append(quarter_start(c).alias(c))
         elif c in age_month_cols:

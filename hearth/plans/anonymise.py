@@ -1,7 +1,8 @@
 """De-identified copies (X1, X2) of the flat layer and marts.
 
 Every table is one narrow projection (no shuffle): ids and uuids hashed (F12;
-md5 by default for parity, or salted sha-256), dates coarsened to the first
+HMAC-SHA256 under a release's ``key``, the form to release; md5 without a key
+is the source job's form and can be undone by enumeration), dates coarsened to the first
 day of their quarter (F6), ages in months to 3-month buckets (F7), names,
 phones, addresses below district, identifiers and free text dropped.  The
 identifying-concept blacklist (P8) is a broadcast anti join applied to the
@@ -39,7 +40,12 @@ IDENTIFYING_CONCEPTS = [
     "Home visitor Name", "LAST NAME OF FATHER",
 ]
 
-# Columns never released.
+# Columns that hold an id under another name; a uuid is one kind wherever it stands.
+ID_KINDS = {"enrollment_id": "program_enrollment_id", "diagnosis_status_program_enrollment_id": "program_enrollment_id",
+            "diagnosis_status_patient_id": "patient_id", "last_art_visit_id": "art_visit_id", "last_eid_visit_id": "eid_visit_id",
+            "last_viral_load_test_id": "lab_test_id", "last_viral_load_result_id": "lab_test_id", "group_id": "order_group_id"}
+
+# Columns never released.
 DROP_COLUMNS = {"first_name", "middle_name", "last_name", "phone_number", "city_village", "postal_code", "address1",
                 "address2", "address3", "address4", "address5", "address6", "latitude", "longitude", "mothers_name",
                 "fathers_name", "related_person", "identifier", "provider", "created_by", "orderer",
@@ -102,8 +108,12 @@ def _is_id(name: str) -> bool:
     return n.endswith("_id") or n == "id" or n.endswith("uuid") or n == "uuid" or n == "r_id"
 
 
+def id_kind(column: str) -> str:
+    return "uuid" if column.lower().endswith("uuid") else ID_KINDS.get(column, column)
+
+
 def anonymise(df: DataFrame, salt: str | None = None, keep_dates: bool = False, keep_free_text: bool = False,
-              extra_drop=(), keep=()) -> DataFrame:
+              extra_drop=(), keep=(), key: bytes | None = None) -> DataFrame:
     """One table's release form (X1; ``keep_dates`` gives the X2 variant).
     Columns in ``keep`` pass through unchanged (e.g. the facility id in X2)."""
     drop = (set(DROP_COLUMNS) | set(extra_drop) | (set() if keep_free_text else FREE_TEXT)) - set(keep)
@@ -114,7 +124,8 @@ def anonymise(df: DataFrame, salt: str | None = None, keep_dates: bool = False,
     # date text columns (e.g. the z-score input's obs_date) are coarsened as dates
     text_dates = [c for c in cols if c.endswith("_date") and c not in dates and c not in ids]
     out = O.anonymise_table(df, id_cols=ids, date_cols=dates, age_month_cols=[c for c in cols if c.startswith("age_months")],
-                            drop_cols=[c for c in cols if c in drop], keep_dates=keep_dates, salt=salt)
+                            drop_cols=[c for c in cols if c in drop], keep_dates=keep_dates, salt=salt, key=key,
+                            kinds={c: id_kind(c) for c in ids})
     if not keep_dates:
         for c in text_dates:
             out = out.withColumn(c, F.date_format(F.trunc(F.to_date(F.col(c)), "quarter"), "yyyy-MM-dd"))
@@ -123,7 +134,7 @@ def anonymise(df: DataFrame, salt: str | None = None, keep_dates: bool = False,
 
 def anonymise_warehouse(tables: dict[str, DataFrame], salt: str | None = None, keep_dates: bool = False,
                         keep_free_text: bool = False, blacklist=IDENTIFYING_CONCEPTS,
-                        keep=()) -> dict[str, DataFrame]:
+                        keep=(), key: bytes | None = None) -> dict[str, DataFrame]:
     """X1/X2 over a dict of tables: identifying observations removed (P8) from
     the observation table and every snapshot, then each table projected.  Lookup
     tables (names of people and places) are left out; an unknown column is an error."""
@@ -138,11 +149,11 @@ def anonymise_warehouse(tables: dict[str, DataFrame], salt: str | None = None, k
         x = df
         if (name == "omrs_obs" or name in SNAPSHOT_TABLES) and "concept" in df.columns:
             x = O.drop_concepts(x, "concept", list(blacklist))
-        out[name] = anonymise(x, salt=salt, keep_dates=keep_dates, keep_free_text=keep_free_text, keep=keep)
+        out[name] = anonymise(x, salt=salt, keep_dates=keep_dates, keep_free_text=keep_free_text, keep=keep, key=key)
     return out
 
 
-def anonymise_unified(tables: dict[str, DataFrame], salt: str | None = None) -> dict[str, DataFrame]:
+def anonymise_unified(tables: dict[str, DataFrame], salt: str | None = None, key: bytes | None = None) -> dict[str, DataFrame]:
     """The unified multi-site copy -- ids hashed, dates kept, facility and
     site columns kept so rows can still be grouped by facility."""
-    return anonymise_warehouse(tables, salt=salt, keep_dates=True, keep=("fosa_id", "site_id"))
+    return anonymise_warehouse(tables, salt=salt, keep_dates=True, keep=("fosa_id", "site_id"), key=key)

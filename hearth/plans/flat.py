@@ -30,6 +30,7 @@ class FlatConfig:
     health_center_attribute: str | None = "Health Center"
     test_patient_attribute: str | None = "Test Patient"
     concept_locale: str = "en"
+    id_span: int | None = None                 # ids are (site, id) keys of this span (sources.sites)
 
 
 def _live(df: DataFrame) -> DataFrame:
@@ -183,7 +184,11 @@ def omrs_patient(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) -> DataFra
            .join(addr, F.col("patient_id") == F.col("__ap"), "left")
            .join(piv, F.col("patient_id") == F.col("__tp"), "left"))
     if "health_center" in wanted:
-        out = out.withColumn("__hc", F.col("health_center").cast("long"))
+        # the attribute's text is a location's id; any other text stays as it is
+        center = F.col("health_center").try_cast("long")
+        if cfg.id_span:
+            center = F.floor(F.col("patient_id") / cfg.id_span).cast("long") * F.lit(cfg.id_span) + center
+        out = out.withColumn("__hc", center)
         out = _decode(out, lk["lookup_location"], "__hc", "__hc_name").withColumn(
             "health_center", F.coalesce("__hc_name", "health_center"))
     if "__test" in wanted:

@@ -12,11 +12,14 @@ database's collation does.  The three value facts share one scan of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as H
 from .. import operators as O
+from .lazy import LazyTables
 
 EVENTS = ["Program Enrollment", "Program Completion", "Patient Encounter", "Patient Born", "Patient Died"]
 GENDERS = [("M", "Male"), ("F", "Female")]
@@ -90,29 +93,24 @@ def dim_patient(flat: dict, ddate: DataFrame) -> DataFrame:
         "patient_id", "patient_uuid", "gender", "birthdate", "birthdate_id", "dead", "death_date", "death_date_id")
 
 
-def build_dimensions(spark: SparkSession, flat: dict) -> dict[str, DataFrame]:
-    o = flat["omrs_obs"]
-    ddate = dim_date(flat)
-    return {
-        "dim_date": ddate,
-        "dim_time": dim_time(flat),
-        "dim_age": dim_age(flat),
-        "dim_location": name_dim(flat["lookup_location"].select(F.col("target_value").alias("name")), "location_id"),
-        "dim_program": name_dim(flat["omrs_program_enrollment"].select(F.col("program").alias("name")), "program_id"),
-        "dim_encounter_type": name_dim(flat["omrs_encounter"].select(F.col("encounter_type").alias("name")),
-                                       "encounter_type_id"),
-        "dim_coded_question": name_dim(o.where(F.col("value_coded").isNotNull()).select(F.col("concept").alias("name")),
-                                       "coded_question_id"),
-        "dim_coded_value": name_dim(o.where(F.col("value_coded").isNotNull()).select(F.col("value_coded").alias("name")),
-                                    "coded_value_id"),
-        "dim_date_question": name_dim(o.where(F.col("value_date").isNotNull()).select(F.col("concept").alias("name")),
-                                      "date_question_id"),
-        "dim_numeric_question": name_dim(o.where(F.col("value_numeric").isNotNull())
-                                         .select(F.col("concept").alias("name")), "numeric_question_id"),
-        "dim_event": dim_event(spark),
-        "dim_gender": dim_gender(spark),
-        "dim_patient": dim_patient(flat, ddate),
-    }
+def _answers(value: str, name: str):
+    """Distinct names among the observations that hold an answer of one type."""
+    return lambda spark, flat: flat["omrs_obs"].where(F.col(value).isNotNull()).select(F.col(name).alias("name"))
+
+
+def _column(table: str, column: str):
+    return lambda spark, flat: flat[table].select(F.col(column).alias("name"))
+
+
+NAME_DIMENSIONS = {
+    "dim_location": ("location_id", _column("lookup_location", "target_value")),
+    "dim_program": ("program_id", _column("omrs_program_enrollment", "program")),
+    "dim_encounter_type": ("encounter_type_id", _column("omrs_encounter", "encounter_type")),
+    "dim_coded_question": ("coded_question_id", _answers("value_coded", "concept")),
+    "dim_coded_value": ("coded_value_id", _answers("value_coded", "value_coded")),
+    "dim_date_question": ("date_question_id", _answers("value_date", "concept")),
+    "dim_numeric_question": ("numeric_question_id", _answers("value_numeric", "concept")),
+}
 
 
 def _by_name(df: DataFrame, dim: DataFrame, col: str, key: str, how: str = "left") -> DataFrame:
@@ -151,7 +149,7 @@ def _fact(x: DataFrame, extra: list[str]) -> DataFrame:
 def fact_patient_event(flat: dict, dims: dict) -> DataFrame:
     """X-EVENT: births, deaths, encounters, enrollments, completions as one
     union; program only on program events, time and type only on encounters."""
-    pat = dims["dim_patient"].select("patient_id", F.col("gender").alias("__gender"))
+    pat = flat["omrs_patient"].select("patient_id", F.col("gender").alias("__gender"))   # D-PAT has these rows
     ev = {r: i + 1 for i, r in enumerate(EVENTS)}
     p = flat["omrs_patient"].select("patient_id", "birthdate", "death_date")
     born = _common(p.where(F.col("birthdate").isNotNull()), dims, pat, None, None, "birthdate", None, None)
@@ -178,7 +176,7 @@ def fact_patient_event(flat: dict, dims: dict) -> DataFrame:
 
 def _value_fact(flat: dict, dims: dict, value_col: str, qdim: str, qkey: str, vdim: str | None,
                 vkey: str | None, extra_value: str | None) -> DataFrame:
-    pat = dims["dim_patient"].select("patient_id", F.col("gender").alias("__gender"))
+    pat = flat["omrs_patient"].select("patient_id", F.col("gender").alias("__gender"))   # D-PAT has these rows
     o = O.typed_value_filter(flat["omrs_obs"], value_col)
     x = _common(o, dims, pat, "age_years_at_obs", "age_months_at_obs", "obs_date", "obs_time", "location")
     x = _by_name(x, dims["dim_encounter_type"], "encounter_type", "encounter_type_id")
@@ -210,16 +208,27 @@ def fact_numeric(flat, dims):
                        "numeric_value")
 
 
-def build_star(spark: SparkSession, flat: dict, materialize=None) -> dict[str, DataFrame]:
-    """Dimensions are written once (reliable checkpoint in the shared checkpoint
-    folder, or the caller's ``materialize``) and every fact reads them back, so
-    no fact re-derives a dimension from the flat layer."""
-    from ..session import cut_lineage
-    mat = materialize or cut_lineage
-    dims = {k: mat(v) for k, v in build_dimensions(spark, flat).items()}
-    out = dict(dims)
-    out["fact_patient_event"] = fact_patient_event(flat, dims)
-    out["fact_patient_coded_value"] = fact_coded(flat, dims)
-    out["fact_patient_date_value"] = fact_date(flat, dims)
-    out["fact_patient_numeric_value"] = fact_numeric(flat, dims)
-    return out
+def build_star(spark: SparkSession, flat: dict, stored: Callable[[str, DataFrame], DataFrame] | None = None) -> LazyTables:
+    """The star schema as a lazy mapping: a dimension or fact is planned when it
+    is first read, and a fact plans only the dimensions it joins.
+
+    Without ``stored`` nothing runs before the caller's action.  ``stored(name,
+    df)`` writes a dimension and returns the written table (its size is then
+    known to the planner): a refresh passes the writer of its star layer, so
+    each dimension is built once and every fact reads it back."""
+    keep = stored or (lambda name, df: df)
+    dims: dict[str, Callable] = {
+        "dim_date": lambda t: dim_date(flat),
+        "dim_time": lambda t: dim_time(flat),
+        "dim_age": lambda t: dim_age(flat),
+        "dim_event": lambda t: dim_event(spark),
+        "dim_gender": lambda t: dim_gender(spark),
+        "dim_patient": lambda t: dim_patient(flat, t["dim_date"]),
+        **{name: (lambda t, key=key, of=of: name_dim(of(spark, flat), key)) for name, (key, of) in NAME_DIMENSIONS.items()},
+    }
+    return LazyTables({
+        **{name: (lambda t, name=name, build=build: keep(name, build(t))) for name, build in dims.items()},
+        "fact_patient_event": lambda t: fact_patient_event(flat, t),
+        "fact_patient_coded_value": lambda t: fact_coded(flat, t),
+        "fact_patient_date_value": lambda t: fact_date(flat, t),
+        "fact_patient_numeric_value": lambda t: fact_numeric(flat, t)})

@@ -870,37 +870,23 @@ def emr_state(spark, sf):
     return _emr_flat(spark, sf)["omrs_program_state"]
 
 
-def _emr_star_input(spark, sf):
-    """The derived flat layer with the five tables the star schema reads written
-    once to the shared checkpoint folder (a layer edge, as in production), so
-    the dimensions and facts read them instead of re-deriving them."""
-    from ..session import cut_lineage
-    from .lazy import LazyTables
-    flat = _emr_flat(spark, sf)
-    ready = {k: cut_lineage(flat[k]) for k in ("omrs_patient", "omrs_program_enrollment", "omrs_program_state",
-                                                "omrs_encounter", "omrs_obs")}
-    return LazyTables({k: (lambda t, k=k: flat[k]) for k in flat}, ready=ready)
-
-
 def emr_dim_date(spark, sf):
-    """D-DATE over the derived flat layer, read from the written flat tables
-    (keeps the plan small: nine date sources over the whole layer otherwise
-    make a multi-megabyte plan)."""
-    from .star import dim_date
-    return dim_date(_emr_star_input(spark, sf))
+    """D-DATE over the derived flat layer."""
+    from .star import build_star
+    return build_star(spark, _emr_flat(spark, sf))["dim_date"]
 
 
 def emr_fact_numeric(spark, sf):
-    """X-NUM over the derived flat layer: dimensions written once, then the fact."""
+    """X-NUM over the derived flat layer, with the dimensions it joins."""
     from .star import build_star
-    return build_star(spark, _emr_star_input(spark, sf))["fact_patient_numeric_value"]
+    return build_star(spark, _emr_flat(spark, sf))["fact_patient_numeric_value"]
 
 
 def emr_fact_event(spark, sf):
     """X-EVENT over the derived flat layer: births, encounters, enrollments and
-    completions with their dimension ids (dimensions written once)."""
+    completions with their dimension ids."""
     from .star import build_star
-    return build_star(spark, _emr_star_input(spark, sf))["fact_patient_event"]
+    return build_star(spark, _emr_flat(spark, sf))["fact_patient_event"]
 
 
 def emr_urgent_visits(spark, sf):

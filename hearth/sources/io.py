@@ -110,18 +110,20 @@ def import_audit_row(spark: SparkSession, prefix: str, source: str, comment: str
     return row.crossJoin(counts) if counts is not None else row
 
 
-def year_slice(df: DataFrame, date_col: str, year: int) -> DataFrame:
-    """One calendar year as a half-open date range (prunes partitions when
-    the table is partitioned by year)."""
-    return df.where((F.col(date_col) >= F.lit(f"{year}-01-01").cast("date")) &
+def year_slice(df: DataFrame, date_col: str, year: int, year_col: str | None = None) -> DataFrame:
+    """One calendar year as a half-open date range.  ``year_col`` names the
+    column the table is partitioned by: only that year's folders are read, and
+    the column is left out."""
+    rows = df.where((F.col(date_col) >= F.lit(f"{year}-01-01").cast("date")) &
                     (F.col(date_col) < F.lit(f"{year + 1}-01-01").cast("date")))
+    return rows.where(F.col(year_col) == year).drop(year_col) if year_col else rows
 
 
-def register_year_views(df: DataFrame, date_col: str, years: Sequence[int], prefix: str) -> list[str]:
+def register_year_views(df: DataFrame, date_col: str, years: Sequence[int], prefix: str, year_col: str | None = None) -> list[str]:
     """``<prefix>_<year>`` temporary views."""
     names = []
     for y in years:
         name = f"{prefix}_{y}"
-        year_slice(df, date_col, y).createOrReplaceTempView(name)
+        year_slice(df, date_col, y, year_col).createOrReplaceTempView(name)
         names.append(name)
     return names

@@ -21,7 +21,7 @@ def test_refresh_writes_every_layer(spark):
         refresh(spark, src_dir + "-missing", out, "none")
     # a path with a scheme is read like any other
     res = refresh(spark, "file://" + src_dir, out, "malawi", periods_from="2018-01-01", periods_to="2019-12-31", anonymise=True,
-                  optional=absent)
+                  optional=absent, release_key=b"a secret")
     for name, df in res["anonymised"].items():
         assert not name.startswith("lookup_") and not set(df.columns) & {"village", "traditional_authority", "provider_name", "chw"}
     with pytest.raises(ValueError, match="no decision"):
