@@ -45,6 +45,7 @@ ROUND_BYTES = 64 << 20    # shards broadcast at once
 CELLS = 8_000_000         # dense counters of a task
 SEEN = 400_000            # distinct terms a task counts before it hands them on
 SLOTS, TILE = 4_096, 256  # slots of a block and sources of a tile when pairs are compared
+SALTS = 32                # join keys of a language
 LEVELS = 32
 
 
@@ -149,10 +150,19 @@ def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
         .groupBy("lang", "term").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select("lang", "term")
 
 
+def _joined_by_lang(df: DataFrame, per_lang: DataFrame, *spread: str) -> DataFrame:
+    """``df`` with the rows of ``per_lang`` of its language.  A language may hold
+    most rows: its rows of ``df`` are dealt by ``spread`` to ``SALTS`` join keys."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return df.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")) \
+        .join(per_lang.withColumn("salt", salts), ["lang", "salt"]).drop("salt")
+
+
 def perfect_hashes(kept: DataFrame) -> DataFrame:
     """One row a shard: its perfect hash and its keys (``shards``: how many the language has)."""
-    sizes = kept.groupBy("lang").agg(F.ceil(F.sum(F.octet_length("term") + 16) / SHARD_BYTES).alias("shards"))
-    dealt = kept.join(sizes, "lang").withColumn("shard", F.pmod(F.xxhash64("term"), "shards"))
+    salted = kept.groupBy("lang", F.pmod(F.xxhash64("term"), F.lit(SALTS)).alias("salt")).agg(F.sum(F.octet_length("term") + 16).alias("bytes"))
+    sizes = salted.groupBy("lang").agg(F.ceil(F.sum("bytes") / SHARD_BYTES).alias("shards"))
+    dealt = _joined_by_lang(kept, sizes, "term").withColumn("shard", F.pmod(F.xxhash64("term"), "shards")).repartition("lang", "shard")
 
     def build(key, pdf):
         h = PerfectHash.build(sorted(t.encode() for t in pdf["term"]))
@@ -266,7 +276,6 @@ def _pair_sums(cells: DataFrame, sources: DataFrame, hashes: DataFrame) -> DataF
 
     A task gets one block of slots and one pair of tiles of sources; a source's
     share at a slot where it has no count is the same everywhere (``p0``)."""
-    tiles = sources.groupBy("lang").agg((F.max("place") / TILE).cast("long").alias("last"))
     blocks = sources.select("lang").distinct().join(hashes.select("lang", "shard", "n"), "lang", "left") \
         .select("lang", F.coalesce("shard", F.lit(-1).cast("long")).alias("shard"), F.coalesce("n", F.lit(0).cast("long")).alias("n")) \
         .select("lang", "shard", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.greatest(F.col("n") - 1, F.lit(0)) / SLOTS))).alias("block")) \
@@ -274,13 +283,12 @@ def _pair_sums(cells: DataFrame, sources: DataFrame, hashes: DataFrame) -> DataF
 
     def in_tiles(df):
         tile = (F.col("place") / TILE).cast("long")
-        return df.join(tiles, "lang") \
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))) \
-            .withColumn("ta", F.least(tile, F.col("other"))).withColumn("tb", F.greatest(tile, F.col("other"))).drop("last", "other")
+        return df.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles")))) \
+            .withColumn("ta", F.least(tile, F.col("other"))).withColumn("tb", F.greatest(tile, F.col("other"))).drop("tiles", "other")
 
     left = in_tiles(cells.withColumn("block", F.floor(F.col("slot") / SLOTS)).withColumn("slot", F.col("slot") % SLOTS)
-                    .select("lang", "shard", "block", "place", "slot", "p"))
-    right = in_tiles(sources.select("lang", "place", "p0")).join(blocks, "lang") \
+                    .select("lang", "shard", "block", "place", "slot", "p", "tiles"))
+    right = _joined_by_lang(blocks, in_tiles(sources.select("lang", "place", "p0", "tiles")), "shard", "block") \
         .select("lang", "shard", "block", "ta", "tb", "place", "p0", "width")
 
     def compare(key, cells, groups):
@@ -290,13 +298,14 @@ def _pair_sums(cells: DataFrame, sources: DataFrame, hashes: DataFrame) -> DataF
         if len(cells):
             p[np.searchsorted(places, cells["place"].to_numpy()), cells["slot"].to_numpy()] = cells["p"].to_numpy()
         ta, tb = key[3], key[4]
-        tile, out = places // TILE, []
+        tile, found = places // TILE, [(np.zeros(0, np.int64),) * 3]
         for i in np.flatnonzero(tile == ta):
             others = np.flatnonzero((tile == tb) & (places > places[i]))
             if len(others):
                 d = p[others] - p[i]
-                out.append(pd.DataFrame({"lang": key[0], "a": places[i], "b": places[others], "value": (d * d // (p[others] + p[i])).sum(axis=1)}))
-        return pd.concat(out) if out else pd.DataFrame({"lang": [], "a": [], "b": [], "value": []})
+                found.append((np.full(len(others), places[i]), places[others], (d * d // (p[others] + p[i])).sum(axis=1)))
+        a, b, value = (np.concatenate(column) for column in zip(*found))
+        return pd.DataFrame({"lang": np.full(len(a), key[0], dtype=object), "a": a, "b": b, "value": value})
 
     keys = ["lang", "shard", "block", "ta", "tb"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "lang string, a long, b long, value long") \
@@ -325,9 +334,12 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, lang_col: str = "l
     sources = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(kept, "lang", "left") \
         .select("lang", "source", F.coalesce("total", F.lit(0).cast("long")).alias("total"), F.coalesce("kept", F.lit(0).cast("long")).alias("kept"),
                 (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long").alias("place"))
-    sources = C.written(sources.withColumn("p0", F.when(F.col("kept") > 0, _share("0", "total", "kept")).otherwise(1)), "divergence-sources")
-    cells = C.written(counts.join(sources, ["lang", "source"]).select("lang", "source", "place", "shard", "slot", "n", _share("n", "total", "kept").alias("p")),
-                      "divergence-cells")
+    lang = Window.partitionBy("lang")   # a row a source
+    sources = C.written(sources.withColumn("p0", F.when(F.col("kept") > 0, _share("0", "total", "kept")).otherwise(1))
+                        .withColumn("lang_total", F.sum("total").over(lang)).withColumn("tiles", F.floor(F.max("place").over(lang) / TILE)),
+                        "divergence-sources")
+    cells = C.written(counts.join(sources, ["lang", "source"]).select("lang", "source", "place", "shard", "slot", "n", "lang_total", "kept", "tiles",
+                                                                      _share("n", "total", "kept").alias("p")), "divergence-cells")
 
     sums = _pair_sums(cells, sources, hashes)
     name = sources.select("lang", F.col("place").alias("a"), "source")
@@ -335,8 +347,7 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, lang_col: str = "l
     both = sums.unionByName(sums.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     pairs = both.join(name, ["lang", "a"]).join(other, ["lang", "b"]).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
 
-    whole = sources.groupBy("lang").agg(F.sum("total").alias("total"), F.first("kept").alias("kept"))
-    usual = cells.groupBy("lang", "shard", "slot").agg(F.sum("n").alias("n")).join(whole, "lang") \
+    usual = cells.groupBy("lang", "shard", "slot").agg(F.sum("n").alias("n"), F.first("lang_total").alias("total"), F.first("kept").alias("kept")) \
         .select("lang", "shard", "slot", _share("n", "total", "kept").alias("q"))
     told = cells.join(usual, ["lang", "shard", "slot"]).filter("p > q").join(_terms_by_slot(hashes), ["lang", "shard", "slot"]) \
         .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr(_DIVERGENCE).alias("value"))
