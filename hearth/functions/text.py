@@ -5,6 +5,8 @@ comparison helpers.  No Python UDFs: everything is a Catalyst expression.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,24 +14,25 @@ from pyspark.sql import functions as F
 from .util import as_col
 
 
-_CASE_FOLDING = True
+_EXACT: ContextVar[bool] = ContextVar("exact_text", default=False)
 
 
-def set_case_folding(enabled: bool) -> None:
-    """Choose how ``ci_eq`` / ``ci_in`` compare text.
+@contextmanager
+def exact_text():
+    """Within this block ``ci_eq`` / ``ci_in`` build exact comparisons.
 
     Folding (the default) matches the source database's case-insensitive
     collation but compiles to ``lower(trim(col))``, which parquet cannot
     evaluate, so such filters run after the scan.  For a source whose
-    vocabulary is known to be stored in one spelling, turning folding off makes
-    them exact comparisons that are pushed into the scan.
+    vocabulary is known to be stored in one spelling, plans built in this block
+    push the comparisons into the scan.  It holds for the calling thread and
+    block only; plans built elsewhere are not affected.
     """
-    global _CASE_FOLDING
-    _CASE_FOLDING = bool(enabled)
-
-
-def case_folding() -> bool:
-    return _CASE_FOLDING
+    token = _EXACT.set(True)
+    try:
+        yield
+    finally:
+        _EXACT.reset(token)
 
 
 def fold(c) -> Column:
@@ -43,16 +46,16 @@ def fold(c) -> Column:
 
 
 def ci_eq(c, literal: str) -> Column:
-    """Case-insensitive equality with a literal (exact when folding is off)."""
-    if not _CASE_FOLDING:
+    """Case-insensitive equality with a literal (exact within ``exact_text``)."""
+    if _EXACT.get():
         return as_col(c) == F.lit(literal)
     return fold(c) == F.lit(literal.strip().lower())
 
 
 def ci_in(c, literals: Iterable[str]) -> Column:
-    """Case-insensitive membership in a literal list (exact when folding is off)."""
+    """Case-insensitive membership in a literal list (exact within ``exact_text``)."""
     literals = list(literals)
-    if not _CASE_FOLDING:
+    if _EXACT.get():
         return as_col(c).isin(literals)
     return fold(c).isin([x.strip().lower() for x in literals])
 

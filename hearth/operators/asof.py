@@ -13,6 +13,13 @@ per-(group, bucket) table of bucket extremes, carried across buckets with a
 window over that small table.  Both sides are shuffled once, on the same
 ``(group, bucket)`` key, so the final join back needs no second exchange of
 the left side.
+
+``bucket="adaptive"`` takes the bounds from the data: groups of both sides
+together are counted, and only a group of more than ``piece_rows`` rows (or a
+``PIECES``-th of all rows) is cut, at quantiles of its own times, into as many
+pieces as it has that many rows.  So a hot group is cut however its rows lie in
+time, other groups stay whole, and the table of bounds has at most ``PIECES``
+groups and about twice as many bounds, whatever the size of the data.
 """
 
 from __future__ import annotations
@@ -32,10 +39,37 @@ BUCKETS: dict[str, Callable[[Column], Column]] = {
 }
 
 
+PIECES = 10_000        # at most about this many rows in the table of bounds
+CUTS = 1_024           # at most this many pieces of one group (a square number)
+
+
+def _adaptive_bounds(times: DataFrame, by: list[str], piece_rows: int) -> DataFrame:
+    """One row for each group to be cut: ``by`` and its sorted bounds ``__bounds``."""
+    counts = times.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.select(F.sum("__n")).scalar()
+    heavy = counts.withColumn("__piece", F.greatest(F.lit(float(piece_rows)), total / F.lit(float(PIECES)))) \
+        .where(F.col("__n") > F.col("__piece"))
+    shares = [F.lit(i / CUTS) for i in range(1, CUTS)]
+    cut = times.join(F.broadcast(heavy), by).groupBy(*by).agg(     # fewer than PIECES groups are that large
+        F.percentile_approx(_T, F.array(*shares), 10 * CUTS).alias("__q"), F.first("__n").alias("__n"), F.first("__piece").alias("__piece"))
+    pieces = F.least(F.lit(CUTS), F.ceil(F.col("__n") / F.col("__piece"))).cast("int")
+    every = F.transform(F.sequence(F.lit(1), pieces - 1), lambda i: F.element_at("__q", F.floor(i * CUTS / pieces).cast("int")))
+    return cut.select(*by, F.array_sort(F.array_distinct(every)).alias("__bounds"))
+
+
+def _piece(time: Column) -> Column:
+    """How many bounds lie before ``time``, looked up in two steps of about the root of their number."""
+    bounds, step = F.col("__bounds"), int(CUTS ** 0.5)
+    heads = F.filter(bounds, lambda b, i: (i % step == 0) & (b < time))
+    start = F.greatest(F.size(heads) - 1, F.lit(0)) * step
+    inside = F.filter(F.slice(bounds, start + 1, F.lit(step)), lambda b: b < time)
+    return F.when(bounds.isNull() | time.isNull(), F.lit(0)).otherwise(start + F.size(inside))
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str,
               right_cols: Sequence[str], direction: str = "forward", inclusive: bool = True,
               tiebreak: str | None = None, bucket: str | Callable[[Column], Column] | None = None,
-              prefix: str = "") -> DataFrame:
+              prefix: str = "", piece_rows: int = 1_000_000) -> DataFrame:
     """Attach one right row to every left row of the same ``by`` group.
 
     ``forward``: the first right row with ``right_time >= left_time`` (``>`` when
@@ -49,7 +83,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: s
         raise ValueError("direction must be 'forward' or 'backward'")
     by = list(by)
     fwd = direction == "forward"
-    bucket_fn = BUCKETS[bucket] if isinstance(bucket, str) else bucket
+    adaptive = bucket == "adaptive"
+    bucket_fn = None if adaptive else BUCKETS[bucket] if isinstance(bucket, str) else bucket
     tb = F.col(tiebreak) if tiebreak else F.lit(0)
     right_kind = 0 if inclusive else 2   # at equal times: inclusive -> right rows first
 
@@ -59,7 +94,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: s
                  payload.alias(_P)))
     lf = left.withColumn(_T, F.col(left_time)).withColumn(_K, F.lit(1))
     part = list(by)
-    if bucket_fn is not None:
+    if adaptive:
+        times = lf.where(F.col(_T).isNotNull() & _all_not_null(by)).select(*by, _T).unionByName(r.select(*by, _T))
+        bounds = F.broadcast(_adaptive_bounds(times, by, piece_rows))
+        r = r.join(bounds, by, "left").withColumn(_B, _piece(F.col(_T))).withColumn("__cut", F.col("__bounds").isNotNull()).drop("__bounds")
+        lf = lf.join(bounds, by, "left").withColumn(_B, _piece(F.col(_T))).withColumn("__cut", F.col("__bounds").isNotNull()).drop("__bounds")
+        part = by + [_B]
+    elif bucket_fn is not None:
         r = r.withColumn(_B, bucket_fn(F.col(_T)))
         lf = lf.withColumn(_B, bucket_fn(F.col(_T)))
         part = by + [_B]
@@ -73,11 +114,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: s
                .where(F.col(_K) == 1)
                .withColumn(_IN, F.when(F.col(_T).isNull(), F.lit(None)).otherwise(F.col(_IN))))
 
-    if bucket_fn is not None:
-        # one row per (group, bucket): the bucket's first (forward) / last (backward) right row
+    if adaptive or bucket_fn is not None:
+        # one row per (group, bucket): the bucket's first (forward) / last (backward) right row;
+        # a group that is not cut has no other bucket to look into
+        cut = F.col("__cut") if adaptive else F.lit(True)
         ext = F.min_by if fwd else F.max_by
-        per_bucket = r.groupBy(*by, _B).agg(ext(F.col(_P), F.struct(F.col(_T), F.col(_TB))).alias("__edge"))
-        left_buckets = lf.where(F.col(_B).isNotNull()).select(*by, _B).distinct()
+        per_bucket = r.where(cut).groupBy(*by, _B).agg(ext(F.col(_P), F.struct(F.col(_T), F.col(_TB))).alias("__edge"))
+        left_buckets = lf.where(F.col(_B).isNotNull() & cut).select(*by, _B).distinct()
         grid = left_buckets.join(per_bucket, by + [_B], "full")
         wb = Window.partitionBy(*[F.col(c) for c in by]).orderBy(
             F.col(_B).desc() if fwd else F.col(_B).asc()).rowsBetween(Window.unboundedPreceding, -1)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_col, ci_in
+from .joins import broadcast_if_small
 
 
 def not_voided(df: DataFrame, flag: str = "voided") -> Column:
@@ -57,7 +58,7 @@ def drop_concepts(obs: DataFrame, concept_col: str, blacklist: DataFrame | Seque
     """Remove observations whose concept is on a blacklist (case-folded)."""
     if isinstance(blacklist, DataFrame):
         bl = blacklist.select(F.lower(F.trim(F.col(list_col))).alias("__bl"))
-        return obs.join(F.broadcast(bl), F.lower(F.trim(obs[concept_col])) == bl["__bl"], "left_anti")
+        return obs.join(broadcast_if_small(bl), F.lower(F.trim(obs[concept_col])) == bl["__bl"], "left_anti")
     return obs.where(~ci_in(concept_col, blacklist) | F.col(concept_col).isNull())
 
 

@@ -15,6 +15,25 @@ from pyspark.sql import functions as F
 from ..functions import as_col
 
 
+BROADCAST_BYTES, BROADCAST_ROWS = 64 << 20, 100_000
+
+
+def small_enough(df: DataFrame, most_bytes: int = BROADCAST_BYTES, most_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table is known to be small: the planner's estimate of its size
+    or, where the planner knows none (rows handed over by the driver), a count
+    that stops at ``most_rows``."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
+    if size < min(unknown, 2 ** 60):
+        return size <= most_bytes
+    return df.limit(most_rows + 1).count() <= most_rows
+
+
+def broadcast_if_small(df: DataFrame, most_bytes: int = BROADCAST_BYTES, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint only if it is small; else the planner joins it by shuffles."""
+    return F.broadcast(df) if small_enough(df, most_bytes, most_rows) else df
+
+
 def decode(df: DataFrame, lookup: DataFrame, on: str, key: str, label: str, out: str | None = None) -> DataFrame:
     """Attach ``lookup.label`` where ``df.on == lookup.key``; a miss gives null, the row stays."""
     lk = lookup.select(F.col(key).alias("__lk_key"), F.col(label).alias(out or label))

@@ -8,6 +8,9 @@ its distinct keys, a running sum over that count table (one row per bucket)
 gives each bucket's offset, and a key's number is offset + its row number
 inside the bucket.  Counts and rows are computed from the same values, so the
 numbering does not depend on partitioning, sampling or the reuse of a shuffle.
+
+``number_rows`` gives the same numbering to tables of data size (visits, lab
+tests): offsets in levels, so that every window is over a bounded part.
 """
 
 from __future__ import annotations
@@ -36,8 +39,8 @@ def _bucket(df: DataFrame, name: str) -> Column:
 def dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str = "id", start: int = 1) -> DataFrame:
     """Distinct ``order_cols`` numbered ``start, start+1, ...`` in ascending
     order (nulls first, like ``ORDER BY``).  Buckets come from the first column;
-    one bucket is sorted in one task, so tables of data size use
-    ``functions.stable_key`` (a row-local hash) instead."""
+    one bucket is sorted in one task and all bucket counts in one, so this is
+    for dimensions; tables of data size use ``number_rows``."""
     d = df.select(*order_cols).distinct().withColumn("__b", _bucket(df, order_cols[0]))
     counts = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.orderBy(F.col("__b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
@@ -47,6 +50,46 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str = "id", sta
     return out.select(*order_cols, (F.col("__off") + F.col("__pos") + F.lit(start - 1)).cast("long").alias(key_col))
 
 
+def number_rows(df: DataFrame, order_cols: Sequence[str], key_col: str = "id", start: int = 1) -> DataFrame:
+    """``dense_key`` for tables of data size whose first column is an id.
+
+    Prefix sums in levels: 16 M neighbouring ids (``__b2``), of these 1024
+    neighbouring ids (``__b1``), of these one id and one bucket of the second
+    column (such as a month), and the rows in it.  Each level's counts are summed
+    within the level above; only the counts of the top level -- one row per 16 M
+    ids -- are ordered together.  An id with a large share of the rows is spread
+    over the buckets of the second column."""
+    first, second = order_cols[0], order_cols[1] if len(order_cols) > 1 else None
+    if not isinstance(df.schema[first].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError(f"number_rows orders by an id first, {first} is {df.schema[first].dataType.simpleString()}")
+    c = F.col(first).cast("long")
+    d = df.select(*order_cols).distinct().withColumn("__b2", F.shiftright(c, 24)).withColumn("__b1", F.shiftright(c, 10)) \
+        .withColumn("__b0", _bucket(df, second) if second else F.lit(0))
+
+    def before(counts: DataFrame, within: list[str], order: list[str], out: str) -> DataFrame:
+        w = Window.partitionBy(*within).orderBy(*[F.col(x).asc_nulls_first() for x in order]).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumn(out, F.coalesce(F.sum("__n").over(w), F.lit(0)))
+
+    def joined(left: DataFrame, right: DataFrame, on: list[str], out: str) -> DataFrame:
+        r = right.select(*[F.col(x).alias(f"__r{i}") for i, x in enumerate(on)], out)
+        same = None
+        for i, x in enumerate(on):
+            e = left[x].eqNullSafe(r[f"__r{i}"])
+            same = e if same is None else same & e
+        return left.join(r, same).drop(*[f"__r{i}" for i in range(len(on))])
+
+    groups = d.groupBy("__b2", "__b1", first, "__b0").agg(F.count(F.lit(1)).alias("__n"))
+    blocks = groups.groupBy("__b2", "__b1").agg(F.sum("__n").alias("__n"))
+    tops = blocks.groupBy("__b2").agg(F.sum("__n").alias("__n"))
+    blocks = joined(before(blocks, ["__b2"], ["__b1"], "__o1"), before(tops, [], ["__b2"], "__o2"), ["__b2"], "__o2") \
+        .withColumn("__o", F.col("__o1") + F.col("__o2"))
+    groups = joined(before(groups, ["__b2", "__b1"], [first, "__b0"], "__o0"), blocks, ["__b2", "__b1"], "__o") \
+        .withColumn("__off", F.col("__o") + F.col("__o0"))
+    within = Window.partitionBy(first, "__b0").orderBy(*[F.col(x).asc_nulls_first() for x in order_cols])
+    rows = joined(d.withColumn("__pos", F.row_number().over(within)), groups, [first, "__b0"], "__off")
+    return rows.select(*order_cols, (F.col("__off") + F.col("__pos") + F.lit(start - 1)).cast("long").alias(key_col))
+
+
 def attach_key(df: DataFrame, keyed: DataFrame, on: Sequence[str], null_safe: bool = True) -> DataFrame:
     """Join a surrogate key table back on its natural key (null matches null)."""
     r = keyed.select(*[F.col(c).alias(f"__k_{c}") for c in on], *[c for c in keyed.columns if c not in on])

@@ -95,12 +95,17 @@ def earliest_per_key(df: DataFrame, keys, date_col, tiebreak=None, as_of=None) -
 def ties_at_extreme(df: DataFrame, keys, col, largest: bool = True) -> DataFrame:
     """Every row whose ``col`` equals the per-key max (or min) -- ties kept.
 
-    ``rank() == 1`` is planned with the same partial group limit as
-    ``row_number``, so the shuffle carries only each map task's tied leaders.
+    Two steps: the extreme per key by partial aggregation, then a semi-join on
+    (key, extreme).  No window gathers a key: if a hot key's rows are all tied,
+    adaptive execution splits the join's partition (a measured small table of
+    extremes is broadcast and no row is shuffled).  Null keys are a group.
     """
-    c = as_col(col)
-    w = Window.partitionBy(*_keys(keys)).orderBy(c.desc() if largest else c.asc())
-    return df.where(c.isNotNull()).withColumn(_RN, F.rank().over(w)).where(F.col(_RN) == 1).drop(_RN)
+    c, names = as_col(col), [f"__k{i}" for i in range(len(_keys(keys)))]
+    ext = df.where(c.isNotNull()).groupBy(*[k.alias(n) for k, n in zip(_keys(keys), names)]).agg((F.max if largest else F.min)(c).alias("__x"))
+    same = c == F.col("__x")
+    for k, n in zip(_keys(keys), names):
+        same = same & k.eqNullSafe(F.col(n))
+    return df.join(ext, same, "left_semi")
 
 
 def latest_vs_previous(df: DataFrame, keys, date_col, value_col, tiebreak=None,

@@ -1,7 +1,7 @@
 """Calendar periods and period snapshots.
 
-Periods are parameters (a handful of quarters or weeks), so their table has a
-size bound set by the caller and is broadcast.  No data row is joined to
+Periods are parameters (a handful of quarters or weeks): their table is
+broadcast after a check of its size.  No data row is joined to
 every later period: each row is assigned to exactly one period (the first
 whose end is on or after its date), reduced per (key, period), and only the
 reduced rows are carried forward -- by a window over the small
@@ -18,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .latest import nth_per_key, ties_at_extreme
+from .joins import broadcast_if_small
+from .latest import nth_per_key
 
 PERIOD_COLS = ["period_id", "start_date", "end_date"]
 MAX_PERIODS = 10_000   # more periods than this are taken for a mistake in the range
@@ -64,9 +65,9 @@ def week_periods(spark: SparkSession, first_monday: str, n: int) -> DataFrame:
 
 def cross_params(df: DataFrame, params: DataFrame) -> DataFrame:
     """Every row with every parameter row.  ``params`` is a parameter table
-    (periods, settings) whose size the caller bounds; it is broadcast so the
-    large side is never shuffled for it."""
-    return df.crossJoin(F.broadcast(params))
+    (periods, settings); it is broadcast if its size is checked to be small, so
+    the large side is never shuffled for it."""
+    return df.crossJoin(broadcast_if_small(params))
 
 
 def _bounds(periods: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def assign_period(df: DataFrame, date_col: str, periods: DataFrame, keep_cols: S
 
 
 def _grid(keys_df: DataFrame, periods: DataFrame) -> DataFrame:
-    return keys_df.crossJoin(F.broadcast(periods))
+    return keys_df.crossJoin(broadcast_if_small(periods))
 
 
 def counts_up_to_period(df: DataFrame, keys: Sequence[str], date_col: str, periods: DataFrame,
@@ -111,23 +112,26 @@ def snapshot_latest_per_period(df: DataFrame, keys: Sequence[str], date_col: str
     """For each key x period, every row at the key's latest date on or before
     the period end (ties kept).  Periods before a key's first row give nothing.
 
-    One pass: rows are tagged with their own period; the rows at each
-    (key, period)'s latest date are kept (``rank() == 1``, limited map-side);
-    a window over each key's leaders -- at most (#periods x ties) rows, however
-    hot the key -- finds the next period that has leaders, and each leader is
-    repeated for the periods it stays latest in.  Output: the row's columns
-    plus the period columns.
+    Rows are tagged with their own period and the latest date per (key, period)
+    is aggregated: at most one row per key and period, over which a window finds
+    the next period that has rows.  The rows at that date then join it on (key,
+    period, date) -- a join that adaptive execution splits if a hot key's rows
+    are tied -- and stand for every period until the next.  Output: the row's
+    columns plus the period columns.
     """
     tagged = assign_period(df, date_col, periods).withColumn("__d", F.to_date(F.col(date_col)))
-    leaders = ties_at_extreme(tagged, [*keys, "period_id"], "__d", largest=True)
     last_pid = periods.select(F.max("period_id")).scalar()
-    w = Window.partitionBy(*keys).orderBy("period_id").rangeBetween(1, Window.unboundedFollowing)
-    spans = (leaders.withColumn("__next", F.min("period_id").over(w))
-             .withColumn("__until", F.coalesce(F.col("__next") - 1, last_pid))
-             .withColumn("__pid", F.explode(F.sequence(F.col("period_id"), F.col("__until")))))
+    after = Window.partitionBy(*keys).orderBy("period_id")
+    latest = (tagged.groupBy(*keys, "period_id").agg(F.max("__d").alias("__x"))
+              .withColumn("__until", F.coalesce(F.lead("period_id").over(after) - 1, last_pid))
+              .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("period_id").alias("__p"), "__x", "__until"))
+    same = (tagged["period_id"] == F.col("__p")) & (tagged["__d"] == F.col("__x"))
+    for i, k in enumerate(keys):
+        same = same & tagged[k].eqNullSafe(F.col(f"__k{i}"))
+    spans = tagged.join(latest, same).withColumn("__pid", F.explode(F.sequence(F.col("period_id"), F.col("__until"))))
     period_cols = [c for c in periods.columns if c != "period_id"]
     row_cols = [c for c in df.columns if c not in keys and c not in period_cols]
-    p = F.broadcast(periods.withColumnRenamed("period_id", "__pid"))
+    p = broadcast_if_small(periods.withColumnRenamed("period_id", "__pid"))
     out = spans.join(p, "__pid")
     return out.select(*keys, *row_cols, F.col("__pid").alias("period_id"), *period_cols)
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import as_col, ci_eq, ci_in, fold
 
@@ -185,23 +186,42 @@ def flags_from_set(df: DataFrame, keys: Sequence[str], col: str, values: dict[st
                                    for n, v in values.items()])
 
 
+CELL_CHARS = 16_000_000    # longest text of a group
+
+
 def concat_group(df: DataFrame, keys: Sequence[str], col: str, out: str, sep: str = ",",
-                 distinct: bool = False) -> DataFrame:
+                 distinct: bool = False, most_chars: int = CELL_CHARS) -> DataFrame:
     """Concatenated values per group in a fixed (sorted) order.
 
     Values are first counted per (key, value) -- a partial aggregate, so a hot
-    key is combined map-side -- and only the distinct values with their counts
-    are gathered per key; repeats are expanded when the text is built.  The
-    shuffle therefore carries at most one row per distinct value of each key,
-    whatever the group size; only the output text itself grows with the group.
+    key is combined map-side.  The length of each group's text follows from the
+    counts: a group whose text would exceed ``most_chars`` is an error, raised
+    before any of its values are gathered.  The text is then built in two
+    ordered steps: values that begin alike within a group, then these pieces, so
+    that no task sorts more than one piece and the pieces of a group.
     """
-    counted = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
+    value, n = F.col(col), F.lit(1) if distinct else F.col("__n")
+    names = [f"__k{i}" for i in range(len(keys))]
+    counted = df.where(value.isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
+    totals = counted.groupBy(*[F.col(k).alias(x) for k, x in zip(keys, names)]) \
+        .agg(F.sum((F.length(value.cast("string")) + len(sep)) * n).alias("__chars"))
+    same = None
+    for k, x in zip(keys, names):
+        e = F.col(k).eqNullSafe(F.col(x))
+        same = e if same is None else same & e
+    fits = F.when(F.col("__chars") > most_chars, F.raise_error(F.concat(
+        F.lit(f"{out}: the text of a group has "), F.col("__chars").cast("string"), F.lit(f" characters, more than {most_chars}"))))
+    checked = counted.join(totals, same).select(*keys, F.coalesce(fits, value).alias(col), "__n")
+    text_value = isinstance(df.schema[col].dataType, StringType)
+    head = F.substring(F.col(col), 1, 2) if text_value else F.lit("")
     pairs = F.array_sort(F.collect_list(F.struct(F.col(col).alias("v"), F.col("__n").alias("n"))))
     if distinct:
         text = F.array_join(F.transform(pairs, lambda p: p["v"]), sep)
     else:
         text = F.array_join(F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["v"], p["n"].cast("int")))), sep)
-    return counted.groupBy(*keys).agg(text.alias(out))
+    pieces = checked.groupBy(*keys, head.alias("__head")).agg(text.alias("__text"))
+    whole = F.array_sort(F.collect_list(F.struct("__head", "__text")))
+    return pieces.groupBy(*keys).agg(F.array_join(F.transform(whole, lambda p: p["__text"]), sep).alias(out))
 
 
 def exists_flag(df: DataFrame, keys: Sequence[str], cond: Column, out: str) -> DataFrame:

@@ -136,7 +136,7 @@ def build_form(flat: dict, spec: FormSpec | str) -> DataFrame:
     grouped_names = set(spec.grouped) | {a for n, a in dups if n in spec.grouped}
     plain = [c for c in cols if c.name not in grouped_names]
     grouped = [c for c in cols if c.name in grouped_names]
-    out = sp
+    out, numbered = sp, sp
     if plain:
         piv = O.form_pivot(obs, KEYS, plain, concept_col="concept", id_col="obs_id")
         out = O.left_join_keys(out, piv, KEYS, null_safe=["location"])
@@ -144,10 +144,11 @@ def build_form(flat: dict, spec: FormSpec | str) -> DataFrame:
         g = O.form_pivot(obs.where(F.col("obs_group_id").isNotNull()), KEYS + ["obs_group_id"], grouped,
                          concept_col="concept", id_col="obs_id")
         out = O.left_join_keys(out, g, KEYS, null_safe=["location"])
+        numbered = O.left_join_keys(sp, g.select(*KEYS, "obs_group_id"), KEYS, null_safe=["location"])   # without the picks
     for name, alias in dups:
         out = out.withColumn(name, F.coalesce(F.col(name), F.col(alias))).drop(alias)
     order = KEYS + (["obs_group_id"] if grouped else [])
-    keyed = O.dense_key(out.select(*order), order, spec.id_col)
+    keyed = O.number_rows(numbered, order, spec.id_col)
     out = O.attach_key(out, keyed, order)
     if spec.ddl:
         return conform(out, ", ".join(spec.ddl))
@@ -178,5 +179,5 @@ def ncd_visits(flat: dict) -> DataFrame:
     out = types
     for part in (vals, typed, feet, ms):
         out = O.left_join_keys(out, part, KEYS, null_safe=["location"])
-    keyed = O.dense_key(out.select(*KEYS), KEYS, "ncd_visit_id")
+    keyed = O.number_rows(types.select(*KEYS), KEYS, "ncd_visit_id")
     return O.attach_key(out, keyed, KEYS)

@@ -692,7 +692,7 @@ FORM_TABLES['mw_mental_health_followup'] = dict(
         C('mse_disorganized_speech', 'Mental health chief complaint absent', 'value_coded', answer='Abnormal speech'),
         C('mse_disruptive_behaviour', 'Mental health chief complaint absent', 'value_coded', answer='Disruptive Behavior Disorder'),
         C('mse_elevated_mood', 'Mental health chief complaint absent', 'value_coded', answer='Hypomania'),
-        C('mse_lack_of_insight', 'Mental health chief complaint absent', 'value_coded', answer='Lack of insight'),
+        C('mse_Lack_of_insight', 'Mental health chief complaint absent', 'value_coded', answer='Lack of insight'),
         C('mse_delusions', 'Mental health chief complaint absent', 'value_coded', answer='Delusions'),
         C('mse_hallucinations', 'Mental health chief complaint absent', 'value_coded', answer='Hallucinations'),
         C('mse_other', 'Mental health chief complaint absent', 'value_coded', answer='Other non-coded'),

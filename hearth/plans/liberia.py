@@ -84,9 +84,10 @@ def preferred_english_names(src: dict) -> DataFrame:
     return O.best_per_key(cn, "concept_id", [F.col("concept_name_id").asc()]).select("concept_id", "name")
 
 
-def _coded_obs(src: dict) -> DataFrame:
+def _coded_obs(src: dict, voided: bool = False) -> DataFrame:
+    """Observations with the name of their coded answer (``voided``: voided ones too)."""
     names = preferred_english_names(src)
-    o = src["obs"].where(~F.coalesce(F.col("voided"), F.lit(False)))
+    o = src["obs"] if voided else src["obs"].where(~F.coalesce(F.col("voided"), F.lit(False)))
     return o.join(names.select(F.col("concept_id").alias("value_coded"), F.col("name").alias("__answer")),
                   "value_coded", "left")
 
@@ -118,12 +119,14 @@ def mh_encounter(src: dict, encounter_type_uuid: str = MH_ENCOUNTER_TYPE_UUID, p
 
 def rx_prescriptions(src: dict) -> DataFrame:
     """LB2: one row per prescription obs group: medication, quantity, dose unit,
-    frequency, duration and time unit from the group's member observations."""
+    frequency, duration and time unit from the group's member observations.
+    Voided observations count, as in the source query; a header is an observation
+    whose concept has the construct's name in any language."""
     names = preferred_english_names(src)
-    o = _coded_obs(src).join(names.select("concept_id", F.col("name").alias("__question")), "concept_id", "left")
-    headers = o.where(F.col("__question") == RX_CONSTRUCT).select(
-        F.col("obs_id").alias("obs_group_id"), "encounter_id")
-    members = o.where(F.col("obs_group_id").isNotNull())
+    construct = src["concept_name"].where(F.col("name") == RX_CONSTRUCT).select("concept_id").distinct()
+    headers = src["obs"].join(construct, "concept_id", "left_semi").select(F.col("obs_id").alias("obs_group_id"), "encounter_id")
+    members = _coded_obs(src, voided=True).where(F.col("obs_group_id").isNotNull()) \
+        .join(names.select("concept_id", F.col("name").alias("__question")), "concept_id")
     aggs = []
     for col, questions, what in RX_COLUMNS:
         cond = F.col("__question").isin(list(questions))
@@ -131,7 +134,7 @@ def rx_prescriptions(src: dict) -> DataFrame:
     piv = members.join(headers.select("obs_group_id"), "obs_group_id", "left_semi").groupBy("obs_group_id").agg(*aggs)
     enc = src["encounter"].select("encounter_id", "patient_id", F.col("encounter_type").alias("encounter_type_id"))
     et = src["encounter_type"].select(F.col("encounter_type_id"), F.col("name").alias("encounter_type"))
-    out = headers.join(piv, "obs_group_id", "left").join(enc, "encounter_id").join(et, "encounter_type_id", "left")
+    out = headers.join(piv, "obs_group_id", "left").join(enc, "encounter_id").join(et, "encounter_type_id")
     return out.select("obs_group_id", "encounter_id", "patient_id", "encounter_type_id", "encounter_type",
                       *[c for c, _, _ in RX_COLUMNS])
 

@@ -75,7 +75,7 @@ def state_episodes(flat: dict, program: str | None, workflow: str | None, state:
     nxt = st.select("program_enrollment_id", F.col("start_date").alias("__ns"), F.col("state").alias("__next_state"),
                     F.col("program_state_id").alias("__nid"))
     j = O.asof_join(eps, nxt, ["program_enrollment_id"], "__state_end", "__ns", ["__next_state"],
-                    direction="forward", inclusive=True, tiebreak="__nid", bucket="year")
+                    direction="forward", inclusive=True, tiebreak="__nid", bucket="adaptive")
     return j.withColumn("outcome", F.coalesce("__next_state", "__eo")).drop("__next_state", "__eo", "__state_end")
 
 
@@ -195,7 +195,7 @@ def mw_lab_tests(flat: dict) -> DataFrame:
     both = viral_load_tests(flat).unionByName(hiv_tests(flat))
     # HIV tests are one row per obs group
     order = ["patient_id", "encounter_id", "test_type", "obs_group_id"]
-    keyed = O.dense_key(both.select(*order), order, "lab_test_id")
+    keyed = O.number_rows(both.select(*order), order, "lab_test_id")
     return O.attach_key(both, keyed, order).select("lab_test_id", *[c for c in both.columns if c != "obs_group_id"])
 
 
@@ -234,9 +234,13 @@ def mw_art_regimen(flat: dict) -> DataFrame:
 
 
 def nth_regimen(regimens: DataFrame, n: int, as_of=None) -> DataFrame:
-    """M-FN: the patient's n-th most recent regimen (0 = current) and its start."""
-    return O.nth_latest(regimens, "patient_id", "regimen_init_date", n, tiebreak="line", as_of=as_of).select(
-        "patient_id", "regimen", "regimen_init_date")
+    """M-FN: the patient's n-th most recent regimen (0 = current) and its start
+    (of one day: the later line first, then by name)."""
+    r = regimens.where(F.col("regimen_init_date").isNotNull())
+    if as_of is not None:
+        r = r.where(F.col("regimen_init_date") <= F.lit(as_of).cast("date"))
+    order = [F.col("regimen_init_date").desc(), F.col("line").desc(), F.col("regimen").asc_nulls_last()]
+    return O.nth_per_key(r, "patient_id", order, n + 1).select("patient_id", "regimen", "regimen_init_date")
 
 
 def last_obs_in_period(flat: dict, concepts, periods: DataFrame) -> DataFrame:

@@ -255,29 +255,28 @@ def appt_alerts(mart: dict, end_date, location=None, *, obs: DataFrame) -> DataF
     return out
 
 
-def _appointment_union(mart: dict, location=None, end_date=None) -> DataFrame:
+def _last_appointment(mart: dict, location=None, end_date=None) -> DataFrame:
+    """Per patient of the ART, EID or NCD register (at ``location``, open after
+    ``end_date``), the latest visit of those registers' visit tables that set an
+    appointment (ties: the latest appointment).  A register is reduced to its
+    patients first, so a visit meets a patient once, however many episodes there are."""
     parts = []
     for reg, vis in (("mw_art_register", "mw_art_visits"), ("mw_eid_register", "mw_eid_visits"),
                      ("mw_ncd_register", "mw_ncd_visits")):
         r = O.optional_param(mart[reg], "location", location)
         if end_date is not None:
             r = O.active_on(r, "end_date", _d(end_date))
-        r = r.select("patient_id", "location").distinct()
-        v = mart[vis].where(F.col("next_appointment_date").isNotNull()).select(
-            "patient_id", "visit_date", "next_appointment_date")
-        parts.append(v.join(r, "patient_id").select("patient_id", "visit_date", "next_appointment_date",
-                                                    F.col("location").alias("reg_location")))
-    return O.union_distinct(parts)
+        v = mart[vis].where(F.col("next_appointment_date").isNotNull()).select("patient_id", "visit_date", "next_appointment_date")
+        parts.append(v.join(r.select("patient_id").distinct(), "patient_id", "left_semi"))
+    return O.best_per_key(parts[0].unionByName(parts[1]).unionByName(parts[2]), "patient_id",
+                          [F.col("visit_date").desc(), F.col("next_appointment_date").desc()])
 
 
 def patients_next_appointment(mart: dict, location=None) -> DataFrame:
     """RP8: per patient enrolled at ``location`` in ART, EID or NCD, the latest
     visit with an appointment and that appointment."""
-    u = _appointment_union(mart, location)
-    last = O.best_per_key(u, "patient_id", [F.col("visit_date").desc(), F.col("next_appointment_date").desc(),
-                                            F.col("reg_location").asc_nulls_last()])
-    return last.select("patient_id", F.col("visit_date").alias("last_visit_date"),
-                       F.col("next_appointment_date").alias("last_appt_date"))
+    return _last_appointment(mart, location).select("patient_id", F.col("visit_date").alias("last_visit_date"),
+                                                    F.col("next_appointment_date").alias("last_appt_date"))
 
 
 def patients_expected(mart: dict, start_date, end_date, location=None, advanced_care: bool = False,
@@ -285,9 +284,7 @@ def patients_expected(mart: dict, start_date, end_date, location=None, advanced_
     """RP9: active patients whose latest appointment falls in [start, end]; with
     ``advanced_care`` only those whose latest program state is 'In advanced care'
     (patients without any state stay, as in the source)."""
-    u = _appointment_union(mart, location, end_date)
-    last = O.best_per_key(u, "patient_id", [F.col("visit_date").desc(), F.col("next_appointment_date").desc(),
-                                            F.col("reg_location").asc_nulls_last()])
+    last = _last_appointment(mart, location, end_date)
     out = last.where((F.col("next_appointment_date") >= _d(start_date)) & (F.col("next_appointment_date") <= _d(end_date)))
     out = out.select("patient_id", F.col("visit_date").alias("last_visit_date"),
                      F.col("next_appointment_date").alias("last_appt_date"))

@@ -39,7 +39,7 @@ def remap_values(df: DataFrame, col: str, mapping: DataFrame, source_col: str, t
     (``coalesce(mapped, original)``); the map is a small parameter table joined
     on the case-folded value."""
     m = mapping.select(H.fold(source_col).alias("__src"), F.col(target_col).alias("__tgt"))
-    j = df.join(F.broadcast(m), H.fold(col) == F.col("__src"), "left")
+    j = df.join(O.broadcast_if_small(m), H.fold(col) == F.col("__src"), "left")
     return j.withColumn(col, F.coalesce("__tgt", F.col(col))).drop("__src", "__tgt")
 
 
@@ -69,7 +69,8 @@ PERSON_KEYS_GROUP = ["uuid", "patient_id"]
 
 def rw_order(src: dict, lk: dict, prefix: str | None = None, pharmacy: bool = False) -> DataFrame:
     """R-ORD: live orders of live persons with extension, encounter, order set,
-    drug order and drug name (7 left joins), ages at start, decoded concepts.
+    drug order and drug name (7 left joins), ages at start, decoded names (a
+    lookup key that stands twice aborts the job when an order meets it).
     ``pharmacy`` gives the variant without person keys."""
     person = _live(src["person"]).select(F.col("person_id").alias("__pp"), F.col("birthdate").alias("__bd"))
     o = _live(src["orders"]).drop("voided").join(person, F.col("patient_id") == F.col("__pp"), "inner")
@@ -85,14 +86,14 @@ def rw_order(src: dict, lk: dict, prefix: str | None = None, pharmacy: bool = Fa
          .join(groups, F.col("group_id") == F.col("__gid"), "left").join(do, "order_id", "left")
          .join(drug, "drug_inventory_id", "left"))
     concept = lk["lookup_concept"]
-    j = O.decode(j, concept, "concept_id", "source_key", "target_value", "concept")
-    j = O.decode(j, concept, "discontinued_reason", "source_key", "target_value", "discontinued_reason_name")
-    j = O.decode(j, concept, "indication", "source_key", "target_value", "indication_name")
-    j = O.decode(j, concept, "route", "source_key", "target_value", "route_name")
-    j = O.decode(j, lk["lookup_encounter_type"], "__et", "source_key", "target_value", "encounter_type")
-    j = O.decode(j, lk["lookup_location"], "__loc", "source_key", "target_value", "location")
-    j = O.decode(j, lk["lookup_user"], "orderer", "source_key", "target_value", "orderer_name")
-    j = O.decode(j, lk["lookup_user"], "discontinued_by", "source_key", "target_value", "discontinued_by_name")
+    j = O.decode_or_abort(j, concept, "concept_id", "source_key", "target_value", "concept")
+    j = O.decode_or_abort(j, concept, "discontinued_reason", "source_key", "target_value", "discontinued_reason_name")
+    j = O.decode_or_abort(j, concept, "indication", "source_key", "target_value", "indication_name")
+    j = O.decode_or_abort(j, concept, "route", "source_key", "target_value", "route_name")
+    j = O.decode_or_abort(j, lk["lookup_encounter_type"], "__et", "source_key", "target_value", "encounter_type")
+    j = O.decode_or_abort(j, lk["lookup_location"], "__loc", "source_key", "target_value", "location")
+    j = O.decode_or_abort(j, lk["lookup_user"], "orderer", "source_key", "target_value", "orderer_name")
+    j = O.decode_or_abort(j, lk["lookup_user"], "discontinued_by", "source_key", "target_value", "discontinued_by_name")
     guard = F.col("__bd").isNull() | F.col("start_date").isNull()
     out = j.select(
         H.prefix_id("order_id", prefix).alias("order_id"), "order_type_id", "concept",
@@ -158,7 +159,7 @@ def rw_onc_diagnosis(flat: dict) -> DataFrame:
             "diagnosis_status_workflow", "diagnosis_status", "diagnosis_status_start_date",
             "diagnosis_status_end_date"]
     j = O.asof_join(dx, status, ["program_enrollment_id"], "start_date", "__ss", cols, direction="backward",
-                    inclusive=True, tiebreak="__sid", bucket="year")
+                    inclusive=True, tiebreak="__sid", bucket="adaptive")
     return j.select("program_state_id", "diagnosis_status_program_enrollment_id", "uuid", "program_enrollment_id",
                     "patient_id", "diagnosis_status_patient_id", "program", "diagnosis_status_program", "workflow",
                     "diagnosis_status_workflow", "state", "diagnosis_status", "start_date",

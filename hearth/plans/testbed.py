@@ -313,7 +313,7 @@ def j11_orders(spark, sf):
     nxt = o.select("o_custkey", F.col("order_date").alias("n_date"), F.col("o_orderkey").alias("next_orderkey"),
                    F.col("o_orderstatus").alias("next_status"), F.col("order_date").alias("next_date"))
     out = O.asof_join(o, nxt, ["o_custkey"], "order_date", "n_date", ["next_orderkey", "next_status", "next_date"],
-                      direction="forward", inclusive=False, tiebreak="next_orderkey", bucket="year")
+                      direction="forward", inclusive=False, tiebreak="next_orderkey", bucket="adaptive")
     return out.select("o_orderkey", "next_orderkey", "next_status", "next_date")
 
 

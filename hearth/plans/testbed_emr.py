@@ -198,7 +198,7 @@ class _Derived:
         o = self.o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
         nxt = O.asof_join(o, o.select("o_custkey", F.col("o_orderdate").alias("__nd"), F.col("o_orderkey").alias("__nk")),
                           ["o_custkey"], "o_orderdate", "__nd", ["__nd"], direction="forward", inclusive=False,
-                          tiebreak="__nk", bucket="year", prefix="next")
+                          tiebreak="__nk", bucket="adaptive", prefix="next")
         states = nxt.withColumn("__state", self.key("o_orderstatus"))
         return states.select(
             F.col("o_orderkey").alias("patient_state_id"),

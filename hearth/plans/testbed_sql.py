@@ -802,10 +802,14 @@ eo AS (SELECT obs.obs_id, CAST(NULL AS VARCHAR) AS uuid, obs.person_id AS patien
 SQL.update({
     "emr_obs": f"WITH {EMR_OBS} SELECT * FROM eo",
 
-    "emr_last_obs": f"""WITH {QUARTERS}, {EMR_OBS}, s AS (SELECT * FROM eo WHERE concept IN ('purchase', 'R')),
-m AS (SELECT s.patient_id, s.concept, q.end_date, max(s.obs_date) AS last FROM s JOIN q ON s.obs_date <= q.end_date
-      GROUP BY s.patient_id, s.concept, q.end_date)
-SELECT m.patient_id, m.concept, s.obs_id, m.end_date, s.obs_date AS last_obs_date, s.encounter_type, s.location,
+    # a row counts from its own quarter's end (rows before the first quarter from the first) until the next quarter that has rows
+    "emr_last_obs": f"""WITH {QUARTERS}, {EMR_OBS},
+s AS MATERIALIZED (SELECT *, greatest(CAST(date_trunc('quarter', obs_date) + to_months(3) AS DATE) - 1, (SELECT min(end_date) FROM q)) AS own
+  FROM eo WHERE concept IN ('purchase', 'R')),
+l AS (SELECT patient_id, concept, own, max(obs_date) AS last FROM s GROUP BY patient_id, concept, own),
+n AS (SELECT *, lead(own) OVER (PARTITION BY patient_id, concept ORDER BY own) AS nxt FROM l)
+SELECT n.patient_id, n.concept, s.obs_id, q.end_date, s.obs_date AS last_obs_date, s.encounter_type, s.location,
   s.value_coded, s.value_date, s.value_numeric, s.value_text, s.obs_group_id
-FROM m JOIN s ON s.patient_id = m.patient_id AND s.concept = m.concept AND s.obs_date = m.last""",
+FROM n JOIN s ON s.patient_id = n.patient_id AND s.concept = n.concept AND s.own = n.own AND s.obs_date = n.last
+JOIN q ON q.end_date >= n.own AND (n.nxt IS NULL OR q.end_date < n.nxt)""",
 })

@@ -76,16 +76,13 @@ def test_exact_comparisons_push_down_when_folding_is_off(spark):
     from hearth import functions as H
     o = spark.read.parquet(f"{SF}/orders.parquet")
     assert "EqualTo(o_orderpriority" not in plan(o.where(H.ci_eq("o_orderpriority", "1-URGENT")))
-    H.set_case_folding(False)
-    try:
+    with H.exact_text():
         p = plan(o.where(H.ci_eq("o_orderpriority", "1-URGENT")))
         assert "EqualTo(o_orderpriority,1-URGENT)" in p
         li = spark.read.parquet(f"{SF}/lineitem.parquet")
         p2 = plan(O.form_pivot(li, ["l_orderkey"], [O.PivotColumn("a", "A", "l_extendedprice", agg="min")],
                                concept_col="l_returnflag", id_col="l_linenumber"))
         assert "In(l_returnflag, [A])" in p2 or "EqualTo(l_returnflag,A)" in p2
-    finally:
-        H.set_case_folding(True)
 
 
 def test_no_registered_query_plans_a_cartesian_product(spark):
