@@ -46,6 +46,7 @@ from hearth.llm import _common as C
 from hearth.llm.suffix_sort import permuted_prefixes, suffix_arrays
 
 KGRAM, REFINE = 32, 4
+PASSAGE_BYTES = 150   # the pipeline stage's length: passages of over 50 words are longer, even of short words
 _BYTE = np.random.default_rng(42).integers(1, 2**63, 256, dtype=np.uint64)   # a random value for each byte
 _STEP = 0x9E3779B97F4A7C15
 
@@ -394,8 +395,9 @@ def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def without_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without their repeated passages.  A text that
-    keeps nothing stays as an empty text; ``n_chars`` is the new text's length."""
-    out = dedup(docs)
+    """Pipeline stage: documents without their repeated passages, strings of
+    ``PASSAGE_BYTES`` bytes that start anywhere else too.  A text that keeps
+    nothing stays as an empty text; ``n_chars`` is the new text's length."""
+    out = dedup(docs, PASSAGE_BYTES)
     chars = F.when(F.col("__n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.withColumn("n_chars", chars).select(*docs.columns)
