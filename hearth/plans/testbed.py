@@ -870,23 +870,35 @@ def emr_state(spark, sf):
     return _emr_flat(spark, sf)["omrs_program_state"]
 
 
+def _emr_written(spark, sf, *names):
+    """The derived flat layer with the named tables written when first read: the
+    layer edge a refresh has between the flat layer and what is built from it."""
+    from ..session import written
+    from .lazy import LazyTables
+    flat = _emr_flat(spark, sf)
+    return LazyTables({k: (lambda t, k=k: written(flat[k], k) if k in names else flat[k]) for k in flat})
+
+
+STAR_INPUT = ("omrs_patient", "omrs_program_enrollment", "omrs_program_state", "omrs_encounter", "omrs_obs")
+
+
 def emr_dim_date(spark, sf):
     """D-DATE over the derived flat layer."""
     from .star import build_star
-    return build_star(spark, _emr_flat(spark, sf))["dim_date"]
+    return build_star(spark, _emr_written(spark, sf, "omrs_program_state"))["dim_date"]
 
 
 def emr_fact_numeric(spark, sf):
-    """X-NUM over the derived flat layer, with the dimensions it joins."""
+    """X-NUM over the written flat layer, with the dimensions it joins."""
     from .star import build_star
-    return build_star(spark, _emr_flat(spark, sf))["fact_patient_numeric_value"]
+    return build_star(spark, _emr_written(spark, sf, *STAR_INPUT))["fact_patient_numeric_value"]
 
 
 def emr_fact_event(spark, sf):
-    """X-EVENT over the derived flat layer: births, encounters, enrollments and
+    """X-EVENT over the written flat layer: births, encounters, enrollments and
     completions with their dimension ids."""
     from .star import build_star
-    return build_star(spark, _emr_flat(spark, sf))["fact_patient_event"]
+    return build_star(spark, _emr_written(spark, sf, *STAR_INPUT))["fact_patient_event"]
 
 
 def emr_urgent_visits(spark, sf):
@@ -938,7 +950,7 @@ def emr_active_cohort(spark, sf, as_of: str = T_ORDER):
     from .malawi import state_episodes
     from .reports import active_cohort
     from .testbed_emr import VISITS_FORM
-    flat = _emr_flat(spark, sf)
+    flat = _emr_written(spark, sf, "omrs_program_state", "omrs_encounter")
     register = state_episodes(flat, None, "order status", "O")
     visits = build_form(flat, VISITS_FORM)
     return active_cohort(register, visits, None, as_of, visit_id="visit_id")
@@ -949,7 +961,7 @@ def emr_register(spark, sf):
     episode, ended by the next order (else enrollment completion), outcome =
     the state starting on or after the episode end (J11 as-of)."""
     from .malawi import state_episodes
-    eps = state_episodes(_emr_flat(spark, sf), None, "order status", "O")
+    eps = state_episodes(_emr_written(spark, sf, "omrs_program_state"), None, "order status", "O")
     return eps.select(F.col("program_state_id").alias("episode_id"), "program_enrollment_id", "patient_id",
                       "location", "start_date", "end_date", "outcome")
 

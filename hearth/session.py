@@ -119,3 +119,12 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a parquet table in the shared checkpoint folder: what reads it
+    next scans files (pruned columns, known size) instead of the plan behind it."""
+    spark = df.sparkSession
+    path = scratch_table_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
