@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
 from collections.abc import Callable, Iterator
@@ -106,6 +107,15 @@ def map_text(df: DataFrame, fn: Callable[[list[str]], list], out: T.StructType,
     return df.mapInArrow(run, schema)
 
 
+def let_go() -> None:
+    """Give a task's freed memory back: an idle Python worker should not hold on
+    to what its last task needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim:
+        trim(0)
+
+
 def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
     """``df`` with one row for each value of ``key``.  Keys that occur once --
     normally all of them -- pass without a shuffle of the rows."""

@@ -46,7 +46,8 @@ from hearth.llm import _common as C
 from hearth.llm.suffix_sort import permuted_prefixes, suffix_arrays
 
 KGRAM, REFINE = 32, 4
-PASSAGE_BYTES = 150   # the pipeline stage's length: passages of over 50 words are longer, even of short words
+PASSAGE_BYTES = 200   # the pipeline stage's length: passages of over 50 words are longer
+DOCS = 64             # documents a task works on at once
 _BYTE = np.random.default_rng(42).integers(1, 2**63, 256, dtype=np.uint64)   # a random value for each byte
 _STEP = 0x9E3779B97F4A7C15
 
@@ -129,6 +130,7 @@ def _find(docs: DataFrame, length: int) -> DataFrame:
                 row = pa.array(row + start)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(fp), pa.array(ctx),
                                                   pa.array(at), pa.array(n)], names=["id", "th", "fp", "ctx", "at", "n"])
+        C.let_go()
 
     return docs.mapInArrow(run, schema)
 
@@ -230,6 +232,7 @@ def _shards(wanted: DataFrame, length: int, letters: int) -> DataFrame:
                     used = sum(map(len, held[0][5]))
         if held and sum(len(p[5]) for p in held):
             yield from answer(joined(held))
+        C.let_go()
 
     return dealt.mapInArrow(run, schema)
 
@@ -257,6 +260,7 @@ def _pack(docs: DataFrame, text: str = "text") -> DataFrame:
             z = [press(t) for _, texts in C.chunks(column) for t in _utf8(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in keep] + [pa.array(z, pa.binary())],
                                              names=schema.names)
+        C.let_go()
 
     return docs.select(*keep, text).mapInArrow(run, schema)
 
@@ -266,7 +270,7 @@ def _unpack(column) -> list[bytes]:
     return list(map(zstandard.ZstdDecompressor().decompress, column.to_pylist()))
 
 
-def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 16, letters: int = 1 << 19) -> DataFrame:
+def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 16, letters: int = 1 << 17) -> DataFrame:
     """``docs`` (id, th, text).  Returns (id, th, spans): for each row with a
     repeated window the array of (first, last) window starts."""
     found = C.written(_find(docs, length), "suffix-contexts")
@@ -284,8 +288,8 @@ def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 1
 
     def slices(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, DOCS):
+                part = batch.slice(i, DOCS)
                 cuts, data = part.column(1), _unpack(part.column(0))
                 each = cuts.flatten()
                 rows = np.repeat(np.arange(len(data)), [len(c) for c in cuts])
@@ -293,6 +297,7 @@ def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 1
                 own = pa.array([data[r][a:a + m] for r, a, m in zip(rows.tolist(), at.tolist(), n.tolist())], pa.binary())
                 yield pa.RecordBatch.from_arrays([each.field(k) for k in ("fp", "ctx", "places", "kinds")] + [own],
                                                  names=["fp", "ctx", "places", "kinds", "bytes"])
+        C.let_go()
 
     ready = C.written(fetch.mapInArrow(slices, "fp long, ctx long, places long, kinds long, bytes binary"), "suffix-bytes")
     few = _shards(ready.filter(F.col("kinds") <= block_contexts).select(
@@ -302,8 +307,8 @@ def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 1
     # anchors with many kinds
     def cut(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
+            for i in range(0, batch.num_rows, DOCS):
+                part = batch.slice(i, DOCS)
                 texts = part.column(3).to_pylist()
                 _, _, _, _, _, anchor = contexts(texts, length)
                 rows, new, ctx, at, own = [], [], [], [], []
@@ -315,6 +320,7 @@ def repeated_windows(docs: DataFrame, length: int = 400, block_contexts: int = 1
                     part.column(0).take(rows), part.column(1).take(rows), pa.array(at, pa.int32()),
                     pa.array(np.array(new, np.uint64).view(np.int64)), pa.array(np.array(ctx, np.uint64).view(np.int64)),
                     part.column(2).take(rows), pa.array(own, pa.binary())], names=["pfp", "pctx", "base", "fp", "ctx", "places", "bytes"])
+        C.let_go()
 
     hot = C.written(ready.filter(F.col("kinds") > block_contexts).select("fp", "ctx", "places", "bytes").mapInArrow(
         cut, "pfp long, pctx long, base int, fp long, ctx long, places long, bytes binary"), "suffix-refined")
@@ -372,8 +378,8 @@ def dedup(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col:
 
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, DOCS):
+                part = batch.slice(i, DOCS)
                 texts, columns = _unpack(part.column(len(keep))), [[] for _ in range(5)]
                 for data, own in zip(texts, part.column(len(keep) + 1)):
                     at = own.values
@@ -384,6 +390,7 @@ def dedup(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in range(len(keep))] + [
                     pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()))],
                     names=schema.names)
+        C.let_go()
 
     return rows.mapInArrow(run, schema)
 
