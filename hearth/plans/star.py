@@ -27,11 +27,10 @@ GENDERS = [("M", "Male"), ("F", "Female")]
 
 def dim_date(flat: dict) -> DataFrame:
     """D-DATE: every date used anywhere (null included, as the source UNION keeps it)."""
-    p, en, st = flat["omrs_patient"], flat["omrs_program_enrollment"], flat["omrs_program_state"]
-    e, o = flat["omrs_encounter"], flat["omrs_obs"]
-    sources = [(p, "birthdate"), (p, "death_date"), (en, "enrollment_date"), (en, "completion_date"),
-               (st, "start_date"), (st, "end_date"), (e, "encounter_date"), (o, "obs_date"), (o, "value_date")]
-    dates = O.union_distinct([df.select(F.col(c).alias("full_date")) for df, c in sources])
+    sources = [("omrs_patient", ["birthdate", "death_date"]), ("omrs_program_enrollment", ["enrollment_date", "completion_date"]),
+               ("omrs_program_state", ["start_date", "end_date"]), ("omrs_encounter", ["encounter_date"]), ("omrs_obs", ["obs_date", "value_date"])]
+    # one pass over each table, whatever the number of its dates
+    dates = O.union_distinct([flat[t].select(F.explode(F.array(*cols)).alias("full_date")) for t, cols in sources])
     keyed = O.dense_key(dates, ["full_date"], "date_id")
     return keyed.select("date_id", "full_date", F.year("full_date").alias("year"),
                         F.month("full_date").alias("month"), F.dayofmonth("full_date").alias("day"))
@@ -51,18 +50,13 @@ def dim_age(flat: dict) -> DataFrame:
     """D-AGE: distinct (years, months) ages; each source pair is kept when its
     own months value is present (the source tests the enrollment column for
     completion ages -- the build tests the selected one)."""
-    p, en, st = flat["omrs_patient"], flat["omrs_program_enrollment"], flat["omrs_program_state"]
-    e, o = flat["omrs_encounter"], flat["omrs_obs"]
-
-    def pair(df, y, m):
-        return df.where(F.col(m).isNotNull()).select(F.col(y).alias("full_years"), F.col(m).alias("full_months"))
+    def pairs(table, *events):
+        both = [F.struct(F.col(f"age_years_at_{x}").alias("full_years"), F.col(f"age_months_at_{x}").alias("full_months")) for x in events]
+        return flat[table].select(F.explode(F.array(*both)).alias("a")).select("a.*").where(F.col("full_months").isNotNull())
 
     ages = O.union_distinct([
-        pair(p, "age_years_at_death", "age_months_at_death"),
-        pair(en, "age_years_at_enrollment", "age_months_at_enrollment"),
-        pair(en, "age_years_at_completion", "age_months_at_completion"),
-        pair(st, "age_years_at_start", "age_months_at_start"), pair(st, "age_years_at_end", "age_months_at_end"),
-        pair(e, "age_years_at_encounter", "age_months_at_encounter"), pair(o, "age_years_at_obs", "age_months_at_obs")])
+        pairs("omrs_patient", "death"), pairs("omrs_program_enrollment", "enrollment", "completion"),
+        pairs("omrs_program_state", "start", "end"), pairs("omrs_encounter", "encounter"), pairs("omrs_obs", "obs")])
     return O.dense_key(ages, ["full_years", "full_months"], "age_id").select("age_id", "full_years", "full_months")
 
 
