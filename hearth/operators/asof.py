@@ -58,12 +58,12 @@ def _adaptive_bounds(times: DataFrame, by: list[str], piece_rows: int) -> DataFr
 
 
 def _piece(time: Column) -> Column:
-    """How many bounds lie before ``time``, looked up in two steps of about the root of their number."""
+    """How many bounds lie before ``time`` (null for no time), looked up in two steps of about the root of their number."""
     bounds, step = F.col("__bounds"), int(CUTS ** 0.5)
     heads = F.filter(bounds, lambda b, i: (i % step == 0) & (b < time))
     start = F.greatest(F.size(heads) - 1, F.lit(0)) * step
     inside = F.filter(F.slice(bounds, start + 1, F.lit(step)), lambda b: b < time)
-    return F.when(bounds.isNull() | time.isNull(), F.lit(0)).otherwise(start + F.size(inside))
+    return F.when(time.isNotNull(), F.when(bounds.isNull(), F.lit(0)).otherwise(start + F.size(inside)))
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str,

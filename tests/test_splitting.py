@@ -3,6 +3,7 @@ ties, levelled numbering, bounded group text and measured broadcasts."""
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,8 +113,8 @@ def test_numbering_of_data_sized_tables(spark):
         O.number_rows(df, ["s"], "n")
     # the one window over everything orders counts of 16 M neighbouring ids
     windows = [line for line in plan(O.number_rows(df, ["p", "d", "s"], "n")).splitlines() if "Window [" in line]
-    everything = [w for w in windows if "], [__b2" in w and "windowspecdefinition(__b2" in w]
-    assert len(everything) == 1
+    everything = [w for w in windows if re.search(r"windowspecdefinition\(\S+ ASC", w)]
+    assert len(windows) == 4 and len(everything) == 1 and "(__b2" in everything[0]
 
 
 def test_group_text_has_a_limit(spark):
