@@ -103,6 +103,7 @@ def map_text(df: DataFrame, fn: Callable[[list[str]], list], out: T.StructType,
             yield pa.RecordBatch.from_arrays(arrays, names=names)
         if done:
             done()
+        let_go()
 
     return df.mapInArrow(run, schema)
 
