@@ -24,6 +24,7 @@ from .. import functions as H
 from .. import operators as O
 from ..operators.pivot import PivotColumn as C
 from ..schemas import SOURCE, conform
+from ..session import written
 from .forms import FormSpec
 from .lazy import LazyTables
 
@@ -208,8 +209,14 @@ class _Derived:
             F.lit(False).alias("voided"))
 
 
+# name tables: small, read by every decode, and files in a real source
+NAME_TABLES = ("concept", "concept_name", "encounter_type", "program", "program_workflow", "program_workflow_state")
+
+
 def emr_source(spark: SparkSession, sf: str) -> LazyTables:
-    """The derived source as a lazy mapping; tables the role map does not fill are empty."""
+    """The derived source as a lazy mapping; tables the role map does not fill are
+    empty.  Name tables are written when first read, so that each decode scans a
+    small file instead of deriving the names from the data again."""
     d = _Derived(spark, sf)
 
     def builder(name):
@@ -217,7 +224,8 @@ def emr_source(spark: SparkSession, sf: str) -> LazyTables:
             fn = getattr(d, name, None)
             if fn is None:
                 return spark.createDataFrame([], SOURCE[name])
-            return conform(fn(), SOURCE[name])
+            table = conform(fn(), SOURCE[name])
+            return written(table.coalesce(1), name) if name in NAME_TABLES else table
         return build
     return LazyTables({k: builder(k) for k in SOURCE})
 

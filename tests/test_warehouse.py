@@ -125,13 +125,13 @@ def test_clustered_tables_join_without_exchange_and_prune_years(spark, source, t
     assert again.count() == o.count()
 
 
-def test_refresh_over_clustered_tables_gives_the_same_marts(spark, source, tmp_path):
+def test_marts_over_clustered_tables_are_the_same(spark, source, tmp_path):
+    from hearth.plans import forms, malawi
     src, absent = source
-    plain = R.refresh(spark, src, str(tmp_path / "a"), "malawi", optional=absent)["mart"]
-    spark.sparkContext.setJobDescription(None)
-    other = R.refresh(spark, src, str(tmp_path / "b"), "malawi", optional=absent, buckets=2)["mart"]
-    for name in ("mw_patient", "mw_art_register", "mw_art_visits", "mw_lab_tests"):
-        assert rows(plain[name]) == rows(other[name])
+    flat = R.refresh(spark, src, str(tmp_path / "a"), "none", optional=absent)["flat"]
+    other = R.clustered(spark, flat, str(tmp_path / "b"), 2)
+    for mart in (malawi.mw_patient, malawi.mw_ncd_register, lambda f: forms.build_form(f, "mw_art_visits")):
+        assert rows(mart(flat)) == rows(mart(other))
 
 
 # ---------------------------------------------------------------- many sites
