@@ -53,40 +53,28 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str = "id", sta
 def number_rows(df: DataFrame, order_cols: Sequence[str], key_col: str = "id", start: int = 1) -> DataFrame:
     """``dense_key`` for tables of data size whose first column is an id.
 
-    Prefix sums in levels: 16 M neighbouring ids (``__b2``), of these 1024
-    neighbouring ids (``__b1``), of these one id and one bucket of the second
-    column (such as a month), and the rows in it.  Each level's counts are summed
-    within the level above; only the counts of the top level -- one row per 16 M
-    ids -- are ordered together.  An id with a large share of the rows is spread
-    over the buckets of the second column."""
+    Prefix sums in levels: 262,144 neighbouring ids (``__top``), of these one id
+    and one bucket of the second column (such as a month), and the rows in it.
+    Each level's counts are summed within the level above; only the counts of the
+    top level -- one row per 262,144 ids -- are ordered together.  An id with a
+    large share of the rows is spread over the buckets of the second column."""
     first, second = order_cols[0], order_cols[1] if len(order_cols) > 1 else None
     if not isinstance(df.schema[first].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         raise TypeError(f"number_rows orders by an id first, {first} is {df.schema[first].dataType.simpleString()}")
-    c = F.col(first).cast("long")
-    d = df.select(*order_cols).distinct().withColumn("__b2", F.shiftright(c, 24)).withColumn("__b1", F.shiftright(c, 10)) \
-        .withColumn("__b0", _bucket(df, second) if second else F.lit(0))
+    d = df.select(*order_cols).distinct().withColumn("__top", F.shiftright(F.col(first).cast("long"), 18)) \
+        .withColumn("__b", _bucket(df, second) if second else F.lit(0))
 
-    def before(counts: DataFrame, within: list[str], order: list[str], out: str) -> DataFrame:
+    def before(within: list[str], order: list[str]) -> Column:
         w = Window.partitionBy(*within).orderBy(*[F.col(x).asc_nulls_first() for x in order]).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.withColumn(out, F.coalesce(F.sum("__n").over(w), F.lit(0)))
-
-    def joined(left: DataFrame, right: DataFrame, on: list[str], out: str) -> DataFrame:
-        r = right.select(*[F.col(x).alias(f"__r{i}") for i, x in enumerate(on)], out)
-        same = None
-        for i, x in enumerate(on):
-            e = left[x].eqNullSafe(r[f"__r{i}"])
-            same = e if same is None else same & e
-        return left.join(r, same).drop(*[f"__r{i}" for i in range(len(on))])
-
-    groups = d.groupBy("__b2", "__b1", first, "__b0").agg(F.count(F.lit(1)).alias("__n"))
-    blocks = groups.groupBy("__b2", "__b1").agg(F.sum("__n").alias("__n"))
-    tops = blocks.groupBy("__b2").agg(F.sum("__n").alias("__n"))
-    blocks = joined(before(blocks, ["__b2"], ["__b1"], "__o1"), before(tops, [], ["__b2"], "__o2"), ["__b2"], "__o2") \
-        .withColumn("__o", F.col("__o1") + F.col("__o2"))
-    groups = joined(before(groups, ["__b2", "__b1"], [first, "__b0"], "__o0"), blocks, ["__b2", "__b1"], "__o") \
-        .withColumn("__off", F.col("__o") + F.col("__o0"))
-    within = Window.partitionBy(first, "__b0").orderBy(*[F.col(x).asc_nulls_first() for x in order_cols])
-    rows = joined(d.withColumn("__pos", F.row_number().over(within)), groups, [first, "__b0"], "__off")
+        return F.coalesce(F.sum("__n").over(w), F.lit(0))
+
+    groups = d.groupBy("__top", first, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    tops = groups.groupBy("__top").agg(F.sum("__n").alias("__n")).select(F.col("__top").alias("__t"), before([], ["__top"]).alias("__above"))
+    offsets = groups.withColumn("__in", before(["__top"], [first, "__b"])).join(tops, F.col("__top").eqNullSafe(F.col("__t"))) \
+        .select(F.col(first).alias("__f"), F.col("__b").alias("__fb"), (F.col("__in") + F.col("__above")).alias("__off"))
+    within = Window.partitionBy(first, "__b").orderBy(*[F.col(x).asc_nulls_first() for x in order_cols])
+    numbered = d.withColumn("__pos", F.row_number().over(within))
+    rows = numbered.join(offsets, numbered[first].eqNullSafe(F.col("__f")) & numbered["__b"].eqNullSafe(F.col("__fb")))
     return rows.select(*order_cols, (F.col("__off") + F.col("__pos") + F.lit(start - 1)).cast("long").alias(key_col))
 
 
