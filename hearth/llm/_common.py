@@ -6,6 +6,8 @@ import ctypes
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 from pathlib import Path
 
 import pyarrow as pa
@@ -117,14 +119,16 @@ def let_go() -> None:
         trim(0)
 
 
-def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
-    """``df`` with one row for each value of ``key``.  Keys that occur once --
-    normally all of them -- pass without a shuffle of the rows."""
-    again = df.groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__k")
+def one_row_per_key(df: DataFrame, *key: str) -> DataFrame:
+    """``df`` with one row for each value of the columns ``key`` (null is a value
+    too).  Keys that occur once -- normally all of them -- pass without a shuffle
+    of the rows."""
+    own = [f"__k{i}" for i in range(len(key))]
+    again = df.groupBy(*[F.col(k).alias(o) for k, o in zip(key, own)]).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*own)
     again = written(again, "repeated-keys")
     if again.isEmpty():
         return df
-    same = df[key].eqNullSafe(again["__k"])
+    same = reduce(and_, [df[k].eqNullSafe(again[o]) for k, o in zip(key, own)])
     once = df.join(again, same, "left_anti")
-    more = df.join(again, same, "left_semi").dropDuplicates([key])
+    more = df.join(again, same, "left_semi").dropDuplicates(list(key))
     return once.unionByName(more)

@@ -213,16 +213,24 @@ def links(codes: DataFrame, max_bits: int = 4, bucket_rows: int = 20_000, task_r
     return dealt.mapInArrow(run, schema).distinct()
 
 
+def _rooted(fps: DataFrame, first, max_bits: int) -> DataFrame:
+    """(fp, first, root) of every distinct code: the least ``first`` of its rows, and one code that names its component."""
+    codes = C.written(fps.groupBy("fp").agg(F.min(first).alias("first")), "simhash-codes")
+    # node, root: codes in a component of two or more
+    graph = connected_components(links(codes.select("fp"), max_bits))
+    return codes.join(graph, codes["fp"] == graph["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def _by_code(named: DataFrame, out_col: str) -> DataFrame:
+    """(fp, ``out_col``): the least ``first`` of the code's component."""
+    least = named.groupBy("root").agg(F.min("first").alias(out_col))
+    return named.join(least, "root").select("fp", out_col)
+
+
 def components(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     """``fps`` (id, fp).  Returns (id, fp, component): the smallest id that can
     be reached over links, the row's own included."""
-    codes = C.written(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-codes")
-    # node, root: codes in a component of two or more
-    graph = connected_components(links(codes.select("fp"), max_bits))
-    named = codes.join(graph, codes["fp"] == graph["node"], "left") \
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("least").alias("component"))
-    by_code = named.join(smallest, "root").select("fp", "component")
+    by_code = _by_code(_rooted(fps, F.col("id"), max_bits), "component")
     return fps.join(by_code, "fp").select("id", "fp", "component")
 
 
@@ -233,9 +241,16 @@ def op4_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id
-    stays (rows that repeat that id: one of them; a null id: always)."""
-    fps = C.written(fingerprints(docs), "simhash")
-    drop = C.written(components(fps).filter("id != component").select("id").distinct(), "simhash-drop")
-    kept = docs.join(drop, docs["doc_id"] == drop["id"], "left_anti")
-    return C.one_row_per_key(kept.filter("doc_id is not null"), "doc_id").unionByName(kept.filter("doc_id is null"))
+    """Pipeline stage: of each component one row stays, the first by (id, text
+    digest), null ids last.  The decision is made by row, not by id: rows that
+    share an id but hold unrelated texts all stay, and copies without an id go."""
+    rows = C.id_and_text(docs).withColumn("digest", F.xxhash64("text", F.lit(1)))
+    fps = C.written(C.map_text(rows, lambda texts: [[_signed(fingerprint(t)) for t in texts]],
+                               T.StructType([T.StructField("fp", T.LongType())]), keep=["id", "digest"]), "simhash")
+    kept = _by_code(_rooted(fps, F.struct(F.col("id").isNull().alias("no_id"), "id", "digest"), 4), "kept")
+    # (id, digest) pairs that are not the kept one of their component
+    drop = fps.join(kept, "fp").filter(~(F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("digest") == F.col("kept.digest"))))
+    drop = C.written(drop.select(F.col("id").alias("__id"), F.col("digest").alias("__digest")).distinct(), "simhash-drop")
+    marked = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit("")), F.lit(1)))
+    left = marked.join(drop, (marked["__key"] == drop["__digest"]) & marked["doc_id"].cast("long").eqNullSafe(drop["__id"]), "left_anti")
+    return C.one_row_per_key(left, "doc_id", "__key").select(*docs.columns)
