@@ -16,6 +16,8 @@ and null ids are packed as they come; an empty table gives no sequence.
 from __future__ import annotations
 
 import base64
+import json
+import re
 from array import array
 from pathlib import Path
 
@@ -33,22 +35,58 @@ from hearth.llm._units import Pieces
 _WORKER: dict = {}
 
 
-def _tokenizer(ranks: bytes, pattern: str) -> Pieces:
-    """The worker's tokenizer for a rank file's content."""
-    key = (hash(ranks), pattern)
-    if _WORKER.get("key") != key:
+def added_tokens(json_path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer file: text and id.  Those that match
+    only as whole words, or take in spaces, are not built."""
+    with open(json_path, encoding="utf-8") as f:
+        found = json.load(f).get("added_tokens", [])
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in found):
+        raise ValueError("an added token that matches only as a word or takes in spaces")
+    return {t["content"]: t["id"] for t in found}
+
+
+class Tokenizer:
+    """Whole texts to id bytes: an added token is its id, what stands between is encoded alone."""
+
+    def __init__(self, ranks: bytes, pattern: str, added: dict[str, int]):
         import tiktoken
         rank = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
         encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=rank, special_tokens={}).encode_ordinary
-        _WORKER.update(key=key, pieces=Pieces(lambda texts: [array("I", encode(t)).tobytes() for t in texts]))
-    return _WORKER["pieces"]
+        self.pieces = Pieces(lambda texts: [array("I", encode(t)).tobytes() for t in texts])
+        self.added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
+        # the longest first, where one begins another
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Id bytes of every text."""
+        marked = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not marked:
+            return self.pieces.texts(texts)
+        out: list[bytes] = self.pieces.texts(["" if any(a in t for a in self.added) else t for t in texts])
+        for i in marked:
+            parts = self.cut.split(texts[i])                      # text, token, text, token, ..., text
+            between = iter(self.pieces.texts(parts[::2]))
+            out[i] = b"".join(self.added[p] if k % 2 else next(between) for k, p in enumerate(parts))
+        return out
+
+    def forget(self) -> None:
+        self.pieces.known.clear()
+
+
+def _tokenizer(ranks: bytes, pattern: str, added: dict[str, int]) -> Tokenizer:
+    """The worker's tokenizer for a rank file's content."""
+    key = (hash(ranks), pattern, tuple(added.items()))
+    if _WORKER.get("key") != key:
+        _WORKER.update(key=key, tokenizer=Tokenizer(ranks, pattern, added))
+    return _WORKER["tokenizer"]
 
 
 def tokenised(docs: DataFrame, ranks_path: str, pattern: str, separator: int = 0, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
+              text_col: str = "text", added: dict[str, int] | None = None) -> DataFrame:
     """Pass one, as a written table: (id, part, before, n, ids): the task that
     wrote the row, how many ids stand before it there, its own count and ids
-    (little-endian unsigned 32-bit)."""
+    (little-endian unsigned 32-bit).  ``added``: texts that are one id, wherever they stand."""
+    added = added or {}
     df = C.id_and_text(docs, id_col, text_col)
     ranks = df.sparkSession.sparkContext.broadcast(Path(ranks_path).read_bytes())   # one fixed file
     tail = np.array([separator], "<u4").tobytes()
@@ -57,7 +95,7 @@ def tokenised(docs: DataFrame, ranks_path: str, pattern: str, separator: int = 0
                            T.StructField("ids", T.BinaryType())])
 
     def run(batches):
-        pieces, part, before = _tokenizer(ranks.value, pattern), TaskContext.get().partitionId(), 0
+        pieces, part, before = _tokenizer(ranks.value, pattern, added), TaskContext.get().partitionId(), 0
         for batch in batches:
             for start, texts in C.chunks(batch.column(1)):
                 ids = [x + tail for x in pieces.texts(texts)]
@@ -67,7 +105,7 @@ def tokenised(docs: DataFrame, ranks_path: str, pattern: str, separator: int = 0
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(ids)), pa.array(np.full(len(ids), part, np.int32)), pa.array(at),
                      pa.array(n), pa.array(ids, pa.binary())], names=["id", "part", "before", "n", "ids"])
-        pieces.known.clear()
+        pieces.forget()
 
     return C.written(df.mapInArrow(run, schema), "packing-ids")
 
@@ -119,4 +157,4 @@ def packed_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the pieces of the packed sequences."""
     import public_tokenizers as P
     # the vocabulary of byte_bpe_50k.json as ranks: the same ids (a test compares the two)
-    return _digest(pack(tokenised(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)))
+    return _digest(pack(tokenised(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, added=added_tokens(P.path("byte_bpe_50k.json")))))

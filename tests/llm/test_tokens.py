@@ -32,12 +32,15 @@ def test_matrices_encode_as_the_library():
         assert v.decode(ids) == t.encode()
 
 
+def tokenizer():
+    return packing._tokenizer(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN, packing.added_tokens(P.path("byte_bpe_50k.json")))
+
+
 def test_packing_ids_are_those_of_the_tokenizer_file():
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    pieces = packing._tokenizer(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN)
-    texts = hard_texts()
+    pieces = tokenizer()
+    texts = hard_texts() + ["<|endoftext|>", "a<|endoftext|><|endoftext|> b  <|endoftext|>\n", "<|endoftext| >", "x" * 500 + " <|endoftext|>é"]
     assert [np.frombuffer(x, "<u4").tolist() for x in pieces.texts(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -54,9 +57,9 @@ def test_bpe_query(spark, tmp_path):
 
 
 def test_packing_query(spark, tmp_path):
-    texts = awkward()
+    texts = awkward() + [(4000, "one <|endoftext|> two")]
     got = packing.op8_packing(spark, folder(spark, tmp_path, documents=documents(spark, texts))).collect()
-    pieces = packing._tokenizer(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN)
+    pieces = tokenizer()
     # every sequence but the last is full and without gaps
     rows = {}
     for r in got:
