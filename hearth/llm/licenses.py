@@ -6,7 +6,8 @@ text's rarest licence words are looked up; each occurrence votes for where the
 notice would begin (its own position less the word's position in the notice),
 votes within ``DRIFT`` words are added, and the best beginning is verified: the
 notice's mandatory phrases must stand there.  Its score is the share of the
-notice's words found at their places.  Base phrases are found through their
+notice's words found at their places.  ``RAREST`` bounds only who votes: what a
+notice must hold is checked in the text itself.  Base phrases are found through their
 rarest word, and every place counts.
 
 Defined results: a null or empty text has no words, no places, no labels and
@@ -34,6 +35,12 @@ NOTICES = [
     ("apache-2.0", "licensed under the apache license version 2 0", ["apache license version 2 0"]),
     ("gpl-2.0", "this work is licensed under the gnu general public license version 2", ["general public license version 2"]),
     ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ["general public license version 3"]),
+    ("gpl-2.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+                "license as published by the free software foundation either version 2 of the license or at your option any later version",
+     ["gnu general public license as published by the free software foundation", "version 2 of the license"]),
+    ("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
+                "license as published by the free software foundation either version 3 of the license or at your option any later version",
+     ["gnu general public license as published by the free software foundation", "version 3 of the license"]),
     ("lgpl", "licensed under the gnu lesser general public license", ["lesser general public license"]),
     ("agpl", "licensed under the gnu affero general public license", ["affero general public license"]),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
