@@ -3,7 +3,7 @@
 import numpy as np
 
 from hearth.llm import ann, attention_lm
-from tests.llm.data import documents
+from tests.llm.data import documents, folder
 
 LINE = ("the river went down from a high hill and under one old stone bridge before it came out by some green field where we had "
         "been for all of that long summer day with our two friends who then took us home again when night fell over everything").split()
@@ -34,6 +34,18 @@ def test_lm_learns_the_middles_and_ends_of_short_texts(spark):
     assert own[-1] > np.log(0.5) and (own > np.log(0.2)).all()
 
 
+def test_lm_beats_its_base_on_held_out_texts(spark, tmp_path):
+    import random
+    rng = random.Random(6)
+    texts = []
+    for i in range(700):
+        at = rng.randrange(len(LINE))
+        texts.append((i, " ".join((LINE * 3)[at:at + rng.randint(40, 90)])))
+    got = attention_lm.op5_attention_lm(spark, folder(spark, tmp_path, documents=documents(spark, texts))).collect()
+    held = [r for r in got if r["held_out"]]
+    assert len(held) > 50 and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
 def test_lm_windows_hold_every_id_once():
     texts = [[1, 2], [], list(range(10, 50)), list(range(32)), list(range(31))]
     stream = np.array([x for t in texts for x in [*t, 99]], np.uint16)
