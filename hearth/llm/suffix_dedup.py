@@ -46,7 +46,7 @@ from hearth.llm import _common as C
 from hearth.llm.suffix_sort import permuted_prefixes, suffix_arrays
 
 KGRAM, REFINE = 32, 4
-PASSAGE_BYTES = 200   # the pipeline stage's length: passages of over 50 words are longer
+PASSAGE_BYTES = 200   # the pipeline stage's length; a passage of over 50 very short words can lie below it
 DOCS = 64             # documents a task works on at once
 _BYTE = np.random.default_rng(42).integers(1, 2**63, 256, dtype=np.uint64)   # a random value for each byte
 _STEP = 0x9E3779B97F4A7C15
