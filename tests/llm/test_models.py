@@ -277,3 +277,28 @@ def test_pipeline_over_empty_tables(spark, tmp_path):
 @pytest.mark.parametrize("text,words", [(None, 0), ("", 0), ("A b", 2)])
 def test_scan_of_single_texts(text, words):
     assert licenses.Index(0, {}).scan(text or "")[0] == words
+
+
+def test_attention_lm_task_memory_is_bounded(spark):
+    """What a task remembers of words has a bound within one call too, and goes when the task ends."""
+    import public_tokenizers as P
+    sub = attention_lm.Subwords(open(P.path("byte_bpe_multi_50k.tiktoken"), "rb").read(), P.PATTERN)
+    ws = [f"w{i}".encode() for i in range(attention_lm.KNOWN + 30_000)]
+    ids, n = sub.ids(ws)
+    assert len(sub.known) <= attention_lm.KNOWN + 1 and len(n) == len(ws) and int(n.sum()) == len(ids)
+    again, m = sub.ids(ws[-5:])
+    assert again.tolist() == ids[-int(n[-5:].sum()):].tolist() and m.tolist() == n[-5:].tolist()
+    sub.forget()
+    assert not sub.known
+
+
+def test_attention_lm_scores_do_not_depend_on_the_block(spark):
+    rng = np.random.default_rng(1)
+    net = attention_lm.Network.new(np.log(rng.random((12, 6)) + 0.1))
+    model = attention_lm.Model(net, rng.integers(0, 6, 10), np.arange(10), np.full(10, 0.1), 3)
+    sizes = np.array([1, 200, 33, 32, 58, 7])
+    ids = rng.integers(0, 10, int(sizes.sum()))
+    want = model.score_stream(ids, sizes, block=10_000)
+    for block in (1, 3, 256):
+        for a, b in zip(model.score_stream(ids, sizes, block=block), want):
+            assert np.allclose(a, b, atol=1e-5)
