@@ -1,11 +1,15 @@
 import hashlib
+import io
 import random
 import re
+from contextlib import redirect_stdout
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from hearth.llm import simhash, spotsigs
+from hearth.llm import _common as C
+from hearth.llm import simhash, spotsigs, suffix_dedup
 from hearth.llm._graph import connected_components
 from tests.llm.data import awkward, documents, folder
 
@@ -129,3 +133,33 @@ def test_spotsigs_empty_and_single(spark, tmp_path):
     assert spotsigs.op1_spotsigs(spark, folder(spark, tmp_path, documents=documents(spark, []))).count() == 0
     r = spotsigs.op1_spotsigs(spark, folder(spark, tmp_path, documents=documents(spark, [(3, "only the one text")]))).collect()
     assert len(r) == 1 and r[0]["near_next"] == 1.0
+
+
+def test_likely_among_misses_no_key(spark):
+    df = spark.range(0, 20_000).select(F.when(F.col("id") % 9 > 0, F.col("id")).alias("a"), (F.col("id") * 7).alias("b"))
+    keys = df.where("b % 10 = 0")
+    for most in (1 << 26, 1 << 15):
+        hit = C.likely_among(keys, "a", "b", most_bits=most)
+        got = {r["t"]: r["count"] for r in df.where(hit("a", "b")).groupBy((F.col("b") % 10 == 0).alias("t")).count().collect()}
+        assert got[True] == 2_000 and got[False] < (18_000 // 10 if most > 1 << 15 else 18_000)
+    assert df.where(C.likely_among(keys.limit(0), "a", "b")("a", "b")).count() == 0
+
+
+def test_dedup_stages_do_not_move_texts_that_stay(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(8))     # noqa: E731
+    texts = [(i, " ".join(word() for _ in range(150))) for i in range(400)]
+    texts += [(1000 + i, t) for i, t in texts[:20]]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = documents(spark, texts)
+        for stage in (simhash.one_of_each_group, suffix_dedup.without_repeats):
+            out = stage(spark, docs, "")
+            assert out.count() == (400 if stage is simhash.one_of_each_group else 420)
+            buf = io.StringIO()
+            with redirect_stdout(buf):
+                out.explain("formatted")
+            # the rows that are joined pass the filter first
+            assert "among(" in buf.getvalue() and "Union" in buf.getvalue()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
