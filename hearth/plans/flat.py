@@ -297,27 +297,32 @@ def omrs_obs_and_groups(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) ->
     obs = _live(src["obs"])
     groups = obs.where(F.col("obs_group_id").isNotNull()).select(F.col("obs_group_id").alias("__gid")).distinct() \
         .withColumn("is_obs_group", F.lit(True))
-    o = (obs.join(person, F.col("person_id") == F.col("__pp"), "inner")
-         .join(enc, F.col("encounter_id") == F.col("__e"), "left")
-         .join(groups, F.col("obs_id") == F.col("__gid"), "left"))
-    o = o.select("obs_id", "uuid", F.col("person_id").alias("patient_id"), "encounter_id", "concept_id",
-                 H.date_part("obs_datetime").alias("obs_date"), H.time_part("obs_datetime").alias("obs_time"),
-                 _age("years", "__bd", F.col("obs_datetime")).alias("age_years_at_obs"),
-                 _age("months", "__bd", F.col("obs_datetime")).alias("age_months_at_obs"),
-                 "__et", "__loc", "__form", "value_coded", "value_drug", "value_numeric",
-                 F.to_date("value_datetime").alias("value_date"), "value_text", "comments", "obs_group_id",
-                 F.coalesce("is_obs_group", F.lit(False)).alias("is_obs_group"),
-                 F.to_date("date_created").alias("date_created"))
-    o = _decode(o, lk["lookup_concept"], "concept_id", "concept")
-    o = _decode(o, lk["lookup_encounter_type"], "__et", "encounter_type")
-    o = _decode(o, lk["lookup_location"], "__loc", "location")
-    o = _decode(o, lk["lookup_form"], "__form", "form")
-    o = O.decode_two_sources(o, (lk["lookup_concept"], "value_coded", "source_key", "target_value"),
-                             (lk["lookup_drug"], "value_drug", "source_key", "target_value"), "__vc")
-    o = o.drop("value_coded").withColumnRenamed("__vc", "value_coded")
-    for c in ("obs_id", "patient_id", "encounter_id", "obs_group_id"):
-        o = o.withColumn(c, _pid(c, cfg))
-    grp_rows, val_rows = O.route_by_flag(o, F.col("is_obs_group"))
+    # split first: the later joins then move only the rows of one side
+    flagged = obs.join(groups, F.col("obs_id") == F.col("__gid"), "left").drop("__gid") \
+        .withColumn("is_obs_group", F.coalesce("is_obs_group", F.lit(False)))
+
+    def decoded(o: DataFrame) -> DataFrame:
+        o = (o.join(person, F.col("person_id") == F.col("__pp"), "inner")
+             .join(enc, F.col("encounter_id") == F.col("__e"), "left"))
+        o = o.select("obs_id", "uuid", F.col("person_id").alias("patient_id"), "encounter_id", "concept_id",
+                     H.date_part("obs_datetime").alias("obs_date"), H.time_part("obs_datetime").alias("obs_time"),
+                     _age("years", "__bd", F.col("obs_datetime")).alias("age_years_at_obs"),
+                     _age("months", "__bd", F.col("obs_datetime")).alias("age_months_at_obs"),
+                     "__et", "__loc", "__form", "value_coded", "value_drug", "value_numeric",
+                     F.to_date("value_datetime").alias("value_date"), "value_text", "comments", "obs_group_id",
+                     F.to_date("date_created").alias("date_created"))
+        o = _decode(o, lk["lookup_concept"], "concept_id", "concept")
+        o = _decode(o, lk["lookup_encounter_type"], "__et", "encounter_type")
+        o = _decode(o, lk["lookup_location"], "__loc", "location")
+        o = _decode(o, lk["lookup_form"], "__form", "form")
+        o = O.decode_two_sources(o, (lk["lookup_concept"], "value_coded", "source_key", "target_value"),
+                                 (lk["lookup_drug"], "value_drug", "source_key", "target_value"), "__vc")
+        o = o.drop("value_coded").withColumnRenamed("__vc", "value_coded")
+        for c in ("obs_id", "patient_id", "encounter_id", "obs_group_id"):
+            o = o.withColumn(c, _pid(c, cfg))
+        return o
+
+    grp_rows, val_rows = map(decoded, O.route_by_flag(flagged, F.col("is_obs_group")))
     grp = grp_rows.select(F.col("obs_id").alias("obs_group_id"), "uuid", "patient_id", "encounter_id",
                           F.col("obs_date").alias("obs_group_date"), F.col("obs_time").alias("obs_group_time"),
                           "encounter_type", "location", "concept", "date_created")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hearth import operators as O
 from hearth.operators import asof
+from hearth.plans.testbed_all import DERIVED_QUERIES
 
 from .conftest import rows
 
@@ -144,3 +145,14 @@ def test_a_table_beyond_the_bound_is_not_broadcast(spark, tmp_path):
         assert "SortMergeJoin" in plan(obs.join(O.broadcast_if_small(many, most_bytes=1000), "concept"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_observation_groups_part_before_the_wide_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("o_obs", "o_obs_group"):
+            p = plan(DERIVED_QUERIES[name](spark, "/root/testdata/sf0.001"))
+            joins = [re.search(rf"Join \[[^\]]*\], \[{k}#", p).start() for k in ("__e", "__pp", "__gid")]
+            assert joins == sorted(joins)                    # the last join stands first
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
