@@ -64,3 +64,24 @@ def stable_key(*cols) -> Column:
     """W4 for large tables: a deterministic 64-bit key from the natural key,
     computed row-locally (no single-partition window)."""
     return F.xxhash64(*[as_col(c) for c in cols])
+
+
+def _dashed(h: Column) -> Column:
+    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
+def packed_uuid(uuid) -> Column:
+    """A uuid as it moves through shuffles: 16 bytes and its form (0: hex digits,
+    1: with dashes); any other text stays as it is."""
+    u = as_col(uuid)
+    bits = F.unhex(F.replace(u, F.lit("-"), F.lit("")))
+    digits = F.lower(F.hex(bits))
+    form = F.when(F.length(u) == 32, F.when(digits == u, 0)).when(F.length(u) == 36, F.when(_dashed(digits) == u, 1))
+    return F.struct(form.alias("form"), F.when(form.isNotNull(), bits).alias("bits"), F.when(form.isNull(), u).alias("text"))
+
+
+def unpacked_uuid(packed) -> Column:
+    """The text that ``packed_uuid`` got."""
+    p = as_col(packed)
+    digits = F.lower(F.hex(p["bits"]))
+    return F.when(p["form"] == 0, digits).when(p["form"] == 1, _dashed(digits)).otherwise(p["text"])

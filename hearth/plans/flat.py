@@ -294,7 +294,7 @@ def omrs_obs_and_groups(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) ->
     person = _live(src["person"]).select(F.col("person_id").alias("__pp"), F.col("birthdate").alias("__bd"))
     enc = src["encounter"].select(F.col("encounter_id").alias("__e"), F.col("encounter_type").alias("__et"),
                                   F.col("location_id").alias("__loc"), F.col("form_id").alias("__form"))
-    obs = _live(src["obs"])
+    obs = _live(src["obs"]).withColumn("uuid", H.packed_uuid("uuid"))
     groups = obs.where(F.col("obs_group_id").isNotNull()).select(F.col("obs_group_id").alias("__gid")).distinct() \
         .withColumn("is_obs_group", F.lit(True))
     # split first: the later joins then move only the rows of one side
@@ -304,7 +304,7 @@ def omrs_obs_and_groups(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) ->
     def decoded(o: DataFrame) -> DataFrame:
         o = (o.join(person, F.col("person_id") == F.col("__pp"), "inner")
              .join(enc, F.col("encounter_id") == F.col("__e"), "left"))
-        o = o.select("obs_id", "uuid", F.col("person_id").alias("patient_id"), "encounter_id", "concept_id",
+        o = o.select("obs_id", H.unpacked_uuid("uuid").alias("uuid"), F.col("person_id").alias("patient_id"), "encounter_id", "concept_id",
                      H.date_part("obs_datetime").alias("obs_date"), H.time_part("obs_datetime").alias("obs_time"),
                      _age("years", "__bd", F.col("obs_datetime")).alias("age_years_at_obs"),
                      _age("months", "__bd", F.col("obs_datetime")).alias("age_months_at_obs"),

@@ -57,3 +57,13 @@ def test_gender_and_visit_key(spark):
     out = df.select(H.gender_code("g").alias("c"), H.visit_key("p", "d").alias("k")).collect()
     assert [(r.c, r.k) for r in out] == [(1, "5-2020-02-29"), (2, "6-2020-03-01"), (None, "7")]
     assert df.select(F.lit(1)).count() == 3
+
+
+def test_packed_uuid_comes_back_as_it_was(spark):
+    import uuid
+    some = uuid.UUID(int=0x0123456789ABCDEF0011223344556677)
+    texts = [str(some), some.hex, str(some).upper(), some.hex.upper(), "", None, "1296AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA", "a-b", "0" * 31, "-" * 36,
+             "01234567-89abcdef-0011-2233-445566778899", "é" * 32]
+    df = spark.createDataFrame([(t,) for t in texts], "u string").select("u", H.packed_uuid("u").alias("p"))
+    got = df.select("u", H.unpacked_uuid("p").alias("v"), F.length("p.bits").alias("n")).collect()
+    assert [r["v"] for r in got] == texts and [r["n"] for r in got][:3] == [16, 16, None]
