@@ -6,7 +6,7 @@ from .filters import (active_on, delete_by_key_prefix, drop_concepts, drop_if_la
                       exclude_flag_null_kept, in_list, keep_live, optional_param, require_not_null, retain_cohort,
                       typed_value_filter)
 from .joins import (anti_not_in, assert_unique, broadcast_if_small, child_in_named_group, correlated_agg, decode, decode_or_abort,
-                    decode_strict, decode_two_sources, full_merge, left_merge, semi_in, sibling_in_encounter,
+                    decode_strict, decode_two_sources, full_merge, left_join_nulls_apart, left_merge, semi_in, sibling_in_encounter,
                     small_enough, two_sided_edges)
 from .keys import attach_key, dense_key, number_rows
 from .latest import (any_per_key, best_per_key, current_state_at, earliest_per_key, latest_per_key, picks_per_key,

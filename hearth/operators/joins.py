@@ -78,6 +78,16 @@ def left_merge(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe
     return left_join_keys(left, right, keys, null_safe)
 
 
+def left_join_nulls_apart(left: DataFrame, right: DataFrame, on: str, key: str, spread: str, parts: int = 1024) -> DataFrame:
+    """J4 on one integer key where many rows of ``left`` have none: those match nothing,
+    so they are dealt by ``spread`` and do not meet in one task.  ``key`` stays in the result."""
+    # not a literal on either side: the optimizer would fold it out of the join's keys
+    r = right.withColumn("__part", F.col(key).bitwiseAND(F.lit(0).cast("long")))
+    part = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(spread), F.lit(parts))).otherwise(F.lit(0).cast("long"))
+    x = left.withColumn("__own", part)
+    return x.join(r, (x[on] == r[key]) & (x["__own"] == r["__part"]), "left").drop("__own", "__part")
+
+
 def full_merge(left: DataFrame, right: DataFrame, keys: Sequence[str], coalesce_cols: dict | None = None) -> DataFrame:
     """Full outer join; the keys are coalesced from both sides, and each
     ``out: (left_col, right_col)`` pair in ``coalesce_cols`` is merged too."""

@@ -302,8 +302,7 @@ def omrs_obs_and_groups(src: dict, lk: dict, cfg: FlatConfig = FlatConfig()) ->
         .withColumn("is_obs_group", F.coalesce("is_obs_group", F.lit(False)))
 
     def decoded(o: DataFrame) -> DataFrame:
-        o = (o.join(person, F.col("person_id") == F.col("__pp"), "inner")
-             .join(enc, F.col("encounter_id") == F.col("__e"), "left"))
+        o = O.left_join_nulls_apart(o.join(person, F.col("person_id") == F.col("__pp"), "inner"), enc, "encounter_id", "__e", "obs_id")
         o = o.select("obs_id", H.unpacked_uuid("uuid").alias("uuid"), F.col("person_id").alias("patient_id"), "encounter_id", "concept_id",
                      H.date_part("obs_datetime").alias("obs_date"), H.time_part("obs_datetime").alias("obs_time"),
                      _age("years", "__bd", F.col("obs_datetime")).alias("age_years_at_obs"),

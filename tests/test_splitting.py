@@ -147,6 +147,21 @@ def test_a_table_beyond_the_bound_is_not_broadcast(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_without_a_key_do_not_meet_in_one_task(spark):
+    left = spark.range(0, 4000).select(F.col("id").alias("o"), F.when(F.col("id") % 4 == 0, F.col("id") % 50).alias("k"))
+    right = spark.createDataFrame([(i, f"v{i}") for i in (*range(0, 50, 3), 3)] + [(None, "none")], "e long, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = O.left_join_nulls_apart(left, right, "k", "e", "o")
+        assert rows(got) == rows(left.join(right, F.col("k") == F.col("e"), "left"))
+        parts = got.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == 8 and max(r["count"] for r in parts) < 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_observation_groups_part_before_the_wide_joins(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
