@@ -106,6 +106,7 @@ def tokenised(docs: DataFrame, ranks_path: str, pattern: str, separator: int = 0
                     [batch.column(0).slice(start, len(ids)), pa.array(np.full(len(ids), part, np.int32)), pa.array(at),
                      pa.array(n), pa.array(ids, pa.binary())], names=["id", "part", "before", "n", "ids"])
         pieces.forget()
+        C.let_go()
 
     return C.written(df.mapInArrow(run, schema), "packing-ids")
 

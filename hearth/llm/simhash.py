@@ -253,8 +253,7 @@ def one_of_each_group(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     drop = C.written(drop.select(F.col("id").alias("__id"), F.col("digest").alias("__digest")).distinct(), "simhash-drop")
     marked = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit("")), F.lit(1)))
     # texts that surely stay do not move
-    likely = C.likely_among(drop, "__id", "__digest")(F.col("doc_id").cast("long"), F.col("__key"))
-    some = marked.where(likely)
-    left = marked.where(~likely).union(
+    some, stay = C.likely_among(marked, [F.col("doc_id").cast("long"), F.col("__key")], drop)
+    left = stay.union(
         some.join(drop, (some["__key"] == drop["__digest"]) & some["doc_id"].cast("long").eqNullSafe(drop["__id"]), "left_anti"))
     return C.one_row_per_key(left, "doc_id", "__key").select(*docs.columns)
