@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth.llm import _common as C
-from hearth.llm._units import Pieces
+from hearth.llm._units import stretches
 
 _WORKER: dict = {}
 
@@ -51,27 +51,26 @@ class Tokenizer:
     def __init__(self, ranks: bytes, pattern: str, added: dict[str, int]):
         import tiktoken
         rank = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
-        encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=rank, special_tokens={}).encode_ordinary
-        self.pieces = Pieces(lambda texts: [array("I", encode(t)).tobytes() for t in texts])
+        self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=rank, special_tokens={}).encode_ordinary
         self.added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
         # the longest first, where one begins another
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
+    def plain(self, text: str) -> bytes:
+        """Id bytes of a text without added tokens.  The library encodes a text in one call faster than its words are
+        looked up one by one; only a very long text is cut, so that its ids do not all stand in one list."""
+        return b"".join([array("I", self.encode(part)).tobytes() for part in stretches(text)])
+
     def texts(self, texts: list[str]) -> list[bytes]:
         """Id bytes of every text."""
-        marked = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
-        if not marked:
-            return self.pieces.texts(texts)
-        out: list[bytes] = self.pieces.texts(["" if any(a in t for a in self.added) else t for t in texts])
-        for i in marked:
-            parts = self.cut.split(texts[i])                      # text, token, text, token, ..., text
-            between = iter(self.pieces.texts(parts[::2]))
-            out[i] = b"".join(self.added[p] if k % 2 else next(between) for k, p in enumerate(parts))
+        out = []
+        for t in texts:
+            if any(a in t for a in self.added):                   # text, token, text, token, ..., text
+                out.append(b"".join([self.added[p] if k % 2 else self.plain(p) for k, p in enumerate(self.cut.split(t))]))
+            else:
+                out.append(self.plain(t))
         return out
 
-    def forget(self) -> None:
-        self.pieces.known.clear()
-
 
 def _tokenizer(ranks: bytes, pattern: str, added: dict[str, int]) -> Tokenizer:
     """The worker's tokenizer for a rank file's content."""
@@ -95,17 +94,16 @@ def tokenised(docs: DataFrame, ranks_path: str, pattern: str, separator: int = 0
                            T.StructField("ids", T.BinaryType())])
 
     def run(batches):
-        pieces, part, before = _tokenizer(ranks.value, pattern, added), TaskContext.get().partitionId(), 0
+        tokenizer, part, before = _tokenizer(ranks.value, pattern, added), TaskContext.get().partitionId(), 0
         for batch in batches:
             for start, texts in C.chunks(batch.column(1)):
-                ids = [x + tail for x in pieces.texts(texts)]
+                ids = [x + tail for x in tokenizer.texts(texts)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 at = before + np.cumsum(n) - n
                 before += int(n.sum())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(ids)), pa.array(np.full(len(ids), part, np.int32)), pa.array(at),
                      pa.array(n), pa.array(ids, pa.binary())], names=["id", "part", "before", "n", "ids"])
-        pieces.forget()
         C.let_go()
 
     return C.written(df.mapInArrow(run, schema), "packing-ids")

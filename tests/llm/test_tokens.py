@@ -10,7 +10,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from hearth.llm import bpe, packing
-from hearth.llm._units import Pieces
+from hearth.llm._units import Pieces, stretches
 from tests.llm.data import awkward, documents, folder
 
 
@@ -44,6 +44,21 @@ def test_packing_ids_are_those_of_the_tokenizer_file():
     assert [np.frombuffer(x, "<u4").tolist() for x in pieces.texts(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_packing_encodes_whole_texts_and_cuts_long_ones_where_ids_stay_the_same(monkeypatch):
+    t, asked = tokenizer(), []
+    encode = t.encode
+    monkeypatch.setattr(t, "encode", lambda x: asked.append(len(x)) or encode(x))
+    texts = [" ".join(f"w{i}" for i in range(5000)), "a b<|endoftext|> c"]
+    assert t.texts(texts)[0] == np.array(encode(texts[0]), "<u4").tobytes()
+    assert asked == [len(texts[0]), 3, 2]                    # a call for each text or stretch between added tokens, not for each word
+    long = "ab  \n c \u00a0 d\u3000 e\tf g   " * 700 + "x" * 9000 + " \n" * 50 + " z"
+    for size in (1, 2, 7, 100, 5000):
+        parts = list(stretches(long, size))
+        assert "".join(parts) == long and (len(parts) > 1 and all(len(p) < size + 9200 for p in parts))
+        assert [i for p in parts for i in encode(p)] == encode(long)
+    assert list(stretches("")) == [""]
+
+
 def test_bpe_query(spark, tmp_path):
     texts = awkward()
     got = bpe.op3_bpe(spark, folder(spark, tmp_path, documents=documents(spark, texts))).collect()
