@@ -302,3 +302,39 @@ def test_attention_lm_scores_do_not_depend_on_the_block(spark):
     for block in (1, 3, 256):
         for a, b in zip(model.score_stream(ids, sizes, block=block), want):
             assert np.allclose(a, b, atol=1e-5)
+
+
+def test_attention_lm_encodes_words_in_a_row():
+    import public_tokenizers as P
+    sub = attention_lm.Subwords(open(P.path("byte_bpe_multi_50k.tiktoken"), "rb").read(), P.PATTERN)
+    encode, asked = sub.encode, []
+    sub.encode = lambda x: asked.append(x) or encode(x)
+    odd = [attention_lm.words(t) for t in ("a\u00a0 \u00a0b c", "\u3000 \u3000 x\u2003 y", "one \x1c two\x85 \x85", "", "\u00a0")]
+    for ws in (attention_lm.words("It's 12 words, in a row; " * 300 + "\u6f22\u5b57\u00e9 \u0301x"), *odd):
+        asked.clear()
+        ids, n = sub.ids(ws)
+        assert len(asked) == 1 or ws in odd                  # one call, not one for each word
+        want = [encode(" " + w.decode()) for w in ws]
+        assert ids.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
+
+
+def test_network_sums_and_steps():
+    """Sums over the places of an input, however often it stands; steps of Adam as its formula says; the arrays stay from step to step."""
+    rng = np.random.default_rng(4)
+    for x in (rng.integers(0, 9, (40, 30)), np.zeros((3, 400), int), np.array([[7]]), rng.integers(0, 300, 257), np.zeros((0, 4), int)):
+        d = rng.random((x.size, 3))
+        want = np.zeros((300, 3))
+        np.add.at(want, x.ravel(), d)
+        assert np.allclose(attention_lm._by_row(attention_lm._runs(x), d, want), want)
+    net = attention_lm.Network.new(np.log(rng.dirichlet(np.ones(5), 8)))
+    w = {k: a.astype(float) for k, a in net.w.items()}
+    x, y, m, v, moments = rng.integers(0, 8, (6, 9)), rng.integers(-1, 5, (6, 9)), dict.fromkeys(w, 0.0), dict.fromkeys(w, 0.0), {}
+    for step in range(1, 4):
+        _, g = attention_lm.Network(w).gradient(x, y)
+        for k, d in g.items():
+            m[k], v[k] = m[k] * 0.9 + 0.1 * d, v[k] * 0.99 + 0.01 * d * d
+            w[k] = w[k] - 0.01 * m[k] / (1 - 0.9 ** step) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-8)
+        net.train(x, y, 0.01, moments)
+        kept = dict(net.kept) if step == 1 else kept
+    assert all(np.allclose(net.w[k], w[k], atol=2e-4) for k in w)
+    assert kept and all(net.kept[k] is a for k, a in kept.items())
