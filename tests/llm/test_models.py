@@ -318,6 +318,26 @@ def test_attention_lm_encodes_words_in_a_row():
         assert ids.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
 
 
+def test_attention_lm_encodes_a_word_of_the_texts_once(monkeypatch):
+    """Texts for training: a word that a task has met is looked up, and the ids are those of each word alone, whatever is forgotten meanwhile."""
+    import public_tokenizers as P
+    sub = attention_lm.Subwords(open(P.path("byte_bpe_multi_50k.tiktoken"), "rb").read(), P.PATTERN)
+    encode, asked = sub.encode, []
+    sub.encode = lambda x: asked.append(x) or encode(x)
+    texts = ["It's 12 words, in a row; " * 300, "", "\u6f22\u5b57 \u00e9 \u0301x A a", "a\u00a0 \u00a0b c one \x1c two\x85 \x85 \u00a0", "row; " * 9]
+    want = [i for t in texts for i in [*(i for w in attention_lm.words(t) for i in encode(" " + w.decode())), sub.size]]
+    assert sub.spelt.texts(texts).tolist() == want
+    assert sum(map(len, asked)) < 100                        # of more than 7,000 characters
+    asked.clear()
+    assert sub.spelt.texts(texts).tolist() == want and not asked
+    monkeypatch.setattr(attention_lm, "KNOWN", 3)
+    assert [i for t in texts for i in sub.spelt.texts([t]).tolist()] == want
+    monkeypatch.setattr(attention_lm, "CHUNK", 0)
+    assert [i for t in texts * 2 for i in sub.spelt.texts([t]).tolist()] == want * 2
+    sub.forget()
+    assert len(sub.spelt.place) == 1 and len(sub.spelt.ids) == 1
+
+
 def test_network_sums_and_steps():
     """Sums over the places of an input, however often it stands; steps of Adam as its formula says; the arrays stay from step to step."""
     rng = np.random.default_rng(4)
