@@ -112,12 +112,10 @@ def _by_name(df: DataFrame, dim: DataFrame, col: str, key: str, how: str = "left
     return df.join(d, H.fold(col) == d["__n"], how).drop("__n")
 
 
-def _common(df: DataFrame, dims: dict, pat: DataFrame, age_y: str | None, age_m: str | None,
+def _common(df: DataFrame, dims: dict, age_y: str | None, age_m: str | None,
             date_col: str, time_col: str | None, loc_col: str | None) -> DataFrame:
-    """Star joins shared by every fact: inner on patient, left on gender, age, date, time, location."""
-    x = df.join(pat, "patient_id", "inner")
-    g = dims["dim_gender"].select(H.fold("code").alias("__g"), "gender_id")
-    x = x.join(g, H.fold("__gender") == g["__g"], "left").drop("__g")
+    """Star joins shared by every fact: left on age, date, time, location (J6); ``_fact`` adds the patient's."""
+    x = df
     if age_y:
         a = dims["dim_age"]
         x = x.join(a, (x[age_y] == a["full_years"]) & (x[age_m] == a["full_months"]), "left") \
@@ -136,43 +134,47 @@ FACT_COLS = ["patient_id", "gender_id", "age_id", "date_id", "time_id", "locatio
              "encounter_type_id"]
 
 
-def _fact(x: DataFrame, extra: list[str]) -> DataFrame:
+def _fact(x: DataFrame, flat: dict, dims: dict, extra: list[str]) -> DataFrame:
+    """The fact's columns, with the joins on patient (inner) and gender (left).  These come
+    last: patients are a table of data size, and here a row is its ids and moves at its smallest."""
+    own = [c for c in FACT_COLS + extra if c in x.columns]
+    pat = flat["omrs_patient"].select("patient_id", F.col("gender").alias("__gender"))   # D-PAT has these rows
+    g = dims["dim_gender"].select(H.fold("code").alias("__g"), "gender_id")
+    x = x.select(*own).join(pat, "patient_id", "inner").join(g, H.fold("__gender") == g["__g"], "left")
     return x.select(*[F.col(c) if c in x.columns else F.lit(None).cast("long").alias(c) for c in FACT_COLS + extra])
 
 
 def fact_patient_event(flat: dict, dims: dict) -> DataFrame:
     """X-EVENT: births, deaths, encounters, enrollments, completions as one
     union; program only on program events, time and type only on encounters."""
-    pat = flat["omrs_patient"].select("patient_id", F.col("gender").alias("__gender"))   # D-PAT has these rows
     ev = {r: i + 1 for i, r in enumerate(EVENTS)}
     p = flat["omrs_patient"].select("patient_id", "birthdate", "death_date")
-    born = _common(p.where(F.col("birthdate").isNotNull()), dims, pat, None, None, "birthdate", None, None)
-    died = _common(p.where(F.col("death_date").isNotNull()), dims, pat, None, None, "death_date", None, None)
+    born = _common(p.where(F.col("birthdate").isNotNull()), dims, None, None, "birthdate", None, None)
+    died = _common(p.where(F.col("death_date").isNotNull()), dims, None, None, "death_date", None, None)
     e = flat["omrs_encounter"].where(F.col("encounter_date").isNotNull())
-    enc = _common(e, dims, pat, "age_years_at_encounter", "age_months_at_encounter", "encounter_date",
+    enc = _common(e, dims, "age_years_at_encounter", "age_months_at_encounter", "encounter_date",
                   "encounter_time", "location")
     enc = _by_name(enc, dims["dim_encounter_type"], "encounter_type", "encounter_type_id", "inner")
     en = flat["omrs_program_enrollment"]
-    enrol = _common(en.where(F.col("enrollment_date").isNotNull()), dims, pat, "age_years_at_enrollment",
+    enrol = _common(en.where(F.col("enrollment_date").isNotNull()), dims, "age_years_at_enrollment",
                     "age_months_at_enrollment", "enrollment_date", None, "location")
     enrol = _by_name(enrol, dims["dim_program"], "program", "program_id", "inner")
-    comp = _common(en.where(F.col("completion_date").isNotNull()), dims, pat, "age_years_at_completion",
+    comp = _common(en.where(F.col("completion_date").isNotNull()), dims, "age_years_at_completion",
                    "age_months_at_completion", "completion_date", None, "location")
     comp = _by_name(comp, dims["dim_program"], "program", "program_id", "inner")
     parts = [(born, "Patient Born"), (died, "Patient Died"), (enc, "Patient Encounter"),
              (enrol, "Program Enrollment"), (comp, "Program Completion")]
     out = None
     for df, name in parts:
-        f = _fact(df.withColumn("event_id", F.lit(ev[name]).cast("long")), ["event_id"])
+        f = _fact(df.withColumn("event_id", F.lit(ev[name]).cast("long")), flat, dims, ["event_id"])
         out = f if out is None else out.unionByName(f)
     return out
 
 
 def _value_fact(flat: dict, dims: dict, value_col: str, qdim: str, qkey: str, vdim: str | None,
                 vkey: str | None, extra_value: str | None) -> DataFrame:
-    pat = flat["omrs_patient"].select("patient_id", F.col("gender").alias("__gender"))   # D-PAT has these rows
     o = O.typed_value_filter(flat["omrs_obs"], value_col)
-    x = _common(o, dims, pat, "age_years_at_obs", "age_months_at_obs", "obs_date", "obs_time", "location")
+    x = _common(o, dims, "age_years_at_obs", "age_months_at_obs", "obs_date", "obs_time", "location")
     x = _by_name(x, dims["dim_encounter_type"], "encounter_type", "encounter_type_id")
     x = _by_name(x, dims[qdim], "concept", qkey, "inner")
     extra = [qkey]
@@ -182,7 +184,7 @@ def _value_fact(flat: dict, dims: dict, value_col: str, qdim: str, qkey: str, vd
     if extra_value:
         x = x.withColumnRenamed(value_col, extra_value)
         extra.append(extra_value)
-    return _fact(x, extra)
+    return _fact(x, flat, dims, extra)
 
 
 def fact_coded(flat, dims):

@@ -876,12 +876,23 @@ def _emr_written(spark, sf, *names):
     from ..session import written
     from .lazy import LazyTables
     flat = _emr_flat(spark, sf)
-    return LazyTables({k: (lambda t, k=k: written(flat[k], k) if k in names else flat[k]) for k in flat})
+    return LazyTables({k: (lambda t, k=k: written(flat[k], k, **EDGE.get(k, {})) if k in names else flat[k]) for k in flat})
 
 
+# How tables of the layer edge are written: the large ones compressed more, observations in turns (their shuffles are the widest).
+EDGE = {"omrs_program_state": {"compression": "zstd"}, "omrs_encounter": {"compression": "zstd"},
+        "omrs_obs": {"compression": "zstd", "parts": 4, "by": ("encounter_id", "obs_id")}}
 STAR_INPUT = ("omrs_patient", "omrs_program_enrollment", "omrs_program_state", "omrs_encounter", "omrs_obs")
 
 
+def _emr_star(spark, sf):
+    """The star schema over the written flat layer; a dimension is written when
+    first read, so facts join tables whose size the planner knows."""
+    from ..session import written
+    from .star import build_star
+    return build_star(spark, _emr_written(spark, sf, *STAR_INPUT), lambda name, df: written(df, name))
+
+
 def emr_dim_date(spark, sf):
     """D-DATE over the derived flat layer."""
     from .star import build_star
@@ -890,15 +901,13 @@ def emr_dim_date(spark, sf):
 
 def emr_fact_numeric(spark, sf):
     """X-NUM over the written flat layer, with the dimensions it joins."""
-    from .star import build_star
-    return build_star(spark, _emr_written(spark, sf, *STAR_INPUT))["fact_patient_numeric_value"]
+    return _emr_star(spark, sf)["fact_patient_numeric_value"]
 
 
 def emr_fact_event(spark, sf):
     """X-EVENT over the written flat layer: births, encounters, enrollments and
     completions with their dimension ids."""
-    from .star import build_star
-    return build_star(spark, _emr_written(spark, sf, *STAR_INPUT))["fact_patient_event"]
+    return _emr_star(spark, sf)["fact_patient_event"]
 
 
 def emr_urgent_visits(spark, sf):

@@ -67,7 +67,7 @@ class _Derived:
                                   self.c.select(F.col("c_mktsegment").alias("v")),
                                   self.o.select(F.lit(STATUS_CONCEPT).alias("v")),
                                   self.o.select(F.lit(APPT_CONCEPT).alias("v"))])
-        return _names(vocab, "v", "concept_id")
+        return written(_names(vocab, "v", "concept_id").coalesce(1), "concepts")    # three name tables come from these
 
     def cid(self, as_name):
         return self.concepts.select(F.col("name").alias(as_name), "concept_id")

@@ -2,12 +2,17 @@
 ``explain`` of the physical plan (nothing is executed)."""
 
 import io
+import time
 from contextlib import redirect_stdout
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from hearth import operators as O
 from hearth.plans.testbed import QUERIES
+from hearth.session import written
+
+from .conftest import rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +93,34 @@ def test_exact_comparisons_push_down_when_folding_is_off(spark):
 def test_no_registered_query_plans_a_cartesian_product(spark):
     bad = [n for n, fn in QUERIES.items() if "CartesianProduct" in plan(fn(spark, SF))]
     assert not bad, bad
+
+
+def test_value_fact_moves_its_rows_for_the_patients_only(spark):
+    p = plan(QUERIES["emr_fact_numeric"](spark, SF))
+    assert "SortMergeJoin" not in p and "Exchange hashpartitioning" not in p     # written dimensions have a known size
+    p = plan(QUERIES["emr_fact_event"](spark, SF))
+    assert "SortMergeJoin" not in p
+
+
+def test_written_table_keeps_no_shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    local = [Path(d.getPath()) for d in dirs]
+
+    def held():
+        return {f for d in local for f in d.rglob("shuffle_*.data")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = held(), spark.conf.get(setting)
+    df = spark.range(2_000).withColumn("k", F.col("id") % 7).repartition(5, "k")
+    got = [written(df, "some", **how) for how in ({}, {"parts": 3, "by": ("id",), "compression": "zstd"})]
+    time.sleep(1)                                  # files go in the background
+    assert not held() - before
+    assert spark.conf.get(setting) == was
+    assert [x.count() for x in got] == [2_000, 2_000]
+
+
+def test_turns_of_a_written_table_hold_each_row_once(spark):
+    df = spark.createDataFrame([(None, None, "a"), (None, 5, "b"), (None, 5, "b"), (1, 5, "c"), (2, None, "d"), (2, None, "d")],
+                               "e long, i long, v string")
+    got = written(df, "turns", parts=3, by=("e", "i"))
+    assert rows(got) == rows(df)
